@@ -78,3 +78,164 @@ def adid_asof(spark, d):
     """IDN5: advertising id and consent state as of every call."""
     i = pipeline.identity(spark, d)
     return i.select("device_id", "seq", "call", F.col("advertising_id_state").alias("advertising_id"), "consent_state")
+
+
+def _keys(m):
+    return F.array_join(F.array_sort(F.map_keys(m)), ",")
+
+
+def _env(kind: str) -> Query:
+    def run(spark, d):
+        ev = pipeline.events(spark, d).filter(F.col("type") == kind)
+        props = F.col("properties")
+        return ev.select(
+            F.col("messageId").alias("message_id"), "type", "event", F.col("userId").alias("user_id"),
+            _keys(props).alias("prop_keys"), _keys(F.col("traits")).alias("trait_keys"),
+            F.try_variant_get(F.element_at(props, "name"), "$", "string").alias("name_prop"),
+            F.try_variant_get(F.element_at(props, "groupId"), "$", "string").alias("group_prop"),
+            F.try_variant_get(F.element_at(props, "previousId"), "$", "string").alias("previous_prop"),
+            "props_ok",
+        )
+
+    run.__name__ = f"env_{kind}"
+    run.__doc__ = f"ENV: envelope fields of {kind} events."
+    return run
+
+
+for _kind in ("track", "identify", "group", "screen", "page", "alias"):
+    query(_env(_kind))
+
+
+@query
+def identity_fill(spark, d):
+    """IDN3: the value on the event wins over the state."""
+    ev = pipeline.events(spark, d)
+    return ev.select(
+        F.col("messageId").alias("message_id"), F.col("userId").alias("user_id"),
+        F.col("anonymousId").alias("anonymous_id"), F.col("groupId").alias("group_id"),
+        F.col("type").isin("identify", "alias").alias("user_from_event"),
+    )
+
+
+@query
+def identity_snapshot(spark, d):
+    """IDN4: latest stored identity per device."""
+    from eventloom.operators.identity import identity_snapshot as snap
+
+    return snap(pipeline.identity(spark, d))
+
+
+@query
+def alias_edges(spark, d):
+    """IDN6: anonymous id → user id links from alias events."""
+    from eventloom.operators.identity import alias_edges as edges
+
+    return edges(pipeline.events(spark, d))
+
+
+@query
+def consent_audit(spark, d):
+    """IDN7: events per consent state and how many still carry an advertising id."""
+    from eventloom.operators.identity import consent_audit as audit
+
+    return audit(pipeline.events(spark, d))
+
+
+@query
+def disabled_drop(spark, d):
+    """FLT1: calls kept after dropping those made while disabled."""
+    from eventloom.operators.identity import disabled_drop as drop
+
+    return drop(adapters.calls(spark, d), adapters.attempts(spark, d)).select("device_id", "seq", "call")
+
+
+# ---- context ----------------------------------------------------------------
+
+
+@query
+def context_attach(spark, d):
+    """CTX1, CTX7, CTX8: context attached to every event (flattened)."""
+    from eventloom.operators.context import flatten_context
+
+    ev = pipeline.events(spark, d, with_context=True)
+    return ev.select(F.col("messageId").alias("message_id"), "device_id", *flatten_context(F.col("context")))
+
+
+def _snap_ctx(spark, d):
+    from eventloom.operators.context import device_contexts
+
+    s = adapters.device_snapshots(spark, d)
+    return s.join(device_contexts(s), "device_id")
+
+
+@query
+def device_model(spark, d):
+    """CTX2: model code → product name, unknown codes pass through."""
+    from eventloom.operators.context import device_model as dm
+
+    s = adapters.device_snapshots(spark, d)
+    return s.select("device_id", "model_code", dm(F.col("model_code")).alias("model"))
+
+
+@query
+def device_type(spark, d):
+    """CTX3: idiom → device type."""
+    s = _snap_ctx(spark, d)
+    return s.select("device_id", "idiom", "on_mac", F.col("context.device.type").alias("device_type"))
+
+
+@query
+def app_context(spark, d):
+    """CTX4: app name, version, build, namespace with defaults."""
+    s = _snap_ctx(spark, d)
+    return s.select(
+        "device_id", F.col("context.app.name").alias("app_name"), F.col("context.app.version").alias("app_version"),
+        F.col("context.app.build").alias("app_build"), F.col("context.app.namespace").alias("app_namespace"),
+    )
+
+
+@query
+def os_context(spark, d):
+    """CTX5: OS name and version."""
+    s = _snap_ctx(spark, d)
+    return s.select("device_id", F.col("context.os.name").alias("os_name"), F.col("context.os.version").alias("os_version"))
+
+
+@query
+def screen_context(spark, d):
+    """CTX6: screen pixels and density."""
+    s = _snap_ctx(spark, d)
+    return s.select(
+        "device_id", F.col("context.screen.width").alias("screen_width"),
+        F.col("context.screen.height").alias("screen_height"), F.col("context.screen.density").alias("screen_density"),
+    )
+
+
+# ---- ids, times, masking ----------------------------------------------------
+
+
+@query
+def message_id(spark, d):
+    """MID1: deterministic message id per event."""
+    ev = pipeline.events(spark, d)
+    return ev.select("device_id", "seq", F.col("messageId").alias("message_id"))
+
+
+@query
+def event_time(spark, d):
+    """TIM1: the caller's timestamp, else the call time as ISO-8601."""
+    c = adapters.calls(spark, d).filter(emits_event(F.col("call")))
+    from eventloom.functions.times import event_time as et
+
+    return c.select("device_id", "seq", et(F.col("timestamp"), F.col("ts")).alias("event_time"),
+                    F.col("timestamp").isNotNull().alias("given"))
+
+
+@query
+def masked_events(spark, d):
+    """GOV1, GOV2: masked write key and redacted advertising id per event."""
+    from eventloom.operators.governance import masked_events as masked
+
+    return masked(pipeline.events(spark, d)).select(
+        F.col("messageId").alias("message_id"), "masked_write_key", "redacted_adid"
+    )

@@ -142,3 +142,171 @@ SELECT device_id, seq, epoch, initialized, anonymous_id FROM ident""",
     "adid_asof": BASE + """
 SELECT device_id, seq, call, advertising_id_state AS advertising_id, consent_state FROM ident""",
 }
+
+ATTEMPTS = """
+att0 AS (
+  SELECT o_custkey % 15 AS device_id, o_orderkey, o_orderdate,
+         row_number() OVER (PARTITION BY o_custkey % 15 ORDER BY o_orderdate, o_orderkey) - 1 AS n
+  FROM orders
+),
+att1 AS (
+  SELECT *, TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(n * 6 AS BIGINT)) AS attempt_ts FROM att0
+),
+att2 AS (
+  SELECT *, attempt_ts + INTERVAL 3 SECOND AS retry_at, (n // 20) % 3 AS form FROM att1
+),
+attempts AS (
+  SELECT
+    'wk-' || CAST(device_id % 4 AS VARCHAR) AS write_key,
+    device_id, n AS seq, attempt_ts, o_orderkey AS batch_id, 1 + o_orderkey % 100 AS batch_size,
+    CAST([200, 200, 503, 503, 503, 503, 200, 429, 429, 408, 200, 413, 400, 200, 302, NULL, 200, 500, 500, 404][n % 20 + 1] AS INTEGER) AS status,
+    CASE WHEN n % 20 = 7 THEN '5' WHEN n % 20 = 8 THEN 'bad'
+         WHEN n % 20 = 9 THEN CASE
+           WHEN form = 0 THEN strftime(retry_at, '%a, %d %b %Y %H:%M:%S') || ' GMT'
+           WHEN form = 1 THEN strftime(retry_at, '%A, %d-%b-%y %H:%M:%S') || ' GMT'
+           ELSE strftime(retry_at, '%a %b %-d %H:%M:%S %Y') END
+         WHEN n % 20 = 17 THEN ' 2 ' END AS retry_after
+  FROM att2
+)"""
+
+MODEL_CASE_SQL = "coalesce(" + """CASE model_code
+           WHEN 'iPhone14,7' THEN 'iPhone 13 mini' WHEN 'iPhone14,8' THEN 'iPhone 13'
+           WHEN 'iPhone14,2' THEN 'iPhone 13 Pro' WHEN 'iPhone14,3' THEN 'iPhone 13 Pro Max'
+           WHEN 'iPhone15,4' THEN 'iPhone 14' WHEN 'iPhone15,5' THEN 'iPhone 14 Plus'
+           WHEN 'iPhone15,2' THEN 'iPhone 14 Pro' WHEN 'iPhone15,3' THEN 'iPhone 14 Pro Max'
+           WHEN 'iPhone16,1' THEN 'iPhone 15 Pro' WHEN 'iPhone16,2' THEN 'iPhone 15 Pro Max'
+           WHEN 'iPhone16,3' THEN 'iPhone 15' WHEN 'iPhone16,4' THEN 'iPhone 15 Plus'
+           WHEN 'iPhone17,1' THEN 'iPhone 16 Pro' WHEN 'iPhone17,2' THEN 'iPhone 16 Pro Max'
+           WHEN 'iPhone17,3' THEN 'iPhone 16' WHEN 'iPhone17,4' THEN 'iPhone 16 Plus'
+           WHEN 'iPhone17,5' THEN 'iPhone 16e' WHEN 'iPhone18,1' THEN 'iPhone 17 Pro'
+           WHEN 'iPhone18,2' THEN 'iPhone 17 Pro Max' WHEN 'iPhone18,3' THEN 'iPhone 17'
+           WHEN 'iPhone18,4' THEN 'iPhone Air'
+           WHEN 'iPad13,18' THEN 'iPad (10th generation)' WHEN 'iPad13,19' THEN 'iPad (10th generation)'
+           WHEN 'iPad14,3' THEN 'iPad Pro 11-inch (4th generation)' WHEN 'iPad14,4' THEN 'iPad Pro 11-inch (4th generation)'
+           WHEN 'iPad14,5' THEN 'iPad Pro 12.9-inch (6th generation)' WHEN 'iPad14,6' THEN 'iPad Pro 12.9-inch (6th generation)'
+           WHEN 'x86_64' THEN 'Simulator' WHEN 'arm64' THEN 'Simulator' END""" + ", model_code)"
+
+SNAP = f"""
+snap0 AS (
+  SELECT c_custkey AS device_id,
+    ['iPhone16,2', 'iPhone17,1', 'iPad14,3', 'x86_64', 'iPhone99,9', 'arm64'][c_custkey % 6 + 1] AS model_code,
+    CASE WHEN c_custkey % 17 = 5 THEN NULL
+         ELSE ['phone', 'pad', 'tv', 'carPlay', 'mac', 'unspecified'][c_nationkey % 6 + 1] END AS idiom,
+    c_custkey % 7 = 0 AS on_mac,
+    c_name AS device_name,
+    CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Shop ' || CAST(c_custkey % 10 AS VARCHAR) END AS display_name,
+    CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE 'shop' END AS bundle_name,
+    CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE '2.' || CAST(c_custkey % 5 AS VARCHAR) || '.0' END AS app_version,
+    CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(100 + c_custkey % 50 AS VARCHAR) END AS app_build,
+    CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE 'com.example.shop' END AS bundle_id,
+    '17.' || CAST(c_custkey % 6 AS VARCHAR) AS system_version,
+    '14.' || CAST(c_custkey % 6 AS VARCHAR) || '.' || CAST(c_custkey % 3 AS VARCHAR) AS mac_version,
+    CASE WHEN c_nationkey % 6 = 4 AND c_custkey % 4 = 0 THEN NULL ELSE 393.0 END AS points_width,
+    CASE WHEN c_nationkey % 6 = 4 AND c_custkey % 4 = 0 THEN NULL ELSE 852.0 END AS points_height,
+    CAST(1 + c_custkey % 3 AS DOUBLE) AS scale,
+    CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey % 2 = 0 END AS wifi,
+    ['en_US', 'de_DE', 'fr_FR', 'ja_JP'][c_nationkey % 4 + 1] AS locale,
+    ['America/New_York', 'Europe/Berlin', 'Europe/Paris', 'Asia/Tokyo'][c_nationkey % 4 + 1] AS timezone
+  FROM customer WHERE c_custkey % 11 <> 3
+),
+snap AS (
+  SELECT device_id, model_code, idiom, on_mac,
+    coalesce(display_name, bundle_name, 'Unknown') AS app_name,
+    coalesce(app_version, 'unknown') AS app_version,
+    coalesce(app_build, 'unknown') AS app_build,
+    coalesce(bundle_id, 'unknown') AS app_namespace,
+    'Apple' AS device_manufacturer,
+    CASE WHEN idiom IS NULL THEN 'unknown' WHEN idiom = 'mac' THEN model_code
+         ELSE {MODEL_CASE_SQL} END AS device_model,
+    CASE WHEN idiom IS NULL THEN 'unknown' ELSE device_name END AS device_name,
+    CASE WHEN idiom IN ('phone', 'pad') THEN 'ios' WHEN idiom = 'tv' THEN 'tv' WHEN idiom = 'carPlay' THEN 'car'
+         WHEN idiom = 'mac' THEN 'macos' WHEN idiom IS NOT NULL AND on_mac THEN 'macos' ELSE 'unknown' END AS device_type,
+    'eventloom-spark' AS library_name, '1.0.0' AS library_version,
+    CASE WHEN idiom IS NULL THEN 'unknown' WHEN idiom = 'mac' THEN 'macOS' WHEN on_mac THEN 'macOS'
+         WHEN idiom = 'pad' THEN 'iPadOS' WHEN idiom = 'tv' THEN 'tvOS' ELSE 'iOS' END AS os_name,
+    CASE WHEN idiom IS NULL THEN 'unknown' WHEN idiom = 'mac' THEN mac_version ELSE system_version END AS os_version,
+    CASE WHEN idiom IS NULL THEN 1.0 WHEN idiom = 'mac' AND points_width IS NULL THEN 2.0 ELSE scale END AS screen_density,
+    CASE WHEN idiom IS NULL THEN 0 WHEN idiom = 'mac' AND points_width IS NULL THEN 1920
+         ELSE CAST(trunc(points_width * scale) AS BIGINT) END AS screen_width,
+    CASE WHEN idiom IS NULL THEN 0 WHEN idiom = 'mac' AND points_width IS NULL THEN 1080
+         ELSE CAST(trunc(points_height * scale) AS BIGINT) END AS screen_height,
+    wifi AS network_wifi, locale, timezone
+  FROM snap0
+)"""
+
+BASE_ALL = with_(CALLS, IDENTITY, EVENTS, ATTEMPTS, SNAP)
+
+
+def _env_sql(kind: str) -> str:
+    safe = "(CASE WHEN json_valid(payload_json) THEN payload_json END)"
+    keys = f"json_keys({safe})"
+    valid = f"coalesce(json_type({safe}) = 'OBJECT', false)"
+    return BASE + f"""
+SELECT message_id, type, event, ev_user_id AS user_id,
+  CASE
+    WHEN type = 'track' THEN CASE WHEN {valid} THEN array_to_string(list_sort({keys}), ',') END
+    WHEN type IN ('screen', 'page') THEN array_to_string(list_sort(list_distinct(list_concat(
+         CASE WHEN {valid} THEN {keys} ELSE []::VARCHAR[] END, ['name']))), ',')
+    WHEN type = 'group' THEN CASE WHEN length(group_id) > 0 THEN 'groupId' END
+    WHEN type = 'alias' THEN CASE WHEN previous_id IS NOT NULL THEN 'previousId' END
+  END AS prop_keys,
+  CASE WHEN type IN ('identify', 'group') AND {valid} THEN array_to_string(list_sort({keys}), ',') END AS trait_keys,
+  CASE WHEN type IN ('screen', 'page') THEN name END AS name_prop,
+  CASE WHEN type = 'group' AND length(group_id) > 0 THEN group_id END AS group_prop,
+  CASE WHEN type = 'alias' THEN previous_id END AS previous_prop,
+  payload_json IS NULL OR {valid} AS props_ok
+FROM ev WHERE type = '{kind}'"""
+
+
+for _k in ("track", "identify", "group", "screen", "page", "alias"):
+    ORACLE[f"env_{_k}"] = _env_sql(_k)
+
+ORACLE.update({
+    "identity_fill": BASE + """
+SELECT message_id, ev_user_id AS user_id, anonymous_id, group_state AS group_id,
+       type IN ('identify', 'alias') AS user_from_event FROM ev""",
+    "identity_snapshot": BASE + """
+SELECT write_key, device_id, seq AS last_seq, epoch, anonymous_id, user_state AS user_id,
+       group_state AS group_id, advertising_id_state AS advertising_id
+FROM ident QUALIFY row_number() OVER (PARTITION BY write_key, device_id ORDER BY seq DESC) = 1""",
+    "alias_edges": BASE + """
+SELECT anonymous_id, ev_user_id AS user_id, min(seq) AS first_seq, min(epoch_us(ts)) AS first_ts_us, count(*) AS n
+FROM ev WHERE type = 'alias' GROUP BY anonymous_id, ev_user_id""",
+    "consent_audit": BASE + """
+SELECT consent_state, count(*) AS n_events, count(advertising_id_state) AS n_with_adid FROM ev GROUP BY consent_state""",
+    "disabled_drop": with_(CALLS, ATTEMPTS) + """,
+merged AS (
+  SELECT device_id, ts AS t, 1 AS src, seq, call FROM calls
+  UNION ALL
+  SELECT device_id, attempt_ts AS t, 0 AS src, NULL AS seq, NULL AS call FROM attempts WHERE status IN (401, 403, 404)
+),
+flagged AS (
+  SELECT *, last_value(CASE WHEN src = 0 THEN 1 WHEN call = 'reset' THEN 0 END IGNORE NULLS)
+    OVER (PARTITION BY device_id ORDER BY t, src, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS off
+  FROM merged
+)
+SELECT device_id, seq, call FROM flagged WHERE src = 1 AND coalesce(off, 0) = 0""",
+    "context_attach": BASE_ALL + """
+SELECT e.message_id, e.device_id, s.app_name, s.app_version, s.app_build, s.app_namespace, s.device_manufacturer,
+  s.device_model, s.device_name, s.device_type,
+  CASE WHEN s.device_id IS NOT NULL THEN e.advertising_id_state END AS device_advertising_id,
+  s.library_name, s.library_version, s.os_name, s.os_version, s.screen_density, s.screen_width, s.screen_height,
+  s.network_wifi, s.locale, s.timezone
+FROM ev e LEFT JOIN snap s ON e.device_id = s.device_id""",
+    "device_model": with_(SNAP) + f"""
+SELECT device_id, model_code, {MODEL_CASE_SQL} AS model FROM snap0""",
+    "device_type": with_(SNAP) + "\nSELECT device_id, idiom, on_mac, device_type FROM snap",
+    "app_context": with_(SNAP) + "\nSELECT device_id, app_name, app_version, app_build, app_namespace FROM snap",
+    "os_context": with_(SNAP) + "\nSELECT device_id, os_name, os_version FROM snap",
+    "screen_context": with_(SNAP) + "\nSELECT device_id, screen_width, screen_height, screen_density FROM snap",
+    "message_id": BASE + "\nSELECT device_id, seq, message_id FROM ev",
+    "event_time": with_(CALLS) + """
+SELECT device_id, seq, coalesce("timestamp", strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS event_time,
+       "timestamp" IS NOT NULL AS given
+FROM calls WHERE call IN ('track', 'identify', 'group', 'screen', 'page', 'alias')""",
+    "masked_events": BASE + """
+SELECT message_id,
+  CASE WHEN length(write_key) > 4 THEN '***' || right(write_key, 4) ELSE '***' END AS masked_write_key,
+  coalesce(substring(advertising_id_state, 1, 8) || '***', 'undefined') AS redacted_adid
+FROM ev""",
+})
