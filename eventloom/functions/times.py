@@ -45,7 +45,7 @@ def retry_after_ms(headers: Column, now: Column) -> Column:
     """TIM3: Retry-After (any letter case) in ms from ``now``; integer seconds
     or HTTP-date, both floored at 0; NULL when absent or unreadable."""
     hit = F.map_filter(headers, lambda k, v: F.lower(k) == "retry-after")
-    raw = F.element_at(F.map_values(hit), 1)
+    raw = F.try_element_at(F.map_values(hit), F.lit(1))
     trimmed = _trim_spaces(raw)
     seconds = F.when(trimmed.rlike(r"^[+-]?[0-9]{1,15}$"), trimmed.try_cast("bigint"))
     date = parse_http_date(raw, now)

@@ -239,3 +239,126 @@ def masked_events(spark, d):
     return masked(pipeline.events(spark, d)).select(
         F.col("messageId").alias("message_id"), "masked_write_key", "redacted_adid"
     )
+
+
+# ---- settings, JSON values, message ids, Retry-After ---------------------------
+
+
+@query
+def settings_check(spark, d):
+    """SRC3: settings cleaned and checked."""
+    from eventloom.sources.settings import settings_check as check
+
+    return check(adapters.settings(spark, d))
+
+
+@query
+def props_convert(spark, d):
+    """VAL1: payload conversion outcome per call kind and name."""
+    from eventloom.operators.values import props_convert as conv
+
+    return conv(adapters.calls(spark, d))
+
+
+@query
+def props_profile(spark, d):
+    """VAL2: value kinds per call kind and key."""
+    from eventloom.operators.values import props_profile as prof
+
+    return prof(adapters.calls(spark, d))
+
+
+PROPS_SPEC = {
+    "k_int": ("$.k", "int"),
+    "value_double": ("$.value", "double"),
+    "value_int": ("$.value", "int"),
+    "flag_bool": ("$.flag", "bool"),
+    "flag_str": ("$.flag", "string"),
+    "meta_s": ("$.meta.s", "string"),
+    "tags_n": ("$.tags", "array_size"),
+    "none_is_null": ("$.none", "is_null"),
+}
+
+
+@query
+def props_columns(spark, d):
+    """VAL3: strict typed extraction of chosen keys."""
+    from eventloom.operators.values import props_columns as cols
+
+    return cols(adapters.calls(spark, d), PROPS_SPEC)
+
+
+@query
+def props_explode(spark, d):
+    """VAL5: one row per call, key and array element."""
+    from eventloom.operators.values import props_explode as ex
+
+    return ex(adapters.calls(spark, d))
+
+
+def _received(spark, d):
+    return adapters.received_messages(pipeline.events(spark, d))
+
+
+@query
+def message_id_valid(spark, d):
+    """MID2: valid and invalid received ids per write key."""
+    from eventloom.operators.messages import validity_counts
+
+    return validity_counts(_received(spark, d))
+
+
+@query
+def message_id_gap(spark, d):
+    """MID3: gap between id time and event time per device."""
+    from eventloom.operators.messages import id_time_gap
+
+    return id_time_gap(_received(spark, d))
+
+
+@query
+def retry_after_ms(spark, d):
+    """TIM3: Retry-After in ms for every attempt."""
+    from eventloom.functions.times import retry_after_ms as ra
+
+    a = adapters.attempts(spark, d)
+    return a.select("device_id", "seq", ra(F.col("headers"), F.col("attempt_ts")).alias("retry_after_ms"))
+
+
+# ---- JSON sinks ----------------------------------------------------------------
+
+
+def _event_json(spark, d):
+    from eventloom.operators.envelope import envelope, to_event_json
+
+    ev = pipeline.events(spark, d, with_context=True)
+    return ev.select("*", to_event_json(envelope(ev)).alias("json"))
+
+
+@query
+def event_json(spark, d):
+    """SNK2: event JSON; fields read back from the text."""
+    j = _event_json(spark, d)
+    g = lambda p: F.get_json_object("json", p)
+    return j.select(
+        F.col("messageId").alias("message_id"),
+        g("$.type").alias("j_type"), g("$.event").alias("j_event"), g("$.userId").alias("j_user_id"),
+        g("$.anonymousId").alias("j_anonymous_id"), g("$.groupId").alias("j_group_id"),
+        g("$.timestamp").alias("j_timestamp"), g("$.writeKey").alias("j_write_key"),
+        g("$.context.device.model").alias("j_model"), g("$.context.device.advertisingId").alias("j_adid"),
+        g("$.properties.name").alias("j_props_name"),
+        F.col("json").contains('"event":').alias("has_event_key"),
+        F.col("json").contains('"sentAt":').alias("has_sent_at_key"),
+    )
+
+
+@query
+def event_json_roundtrip(spark, d):
+    """SNK3: JSON parses back to the envelope and prints the same text."""
+    from eventloom.operators.messages import roundtrip_ok
+
+    from eventloom.operators.envelope import envelope
+
+    j = _event_json(spark, d)
+    env_schema = j.select(envelope(j).alias("e")).schema["e"].dataType
+    return j.select(F.col("messageId").alias("message_id"), roundtrip_ok("json", env_schema).alias("roundtrip_ok"))

@@ -310,3 +310,144 @@ SELECT message_id,
   coalesce(substring(advertising_id_state, 1, 8) || '***', 'undefined') AS redacted_adid
 FROM ev""",
 })
+
+
+def tag_sql(x: str) -> str:
+    """Value kind of a JSON value, same rule as the Spark side."""
+    return f"""(CASE json_type({x})
+      WHEN 'NULL' THEN 'null' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'bool'
+      WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'BIGINT' THEN 'int'
+      WHEN 'UBIGINT' THEN CASE WHEN TRY_CAST({x} AS BIGINT) IS NOT NULL THEN 'int' ELSE 'double' END
+      WHEN 'DOUBLE' THEN CASE WHEN CAST({x} AS DOUBLE) = floor(CAST({x} AS DOUBLE))
+                              AND abs(CAST({x} AS DOUBLE)) < 9.2e18 THEN 'int' ELSE 'double' END
+      WHEN 'HUGEINT' THEN 'double' END)"""
+
+
+def _int_sql(x: str) -> str:
+    return f"(CASE WHEN {tag_sql(x)} = 'int' THEN CASE WHEN json_type({x}) = 'DOUBLE' THEN CAST(CAST({x} AS DOUBLE) AS BIGINT) ELSE CAST({x} AS BIGINT) END END)"
+
+
+def _dbl_sql(x: str) -> str:
+    return f"(CASE WHEN {tag_sql(x)} IN ('int', 'double') THEN CAST({x} AS DOUBLE) END)"
+
+
+SAFE_P = "(CASE WHEN json_valid(payload_json) THEN payload_json END)"
+
+PAYLOADS = f"""
+pv AS (
+  SELECT device_id, seq, call, name, payload_json,
+         CASE WHEN json_type({SAFE_P}) = 'OBJECT' THEN {SAFE_P} END AS p
+  FROM calls WHERE payload_json IS NOT NULL
+),
+kv AS (SELECT device_id, seq, call, p, unnest(json_keys(p)) AS key FROM pv WHERE p IS NOT NULL),
+vals AS (SELECT device_id, seq, call, key, json_extract(p, '$."' || key || '"') AS v FROM kv)"""
+
+RECEIVED = """
+recv AS (
+  SELECT write_key, device_id, seq, event_time,
+    CASE seq % 17
+      WHEN 0 THEN regexp_replace(message_id, '-([0-9A-F]{12})$', '\\1')
+      WHEN 1 THEN 'x' || message_id
+      WHEN 2 THEN '+' || message_id
+      WHEN 3 THEN ' ' || message_id
+      WHEN 4 THEN substring(message_id, 1, length(message_id) - 1)
+      WHEN 5 THEN lower(message_id)
+      ELSE message_id END AS mid
+  FROM ev
+),
+recv2 AS (
+  SELECT *,
+    CASE WHEN regexp_full_match(split_part(mid, '-', 1), '[+-]?[0-9]{1,19}') THEN TRY_CAST(split_part(mid, '-', 1) AS BIGINT) END AS id_ms
+  FROM recv
+),
+recv3 AS (
+  SELECT *,
+    coalesce(regexp_full_match(mid, '[+]?[0-9]+-[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}')
+             AND id_ms IS NOT NULL, false) AS valid
+  FROM recv2
+)"""
+
+_x = "json_extract(p, '{path}')"
+ORACLE.update({
+    "settings_check": """
+WITH st AS (
+  SELECT CASE WHEN c_custkey % 17 = 16 THEN '' ELSE 'wk-' || CAST(c_custkey AS VARCHAR) END AS write_key,
+    CASE c_custkey % 6 WHEN 0 THEN 'https://in.example.com/' WHEN 1 THEN '  https://in.example.com  '
+      WHEN 2 THEN 'https://in.example.com/collect' WHEN 3 THEN 'in.example.com'
+      WHEN 4 THEN 'https://in.example.com//' ELSE chr(10) || 'https://in.example.com' || chr(10) END AS ingestion_host,
+    (c_custkey % 3) * 5 AS flush_interval_seconds, (c_custkey % 5) * 500 AS max_queue_events
+  FROM customer
+),
+sc AS (SELECT *, regexp_replace(trim(ingestion_host, ' ' || chr(9) || chr(10) || chr(13)), '/$', '') AS host_clean FROM st),
+sd AS (
+  SELECT *, CASE WHEN NOT regexp_matches(host_clean, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN 'invalid host'
+                 WHEN length(write_key) = 0 THEN 'empty write key'
+                 WHEN ends_with(host_clean, '/') THEN 'host ends with slash' END AS reason
+  FROM sc
+)
+SELECT write_key, host_clean, CAST(greatest(1, flush_interval_seconds) AS BIGINT) AS flush_interval_seconds,
+       CAST(greatest(1, max_queue_events) AS BIGINT) AS max_queue_events, reason IS NULL AS valid, reason FROM sd""",
+    "props_convert": with_(CALLS, PAYLOADS) + """
+SELECT call, name, count(*) AS n, count(p) AS n_ok, count(*) - count(p) AS n_bad FROM pv GROUP BY call, name""",
+    "props_profile": with_(CALLS, PAYLOADS) + f"""
+SELECT call, key, {tag_sql('v')} AS tag, count(*) AS n FROM vals GROUP BY ALL""",
+    "props_columns": with_(CALLS, PAYLOADS) + f"""
+SELECT device_id, seq,
+  {_int_sql(_x.format(path='$.k'))} AS k_int,
+  {_dbl_sql(_x.format(path='$.value'))} AS value_double,
+  {_int_sql(_x.format(path='$.value'))} AS value_int,
+  CASE WHEN {tag_sql(_x.format(path='$.flag'))} = 'bool' THEN CAST({_x.format(path='$.flag')} AS BOOLEAN) END AS flag_bool,
+  CASE WHEN {tag_sql(_x.format(path='$.flag'))} = 'string' THEN p ->> '$.flag' END AS flag_str,
+  CASE WHEN {tag_sql(_x.format(path='$.meta.s'))} = 'string' THEN p ->> '$.meta.s' END AS meta_s,
+  CASE WHEN {tag_sql(_x.format(path='$.tags'))} = 'array' THEN CAST(json_array_length({_x.format(path='$.tags')}) AS BIGINT) END AS tags_n,
+  coalesce({tag_sql(_x.format(path='$.none'))} = 'null', false) AS none_is_null
+FROM pv""",
+    "props_explode": with_(CALLS, PAYLOADS) + f""",
+arr AS (
+  SELECT device_id, seq, key, v, unnest(range(CAST(json_array_length(v) AS BIGINT))) AS i
+  FROM vals WHERE json_type(v) = 'ARRAY' AND json_array_length(v) > 0
+),
+elems AS (
+  SELECT device_id, seq, key, NULL::BIGINT AS pos, v FROM vals
+  WHERE json_type(v) <> 'ARRAY' OR json_array_length(v) = 0
+  UNION ALL
+  SELECT device_id, seq, key, i AS pos, json_extract(v, '$[' || CAST(i AS VARCHAR) || ']') AS v FROM arr
+)
+SELECT device_id, seq, key, pos, {tag_sql('v')} AS tag,
+  CASE WHEN {tag_sql('v')} = 'string' THEN v ->> '$' END AS str_val,
+  {_dbl_sql('v')} AS num_val,
+  CASE WHEN {tag_sql('v')} = 'bool' THEN CAST(v AS BOOLEAN) END AS bool_val
+FROM elems""",
+    "message_id_valid": BASE + "," + RECEIVED + """
+SELECT write_key, count(*) FILTER (WHERE valid) AS n_valid, count(*) FILTER (WHERE NOT valid) AS n_invalid
+FROM recv3 GROUP BY write_key""",
+    "message_id_gap": BASE + "," + RECEIVED + """,
+gaps AS (SELECT *, id_ms - epoch_ms(try_strptime(event_time, '%Y-%m-%dT%H:%M:%SZ')) AS gap FROM recv3)
+SELECT device_id, count(*) AS n, count(*) FILTER (WHERE id_ms IS NULL) AS n_unparsable,
+       max(gap) AS max_gap_ms, min(gap) AS min_gap_ms
+FROM gaps GROUP BY device_id""",
+    "retry_after_ms": with_(ATTEMPTS) + """,
+ra AS (
+  SELECT device_id, seq, attempt_ts, retry_after,
+    trim(retry_after, ' ' || chr(9)) AS tr,
+    regexp_replace(regexp_replace(regexp_replace(retry_after, '^[A-Za-z]+,? +', ''), ' {2,}', ' ', 'g'), ' (GMT|UTC)$', '') AS hd
+  FROM attempts
+),
+rb AS (
+  SELECT *, CASE WHEN regexp_full_match(tr, '[+-]?[0-9]{1,15}') THEN CAST(tr AS BIGINT) END AS secs,
+    try_strptime(hd, ['%d %b %Y %H:%M:%S', '%d-%b-%y %H:%M:%S', '%b %d %H:%M:%S %Y']) AS d0
+  FROM ra
+),
+rc AS (SELECT *, CASE WHEN year(d0) > year(attempt_ts) + 50 THEN d0 - INTERVAL 100 YEAR ELSE d0 END AS d FROM rb)
+SELECT device_id, seq, CAST(CASE WHEN secs IS NOT NULL THEN greatest(0, secs * 1000)
+  WHEN d IS NOT NULL THEN greatest(0, epoch_ms(d) - epoch_ms(attempt_ts)) END AS BIGINT) AS retry_after_ms
+FROM rc""",
+    "event_json": BASE_ALL + """
+SELECT e.message_id, e.type AS j_type, e.event AS j_event, e.ev_user_id AS j_user_id, e.anonymous_id AS j_anonymous_id,
+  e.group_state AS j_group_id, e.event_time AS j_timestamp, e.write_key AS j_write_key, s.device_model AS j_model,
+  CASE WHEN s.device_id IS NOT NULL THEN e.advertising_id_state END AS j_adid,
+  CASE WHEN e.type IN ('screen', 'page') THEN e.name END AS j_props_name,
+  e.event IS NOT NULL AS has_event_key, false AS has_sent_at_key
+FROM ev e LEFT JOIN snap s ON e.device_id = s.device_id""",
+    "event_json_roundtrip": BASE + "\nSELECT message_id, true AS roundtrip_ok FROM ev",
+})

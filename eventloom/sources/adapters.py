@@ -232,3 +232,24 @@ def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((ck % 5) * 500).alias("max_queue_events"),
         (ck % 4 == 0).alias("debug"),
     )
+
+
+def received_messages(events: DataFrame) -> DataFrame:
+    """Events as a collector received them, with some ids damaged in transit.
+
+    Rule on ``seq % 17``: 0 drops the last dash, 1 prefixes ``x``, 2 prefixes
+    ``+`` (still valid), 3 prefixes a space, 4 cuts the last character,
+    5 lower-cases the id (still valid); other rows are unchanged.
+    """
+    mid = F.col("messageId")
+    r = F.col("seq") % 17
+    damaged = (
+        F.when(r == 0, F.regexp_replace(mid, "-([0-9A-F]{12})$", "$1"))
+        .when(r == 1, F.concat(F.lit("x"), mid))
+        .when(r == 2, F.concat(F.lit("+"), mid))
+        .when(r == 3, F.concat(F.lit(" "), mid))
+        .when(r == 4, F.expr("substring(messageId, 1, length(messageId) - 1)"))
+        .when(r == 5, F.lower(mid))
+        .otherwise(mid)
+    )
+    return events.select("write_key", "device_id", "seq", damaged.alias("message_id"), F.col("timestamp").alias("event_time"))
