@@ -362,3 +362,220 @@ def event_json_roundtrip(spark, d):
     j = _event_json(spark, d)
     env_schema = j.select(envelope(j).alias("e")).schema["e"].dataType
     return j.select(F.col("messageId").alias("message_id"), roundtrip_ok("json", env_schema).alias("roundtrip_ok"))
+
+
+# ---- buffering and batching -------------------------------------------------------
+
+#: Registered batch reports use a shared job keyed by write key with weekly
+#: flush windows (the per-device 10 s default gives one-event batches on the
+#: sparse test data).
+BATCH_KEY = "write_key"
+BATCH_INTERVAL = "7 days"
+QUEUE_N = 25
+FRONT_N = 10
+REQUEUE_CAPACITY = 40
+
+
+def _batched(spark, d, events=None):
+    from eventloom.operators.batching import batch_assign as ba
+
+    ev = events if events is not None else pipeline.light_events(spark, d)
+    return ba(ev, key=BATCH_KEY, interval=BATCH_INTERVAL)
+
+
+@query
+def keep_newest(spark, d):
+    """BUF1: newest 25 events per device (drop oldest)."""
+    from eventloom.operators.batching import keep_newest as kn
+
+    return kn(pipeline.light_events(spark, d), QUEUE_N).select("device_id", "seq")
+
+
+@query
+def keep_first(spark, d):
+    """BUF2: first 25 events per device (drop newest)."""
+    from eventloom.operators.batching import keep_first as kf
+
+    return kf(pipeline.light_events(spark, d), QUEUE_N).select("device_id", "seq")
+
+
+@query
+def prebind_replay(spark, d):
+    """BUF3: last 20 calls before the first initialize, replayed in order."""
+    from eventloom.operators.batching import prebind_replay as pr
+
+    return pr(adapters.calls(spark, d)).select("device_id", "seq", "call", "replay_pos")
+
+
+@query
+def batch_assign(spark, d):
+    """BUF4: FIFO batches of at most 100 per write key and flush window."""
+    b = _batched(spark, d)
+    return b.select(
+        F.col("messageId").alias("message_id"), "write_key", "device_id", "seq",
+        F.unix_seconds("flush_start").alias("flush_start_s"), "batch_no", "batch_pos", "batch_id",
+    )
+
+
+@query
+def drain_front(spark, d):
+    """BUF5: first 10 queued events per device."""
+    from eventloom.operators.batching import keep_first as kf
+
+    return kf(pipeline.light_events(spark, d), FRONT_N).select("device_id", "seq")
+
+
+@query
+def drop_front(spark, d):
+    """BUF5: all but the first 10 queued events per device."""
+    from eventloom.operators.batching import drop_front as df_
+
+    return df_(pipeline.light_events(spark, d), FRONT_N).select("device_id", "seq")
+
+
+def _acked(b):
+    return F.col("batch_no") % 3 != 0
+
+
+@query
+def requeue_merge(spark, d):
+    """BUF6: failed (unacknowledged) events ahead of new ones, capacity 40."""
+    from eventloom.operators.batching import requeue_merge as rm
+
+    b = _batched(spark, d)
+    failed = b.filter(~_acked(b)).select("device_id", "seq")
+    new = b.filter(_acked(b)).select("device_id", "seq")
+    return rm(failed, new, REQUEUE_CAPACITY).select("device_id", "seq", "is_new", "queue_pos")
+
+
+@query
+def size_batches(spark, d):
+    """BUF7: batch size per device under a 4000-byte body limit (no SQL oracle:
+    the byte sizes come from Spark's JSON writer)."""
+    from eventloom.operators.batching import size_batches as sb
+    from eventloom.operators.envelope import envelope, to_event_json
+
+    ev = pipeline.events(spark, d, with_context=True)
+    sized = ev.select("device_id", "seq", F.octet_length(to_event_json(envelope(ev))).alias("bytes"))
+    ok, quarantined = sb(sized, 4000)
+    return ok.select("device_id", "seq", "bytes", "batch_size", "batch_no").unionByName(
+        quarantined.select("device_id", "seq", "bytes", F.lit(None).cast("int").alias("batch_size"), F.lit(None).cast("bigint").alias("batch_no"))
+    )
+
+
+@query
+def flush_windows(spark, d):
+    """BUF8: events per device and 10-second flush window, requests needed."""
+    from eventloom.operators.batching import flush_windows as fw
+
+    return fw(pipeline.light_events(spark, d))
+
+
+@query
+def count_windows(spark, d):
+    """BUF9: groups of 20 waiting events per device."""
+    from eventloom.operators.batching import count_windows as cw
+
+    return cw(pipeline.light_events(spark, d))
+
+
+@query
+def sent_at(spark, d):
+    """TIM2: one sentAt per batch."""
+    from eventloom.operators.batching import batch_summary
+
+    return batch_summary(_batched(spark, d))
+
+
+@query
+def batch_bodies(spark, d):
+    """SNK1: request bodies; count, first/last id and sentAt read back from the JSON."""
+    from eventloom.operators.batching import batch_bodies as bb
+    from eventloom.operators.envelope import envelope
+
+    ev = pipeline.events(spark, d, with_context=True)
+    b = _batched(spark, d, ev)
+    bodies = bb(b, envelope(b))
+    return bodies.select(
+        "batch_id", "n_events",
+        F.json_array_length(F.get_json_object("body", "$.batch")).cast("bigint").alias("body_n"),
+        F.get_json_object("body", "$.batch[0].messageId").alias("first_id"),
+        F.expr("get_json_object(body, concat('$.batch[', n_events - 1, '].messageId'))").alias("last_id"),
+        F.get_json_object("body", "$.batch[0].sentAt").alias("body_sent_at"),
+    )
+
+
+# ---- delivery log -------------------------------------------------------------------
+
+
+@query
+def delivery_actions(spark, d):
+    """DLV1: attempts and events per client and action."""
+    from eventloom.operators.delivery import delivery_actions as da
+
+    return da(adapters.attempts(spark, d))
+
+
+@query
+def retry_delay(spark, d):
+    """DLV2: retry delay scheduled after each attempt."""
+    from eventloom.operators.delivery import retry_delay as rd
+
+    return rd(adapters.attempts(spark, d)).select("device_id", "seq", "status", "retry_delay_ms")
+
+
+@query
+def fatal_clients(spark, d):
+    """DLV3: clients disabled by a fatal answer."""
+    from eventloom.operators.delivery import fatal_clients as fc
+
+    return fc(adapters.attempts(spark, d))
+
+
+@query
+def batch_size_asof(spark, d):
+    """DLV4: batch size in force at every attempt and the resulting action."""
+    from eventloom.operators.delivery import with_actions
+
+    return with_actions(adapters.attempts(spark, d)).select("device_id", "seq", "status", "size_in_force", "action")
+
+
+@query
+def breaker_trips(spark, d):
+    """DLV5: circuit-breaker trips replayed from the log."""
+    from eventloom.operators.delivery import breaker
+
+    return breaker(adapters.attempts(spark, d)).select(
+        "device_id", "seq", "status", "outcome", "streak", "trip", "trip_no", "cooldown_min_ms", "cooldown_max_ms", "breaker_state"
+    )
+
+
+def _pending(spark, d):
+    from eventloom.operators.delivery import undelivered as und
+
+    b = _batched(spark, d)
+    acked = b.filter(_acked(b)).select("messageId")
+    return und(b, acked)
+
+
+@query
+def undelivered(spark, d):
+    """DLV6: events never acknowledged, in queue order per device."""
+    return _pending(spark, d).select("device_id", "seq", F.col("messageId").alias("message_id"), "queue_pos")
+
+
+@query
+def pipeline_status(spark, d):
+    """DLV7: status report per write key."""
+    from eventloom.operators.delivery import breaker, pipeline_status as ps
+    from eventloom.operators.identity import identity_snapshot as snap
+    from eventloom.sources.settings import settings_check as check
+
+    calls = adapters.calls(spark, d)
+    return ps(
+        calls,
+        _pending(spark, d),
+        snap(pipeline.identity(spark, d)),
+        breaker(adapters.attempts(spark, d)),
+        check(adapters.settings(spark, d)),
+    )

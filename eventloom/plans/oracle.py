@@ -451,3 +451,157 @@ SELECT e.message_id, e.type AS j_type, e.event AS j_event, e.ev_user_id AS j_use
 FROM ev e LEFT JOIN snap s ON e.device_id = s.device_id""",
     "event_json_roundtrip": BASE + "\nSELECT message_id, true AS roundtrip_ok FROM ev",
 })
+
+W_UNB = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+BATCHES = """
+bat0 AS (SELECT *, epoch_us(ts) // 604800000000 * 604800 AS flush_start_s FROM ev),
+bat AS (
+  SELECT *, (rn - 1) // 100 AS batch_no, (rn - 1) % 100 AS batch_pos,
+         write_key || ':' || CAST(flush_start_s AS VARCHAR) || ':' || CAST((rn - 1) // 100 AS VARCHAR) AS batch_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY write_key, flush_start_s ORDER BY seq) AS rn FROM bat0)
+)"""
+
+RETRY_AFTER = """
+ra AS (
+  SELECT device_id, seq, attempt_ts, retry_after,
+    trim(retry_after, ' ' || chr(9)) AS tr,
+    regexp_replace(regexp_replace(regexp_replace(retry_after, '^[A-Za-z]+,? +', ''), ' {2,}', ' ', 'g'), ' (GMT|UTC)$', '') AS hd
+  FROM attempts
+),
+rb AS (
+  SELECT *, CASE WHEN regexp_full_match(tr, '[+-]?[0-9]{1,15}') THEN CAST(tr AS BIGINT) END AS secs,
+    try_strptime(hd, ['%d %b %Y %H:%M:%S', '%d-%b-%y %H:%M:%S', '%b %d %H:%M:%S %Y']) AS d0
+  FROM ra
+),
+rc AS (SELECT *, CASE WHEN year(d0) > year(attempt_ts) + 50 THEN d0 - INTERVAL 100 YEAR ELSE d0 END AS d FROM rb),
+rtim AS (
+  SELECT device_id, seq, CAST(CASE WHEN secs IS NOT NULL THEN greatest(0, secs * 1000)
+    WHEN d IS NOT NULL THEN greatest(0, epoch_ms(d) - epoch_ms(attempt_ts)) END AS BIGINT) AS retry_after_ms
+  FROM rc
+)"""
+
+ORACLE["retry_after_ms"] = with_(ATTEMPTS, RETRY_AFTER) + "\nSELECT device_id, seq, retry_after_ms FROM rtim"
+
+BREAKER = f"""
+dl0 AS (
+  SELECT *,
+    CASE WHEN status IS NULL THEN 'failure' WHEN status BETWEEN 200 AND 299 THEN 'success'
+         WHEN status BETWEEN 500 AND 599 OR status IN (408, 429) THEN 'failure'
+         WHEN status IN (401, 403, 404) THEN 'fatal' ELSE 'nonretry' END AS outcome,
+    greatest(1, 100 >> CAST(least(coalesce(sum(CASE WHEN status = 413 THEN 1 ELSE 0 END) OVER
+      (PARTITION BY device_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 30) AS INTEGER)) AS size_in_force
+  FROM attempts
+),
+dl1 AS (
+  SELECT *, CASE WHEN status IS NULL THEN 'requeue' WHEN status BETWEEN 200 AND 299 THEN 'delivered'
+    WHEN status BETWEEN 500 AND 599 OR status IN (408, 429) THEN 'requeue'
+    WHEN status = 413 AND size_in_force > 1 THEN 'halve_requeue' WHEN status = 413 THEN 'drop'
+    WHEN status IN (401, 403, 404) THEN 'disable' ELSE 'drop' END AS action,
+    sum(CASE WHEN outcome IN ('success', 'nonretry') THEN 1 ELSE 0 END) OVER (PARTITION BY device_id ORDER BY seq {W_UNB}) AS brk
+  FROM dl0
+),
+dl2 AS (
+  SELECT *, CAST(sum(CASE WHEN outcome = 'failure' THEN 1 ELSE 0 END) OVER (PARTITION BY device_id, brk ORDER BY seq {W_UNB}) AS BIGINT) AS streak
+  FROM dl1
+),
+dl3 AS (
+  SELECT *, coalesce(last_value(CASE WHEN outcome = 'success' THEN 0 WHEN outcome = 'failure' AND streak >= 3 THEN 1 END IGNORE NULLS)
+    OVER (PARTITION BY device_id ORDER BY seq {W_UNB}), 0) = 1 AS is_open
+  FROM dl2
+),
+dl4 AS (SELECT *, outcome = 'failure' AND is_open AS trip FROM dl3),
+dl5 AS (
+  SELECT *, CAST(sum(CASE WHEN trip THEN 1 ELSE 0 END) OVER (PARTITION BY device_id ORDER BY seq {W_UNB}) AS BIGINT) AS trip_no
+  FROM dl4
+),
+brk AS (
+  SELECT *,
+    CASE WHEN trip THEN least(120000, CAST(10000 AS BIGINT) << CAST(least(trip_no - 1, 30) AS INTEGER)) END AS cooldown_ms,
+    CASE WHEN is_open THEN 'open' ELSE 'closed' END AS breaker_state
+  FROM dl5
+)"""
+
+PENDING = """
+pend0 AS (SELECT * FROM bat WHERE batch_no % 3 = 0),
+pending AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY seq) AS queue_pos FROM pend0)"""
+
+SETTINGS_CHECKED = ORACLE["settings_check"].replace("WITH st AS", "st AS").split("\nSELECT write_key, host_clean")[0]
+SETTINGS_CHECKED += """,
+settings_ok AS (
+  SELECT write_key, host_clean, CAST(greatest(1, flush_interval_seconds) AS BIGINT) AS flush_interval_seconds,
+         CAST(greatest(1, max_queue_events) AS BIGINT) AS max_queue_events, reason IS NULL AS settings_valid FROM sd
+)"""
+
+ORACLE.update({
+    "keep_newest": BASE + "\nSELECT device_id, seq FROM ev QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY seq DESC) <= 25",
+    "keep_first": BASE + "\nSELECT device_id, seq FROM ev QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY seq) <= 25",
+    "drain_front": BASE + "\nSELECT device_id, seq FROM ev QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY seq) <= 10",
+    "drop_front": BASE + "\nSELECT device_id, seq FROM ev QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY seq) > 10",
+    "prebind_replay": with_(CALLS) + """,
+fi AS (SELECT device_id, min(seq) AS first_init FROM calls WHERE call = 'initialize' GROUP BY device_id),
+pb AS (
+  SELECT c.device_id, c.seq, c.call FROM calls c JOIN fi ON c.device_id = fi.device_id WHERE c.seq < fi.first_init
+  QUALIFY row_number() OVER (PARTITION BY c.device_id ORDER BY c.seq DESC) <= 20
+)
+SELECT device_id, seq, call, row_number() OVER (PARTITION BY device_id ORDER BY seq) AS replay_pos FROM pb""",
+    "batch_assign": BASE + "," + BATCHES + """
+SELECT message_id, write_key, device_id, seq, flush_start_s, batch_no, batch_pos, batch_id FROM bat""",
+    "requeue_merge": BASE + "," + BATCHES + """,
+rq AS (
+  SELECT device_id, seq, batch_no % 3 <> 0 AS is_new,
+         row_number() OVER (PARTITION BY device_id ORDER BY batch_no % 3 <> 0, seq) AS queue_pos
+  FROM bat
+)
+SELECT device_id, seq, is_new, queue_pos FROM rq WHERE queue_pos <= 40""",
+    "flush_windows": BASE + """
+SELECT device_id, epoch_us(ts) // 10000000 * 10 AS window_start_s, count(*) AS n, CAST(ceil(count(*) / 100) AS BIGINT) AS n_batches
+FROM ev GROUP BY device_id, epoch_us(ts) // 10000000 * 10""",
+    "count_windows": BASE + """
+SELECT device_id, (rn - 1) // 20 AS group_no, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS size
+FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY seq) AS rn FROM ev)
+GROUP BY device_id, (rn - 1) // 20""",
+    "sent_at": BASE + "," + BATCHES + """
+SELECT batch_id, count(*) AS n_events, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS sent_at FROM bat GROUP BY batch_id""",
+    "batch_bodies": BASE + "," + BATCHES + """
+SELECT batch_id, count(*) AS n_events, count(*) AS body_n, arg_min(message_id, batch_pos) AS first_id,
+       arg_max(message_id, batch_pos) AS last_id, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS body_sent_at
+FROM bat GROUP BY batch_id""",
+    "delivery_actions": with_(ATTEMPTS, BREAKER) + """
+SELECT device_id, action, count(*) AS n, CAST(sum(batch_size) AS BIGINT) AS events FROM brk GROUP BY device_id, action""",
+    "retry_delay": with_(ATTEMPTS, RETRY_AFTER, BREAKER) + """
+SELECT b.device_id, b.seq, b.status, CAST(CASE
+    WHEN b.status IS NULL THEN coalesce(b.cooldown_ms, 0)
+    WHEN b.status BETWEEN 500 AND 599 OR b.status = 408 THEN greatest(100, coalesce(r.retry_after_ms, coalesce(b.cooldown_ms, 0)))
+    WHEN b.status = 429 THEN greatest(1000, coalesce(r.retry_after_ms, 0), coalesce(b.cooldown_ms, 0))
+    WHEN b.status = 413 AND b.size_in_force > 1 THEN 0 END AS BIGINT) AS retry_delay_ms
+FROM brk b JOIN rtim r ON b.device_id = r.device_id AND b.seq = r.seq""",
+    "fatal_clients": with_(ATTEMPTS) + """
+SELECT write_key, device_id, min(seq) AS first_fatal_seq, arg_min(status, seq) AS first_fatal_status,
+       arg_min(epoch_us(attempt_ts), seq) AS first_fatal_ts_us, count(*) AS n_fatal
+FROM attempts WHERE status IN (401, 403, 404) GROUP BY write_key, device_id""",
+    "batch_size_asof": with_(ATTEMPTS, BREAKER) + "\nSELECT device_id, seq, status, size_in_force, action FROM brk",
+    "breaker_trips": with_(ATTEMPTS, BREAKER) + """
+SELECT device_id, seq, status, outcome, streak, trip, trip_no,
+  CAST(cooldown_ms - floor(cooldown_ms * 0.2) AS BIGINT) AS cooldown_min_ms,
+  CAST(cooldown_ms + floor(cooldown_ms * 0.2) AS BIGINT) AS cooldown_max_ms, breaker_state
+FROM brk""",
+    "undelivered": BASE + "," + BATCHES + "," + PENDING + """
+SELECT device_id, seq, message_id, queue_pos FROM pending""",
+    "pipeline_status": with_(CALLS, IDENTITY, EVENTS, ATTEMPTS, BREAKER) + "," + BATCHES + "," + PENDING + "," + SETTINGS_CHECKED + """,
+wk AS (SELECT DISTINCT write_key FROM calls),
+q AS (SELECT write_key, count(*) AS queue_length FROM pending GROUP BY write_key),
+snapx AS (
+  SELECT write_key, device_id, user_state FROM ident
+  QUALIFY row_number() OVER (PARTITION BY write_key, device_id ORDER BY seq DESC) = 1
+),
+ids AS (SELECT write_key, count(*) AS n_devices, count(user_state) AS n_identified FROM snapx GROUP BY write_key),
+ls AS (SELECT write_key, device_id, arg_max(breaker_state, seq) AS state FROM brk GROUP BY write_key, device_id),
+bo AS (SELECT write_key, count(*) FILTER (WHERE state = 'open') AS n_open_breakers FROM ls GROUP BY write_key)
+SELECT wk.write_key, CASE WHEN length(wk.write_key) > 4 THEN '***' || right(wk.write_key, 4) ELSE '***' END AS masked_key,
+  coalesce(q.queue_length, 0) AS queue_length, coalesce(ids.n_devices, 0) AS n_devices,
+  coalesce(ids.n_identified, 0) AS n_identified, coalesce(bo.n_open_breakers, 0) AS n_open_breakers,
+  s.host_clean, s.flush_interval_seconds, s.max_queue_events, s.settings_valid
+FROM wk LEFT JOIN q ON wk.write_key = q.write_key LEFT JOIN ids ON wk.write_key = ids.write_key
+LEFT JOIN bo ON wk.write_key = bo.write_key LEFT JOIN settings_ok s ON wk.write_key = s.write_key""",
+})

@@ -32,3 +32,18 @@ def events(spark: SparkSession, sf_dir: str, *, with_context: bool = False, **kw
     if with_context:
         ev = attach_context(ev, device_contexts(adapters.device_snapshots(spark, sf_dir)))
     return ev
+
+
+def light_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows with their message id but without identity state, for jobs
+    that only need queue order (batching, windows)."""
+    from pyspark.sql import functions as F
+
+    from eventloom.functions.ids import message_id
+    from eventloom.operators.envelope import emits_event
+
+    c = adapters.calls(spark, sf_dir).filter(emits_event(F.col("call")))
+    return c.select(
+        "write_key", "device_id", "seq", "ts", F.col("call").alias("type"),
+        message_id(F.col("ts"), F.col("device_id"), F.col("seq")).alias("messageId"),
+    )
