@@ -579,3 +579,46 @@ def pipeline_status(spark, d):
         breaker(adapters.attempts(spark, d)),
         check(adapters.settings(spark, d)),
     )
+
+
+# ---- repeated deliveries and journeys --------------------------------------------------
+
+
+def _received_copies(spark, d):
+    """Every batch member as received, plus a second copy 30 s later for the
+    batches whose answer was lost (``batch_no % 3 = 0``)."""
+    from pyspark.sql import Window
+
+    b = _batched(spark, d)
+    b = b.withColumn("sent_ts", F.max("ts").over(Window.partitionBy("batch_id")))
+    first = b.select(F.col("messageId").alias("message_id"), "device_id", "seq", "sent_ts")
+    again = b.filter(~_acked(b)).select(
+        F.col("messageId").alias("message_id"), "device_id", "seq", (F.col("sent_ts") + F.expr("INTERVAL 30 SECONDS")).alias("sent_ts")
+    )
+    return first.unionByName(again)
+
+
+@query
+def dedup_messages(spark, d):
+    """STR4: earliest copy per message id and number of copies."""
+    from eventloom.streaming.dedup import dedup_messages as dd
+
+    r = dd(_received_copies(spark, d))
+    return r.select("message_id", "device_id", "seq", F.unix_micros("sent_ts").alias("first_sent_us"), "n_copies")
+
+
+@query
+def journeys(spark, d):
+    """XT1: person id and phase around the alias link for every event."""
+    from eventloom.operators.journeys import journeys as jn
+
+    j = jn(pipeline.events(spark, d))
+    return j.select(F.col("messageId").alias("message_id"), "person_id", "phase")
+
+
+@query
+def funnel(spark, d):
+    """XT2: anonymous → identified → converted funnel over people."""
+    from eventloom.operators.journeys import funnel as fn, journeys as jn
+
+    return fn(jn(pipeline.events(spark, d)))

@@ -605,3 +605,38 @@ SELECT wk.write_key, CASE WHEN length(wk.write_key) > 4 THEN '***' || right(wk.w
 FROM wk LEFT JOIN q ON wk.write_key = q.write_key LEFT JOIN ids ON wk.write_key = ids.write_key
 LEFT JOIN bo ON wk.write_key = bo.write_key LEFT JOIN settings_ok s ON wk.write_key = s.write_key""",
 })
+
+JOURNEYS = """
+links AS (
+  SELECT anonymous_id AS l_anon, arg_min(ev_user_id, seq) AS l_user, min(seq) AS l_seq
+  FROM ev WHERE type = 'alias' AND anonymous_id <> 'unknown' GROUP BY anonymous_id
+),
+jn AS (
+  SELECT e.*, coalesce(l.l_user, e.ev_user_id, e.anonymous_id) AS person_id,
+    CASE WHEN l.l_seq IS NULL THEN 'none' WHEN e.seq < l.l_seq THEN 'pre' ELSE 'post' END AS phase
+  FROM ev e LEFT JOIN links l ON e.anonymous_id = l.l_anon
+)"""
+
+ORACLE.update({
+    "dedup_messages": BASE + "," + BATCHES + """,
+stamped AS (SELECT *, max(ts) OVER (PARTITION BY batch_id) AS sent_ts FROM bat),
+copies AS (
+  SELECT message_id, device_id, seq, sent_ts FROM stamped
+  UNION ALL
+  SELECT message_id, device_id, seq, sent_ts + INTERVAL 30 SECOND FROM stamped WHERE batch_no % 3 = 0
+)
+SELECT message_id, arg_min(device_id, sent_ts) AS device_id, arg_min(seq, sent_ts) AS seq,
+       min(epoch_us(sent_ts)) AS first_sent_us, count(*) AS n_copies
+FROM copies GROUP BY message_id""",
+    "journeys": BASE + "," + JOURNEYS + "\nSELECT message_id, person_id, phase FROM jn",
+    "funnel": BASE + "," + JOURNEYS + """,
+per AS (
+  SELECT person_id, min(seq) AS first_seq,
+    min(CASE WHEN ev_user_id IS NOT NULL THEN seq END) AS identified_seq,
+    min(CASE WHEN type = 'track' AND event = 'purchase' THEN seq END) AS converted_seq
+  FROM jn GROUP BY person_id
+)
+SELECT count(*) AS n_people, count(identified_seq) AS n_identified, count(converted_seq) AS n_converted,
+       count(*) FILTER (WHERE converted_seq > identified_seq) AS n_converted_after_identify
+FROM per""",
+})
