@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 TAGS = ["null", "string", "int", "double", "bool", "array", "object"]
 # ----------------------------------------------------------------------------
 
-_NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
+_INTEGRAL_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
 def parse_object(text: Column) -> Column:
@@ -36,44 +36,49 @@ def value_tag(v: Column) -> Column:
     as_long = F.try_variant_get(v, "$", "bigint")
     as_double = F.try_variant_get(v, "$", "double")
     integral = as_long.isNotNull() & (as_long.cast("double") == as_double)
+    numeric = s.isin(*_INTEGRAL_TYPES, "FLOAT", "DOUBLE") | s.startswith("DECIMAL")
     return (
         F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(s == "VOID", "null")
         .when(s == "STRING", "string")
+        .when(s.isin(*_INTEGRAL_TYPES), "int")
+        .when(numeric, F.when(integral, F.lit("int")).otherwise(F.lit("double")))
         .when(s == "BOOLEAN", "bool")
+        .when(s == "VOID", "null")
         .when(s.startswith("ARRAY"), "array")
         .when(s.startswith("OBJECT"), "object")
-        .when(s.rlike(_NUMERIC) & integral, "int")
-        .when(s.rlike(_NUMERIC), "double")
     )
 
 
-def as_string(v: Column) -> Column:
-    return F.when(value_tag(v) == "string", F.try_variant_get(v, "$", "string"))
+def _tag(v: Column, tag: Column | None) -> Column:
+    return value_tag(v) if tag is None else tag
+
+
+def as_string(v: Column, tag: Column | None = None) -> Column:
+    return F.when(_tag(v, tag) == "string", F.try_variant_get(v, "$", "string"))
 
 
-def as_int(v: Column) -> Column:
-    return F.when(value_tag(v) == "int", F.try_variant_get(v, "$", "bigint"))
+def as_int(v: Column, tag: Column | None = None) -> Column:
+    return F.when(_tag(v, tag) == "int", F.try_variant_get(v, "$", "bigint"))
 
 
-def as_double(v: Column) -> Column:
-    return F.when(value_tag(v).isin("int", "double"), F.try_variant_get(v, "$", "double"))
+def as_double(v: Column, tag: Column | None = None) -> Column:
+    return F.when(_tag(v, tag).isin("int", "double"), F.try_variant_get(v, "$", "double"))
 
 
-def as_bool(v: Column) -> Column:
-    return F.when(value_tag(v) == "bool", F.try_variant_get(v, "$", "boolean"))
+def as_bool(v: Column, tag: Column | None = None) -> Column:
+    return F.when(_tag(v, tag) == "bool", F.try_variant_get(v, "$", "boolean"))
 
 
-def as_array(v: Column) -> Column:
-    return F.when(value_tag(v) == "array", F.try_variant_get(v, "$", "array<variant>"))
+def as_array(v: Column, tag: Column | None = None) -> Column:
+    return F.when(_tag(v, tag) == "array", F.try_variant_get(v, "$", "array<variant>"))
 
 
-def as_object(v: Column) -> Column:
-    return F.when(value_tag(v) == "object", F.try_variant_get(v, "$", "map<string,variant>"))
+def as_object(v: Column, tag: Column | None = None) -> Column:
+    return F.when(_tag(v, tag) == "object", F.try_variant_get(v, "$", "map<string,variant>"))
 
 
-def is_null_value(v: Column) -> Column:
-    return F.coalesce(value_tag(v) == "null", F.lit(False))
+def is_null_value(v: Column, tag: Column | None = None) -> Column:
+    return F.coalesce(_tag(v, tag) == "null", F.lit(False))
 
 
 def str_variant(c: Column) -> Column:

@@ -49,15 +49,13 @@ def identity_asof(calls: DataFrame, *, width: int = DEFAULT_WIDTH, with_adid: bo
         total={"epoch": is_reset.cast("bigint")},
         width=width,
     )
-    ident = (
-        ident.withColumn("initialized", F.coalesce(F.col("__m"), F.lit(True)))
-        .withColumn("user_state", F.col("__u.v"))
-        .withColumn("group_state", F.col("__g.v"))
-        .withColumn(
-            "anonymous_id",
-            F.when(F.col("initialized"), anonymous_id(F.col("device_id"), F.col("epoch"))).otherwise(F.lit("unknown")),
-        )
-        .drop("__u", "__g", "__m")
+    initialized = F.coalesce(F.col("__m"), F.lit(True))
+    ident = ident.select(
+        *[c for c in ident.columns if c not in ("__u", "__g", "__m")],
+        initialized.alias("initialized"),
+        F.col("__u.v").alias("user_state"),
+        F.col("__g.v").alias("group_state"),
+        F.when(initialized, anonymous_id(F.col("device_id"), F.col("epoch"))).otherwise(F.lit("unknown")).alias("anonymous_id"),
     )
     if not with_adid:
         return ident
@@ -71,10 +69,10 @@ def identity_asof(calls: DataFrame, *, width: int = DEFAULT_WIDTH, with_adid: bo
         .when(ready & (call == "clearAdvertisingId"), F.struct(F.lit(None).cast("string").alias("v"), F.lit("withdrawn").alias("c")))
     )
     ident = running(ident, "device_id", "seq", last={"__a": change}, width=width)
-    return (
-        ident.withColumn("advertising_id_state", F.col("__a.v"))
-        .withColumn("consent_state", F.coalesce(F.col("__a.c"), F.lit("unknown")))
-        .drop("__a")
+    return ident.select(
+        *[c for c in ident.columns if c != "__a"],
+        F.col("__a.v").alias("advertising_id_state"),
+        F.coalesce(F.col("__a.c"), F.lit("unknown")).alias("consent_state"),
     )
 
 

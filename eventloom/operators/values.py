@@ -50,30 +50,36 @@ def props_columns(calls: DataFrame, spec: dict[str, tuple[str, str]]) -> DataFra
     """VAL3: typed columns from chosen paths with strict accessors.
 
     ``spec`` maps an output column to ``(path, kind)`` with kind one of
-    ``string int double bool array_size is_null``.
+    ``string int double bool array_size is_null``. The payload is parsed once;
+    each path is extracted once and tagged once (staged projections).
     """
     v = F.try_parse_json(F.col("payload_json"))
-    obj = parse_object(F.col("payload_json")).isNotNull()
+    base = calls.filter(F.col("payload_json").isNotNull()).select("device_id", "seq", v.alias("__v"))
+    base = base.select("device_id", "seq", F.when(F.schema_of_variant("__v").startswith("OBJECT"), F.col("__v")).alias("__v"))
+    paths = sorted({p for p, _ in spec.values()})
+    xs = base.select("device_id", "seq", *[F.try_variant_get("__v", p, "variant").alias(f"__x{i}") for i, p in enumerate(paths)])
+    tagged = xs.select("*", *[value_tag(F.col(f"__x{i}")).alias(f"__t{i}") for i in range(len(paths))])
     cols = []
     for name, (path, kind) in spec.items():
-        x = F.when(obj, F.try_variant_get(v, path, "variant"))
+        i = paths.index(path)
+        x, t = F.col(f"__x{i}"), F.col(f"__t{i}")
         if kind == "string":
-            c = as_string(x)
+            c = as_string(x, t)
         elif kind == "int":
-            c = as_int(x)
+            c = as_int(x, t)
         elif kind == "double":
-            c = as_double(x)
+            c = as_double(x, t)
         elif kind == "bool":
-            c = as_bool(x)
+            c = as_bool(x, t)
         elif kind == "array_size":
-            arr = as_array(x)
+            arr = as_array(x, t)
             c = F.when(arr.isNotNull(), F.size(arr).cast("bigint"))
         elif kind == "is_null":
-            c = is_null_value(x)
+            c = is_null_value(x, t)
         else:
             raise ValueError(kind)
         cols.append(c.alias(name))
-    return calls.filter(F.col("payload_json").isNotNull()).select("device_id", "seq", *cols)
+    return tagged.select("device_id", "seq", *cols)
 
 
 def props_explode(calls: DataFrame) -> DataFrame:
@@ -83,12 +89,14 @@ def props_explode(calls: DataFrame) -> DataFrame:
     arrays) give one row with ``pos`` NULL.
     """
     e = _entries(calls)
-    arr = as_array(F.col("v"))
-    e = e.withColumn("__arr", F.when(F.size(arr) > 0, arr))
+    e = e.select("device_id", "seq", "key", "v", value_tag(F.col("v")).alias("__t"))
+    arr = as_array(F.col("v"), F.col("__t"))
+    e = e.select("device_id", "seq", "key", "v", F.when(F.size(arr) > 0, arr).alias("__arr"))
     x = e.select("device_id", "seq", "key", "v", F.posexplode_outer("__arr").alias("pos", "el"))
-    val = F.when(F.col("pos").isNotNull(), F.col("el")).otherwise(F.col("v"))
+    x = x.select("device_id", "seq", "key", "pos", F.when(F.col("pos").isNotNull(), F.col("el")).otherwise(F.col("v")).alias("val"))
+    x = x.select("*", value_tag(F.col("val")).alias("tag"))
+    val, tag = F.col("val"), F.col("tag")
     return x.select(
-        "device_id", "seq", "key", F.col("pos").cast("bigint").alias("pos"),
-        value_tag(val).alias("tag"), as_string(val).alias("str_val"), as_double(val).alias("num_val"),
-        as_bool(val).alias("bool_val"),
+        "device_id", "seq", "key", F.col("pos").cast("bigint").alias("pos"), "tag",
+        as_string(val, tag).alias("str_val"), as_double(val, tag).alias("num_val"), as_bool(val, tag).alias("bool_val"),
     )

@@ -70,12 +70,9 @@ def running(
 
     if chunk is None and not width:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df
-        for name, expr in last.items():
-            out = out.withColumn(name, F.last(expr, ignorenulls=True).over(w))
-        for name, expr in total.items():
-            out = out.withColumn(name, F.sum(F.coalesce(expr, F.lit(0))).over(w))
-        return out
+        cols = {n: F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
+        cols.update({n: F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
+        return df.withColumns(cols)
 
     if chunk is None:
         chunk = F.floor(F.col(order[0]) / F.lit(width))
@@ -83,11 +80,9 @@ def running(
 
     # Level 1: in-chunk running values.
     w = Window.partitionBy(*by, _CK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = d
-    for name, expr in last.items():
-        local = local.withColumn(f"__l_{name}", F.last(expr, ignorenulls=True).over(w))
-    for name, expr in total.items():
-        local = local.withColumn(f"__t_{name}", F.sum(F.coalesce(expr, F.lit(0))).over(w))
+    local_cols = {f"__l_{n}": F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
+    local_cols.update({f"__t_{n}": F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
+    local = d.withColumns(local_cols)
 
     # Level 2: one summary row per chunk, then carry-in from earlier chunks.
     ordering = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
@@ -102,13 +97,11 @@ def running(
         *[F.sum(f"__t_{n}").over(wc).alias(f"__ct_{n}") for n in total],
     )
 
-    out = local.join(carry, on=[*by, _CK], how="left")
-    for name in last:
-        out = out.withColumn(name, F.coalesce(F.col(f"__l_{name}"), F.col(f"__cl_{name}")))
-    for name in total:
-        out = out.withColumn(name, F.col(f"__t_{name}") + F.coalesce(F.col(f"__ct_{name}"), F.lit(0)))
-    temps = [_CK] + [f"__{p}_{n}" for n in last for p in ("l", "cl")] + [f"__{p}_{n}" for n in total for p in ("t", "ct")]
-    return out.drop(*temps)
+    joined = local.join(carry, on=[*by, _CK], how="left")
+    final = {n: F.coalesce(F.col(f"__l_{n}"), F.col(f"__cl_{n}")) for n in last}
+    final.update({n: F.col(f"__t_{n}") + F.coalesce(F.col(f"__ct_{n}"), F.lit(0)) for n in total})
+    keep = [c for c in df.columns if c not in final]
+    return joined.select(*keep, *[e.alias(n) for n, e in final.items()])
 
 
 def row_number(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], name: str = "rn", **kw) -> DataFrame:
