@@ -49,7 +49,7 @@ def keep_first(df: DataFrame, n: int = QUEUE_CAPACITY, key: str | Sequence[str]
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
 
 
-def drop_front(df: DataFrame, n: int, key: str | Sequence[str] = "device_id", order: str = "seq", width: int = DEFAULT_WIDTH) -> DataFrame:
+def drop_front(df: DataFrame, n: int, key: str | Sequence[str] = "device_id", order: str = "seq", width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """BUF5 ``dropFront``: all but the first ``n`` rows per key."""
     return running(df, _keys(key), order, total={"__rn": F.lit(1)}, width=width).filter(F.col("__rn") > n).drop("__rn")
 
@@ -82,7 +82,7 @@ def batch_assign(
     key: str | Sequence[str] = "device_id",
     interval: str = FLUSH_INTERVAL,
     max_batch: int = MAX_BATCH,
-    width: int = DEFAULT_WIDTH,
+    width: int | None = DEFAULT_WIDTH,
 ) -> DataFrame:
     """BUF4: FIFO chunks of at most ``max_batch`` per key and flush window.
 
@@ -139,7 +139,7 @@ def flush_windows(events: DataFrame, interval: str = FLUSH_INTERVAL, max_batch:
     )
 
 
-def count_windows(events: DataFrame, threshold: int = AUTO_FLUSH_AT, key: str = "device_id", width: int = DEFAULT_WIDTH) -> DataFrame:
+def count_windows(events: DataFrame, threshold: int = AUTO_FLUSH_AT, key: str = "device_id", width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """BUF9: flush as soon as ``threshold`` events wait: consecutive groups of
     ``threshold`` per key with first/last seq and size."""
     e = running(events, key, "seq", total={"__rn": F.lit(1)}, width=width)
@@ -154,7 +154,7 @@ def size_batches(
     max_bytes: int,
     key: str = "device_id",
     sizes: Sequence[int] = BATCH_HALVING,
-    width: int = DEFAULT_WIDTH,
+    width: int | None = DEFAULT_WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
     """BUF7: batches that fit a body-size limit.
 

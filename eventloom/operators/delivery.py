@@ -42,7 +42,7 @@ def outcome(status: Column) -> Column:
     )
 
 
-def with_batch_size(attempts: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def with_batch_size(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """DLV4: batch size in force: starts at 100, halves at each 413, never
     below 1, never grows back. Adds ``size_in_force``."""
     a = running(attempts, "device_id", "seq", total={"__n413": (F.col("status") == 413).cast("bigint")}, width=width)
@@ -65,12 +65,12 @@ def action(status: Column, size_in_force: Column) -> Column:
     )
 
 
-def with_actions(attempts: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def with_actions(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     a = with_batch_size(attempts, width)
     return a.withColumn("outcome", outcome(F.col("status"))).withColumn("action", action(F.col("status"), F.col("size_in_force")))
 
 
-def delivery_actions(attempts: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def delivery_actions(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """DLV1 report: attempts and events per client and action."""
     a = with_actions(attempts, width)
     return a.groupBy("device_id", "action").agg(
@@ -78,7 +78,7 @@ def delivery_actions(attempts: DataFrame, width: int = DEFAULT_WIDTH) -> DataFra
     )
 
 
-def breaker(attempts: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def breaker(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """DLV5: circuit-breaker trips replayed from the log (gaps and islands).
 
     A closed breaker trips at the 3rd failure in a row; once tripped, every
@@ -114,7 +114,7 @@ def breaker(attempts: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     )
 
 
-def retry_delay(attempts: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def retry_delay(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """DLV2: delay before the retry the dispatcher schedules (NULL = none).
 
     5xx/408: ``max(100, retryAfter ?? breaker)``; 429: ``max(1000, retryAfter
@@ -144,7 +144,7 @@ def fatal_clients(attempts: DataFrame) -> DataFrame:
     )
 
 
-def undelivered(batched: DataFrame, acknowledged: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def undelivered(batched: DataFrame, acknowledged: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """DLV6: events sent or created but never acknowledged, in queue order.
 
     ``acknowledged`` holds the ``messageId`` of acknowledged batch members;

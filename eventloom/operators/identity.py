@@ -32,7 +32,7 @@ def _blank(c):
     return F.regexp_replace(c, r"^[\p{Zs}\t]+|[\p{Zs}\t]+$", "") == ""
 
 
-def identity_asof(calls: DataFrame, *, width: int = DEFAULT_WIDTH, with_adid: bool = True) -> DataFrame:
+def identity_asof(calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_adid: bool = True) -> DataFrame:
     """IDN1, IDN2, IDN5: add ``epoch, initialized, user_state, group_state,
     anonymous_id`` and (``with_adid``) ``advertising_id_state, consent_state``."""
     call = F.col("call")
@@ -126,14 +126,13 @@ def consent_audit(events: DataFrame) -> DataFrame:
     )
 
 
-def disabled_drop(calls: DataFrame, attempts: DataFrame, *, chunk_seconds: int = 3600, width: int = DEFAULT_WIDTH) -> DataFrame:
+def disabled_drop(calls: DataFrame, attempts: DataFrame, *, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """FLT1: drop calls made after a fatal 401/403/404 answer until ``reset``.
 
     Calls and fatal attempts are merged per device in time order (attempts
     first on a tie); a running marker (fatal → 1, reset → 0) flags disabled
     rows. ``reset`` itself is never dropped. Run before identity: a dropped
-    ``identify`` sets nothing. Rows are chunked by ``chunk_seconds`` of time
-    for the skew-safe scan (``width=0`` turns chunking off).
+    ``identify`` sets nothing. A hot device is chunked by time ranges.
     """
     fatal = attempts.filter(F.col("status").isin(*FATAL_STATUSES)).select(
         "device_id", F.col("attempt_ts").alias("__t"), F.lit(0).alias("__src"), F.lit(None).cast("bigint").alias("seq")
@@ -146,7 +145,6 @@ def disabled_drop(calls: DataFrame, attempts: DataFrame, *, chunk_seconds: int =
         "device_id",
         ["__t", "__src", "seq"],
         last={"__off": marker},
-        chunk=F.floor(F.unix_seconds(F.col("__t")) / F.lit(chunk_seconds)) if width else None,
         width=width,
     )
     return (

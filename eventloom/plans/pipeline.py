@@ -20,7 +20,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.calls(spark, sf_dir)
 
 
-def identity(spark: SparkSession, sf_dir: str, *, drop_disabled: bool = False, width: int = DEFAULT_WIDTH) -> DataFrame:
+def identity(spark: SparkSession, sf_dir: str, *, drop_disabled: bool = False, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     c = adapters.calls(spark, sf_dir)
     if drop_disabled:
         c = disabled_drop(c, adapters.attempts(spark, sf_dir), width=width)

@@ -6,9 +6,14 @@ set by the last ``identify``, the number of ``reset`` rows so far, the number of
 them, but puts every row of a key into one task; one device or write key that
 holds a third of the data would then run in a single task.
 
-``running`` splits each key into chunks of a monotone chunk column (by default
-``floor(order / width)``) and computes the values in two levels:
-
+``running`` splits hot keys into chunks along the order and computes the
+values in two levels:
+
+0. chunking: a per-key count (partial aggregation, one row per key) finds the
+   keys with more than ``hot_rows`` rows. There are at most
+   ``total_rows / hot_rows`` of them, so that table has a proven size bound
+   and is broadcast. Each hot key is cut into chunks of about ``target_rows``
+   rows by ranges of its first order column; every other key is one chunk;
 1. a window per ``(key, chunk)`` gives the in-chunk running value;
 2. a per-chunk summary (partial aggregation, so only one row per chunk is
    shuffled) gives each chunk's total, and a window over the summaries gives the
@@ -32,11 +37,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Default chunk width in units of the first order column. With globally
-#: increasing sequence numbers a typical key keeps one chunk, while a key that
-#: owns a large share of the id space is split into chunks of at most
-#: ``width`` rows.
-DEFAULT_WIDTH = 1 << 20
+#: Fixed chunk width (units of the first order column) when given explicitly;
+#: ``None`` selects adaptive hot-key chunking, ``0`` turns chunking off.
+DEFAULT_WIDTH = None
+#: A key with more rows than this is split.
+HOT_ROWS = 4_000_000
+#: Rows per chunk of a hot key.
+TARGET_ROWS = 1_000_000
 
 _CK = "__chunk"
 
@@ -54,12 +61,15 @@ def running(
     total: Mapping[str, Column] | None = None,
     chunk: Column | None = None,
     width: int | None = DEFAULT_WIDTH,
+    hot_rows: int | None = None,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Add running columns over the rows of each ``by`` group in ``order``.
 
-    ``chunk`` must be non-decreasing along ``order`` within a key. ``width=0``
-    (or ``None`` with no ``chunk``) computes single-level windows per key, for
-    data known to have no hot key.
+    Chunking: an explicit ``chunk`` column (non-decreasing along ``order``
+    within a key); else a fixed ``width`` of the first order column; else
+    (``width=None``) adaptive hot-key chunking. ``width=0`` computes plain
+    per-key windows, for data known to have no hot key.
     """
     by = _names(by)
     order = _names(order)
@@ -68,15 +78,20 @@ def running(
     if not last and not total:
         return df
 
-    if chunk is None and not width:
+    if chunk is None and width == 0:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         cols = {n: F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
         cols.update({n: F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
         return df.withColumns(cols)
 
-    if chunk is None:
-        chunk = F.floor(F.col(order[0]) / F.lit(width))
-    d = df.withColumn(_CK, chunk)
+    if chunk is not None:
+        d = df.withColumn(_CK, chunk)
+    elif width:
+        d = df.withColumn(_CK, F.floor(_numeric(df, order[0]) / F.lit(width)))
+    else:
+        d = _hot_key_chunks(
+            df, by, order[0], HOT_ROWS if hot_rows is None else hot_rows, TARGET_ROWS if target_rows is None else target_rows
+        )
 
     # Level 1: in-chunk running values.
     w = Window.partitionBy(*by, _CK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,6 +119,34 @@ def running(
     return joined.select(*keep, *[e.alias(n) for n, e in final.items()])
 
 
+def _numeric(df: DataFrame, col: str) -> Column:
+    dtype = df.schema[col].dataType.typeName()
+    if dtype in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(col).cast("timestamp"))
+    if dtype == "date":
+        return F.unix_date(F.col(col)).cast("bigint")
+    return F.col(col).cast("bigint")
+
+
+def _hot_key_chunks(df: DataFrame, by: list[str], first_order: str, hot_rows: int, target_rows: int) -> DataFrame:
+    """Add the chunk column: ranges of ~``target_rows`` rows for hot keys, 0 otherwise."""
+    pos = _numeric(df, first_order)
+    stats = (
+        df.groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"), F.max(pos).alias("__hi"))
+        .filter(F.col("__n") > hot_rows)
+    )
+    # Range width so that a key of n rows spread evenly gets n / target_rows chunks.
+    pieces = F.ceil(F.col("__n") / F.lit(target_rows))
+    stats = stats.select(
+        *by, "__lo", F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) / pieces)).cast("bigint").alias("__w")
+    )
+    # At most (total rows / hot_rows) keys qualify: a proven bound for the broadcast.
+    j = df.join(F.broadcast(stats), on=by, how="left")
+    ck = F.when(F.col("__w").isNotNull(), F.floor((pos - F.col("__lo")) / F.col("__w"))).otherwise(F.lit(0)).cast("bigint")
+    return j.withColumn(_CK, ck).drop("__lo", "__w")
+
+
 def row_number(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], name: str = "rn", **kw) -> DataFrame:
     """1-based position of each row within its key, skew-safe."""
     return running(df, by, order, total={name: F.lit(1)}, **kw)

@@ -53,3 +53,37 @@ def test_hot_key_is_split_into_chunks(spark):
     df = _frame(spark)
     plan = _run(df, 64)._jdf.queryExecution().executedPlan().toString()
     assert "__chunk" in plan
+
+
+def test_adaptive_hot_key_chunking(spark):
+    df = _frame(spark)
+    expected = _brute([tuple(r) for r in df.collect()])
+    out = running(
+        df, "k", "seq",
+        last={"lv": F.col("v"), "ls": F.when(F.col("x") == 0, F.struct(F.col("v").alias("v")))},
+        total={"t": F.col("x"), "n": F.lit(1)},
+        hot_rows=200, target_rows=50,
+    ).select("k", "seq", "lv", F.col("ls.v").alias("lsv"), "t", "n")
+    got = {(r.k, r.seq): (r.lv, r.lsv, r.t, r.n) for r in out.collect()}
+    assert got == expected
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan  # the hot-key table, bounded by rows / hot_rows
+
+
+def test_operators_under_adaptive_chunking(spark, sf_small, monkeypatch):
+    """Identity and breaker outputs do not change when hot keys are split."""
+    import eventloom.plans.scan as scan
+    from eventloom.operators.delivery import breaker
+    from eventloom.operators.identity import identity_asof
+    from eventloom.sources import adapters
+
+    cols = ["device_id", "seq", "epoch", "user_state", "group_state", "anonymous_id", "advertising_id_state"]
+    calls = adapters.calls(spark, sf_small)
+    base = sorted(tuple(r) for r in identity_asof(calls, width=0).select(*cols).collect())
+    att = adapters.attempts(spark, sf_small)
+    bcols = ["device_id", "seq", "streak", "trip", "trip_no"]
+    bbase = sorted(tuple(r) for r in breaker(att, width=0).select(*bcols).collect())
+    monkeypatch.setattr(scan, "HOT_ROWS", 20)
+    monkeypatch.setattr(scan, "TARGET_ROWS", 7)
+    assert sorted(tuple(r) for r in identity_asof(calls).select(*cols).collect()) == base
+    assert sorted(tuple(r) for r in breaker(att).select(*bcols).collect()) == bbase
