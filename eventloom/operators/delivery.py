@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.masks import mask_key
 from eventloom.functions.times import retry_after_ms
-from eventloom.plans.scan import DEFAULT_WIDTH, running
+from eventloom.plans.scan import DEFAULT_WIDTH, cut, running
 
 # ---- fixed values: dispatcher and breaker settings ------------------------------
 INITIAL_BATCH = 100
@@ -85,22 +85,36 @@ def breaker(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame
     further failure trips it again until a success closes it; a non-retryable
     answer zeroes the streak without changing state; a fatal answer changes
     nothing. Cooldown of trip n is ``min(120000, 10000 * 2^(n-1))`` ms with
-    ±20 % jitter, given as bounds. Adds ``outcome, streak, trip, trip_no,
-    cooldown_ms, cooldown_min_ms, cooldown_max_ms, breaker_state``.
+    ±20 % jitter, given as bounds. Adds ``outcome, size_in_force, streak, trip,
+    trip_no, cooldown_ms, cooldown_min_ms, cooldown_max_ms, breaker_state``.
+
+    Four dependent running passes share one chunk layout (hot clients stay
+    split); lineage is cut once after the streak passes.
     """
     o = F.col("outcome")
     a = attempts.withColumn("outcome", outcome(F.col("status")))
-    # Streak islands: a success or non-retryable answer starts a new one.
-    a = running(a, "device_id", "seq", total={"__brk": o.isin("success", "nonretry").cast("bigint")}, width=width)
-    a = running(a, ["device_id", "__brk"], "seq", total={"streak": (o == "failure").cast("bigint")}, width=width)
-    # State after the row: success closes (0); the failure that reaches the threshold opens (1).
+    is413 = (F.col("status") == 413).cast("bigint")
+    # Pass 1: streak islands (a success or non-retryable answer starts a new one) and 413s so far.
+    a = running(
+        a, "device_id", "seq",
+        total={"__brk": o.isin("success", "nonretry").cast("bigint"), "__n413": is413},
+        width=width, keep_chunk=True,
+    )
+    before = F.col("__n413") - F.coalesce(is413, F.lit(0))
+    halvings = F.least(before, F.lit(_MAX_SHIFT))
+    a = a.withColumn("size_in_force", F.greatest(F.lit(1), (F.lit(INITIAL_BATCH) / F.pow(F.lit(2), halvings)).cast("bigint"))).drop("__n413")
+    # Pass 2: failures in a row within the island.
+    a = running(a, ["device_id", "__brk"], "seq", total={"streak": (o == "failure").cast("bigint")}, width=width, keep_chunk=True)
+    a = cut(a)
+    # Pass 3: state after the row: success closes (0); the failure that reaches the threshold opens (1).
     a = running(
         a, "device_id", "seq",
         last={"__open": F.when(o == "success", F.lit(0)).when((o == "failure") & (F.col("streak") >= FAILURE_THRESHOLD), F.lit(1))},
-        width=width,
+        width=width, keep_chunk=True,
     )
     is_open = F.coalesce(F.col("__open"), F.lit(0)) == 1
     a = a.withColumn("trip", (o == "failure") & is_open)
+    # Pass 4: trips so far.
     a = running(a, "device_id", "seq", total={"trip_no": F.col("trip").cast("bigint")}, width=width)
     exp = F.least(F.col("trip_no") - 1, F.lit(_MAX_SHIFT))
     base = F.least(F.lit(MAX_COOLDOWN_MS), (F.lit(BASE_COOLDOWN_MS) * F.pow(F.lit(2), exp)).cast("bigint"))
@@ -121,7 +135,7 @@ def retry_delay(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataF
     ?? 0, breaker)``; no answer: ``breaker``; 413 while halving: 0. ``breaker``
     is the jitter-free cooldown when this attempt trips the breaker, else 0.
     """
-    a = breaker(with_batch_size(attempts, width), width)
+    a = breaker(attempts, width)
     s = F.col("status")
     ra = retry_after_ms(F.col("headers"), F.col("attempt_ts"))
     brk = F.coalesce(F.col("cooldown_ms"), F.lit(0)).cast("bigint")

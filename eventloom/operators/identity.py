@@ -48,6 +48,7 @@ def identity_asof(calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_a
         },
         total={"epoch": is_reset.cast("bigint")},
         width=width,
+        keep_chunk=with_adid,
     )
     initialized = F.coalesce(F.col("__m"), F.lit(True))
     ident = ident.select(
@@ -68,7 +69,7 @@ def identity_asof(calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_a
         .when(ready & valid_set, F.struct(adid.alias("v"), F.when(adid.isNull(), "withdrawn").otherwise("granted").alias("c")))
         .when(ready & (call == "clearAdvertisingId"), F.struct(F.lit(None).cast("string").alias("v"), F.lit("withdrawn").alias("c")))
     )
-    ident = running(ident, "device_id", "seq", last={"__a": change}, width=width)
+    ident = running(ident, "device_id", "seq", last={"__a": change}, width=width)  # same chunks as pass 1
     return ident.select(
         *[c for c in ident.columns if c != "__a"],
         F.col("__a.v").alias("advertising_id_state"),

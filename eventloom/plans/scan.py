@@ -63,6 +63,7 @@ def running(
     width: int | None = DEFAULT_WIDTH,
     hot_rows: int | None = None,
     target_rows: int | None = None,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Add running columns over the rows of each ``by`` group in ``order``.
 
@@ -70,6 +71,10 @@ def running(
     within a key); else a fixed ``width`` of the first order column; else
     (``width=None``) adaptive hot-key chunking. ``width=0`` computes plain
     per-key windows, for data known to have no hot key.
+
+    Chained passes share one layout: with ``keep_chunk=True`` the chunk column
+    stays in the output, and a later pass over the same rows reuses it, so the
+    rows stay partitioned by ``(key, chunk)`` and are not shuffled again.
     """
     by = _names(by)
     order = _names(order)
@@ -82,10 +87,12 @@ def running(
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         cols = {n: F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
         cols.update({n: F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
-        return df.withColumns(cols)
+        return df.withColumns(cols).drop(_CK) if not keep_chunk else df.withColumns(cols)
 
     if chunk is not None:
         d = df.withColumn(_CK, chunk)
+    elif _CK in df.columns:
+        d = df
     elif width:
         d = df.withColumn(_CK, F.floor(_numeric(df, order[0]) / F.lit(width)))
     else:
@@ -115,10 +122,37 @@ def running(
     joined = local.join(carry, on=[*by, _CK], how="left")
     final = {n: F.coalesce(F.col(f"__l_{n}"), F.col(f"__cl_{n}")) for n in last}
     final.update({n: F.col(f"__t_{n}") + F.coalesce(F.col(f"__ct_{n}"), F.lit(0)) for n in total})
-    keep = [c for c in df.columns if c not in final]
+    keep = [c for c in df.columns if c not in final and c != _CK]
+    if keep_chunk:
+        keep.append(_CK)
     return joined.select(*keep, *[e.alias(n) for n, e in final.items()])
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage between dependent passes with a reliable checkpoint.
+
+    A pass reads its input twice (rows and chunk summaries), so chained passes
+    would repeat all earlier work in the plan. The checkpoint is written to the
+    folder the cluster names in ``spark.checkpoint.dir`` (a scratch folder is
+    chosen only when none is set, as in local tests).
+    """
+    from eventloom.session import ensure_checkpoint_dir
+
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    # Persist first so the checkpoint write does not recompute the input.
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
+def drop_chunk(df: DataFrame) -> DataFrame:
+    return df.drop(_CK)
+
+
 def _numeric(df: DataFrame, col: str) -> Column:
     dtype = df.schema[col].dataType.typeName()
     if dtype in ("timestamp", "timestamp_ntz"):

@@ -54,7 +54,7 @@ def test_breaker_matches_replay(spark):
     per_device[99] = [503] * 40 + [200] + [None] * 5  # long outage on one client
     a = attempts(spark, per_device)
     for width in (0, 8):
-        got = breaker(with_actions(a, width), width).select("device_id", "seq", "trip", "trip_no", "size_in_force", "cooldown_min_ms", "cooldown_max_ms").collect()
+        got = breaker(a, width).select("device_id", "seq", "trip", "trip_no", "size_in_force", "cooldown_min_ms", "cooldown_max_ms").collect()
         by = {(r.device_id, r.seq): r for r in got}
         for dev, statuses in per_device.items():
             for i, (trip, opens, size) in enumerate(replay(statuses)):
