@@ -42,11 +42,19 @@ def _null_as_string(props: Column) -> Column:
     )
 
 
-def build_events(ident: DataFrame, *, null_as_string: bool = False) -> DataFrame:
+def split_calls(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """SRC2: calls that emit an event, and the rest (a quarantine/side frame)."""
+    ok = emits_event(F.col("call"))
+    return calls.filter(ok), calls.filter(~ok)
+
+
+def build_events(ident: DataFrame, *, null_as_string: bool = False, message_id_col: str | None = None) -> DataFrame:
     """ENV1-ENV6 + IDN3 + TIM1 + MID1: envelope columns for the six event calls.
 
     ``ident`` is the output of :func:`identity_asof` (state columns present).
     Keeps ``device_id, seq, ts`` and the state columns for downstream jobs.
+    ``message_id_col`` names a column with caller-given message ids (the
+    custom-id form of ENV7); otherwise ids are derived (MID1).
     """
     call = F.col("call")
     payload = parse_object(F.col("payload_json"))
@@ -75,7 +83,8 @@ def build_events(ident: DataFrame, *, null_as_string: bool = False) -> DataFrame
         traits.alias("traits"),
         F.lit(None).cast(PROPS).alias("integrations"),
         event_time(F.col("timestamp"), F.col("ts")).alias("timestamp"),
-        message_id(F.col("ts"), F.col("device_id"), F.col("seq")).alias("messageId"),
+        (F.coalesce(F.col(message_id_col), message_id(F.col("ts"), F.col("device_id"), F.col("seq")))
+         if message_id_col else message_id(F.col("ts"), F.col("device_id"), F.col("seq"))).alias("messageId"),
         props_ok.alias("props_ok"),
         *[c for c in ("epoch", "initialized", "advertising_id_state", "consent_state") if c in ident.columns],
     )

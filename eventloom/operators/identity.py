@@ -32,17 +32,24 @@ def _blank(c):
     return F.regexp_replace(c, r"^[\p{Zs}\t]+|[\p{Zs}\t]+$", "") == ""
 
 
-def identity_asof(calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_adid: bool = True) -> DataFrame:
+def identity_asof(
+    calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_adid: bool = True, alias_sets_user: bool = False
+) -> DataFrame:
     """IDN1, IDN2, IDN5: add ``epoch, initialized, user_state, group_state,
-    anonymous_id`` and (``with_adid``) ``advertising_id_state, consent_state``."""
+    anonymous_id`` and (``with_adid``) ``advertising_id_state, consent_state``.
+
+    ``alias`` only emits an event; with ``alias_sets_user=True`` it also sets
+    the user id like ``identify`` (the documented, not the coded, behaviour).
+    """
     call = F.col("call")
     is_reset = call == "reset"
+    sets_user = call.isin("identify", "alias") if alias_sets_user else (call == "identify")
     ident = running(
         calls,
         "device_id",
         "seq",
         last={
-            "__u": F.when(is_reset, _null_struct()).when(call == "identify", F.struct(F.col("user_id").alias("v"))),
+            "__u": F.when(is_reset, _null_struct()).when(sets_user, F.struct(F.col("user_id").alias("v"))),
             "__g": F.when(is_reset, _null_struct()).when(call == "group", F.struct(F.col("group_id").alias("v"))),
             "__m": F.when(is_reset, F.lit(False)).when(call == "initialize", F.lit(True)),
         },

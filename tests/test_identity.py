@@ -121,3 +121,15 @@ def test_disabled_drop(spark):
     for width in (0, 1 << 20):
         kept = sorted(r.seq for r in disabled_drop(c, a, width=width).collect())
         assert kept == [1, 5, 6]
+
+
+def test_alias_option_and_custom_ids(spark):
+    c = calls(spark, [
+        (1, "alias", None, "u-new", None, None, None),
+        (2, "track", "a", None, None, None, None),
+    ])
+    coded = by_seq(identity_asof(c), "user_state")
+    documented = by_seq(identity_asof(c, alias_sets_user=True), "user_state")
+    assert coded[2] == (None,) and documented[2] == ("u-new",)
+    ev = build_events(identity_asof(c).withColumn("mid", F.lit("1-550E8400-E29B-41D4-A716-446655440000")), message_id_col="mid")
+    assert {r.messageId for r in ev.collect()} == {"1-550E8400-E29B-41D4-A716-446655440000"}
