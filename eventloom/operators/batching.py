@@ -115,13 +115,14 @@ def batch_summary(batched: DataFrame) -> DataFrame:
 
 def batch_bodies(batched: DataFrame, env: Column) -> DataFrame:
     """SNK1: ``{"batch":[...]}`` per batch, events in FIFO order, each stamped
-    with the batch's ``sentAt``. A batch holds at most ``max_batch`` events, so
-    the collected list is bounded."""
+    with the batch's ``sentAt``. Each event is serialized once per row; the
+    batch (at most ``max_batch`` events, so the collected list is bounded)
+    joins the texts in ``batch_pos`` order."""
     stamped = sent_at(batched)
-    item = F.struct(F.col("batch_pos").alias("pos"), env.withField("sentAt", F.col("sent_at")).alias("e"))
-    by_pos = lambda x, y: F.when(x["pos"] < y["pos"], -1).when(x["pos"] > y["pos"], 1).otherwise(0)
-    g = stamped.groupBy("batch_id").agg(F.array_sort(F.collect_list(item), by_pos).alias("items"))
-    body = F.to_json(F.struct(F.transform("items", lambda x: x["e"]).alias("batch")), {"ignoreNullFields": "true"})
+    event_json = F.to_json(env.withField("sentAt", F.col("sent_at")), {"ignoreNullFields": "true"})
+    rows = stamped.select("batch_id", F.struct(F.col("batch_pos").alias("pos"), event_json.alias("j")).alias("item"))
+    g = rows.groupBy("batch_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    body = F.concat(F.lit('{"batch":['), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]}"))
     return g.select("batch_id", F.size("items").cast("bigint").alias("n_events"), body.alias("body"))
 
 

@@ -128,14 +128,15 @@ def breaker(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame
     )
 
 
-def retry_delay(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
+def retry_delay(attempts: DataFrame, width: int | None = DEFAULT_WIDTH, replayed: DataFrame | None = None) -> DataFrame:
     """DLV2: delay before the retry the dispatcher schedules (NULL = none).
 
     5xx/408: ``max(100, retryAfter ?? breaker)``; 429: ``max(1000, retryAfter
     ?? 0, breaker)``; no answer: ``breaker``; 413 while halving: 0. ``breaker``
     is the jitter-free cooldown when this attempt trips the breaker, else 0.
+    ``replayed`` may pass an existing :func:`breaker` output of ``attempts``.
     """
-    a = breaker(attempts, width)
+    a = replayed if replayed is not None else breaker(attempts, width)
     s = F.col("status")
     ra = retry_after_ms(F.col("headers"), F.col("attempt_ts"))
     brk = F.coalesce(F.col("cooldown_ms"), F.lit(0)).cast("bigint")

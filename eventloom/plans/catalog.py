@@ -339,14 +339,19 @@ def _event_json(spark, d):
 def event_json(spark, d):
     """SNK2: event JSON; fields read back from the text."""
     j = _event_json(spark, d)
-    g = lambda p: F.get_json_object("json", p)
-    return j.select(
+    fields = (
+        "type string, event string, userId string, anonymousId string, groupId string, timestamp string, "
+        "writeKey string, context struct<device: struct<model: string, advertisingId: string>>, "
+        "properties struct<name: string>"
+    )
+    p = j.select("messageId", "json", F.from_json("json", fields).alias("p"))  # one parse per event
+    return p.select(
         F.col("messageId").alias("message_id"),
-        g("$.type").alias("j_type"), g("$.event").alias("j_event"), g("$.userId").alias("j_user_id"),
-        g("$.anonymousId").alias("j_anonymous_id"), g("$.groupId").alias("j_group_id"),
-        g("$.timestamp").alias("j_timestamp"), g("$.writeKey").alias("j_write_key"),
-        g("$.context.device.model").alias("j_model"), g("$.context.device.advertisingId").alias("j_adid"),
-        g("$.properties.name").alias("j_props_name"),
+        F.col("p.type").alias("j_type"), F.col("p.event").alias("j_event"), F.col("p.userId").alias("j_user_id"),
+        F.col("p.anonymousId").alias("j_anonymous_id"), F.col("p.groupId").alias("j_group_id"),
+        F.col("p.timestamp").alias("j_timestamp"), F.col("p.writeKey").alias("j_write_key"),
+        F.col("p.context.device.model").alias("j_model"), F.col("p.context.device.advertisingId").alias("j_adid"),
+        F.col("p.properties.name").alias("j_props_name"),
         F.col("json").contains('"event":').alias("has_event_key"),
         F.col("json").contains('"sentAt":').alias("has_sent_at_key"),
     )
@@ -376,11 +381,8 @@ FRONT_N = 10
 REQUEUE_CAPACITY = 40
 
 
-def _batched(spark, d, events=None):
-    from eventloom.operators.batching import batch_assign as ba
-
-    ev = events if events is not None else pipeline.light_events(spark, d)
-    return ba(ev, key=BATCH_KEY, interval=BATCH_INTERVAL)
+def _batched(spark, d, with_context=False):
+    return pipeline.batched(spark, d, BATCH_KEY, BATCH_INTERVAL, with_context=with_context)
 
 
 @query
@@ -493,15 +495,16 @@ def batch_bodies(spark, d):
     from eventloom.operators.batching import batch_bodies as bb
     from eventloom.operators.envelope import envelope
 
-    ev = pipeline.events(spark, d, with_context=True)
-    b = _batched(spark, d, ev)
+    b = _batched(spark, d, with_context=True)
     bodies = bb(b, envelope(b))
-    return bodies.select(
+    items = F.from_json("body", "batch array<struct<messageId: string, sentAt: string>>")["batch"]  # one parse per body
+    p = bodies.select("batch_id", "n_events", items.alias("items"))
+    return p.select(
         "batch_id", "n_events",
-        F.json_array_length(F.get_json_object("body", "$.batch")).cast("bigint").alias("body_n"),
-        F.get_json_object("body", "$.batch[0].messageId").alias("first_id"),
-        F.expr("get_json_object(body, concat('$.batch[', n_events - 1, '].messageId'))").alias("last_id"),
-        F.get_json_object("body", "$.batch[0].sentAt").alias("body_sent_at"),
+        F.size("items").cast("bigint").alias("body_n"),
+        F.col("items")[0]["messageId"].alias("first_id"),
+        F.element_at("items", -1)["messageId"].alias("last_id"),
+        F.col("items")[0]["sentAt"].alias("body_sent_at"),
     )
 
 
@@ -521,7 +524,7 @@ def retry_delay(spark, d):
     """DLV2: retry delay scheduled after each attempt."""
     from eventloom.operators.delivery import retry_delay as rd
 
-    return rd(adapters.attempts(spark, d)).select("device_id", "seq", "status", "retry_delay_ms")
+    return rd(adapters.attempts(spark, d), replayed=pipeline.breaker_log(spark, d)).select("device_id", "seq", "status", "retry_delay_ms")
 
 
 @query
@@ -543,9 +546,7 @@ def batch_size_asof(spark, d):
 @query
 def breaker_trips(spark, d):
     """DLV5: circuit-breaker trips replayed from the log."""
-    from eventloom.operators.delivery import breaker
-
-    return breaker(adapters.attempts(spark, d)).select(
+    return pipeline.breaker_log(spark, d).select(
         "device_id", "seq", "status", "outcome", "streak", "trip", "trip_no", "cooldown_min_ms", "cooldown_max_ms", "breaker_state"
     )
 
@@ -567,7 +568,7 @@ def undelivered(spark, d):
 @query
 def pipeline_status(spark, d):
     """DLV7: status report per write key."""
-    from eventloom.operators.delivery import breaker, pipeline_status as ps
+    from eventloom.operators.delivery import pipeline_status as ps
     from eventloom.operators.identity import identity_snapshot as snap
     from eventloom.sources.settings import settings_check as check
 
@@ -576,7 +577,7 @@ def pipeline_status(spark, d):
         calls,
         _pending(spark, d),
         snap(pipeline.identity(spark, d)),
-        breaker(adapters.attempts(spark, d)),
+        pipeline.breaker_log(spark, d),
         check(adapters.settings(spark, d)),
     )
 

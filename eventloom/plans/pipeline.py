@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventloom.operators.context import attach_context, device_contexts
 from eventloom.operators.envelope import build_events
 from eventloom.operators.identity import disabled_drop, identity_asof
+from eventloom.plans.memo import plan
 from eventloom.plans.scan import DEFAULT_WIDTH
 from eventloom.sources import adapters
 
@@ -20,6 +21,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.calls(spark, sf_dir)
 
 
+@plan
 def identity(spark: SparkSession, sf_dir: str, *, drop_disabled: bool = False, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     c = adapters.calls(spark, sf_dir)
     if drop_disabled:
@@ -27,6 +29,7 @@ def identity(spark: SparkSession, sf_dir: str, *, drop_disabled: bool = False, w
     return identity_asof(c, width=width)
 
 
+@plan
 def events(spark: SparkSession, sf_dir: str, *, with_context: bool = False, **kw) -> DataFrame:
     ev = build_events(identity(spark, sf_dir, **kw))
     if with_context:
@@ -34,6 +37,7 @@ def events(spark: SparkSession, sf_dir: str, *, with_context: bool = False, **kw
     return ev
 
 
+@plan
 def light_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows with their message id but without identity state, for jobs
     that only need queue order (batching, windows)."""
@@ -47,3 +51,20 @@ def light_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "write_key", "device_id", "seq", "ts", F.col("call").alias("type"),
         message_id(F.col("ts"), F.col("device_id"), F.col("seq")).alias("messageId"),
     )
+
+
+@plan
+def breaker_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DLV5 replay over the attempts log (its lineage cut runs once per session)."""
+    from eventloom.operators.delivery import breaker
+
+    return breaker(adapters.attempts(spark, sf_dir))
+
+
+@plan
+def batched(spark: SparkSession, sf_dir: str, key: str, interval: str, with_context: bool = False) -> DataFrame:
+    """BUF4 batches of the events (light rows, or full envelopes with context)."""
+    from eventloom.operators.batching import batch_assign
+
+    ev = events(spark, sf_dir, with_context=True) if with_context else light_events(spark, sf_dir)
+    return batch_assign(ev, key=key, interval=interval)

@@ -89,16 +89,22 @@ def running(
         cols.update({n: F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
         return df.withColumns(cols).drop(_CK) if not keep_chunk else df.withColumns(cols)
 
+    adaptive = False
     if chunk is not None:
         d = df.withColumn(_CK, chunk)
     elif _CK in df.columns:
         d = df
+        adaptive = width is None
     elif width:
         d = df.withColumn(_CK, F.floor(_numeric(df, order[0]) / F.lit(width)))
     else:
         d = _hot_key_chunks(
             df, by, order[0], HOT_ROWS if hot_rows is None else hot_rows, TARGET_ROWS if target_rows is None else target_rows
         )
+        adaptive = True
+    # Adaptive chunks are -1 for keys that are not split: a single chunk has
+    # nothing to carry, so only split keys go through the summary path.
+    split_only = F.col(_CK) >= 0 if adaptive else F.lit(True)
 
     # Level 1: in-chunk running values.
     w = Window.partitionBy(*by, _CK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -110,7 +116,7 @@ def running(
     ordering = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     aggs = [F.max_by(expr, F.when(expr.isNotNull(), ordering)).alias(f"__l_{n}") for n, expr in last.items()]
     aggs += [F.sum(F.coalesce(expr, F.lit(0))).alias(f"__t_{n}") for n, expr in total.items()]
-    summary = d.groupBy(*by, _CK).agg(*aggs)
+    summary = d.filter(split_only).groupBy(*by, _CK).agg(*aggs)
     wc = Window.partitionBy(*by).orderBy(_CK).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         *by,
@@ -177,7 +183,7 @@ def _hot_key_chunks(df: DataFrame, by: list[str], first_order: str, hot_rows: in
     )
     # At most (total rows / hot_rows) keys qualify: a proven bound for the broadcast.
     j = df.join(F.broadcast(stats), on=by, how="left")
-    ck = F.when(F.col("__w").isNotNull(), F.floor((pos - F.col("__lo")) / F.col("__w"))).otherwise(F.lit(0)).cast("bigint")
+    ck = F.when(F.col("__w").isNotNull(), F.floor((pos - F.col("__lo")) / F.col("__w"))).otherwise(F.lit(-1)).cast("bigint")
     return j.withColumn(_CK, ck).drop("__lo", "__w")
 
 

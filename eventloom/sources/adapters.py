@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.plans.memo import plan
 from eventloom.plans.scan import running
 from eventloom.session import ensure_utc
 
@@ -44,6 +45,7 @@ def _pick(values: list, index: Column) -> Column:
     return out
 
 
+@plan
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``calls`` from ``events`` (FIXTURES.md §2.1)."""
     ensure_utc(spark)
@@ -120,6 +122,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@plan
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``attempts`` from ``orders`` (FIXTURES.md §2.2).
 
@@ -166,6 +169,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@plan
 def device_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``device_snapshots`` from ``customer`` (FIXTURES.md §2.3).
 
@@ -203,6 +207,7 @@ def device_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@plan
 def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``settings`` from ``customer``: one configured client per customer.
 
