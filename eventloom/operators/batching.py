@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.times import iso_seconds
-from eventloom.plans.scan import DEFAULT_WIDTH, running
+from eventloom.plans.scan import DEFAULT_WIDTH, cut, running
 
 # ---- fixed values: queue and flush settings -----------------------------------
 QUEUE_CAPACITY = 2000
@@ -159,13 +159,16 @@ def size_batches(
 ) -> tuple[DataFrame, DataFrame]:
     """BUF7: batches that fit a body-size limit.
 
-    ``sized`` has ``seq`` and ``bytes`` (the event's JSON length). Events that
+    ``sized`` has the key, ``seq`` and ``bytes`` (the event's JSON length). Events that
     do not fit alone go to quarantine. For the rest, each key uses the largest
     candidate size (halving from 100) at which every chunk's body
     ``{"batch":[e1,...]}`` fits. Returns (batched rows with ``batch_size`` and
     ``batch_no``, quarantined rows).
     """
     body = lambda total, n: F.lit(12) + total + n - 1  # noqa: E731  {"batch":[ ... ]} and commas
+    # The job reads its input in several branches; keep only the narrow columns
+    # and cut lineage so the upstream enrichment runs once.
+    sized = cut(sized.select(key, "seq", "bytes"))
     single = body(F.col("bytes"), F.lit(1))
     quarantine = sized.filter(single > max_bytes)
     ok = sized.filter(single <= max_bytes)

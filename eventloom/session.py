@@ -51,3 +51,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="eventloom-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Shuffles start with about one partition per ``target_partition_bytes`` of
+    input and AQE coalesces small ones and splits skewed join partitions; scan
+    splits match the same size so a task's working set fits executor memory.
+    """
+    initial = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
