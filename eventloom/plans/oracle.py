@@ -489,8 +489,8 @@ dl0 AS (
     CASE WHEN status IS NULL THEN 'failure' WHEN status BETWEEN 200 AND 299 THEN 'success'
          WHEN status BETWEEN 500 AND 599 OR status IN (408, 429) THEN 'failure'
          WHEN status IN (401, 403, 404) THEN 'fatal' ELSE 'nonretry' END AS outcome,
-    greatest(1, 100 >> CAST(least(coalesce(sum(CASE WHEN status = 413 THEN 1 ELSE 0 END) OVER
-      (PARTITION BY device_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 30) AS INTEGER)) AS size_in_force
+    CAST(greatest(1, 100 >> CAST(least(coalesce(sum(CASE WHEN status = 413 THEN 1 ELSE 0 END) OVER
+      (PARTITION BY device_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 30) AS INTEGER)) AS BIGINT) AS size_in_force
   FROM attempts
 ),
 dl1 AS (
