@@ -129,7 +129,8 @@ def screen_context() -> Column:
 
 
 def device_contexts(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIBRARY) -> DataFrame:
-    """CTX1-CTX8: one context struct per device (advertising id filled later)."""
+    """CTX1-CTX8: one context struct per snapshot row (advertising id filled
+    later); ``snapshot_ts`` is kept when present."""
     idiom = F.col("idiom")
     with_sys = snapshots.withColumn(
         "system_name",
@@ -158,7 +159,8 @@ def device_contexts(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIB
         F.col("timezone").alias("timezone"),
         F.create_map().cast("map<string,variant>").alias("additional"),
     )
-    return with_sys.select("device_id", ctx.alias("context"))
+    extra = ["snapshot_ts"] if "snapshot_ts" in snapshots.columns else []
+    return with_sys.select("device_id", *extra, ctx.alias("context"))
 
 
 def attach_context(events: DataFrame, contexts: DataFrame, adid_col: str = "advertising_id_state") -> DataFrame:
@@ -193,3 +195,25 @@ def flatten_context(ctx: Column) -> list[Column]:
         ctx["locale"].alias("locale"),
         ctx["timezone"].alias("timezone"),
     ]
+
+
+def attach_context_asof(events: DataFrame, contexts: DataFrame, adid_col: str = "advertising_id_state") -> DataFrame:
+    """CTX1, as-of form: each event takes the device's latest context whose
+    ``snapshot_ts`` is not after the event time (NULL before the first one).
+
+    Events and snapshots are merged per device in time order (a snapshot first
+    on a tie) and a skew-safe running ``last`` carries the context forward, so
+    a device with very many events or snapshots is still split into chunks.
+    """
+    from eventloom.plans.scan import running
+
+    ev = events.withColumn("__t", F.col("ts")).withColumn("__k", F.lit(1))
+    snaps = contexts.select(
+        "device_id", F.col("snapshot_ts").alias("__t"), F.lit(0).alias("__k"), F.col("context").alias("__snap")
+    )
+    merged = ev.unionByName(snaps, allowMissingColumns=True)
+    carried = running(merged, "device_id", ["__t", "__k", "seq"], last={"__ctx": F.col("__snap")})
+    out = carried.filter(F.col("__k") == 1).drop("__t", "__k", "__snap")
+    return out.withColumn(
+        "context", F.when(F.col("__ctx").isNotNull(), F.col("__ctx").withField("device.advertisingId", F.col(adid_col)))
+    ).drop("__ctx")

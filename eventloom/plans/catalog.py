@@ -161,6 +161,20 @@ def context_attach(spark, d):
     return ev.select(F.col("messageId").alias("message_id"), "device_id", *flatten_context(F.col("context")))
 
 
+@query
+def context_asof(spark, d):
+    """CTX1 (as-of form): context from the latest snapshot at or before each event."""
+    from eventloom.operators.context import attach_context_asof, device_contexts
+
+    ev = attach_context_asof(pipeline.events(spark, d), device_contexts(adapters.device_snapshot_versions(spark, d)))
+    return ev.select(
+        F.col("messageId").alias("message_id"), "device_id",
+        F.col("context.app.version").alias("app_version"), F.col("context.app.build").alias("app_build"),
+        F.col("context.device.model").alias("device_model"),
+        F.col("context.device.advertisingId").alias("device_advertising_id"),
+    )
+
+
 def _snap_ctx(spark, d):
     from eventloom.operators.context import device_contexts
 

@@ -640,3 +640,14 @@ SELECT count(*) AS n_people, count(identified_seq) AS n_identified, count(conver
        count(*) FILTER (WHERE converted_seq > identified_seq) AS n_converted_after_identify
 FROM per""",
 })
+
+
+ORACLE["context_asof"] = BASE_ALL + """,
+snapv AS (
+  SELECT device_id, TIMESTAMP '2023-12-31 00:00:00' AS snapshot_ts, app_version, app_build, device_model FROM snap
+  UNION ALL
+  SELECT device_id, TIMESTAMP '2024-01-15 00:00:00', '3.0.0', '300', device_model FROM snap WHERE device_id % 4 = 1
+)
+SELECT e.message_id, e.device_id, s.app_version, s.app_build, s.device_model,
+       CASE WHEN s.device_id IS NOT NULL THEN e.advertising_id_state END AS device_advertising_id
+FROM ev e ASOF LEFT JOIN snapv s ON e.device_id = s.device_id AND e.ts >= s.snapshot_ts"""

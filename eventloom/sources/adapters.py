@@ -207,6 +207,27 @@ def device_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SNAPSHOT_BASE_TS = "2023-12-31 00:00:00"
+SNAPSHOT_UPGRADE_TS = "2024-01-15 00:00:00"
+
+
+@plan
+def device_snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time-stamped device snapshots: every device reports at
+    ``SNAPSHOT_BASE_TS``; devices with ``device_id % 4 = 1`` report again at
+    ``SNAPSHOT_UPGRADE_TS`` after an app upgrade (version ``3.0.0``, build
+    ``300``)."""
+    s = device_snapshots(spark, sf_dir)
+    base = s.withColumn("snapshot_ts", F.to_timestamp(F.lit(SNAPSHOT_BASE_TS)))
+    upgraded = (
+        s.filter(F.col("device_id") % 4 == 1)
+        .withColumn("app_version", F.lit("3.0.0"))
+        .withColumn("app_build", F.lit("300"))
+        .withColumn("snapshot_ts", F.to_timestamp(F.lit(SNAPSHOT_UPGRADE_TS)))
+    )
+    return base.unionByName(upgraded)
+
+
 @plan
 def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``settings`` from ``customer``: one configured client per customer.
