@@ -59,6 +59,18 @@ def enriched_events(spark, d):
     )
 
 
+@query
+def active_events(spark, d):
+    """SRC1 → FLT1 → IDN → ENV: enriched events of calls made while the client
+    was not disabled by a fatal answer (a dropped identify sets nothing)."""
+    ev = pipeline.events(spark, d, drop_disabled=True)
+    return ev.select(
+        F.col("messageId").alias("message_id"), "device_id", "seq", "type",
+        F.col("userId").alias("user_id"), F.col("anonymousId").alias("anonymous_id"),
+        F.col("groupId").alias("group_id"), F.col("advertising_id_state").alias("advertising_id"),
+    )
+
+
 @query
 def identity_asof(spark, d):
     """IDN1: user and group id as of every call."""

@@ -651,3 +651,24 @@ snapv AS (
 SELECT e.message_id, e.device_id, s.app_version, s.app_build, s.device_model,
        CASE WHEN s.device_id IS NOT NULL THEN e.advertising_id_state END AS device_advertising_id
 FROM ev e ASOF LEFT JOIN snapv s ON e.device_id = s.device_id AND e.ts >= s.snapshot_ts"""
+
+
+KEPT = """
+merged_k AS (
+  SELECT device_id, ts AS t, 1 AS src, seq, call FROM calls
+  UNION ALL
+  SELECT device_id, attempt_ts AS t, 0 AS src, NULL AS seq, NULL AS call FROM attempts WHERE status IN (401, 403, 404)
+),
+flagged_k AS (
+  SELECT *, last_value(CASE WHEN src = 0 THEN 1 WHEN call = 'reset' THEN 0 END IGNORE NULLS)
+    OVER (PARTITION BY device_id ORDER BY t, src, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS off
+  FROM merged_k
+),
+kept AS (
+  SELECT c.* FROM calls c JOIN flagged_k f ON c.device_id = f.device_id AND c.seq = f.seq
+  WHERE f.src = 1 AND coalesce(f.off, 0) = 0
+)"""
+
+ORACLE["active_events"] = with_(CALLS, ATTEMPTS, KEPT, IDENTITY.replace("  FROM calls\n  WINDOW w", "  FROM kept\n  WINDOW w"), EVENTS) + """
+SELECT message_id, device_id, seq, type, ev_user_id AS user_id, anonymous_id, group_state AS group_id,
+       advertising_id_state AS advertising_id FROM ev"""

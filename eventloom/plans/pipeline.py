@@ -13,7 +13,7 @@ from eventloom.operators.context import attach_context, device_contexts
 from eventloom.operators.envelope import build_events
 from eventloom.operators.identity import disabled_drop, identity_asof
 from eventloom.plans.memo import plan
-from eventloom.plans.scan import DEFAULT_WIDTH
+from eventloom.plans.scan import DEFAULT_WIDTH, cut
 from eventloom.sources import adapters
 
 
@@ -25,7 +25,10 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def identity(spark: SparkSession, sf_dir: str, *, drop_disabled: bool = False, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     c = adapters.calls(spark, sf_dir)
     if drop_disabled:
-        c = disabled_drop(c, adapters.attempts(spark, sf_dir), width=width)
+        # The kept calls feed several branches of the identity passes: write
+        # them once (checkpoint in spark.checkpoint.dir) instead of replaying
+        # the disabled filter in every branch.
+        c = cut(disabled_drop(c, adapters.attempts(spark, sf_dir), width=width))
     return identity_asof(c, width=width)
 
 
