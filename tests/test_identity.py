@@ -133,3 +133,27 @@ def test_alias_option_and_custom_ids(spark):
     assert coded[2] == (None,) and documented[2] == ("u-new",)
     ev = build_events(identity_asof(c).withColumn("mid", F.lit("1-550E8400-E29B-41D4-A716-446655440000")), message_id_col="mid")
     assert {r.messageId for r in ev.collect()} == {"1-550E8400-E29B-41D4-A716-446655440000"}
+
+
+def test_null_as_string_option(spark):
+    c = calls(spark, [(1, "track", "x", None, None, None, '{"a":null,"b":1}')])
+    keep = build_events(identity_asof(c)).select(F.to_json("properties").alias("j")).first().j
+    text = build_events(identity_asof(c), null_as_string=True).select(F.to_json("properties").alias("j")).first().j
+    assert keep == '{"a":null,"b":1}'
+    assert text == '{"a":"null","b":1}'
+
+
+def test_journey_links_pre_and_post(spark):
+    from eventloom.operators.journeys import funnel, journeys
+
+    c = calls(spark, [
+        (1, "track", "browse", None, None, None, None),
+        (2, "alias", None, "u9", None, None, None),
+        (3, "identify", None, "u9", None, None, None),
+        (4, "track", "purchase", None, None, None, None),
+    ])
+    j = journeys(build_events(identity_asof(c)))
+    got = {r.seq: (r.person_id, r.phase) for r in j.collect()}
+    assert got == {1: ("u9", "pre"), 2: ("u9", "post"), 3: ("u9", "post"), 4: ("u9", "post")}
+    f = funnel(j).first()
+    assert (f.n_people, f.n_identified, f.n_converted, f.n_converted_after_identify) == (1, 1, 1, 1)
