@@ -66,10 +66,6 @@ def device_model(model_code: Column) -> Column:
     return F.coalesce(F.element_at(_model_map(), model_code), model_code)
 
 
-def _is_mac_app(idiom: Column) -> Column:
-    return F.coalesce(idiom == "mac", F.lit(False))
-
-
 def device_type(idiom: Column, on_mac: Column) -> Column:
     """CTX3: phone/pad → ios, tv → tv, carPlay → car, native Mac → macos,
     any other idiom → macos when the app runs on a Mac, else unknown."""
@@ -83,7 +79,7 @@ def device_type(idiom: Column, on_mac: Column) -> Column:
     )
 
 
-def app_context(s: DataFrame | None = None) -> Column:
+def app_context() -> Column:
     """CTX4: display name, else bundle name, else ``Unknown``; others ``unknown``."""
     return F.struct(
         F.coalesce(F.col("display_name"), F.col("bundle_name"), F.lit("Unknown")).alias("name"),

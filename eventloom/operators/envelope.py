@@ -19,7 +19,6 @@ from eventloom.functions.times import event_time
 
 # ---- fixed values: event kinds ----------------------------------------------
 EVENT_TYPES = ["track", "identify", "group", "screen", "page", "alias"]
-CALL_KINDS = EVENT_TYPES + ["initialize", "enableDebugLogging", "flush", "reset", "setAdvertisingId", "clearAdvertisingId"]
 # ----------------------------------------------------------------------------
 
 PROPS = T.MapType(T.StringType(), T.VariantType())
@@ -90,12 +89,6 @@ def build_events(ident: DataFrame, *, null_as_string: bool = False, message_id_c
     )
 
 
-ENVELOPE_FIELDS = [
-    "type", "event", "userId", "anonymousId", "groupId", "properties", "traits",
-    "integrations", "timestamp", "writeKey", "messageId", "context", "sentAt",
-]
-
-
 def envelope(events: DataFrame, sent_at: Column | None = None) -> Column:
     """ENV7: the enriched payload as one struct, fields in wire order."""
     return F.struct(

@@ -23,7 +23,6 @@ MODEL_CODES = ["iPhone16,2", "iPhone17,1", "iPad14,3", "x86_64", "iPhone99,9", "
 IDIOMS = ["phone", "pad", "tv", "carPlay", "mac", "unspecified"]
 LOCALES = ["en_US", "de_DE", "fr_FR", "ja_JP"]
 TIMEZONES = ["America/New_York", "Europe/Berlin", "Europe/Paris", "Asia/Tokyo"]
-SYSTEM_NAMES = {"phone": "iOS", "pad": "iPadOS", "tv": "tvOS", "carPlay": "iOS", "mac": "macOS", "unspecified": "iOS"}
 ATTEMPT_EPOCH_SECONDS = 1704067200  # 2024-01-01T00:00:00Z
 # ----------------------------------------------------------------------------
 

@@ -68,3 +68,22 @@ def _newest(snapshots: DataFrame) -> DataFrame:
     cols = [c for c in snapshots.columns if c not in ("write_key", "device_id")]
     g = snapshots.groupBy("write_key", "device_id").agg(F.max_by(F.struct(*cols), F.col("last_seq")).alias("s"))
     return g.select("write_key", "device_id", *[F.col(f"s.{c}").alias(c) for c in cols])
+
+
+def start_enrichment_stream(
+    spark: SparkSession,
+    calls_path: str,
+    out_dir: str,
+    checkpoint_dir: str,
+    *,
+    flush_interval: str = FLUSH_INTERVAL,
+    max_files_per_trigger: int = 1,
+    available_now: bool = False,
+):
+    """STR1-STR3 wired together: bounded intake of call files → keyed identity
+    state → envelopes → request bodies written per micro-batch, every
+    ``flush_interval`` (or once over all available input)."""
+    events = enriched_stream(call_stream(spark, calls_path, max_files_per_trigger))
+    writer = events.writeStream.foreachBatch(batch_sink(out_dir)).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush_interval)
+    return writer.start()

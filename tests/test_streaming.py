@@ -119,3 +119,19 @@ def test_snapshot_sink_versions(spark, sf_small):
     got = sorted(tuple(r) for r in spark.read.parquet(f"{out}/version=1").select("device_id", "last_seq", "user_id").collect())
     want = sorted(tuple(r) for r in identity_snapshot(ident).select("device_id", "last_seq", "user_id").collect())
     assert got == want
+
+
+def test_enrichment_stream_end_to_end(spark, sf_small):
+    from eventloom.streaming.sinks import start_enrichment_stream
+
+    root = tempfile.mkdtemp(prefix="eventloom-e2e-")
+    calls = adapters.calls(spark, sf_small)
+    _write_parts(calls, root, parts=2)
+    out = tempfile.mkdtemp(prefix="eventloom-e2e-out-")
+    q = start_enrichment_stream(spark, root, out, tempfile.mkdtemp(prefix="eventloom-e2e-ck-"), available_now=True)
+    q.awaitTermination(300)
+    bodies = spark.read.text(out + "/*")
+    parsed = bodies.select(F.explode(F.from_json("value", "batch array<struct<messageId: string>>")["batch"]).alias("e"))
+    n_events = calls.filter(F.col("call").isin("track", "identify", "group", "screen", "page", "alias")).count()
+    assert parsed.count() == n_events
+    assert parsed.select("e.messageId").distinct().count() == n_events
