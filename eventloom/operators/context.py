@@ -124,21 +124,24 @@ def screen_context() -> Column:
     return F.struct(density.cast("double").alias("density"), width.cast("bigint").alias("width"), height.cast("bigint").alias("height"))
 
 
-def device_contexts(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIBRARY) -> DataFrame:
-    """CTX1-CTX8: one context struct per snapshot row (advertising id filled
-    later); ``snapshot_ts`` is kept when present."""
+def _with_system_name(snapshots: DataFrame) -> DataFrame:
     idiom = F.col("idiom")
-    with_sys = snapshots.withColumn(
+    return snapshots.withColumn(
         "system_name",
         F.when(idiom == "pad", "iPadOS").when(idiom == "tv", "tvOS").when(idiom == "mac", "macOS").otherwise("iOS"),
     )
+
+
+def context_struct(library: tuple[str, str] = DEFAULT_LIBRARY) -> Column:
+    """CTX1-CTX8: the context struct of one snapshot row (advertising id filled later)."""
+    idiom = F.col("idiom")
     model = (
         F.when(idiom.isNull(), F.lit("unknown"))
         .when(idiom == "mac", F.col("model_code"))
         .otherwise(device_model(F.col("model_code")))
     )
     dev_name = F.when(idiom.isNull(), F.lit("unknown")).otherwise(F.col("device_name"))
-    ctx = F.struct(
+    return F.struct(
         app_context().alias("app"),
         F.struct(
             F.lit(MANUFACTURER).alias("manufacturer"),
@@ -155,8 +158,17 @@ def device_contexts(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIB
         F.col("timezone").alias("timezone"),
         F.create_map().cast("map<string,variant>").alias("additional"),
     )
+
+
+def with_context(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIBRARY) -> DataFrame:
+    """Snapshot rows with their context struct added (a projection)."""
+    return _with_system_name(snapshots).withColumn("context", context_struct(library))
+
+
+def device_contexts(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIBRARY) -> DataFrame:
+    """One context struct per snapshot row; ``snapshot_ts`` is kept when present."""
     extra = ["snapshot_ts"] if "snapshot_ts" in snapshots.columns else []
-    return with_sys.select("device_id", *extra, ctx.alias("context"))
+    return with_context(snapshots, library).select("device_id", *extra, "context")
 
 
 def attach_context(events: DataFrame, contexts: DataFrame, adid_col: str = "advertising_id_state") -> DataFrame:

@@ -188,10 +188,9 @@ def context_asof(spark, d):
 
 
 def _snap_ctx(spark, d):
-    from eventloom.operators.context import device_contexts
+    from eventloom.operators.context import with_context
 
-    s = adapters.device_snapshots(spark, d)
-    return s.join(device_contexts(s), "device_id")
+    return with_context(adapters.device_snapshots(spark, d))
 
 
 @query
