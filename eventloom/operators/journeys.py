@@ -20,8 +20,16 @@ def first_links(events: DataFrame) -> DataFrame:
 
 
 def journeys(events: DataFrame) -> DataFrame:
-    """XT1: ``person_id`` and phase (``pre``/``post`` the link, ``none``)."""
-    j = events.join(first_links(events), F.col("anonymousId") == F.col("__anon"), "left")
+    """XT1: ``person_id`` and phase (``pre``/``post`` the link, ``none``).
+
+    Events with the anonymous id ``unknown`` (before ``initialize``) can never
+    match a link and would all hash to one join partition, so they bypass the
+    join and are added back with a union.
+    """
+    known = events.filter(F.col("anonymousId") != "unknown")
+    unknown = events.filter(~(F.col("anonymousId") != "unknown") | F.col("anonymousId").isNull())
+    linked = known.join(first_links(events), F.col("anonymousId") == F.col("__anon"), "left")
+    j = linked.unionByName(unknown, allowMissingColumns=True)
     person = F.coalesce(F.col("__linked_user"), F.col("userId"), F.col("anonymousId"))
     phase = F.when(F.col("__link_seq").isNull(), "none").when(F.col("seq") < F.col("__link_seq"), "pre").otherwise("post")
     return j.withColumn("person_id", person).withColumn("phase", phase).drop("__anon", "__linked_user", "__link_seq")
