@@ -10,10 +10,12 @@ holds a third of the data would then run in a single task.
 values in two levels:
 
 0. chunking: a per-key count (partial aggregation, one row per key) finds the
-   keys with more than ``hot_rows`` rows. There are at most
-   ``total_rows / hot_rows`` of them, so that table has a proven size bound
-   and is broadcast. Each hot key is cut into chunks of about ``target_rows``
-   rows by ranges of its first order column; every other key is one chunk;
+   keys with more than ``hot_rows`` rows. A small job first asks only whether
+   any exists; if none does, a plain per-key window is exact and the steps
+   below are skipped. There are at most ``total_rows / hot_rows`` hot keys, so
+   their table has a proven size bound and is broadcast. Each hot key is cut
+   into chunks of about ``target_rows`` rows by ranges of its first order
+   column; every other key is one chunk;
 1. a window per ``(key, chunk)`` gives the in-chunk running value;
 2. a per-chunk summary (partial aggregation, so only one row per chunk is
    shuffled) gives each chunk's total, and a window over the summaries gives the
@@ -46,6 +48,7 @@ HOT_ROWS = 4_000_000
 TARGET_ROWS = 1_000_000
 
 _CK = "__chunk"
+_PLAIN = "__no_hot_keys"
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -83,24 +86,38 @@ def running(
     if not last and not total:
         return df
 
-    if chunk is None and width == 0:
+    def plain(frame: DataFrame, mark: bool) -> DataFrame:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         cols = {n: F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
         cols.update({n: F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
-        return df.withColumns(cols).drop(_CK) if not keep_chunk else df.withColumns(cols)
+        out = frame.withColumns(cols).drop(_CK)
+        if mark and keep_chunk:
+            return out if _PLAIN in out.columns else out.withColumn(_PLAIN, F.lit(True))
+        return out.drop(_PLAIN)
+
+    if chunk is None and width == 0:
+        return plain(df, mark=False)
 
     adaptive = False
     if chunk is not None:
         d = df.withColumn(_CK, chunk)
+    elif _PLAIN in df.columns and width is None:
+        return plain(df, mark=True)  # an earlier pass found no hot key
     elif _CK in df.columns:
         d = df
         adaptive = width is None
     elif width:
         d = df.withColumn(_CK, F.floor(_numeric(df, order[0]) / F.lit(width)))
     else:
-        d = _hot_key_chunks(
+        stats = _hot_key_stats(
             df, by, order[0], HOT_ROWS if hot_rows is None else hot_rows, TARGET_ROWS if target_rows is None else target_rows
         )
+        # One small aggregate job decides the layout; only a boolean reaches
+        # the driver. Without a hot key a plain per-key window is exact and
+        # reads the input once.
+        if stats.isEmpty():
+            return plain(df, mark=True)
+        d = _hot_key_chunks(df, by, order[0], stats)
         adaptive = True
     # Adaptive chunks are -1 for keys that are not split: a single chunk has
     # nothing to carry, so only split keys go through the summary path.
@@ -128,7 +145,7 @@ def running(
     joined = local.join(carry, on=[*by, _CK], how="left")
     final = {n: F.coalesce(F.col(f"__l_{n}"), F.col(f"__cl_{n}")) for n in last}
     final.update({n: F.col(f"__t_{n}") + F.coalesce(F.col(f"__ct_{n}"), F.lit(0)) for n in total})
-    keep = [c for c in df.columns if c not in final and c != _CK]
+    keep = [c for c in df.columns if c not in final and c not in (_CK, _PLAIN)]
     if keep_chunk:
         keep.append(_CK)
     return joined.select(*keep, *[e.alias(n) for n, e in final.items()])
@@ -156,7 +173,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def drop_chunk(df: DataFrame) -> DataFrame:
-    return df.drop(_CK)
+    return df.drop(_CK, _PLAIN)
 
 
 def _numeric(df: DataFrame, col: str) -> Column:
@@ -168,21 +185,26 @@ def _numeric(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("bigint")
 
 
-def _hot_key_chunks(df: DataFrame, by: list[str], first_order: str, hot_rows: int, target_rows: int) -> DataFrame:
-    """Add the chunk column: ranges of ~``target_rows`` rows for hot keys, 0 otherwise."""
+def _hot_key_stats(df: DataFrame, by: list[str], first_order: str, hot_rows: int, target_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, with their range start and the
+    range width that cuts them into chunks of about ``target_rows`` rows.
+    At most ``total rows / hot_rows`` keys qualify: a proven size bound."""
     pos = _numeric(df, first_order)
     stats = (
         df.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"), F.max(pos).alias("__hi"))
         .filter(F.col("__n") > hot_rows)
     )
-    # Range width so that a key of n rows spread evenly gets n / target_rows chunks.
     pieces = F.ceil(F.col("__n") / F.lit(target_rows))
-    stats = stats.select(
+    return stats.select(
         *by, "__lo", F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) / pieces)).cast("bigint").alias("__w")
     )
-    # At most (total rows / hot_rows) keys qualify: a proven bound for the broadcast.
-    j = df.join(F.broadcast(stats), on=by, how="left")
+
+
+def _hot_key_chunks(df: DataFrame, by: list[str], first_order: str, stats: DataFrame) -> DataFrame:
+    """Add the chunk column: ranges for hot keys, -1 for all other keys."""
+    pos = _numeric(df, first_order)
+    j = df.join(F.broadcast(stats), on=by, how="left")  # bounded: see _hot_key_stats
     ck = F.when(F.col("__w").isNotNull(), F.floor((pos - F.col("__lo")) / F.col("__w"))).otherwise(F.lit(-1)).cast("bigint")
     return j.withColumn(_CK, ck).drop("__lo", "__w")
 
