@@ -3,7 +3,9 @@
 Counts shuffles, broadcasts, window operators and scans in the plan Spark
 would run (AQE may still coalesce partitions or switch joins at runtime), and
 lists the columns each parquet scan reads.
-Usage: python scripts/plan_report.py [sf_dir] > docs/plans.md
+Usage: python scripts/plan_report.py [sf_dir] [--force-hot] > docs/plans.md
+``--force-hot`` lowers the hot-key threshold so every device is split and the
+two-level (chunked) plans are shown.
 """
 
 from __future__ import annotations
@@ -19,10 +21,17 @@ from eventloom.session import local_session  # noqa: E402
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    force_hot = "--force-hot" in sys.argv
+    if force_hot:
+        import eventloom.plans.scan as scan
+
+        scan.HOT_ROWS, scan.TARGET_ROWS = 20, 10
     spark = local_session(cpus=4)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    print("# Physical plans of the registered queries\n")
+    title = "with every device treated as hot (two-level chunked plans)" if force_hot else "as planned for the data"
+    print(f"## Physical plans of the registered queries, {title}\n")
     print(f"Input `{sf_dir}`, AQE off so the static plan is shown. `shuffles` counts hash/range")
     print("exchanges (reused ones separately), `bcast` broadcast exchanges, `windows` Window")
     print("operators, `sortagg` sort-based aggregates. Scans list the columns read (ReadSchema).\n")
