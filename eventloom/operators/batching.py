@@ -83,15 +83,17 @@ def batch_assign(
     interval: str = FLUSH_INTERVAL,
     max_batch: int = MAX_BATCH,
     width: int | None = DEFAULT_WIDTH,
+    extra_keys: Sequence[str] = (),
 ) -> DataFrame:
     """BUF4: FIFO chunks of at most ``max_batch`` per key and flush window.
 
     Adds ``flush_start`` (window start), ``batch_no`` and ``batch_pos`` (from 0)
     and a ``batch_id`` text. The key is a parameter: per device like the
     reference, or e.g. ``write_key`` for a shared job (the flush window keeps a
-    hot write key spread over many groups).
+    hot write key spread over many groups). ``extra_keys`` adds boundaries,
+    e.g. ``flush_epoch`` so no batch spans an explicit ``flush`` call.
     """
-    keys = _keys(key)
+    keys = _keys(key) + list(extra_keys)
     e = events.withColumn("flush_start", flush_window(F.col("ts"), interval))
     e = running(e, [*keys, "flush_start"], "seq", total={"__rn": F.lit(1)}, width=width)
     e = e.withColumn("batch_no", F.floor((F.col("__rn") - 1) / max_batch).cast("bigint")).withColumn(

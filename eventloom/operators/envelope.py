@@ -85,7 +85,7 @@ def build_events(ident: DataFrame, *, null_as_string: bool = False, message_id_c
         (F.coalesce(F.col(message_id_col), message_id(F.col("ts"), F.col("device_id"), F.col("seq")))
          if message_id_col else message_id(F.col("ts"), F.col("device_id"), F.col("seq"))).alias("messageId"),
         props_ok.alias("props_ok"),
-        *[c for c in ("epoch", "initialized", "advertising_id_state", "consent_state") if c in ident.columns],
+        *[c for c in ("epoch", "flush_epoch", "initialized", "advertising_id_state", "consent_state") if c in ident.columns],
     )
 
 

@@ -35,8 +35,10 @@ def _blank(c):
 def identity_asof(
     calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_adid: bool = True, alias_sets_user: bool = False
 ) -> DataFrame:
-    """IDN1, IDN2, IDN5: add ``epoch, initialized, user_state, group_state,
-    anonymous_id`` and (``with_adid``) ``advertising_id_state, consent_state``.
+    """IDN1, IDN2, IDN5: add ``epoch, flush_epoch, initialized, user_state,
+    group_state, anonymous_id`` and (``with_adid``) ``advertising_id_state,
+    consent_state``. ``flush_epoch`` counts explicit ``flush`` calls so far
+    (a flush drains the queue, so batches never span one).
 
     ``alias`` only emits an event; with ``alias_sets_user=True`` it also sets
     the user id like ``identify`` (the documented, not the coded, behaviour).
@@ -53,7 +55,7 @@ def identity_asof(
             "__g": F.when(is_reset, _null_struct()).when(call == "group", F.struct(F.col("group_id").alias("v"))),
             "__m": F.when(is_reset, F.lit(False)).when(call == "initialize", F.lit(True)),
         },
-        total={"epoch": is_reset.cast("bigint")},
+        total={"epoch": is_reset.cast("bigint"), "flush_epoch": (call == "flush").cast("bigint")},
         width=width,
         keep_chunk=with_adid,
     )

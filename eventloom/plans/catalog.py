@@ -444,6 +444,19 @@ def batch_assign(spark, d):
     )
 
 
+@query
+def device_batches(spark, d):
+    """BUF4 as in the client: per device, 10-second flush windows, never across
+    an explicit flush call, at most 100 events per request."""
+    from eventloom.operators.batching import batch_assign as ba
+
+    b = ba(pipeline.events(spark, d), key="device_id", extra_keys=["flush_epoch"])
+    return b.select(
+        F.col("messageId").alias("message_id"), "device_id", "seq", F.unix_seconds("flush_start").alias("flush_start_s"),
+        "flush_epoch", "batch_no", "batch_pos",
+    )
+
+
 @query
 def drain_front(spark, d):
     """BUF5: first 10 queued events per device."""

@@ -60,6 +60,7 @@ IDENTITY = f"""
 idn1 AS (
   SELECT *,
     CAST(sum(CASE WHEN call = 'reset' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS epoch,
+    CAST(sum(CASE WHEN call = 'flush' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS flush_epoch,
     last_value(CASE WHEN call = 'reset' THEN {{'v': NULL::VARCHAR}} WHEN call = 'identify' THEN {{'v': user_id}} END IGNORE NULLS) OVER w AS u_s,
     last_value(CASE WHEN call = 'reset' THEN {{'v': NULL::VARCHAR}} WHEN call = 'group' THEN {{'v': group_id}} END IGNORE NULLS) OVER w AS g_s,
     last_value(CASE WHEN call = 'reset' THEN false WHEN call = 'initialize' THEN true END IGNORE NULLS) OVER w AS m_s
@@ -672,3 +673,13 @@ kept AS (
 ORACLE["active_events"] = with_(CALLS, ATTEMPTS, KEPT, IDENTITY.replace("  FROM calls\n  WINDOW w", "  FROM kept\n  WINDOW w"), EVENTS) + """
 SELECT message_id, device_id, seq, type, ev_user_id AS user_id, anonymous_id, group_state AS group_id,
        advertising_id_state AS advertising_id FROM ev"""
+
+
+ORACLE["device_batches"] = BASE + """,
+db AS (
+  SELECT *, epoch_us(ts) // 10000000 * 10 AS flush_start_s,
+         row_number() OVER (PARTITION BY device_id, epoch_us(ts) // 10000000 * 10, flush_epoch ORDER BY seq) AS rn
+  FROM ev
+)
+SELECT message_id, device_id, seq, flush_start_s, flush_epoch, (rn - 1) // 100 AS batch_no, (rn - 1) % 100 AS batch_pos
+FROM db"""
