@@ -199,3 +199,44 @@ def pipeline_status(
         F.coalesce("n_open_breakers", F.lit(0)).alias("n_open_breakers"),
         "host_clean", "flush_interval_seconds", "max_queue_events", "settings_valid",
     )
+
+
+def device_status(
+    ident: DataFrame,
+    attempts: DataFrame,
+    pending: DataFrame,
+    breaker_log: DataFrame,
+    settings: DataFrame,
+) -> DataFrame:
+    """DLV7 per client: the client's debug information as of its last call.
+
+    ``lifecycle`` is ``disabled`` after a fatal answer not followed by a
+    ``reset``, else ``ready`` when initialized, else ``idle``; the queue length
+    counts undelivered events; the circuit state is the breaker state after the
+    last attempt. Every input is reduced to one row per device (partial
+    aggregates) before the joins.
+    """
+    last = ident.groupBy("write_key", "device_id").agg(
+        F.max_by(
+            F.struct(
+                F.col("initialized"), F.col("anonymous_id"), F.col("user_state").alias("user_id"),
+                F.col("group_state").alias("group_id"),
+            ),
+            F.col("seq"),
+        ).alias("s"),
+        F.max(F.when(F.col("call") == "reset", F.col("ts"))).alias("last_reset_ts"),
+    )
+    fatal = attempts.filter(F.col("status").isin(*FATAL)).groupBy("device_id").agg(F.max("attempt_ts").alias("last_fatal_ts"))
+    queue = pending.groupBy("device_id").agg(F.count(F.lit(1)).alias("queue_length"))
+    circuit = breaker_log.groupBy("device_id").agg(F.max_by("breaker_state", "seq").alias("circuit_state"))
+    s = settings.select("write_key", "flush_interval_seconds", "max_queue_events")
+    out = last.join(fatal, "device_id", "left").join(queue, "device_id", "left").join(circuit, "device_id", "left").join(s, "write_key", "left")
+    disabled = F.col("last_fatal_ts").isNotNull() & (F.col("last_reset_ts").isNull() | (F.col("last_fatal_ts") >= F.col("last_reset_ts")))
+    lifecycle = F.when(disabled, "disabled").when(F.col("s.initialized"), "ready").otherwise("idle")
+    return out.select(
+        "write_key", mask_key(F.col("write_key")).alias("masked_key"), "device_id", lifecycle.alias("lifecycle"),
+        F.coalesce("queue_length", F.lit(0)).alias("queue_length"),
+        F.coalesce("circuit_state", F.lit("closed")).alias("circuit_state"),
+        F.col("s.anonymous_id").alias("anonymous_id"), F.col("s.user_id").alias("user_id"), F.col("s.group_id").alias("group_id"),
+        "flush_interval_seconds", "max_queue_events",
+    )

@@ -620,6 +620,21 @@ def pipeline_status(spark, d):
     )
 
 
+@query
+def device_status(spark, d):
+    """DLV7 per client: lifecycle, queue length, circuit state, identity, settings."""
+    from eventloom.operators.delivery import device_status as ds
+    from eventloom.sources.settings import settings_check as check
+
+    return ds(
+        pipeline.identity(spark, d),
+        adapters.attempts(spark, d),
+        _pending(spark, d),
+        pipeline.breaker_log(spark, d),
+        check(adapters.settings(spark, d)),
+    )
+
+
 # ---- repeated deliveries and journeys --------------------------------------------------
 
 

@@ -683,3 +683,26 @@ db AS (
 )
 SELECT message_id, device_id, seq, flush_start_s, flush_epoch, (rn - 1) // 100 AS batch_no, (rn - 1) % 100 AS batch_pos
 FROM db"""
+
+
+ORACLE["device_status"] = with_(CALLS, IDENTITY, EVENTS, ATTEMPTS, BREAKER) + "," + BATCHES + "," + PENDING + "," + SETTINGS_CHECKED + """,
+lastrow AS (
+  SELECT write_key, device_id, initialized, anonymous_id, user_state AS user_id, group_state AS group_id FROM ident
+  QUALIFY row_number() OVER (PARTITION BY write_key, device_id ORDER BY seq DESC) = 1
+),
+lastc AS (
+  SELECT r.*, x.last_reset_ts FROM lastrow r JOIN (
+    SELECT write_key, device_id, max(CASE WHEN call = 'reset' THEN ts END) AS last_reset_ts FROM ident GROUP BY write_key, device_id
+  ) x ON r.write_key = x.write_key AND r.device_id = x.device_id
+),
+fat AS (SELECT device_id, max(attempt_ts) AS last_fatal_ts FROM attempts WHERE status IN (401, 403, 404) GROUP BY device_id),
+que AS (SELECT device_id, count(*) AS queue_length FROM pending GROUP BY device_id),
+cir AS (SELECT device_id, arg_max(breaker_state, seq) AS circuit_state FROM brk GROUP BY device_id)
+SELECT l.write_key, CASE WHEN length(l.write_key) > 4 THEN '***' || right(l.write_key, 4) ELSE '***' END AS masked_key,
+  l.device_id,
+  CASE WHEN f.last_fatal_ts IS NOT NULL AND (l.last_reset_ts IS NULL OR f.last_fatal_ts >= l.last_reset_ts) THEN 'disabled'
+       WHEN l.initialized THEN 'ready' ELSE 'idle' END AS lifecycle,
+  coalesce(q.queue_length, 0) AS queue_length, coalesce(c.circuit_state, 'closed') AS circuit_state,
+  l.anonymous_id, l.user_id, l.group_id, s.flush_interval_seconds, s.max_queue_events
+FROM lastc l LEFT JOIN fat f ON l.device_id = f.device_id LEFT JOIN que q ON l.device_id = q.device_id
+LEFT JOIN cir c ON l.device_id = c.device_id LEFT JOIN settings_ok s ON l.write_key = s.write_key"""
