@@ -41,13 +41,18 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; pick a scratch one only if unset."""
+    """Return the shared checkpoint folder named by the cluster
+    (``spark.checkpoint.dir``). Only a local-mode session without one (tests,
+    single-machine runs) gets a scratch folder; on a cluster a machine-local
+    folder would not survive executor loss, so it must be configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an object store)")
     path = tempfile.mkdtemp(prefix="eventloom-ckpt-")
     sc.setCheckpointDir(path)
     return path
