@@ -87,3 +87,11 @@ def test_operators_under_adaptive_chunking(spark, sf_small, monkeypatch):
     monkeypatch.setattr(scan, "TARGET_ROWS", 7)
     assert sorted(tuple(r) for r in identity_asof(calls).select(*cols).collect()) == base
     assert sorted(tuple(r) for r in breaker(att).select(*bcols).collect()) == bbase
+
+
+def test_no_hot_key_gives_a_plain_window(spark):
+    df = _frame(spark)
+    out = running(df, "k", "seq", total={"n": F.lit(1)}, hot_rows=10_000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__chunk" not in plan and "BroadcastExchange" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
