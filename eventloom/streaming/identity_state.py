@@ -32,14 +32,14 @@ CALL_COLUMNS = [
 ]
 STATE_COLUMNS = [
     "epoch long", "initialized boolean", "user_state string", "group_state string",
-    "advertising_id_state string", "consent_state string", "late boolean",
+    "advertising_id_state string", "consent_state string", "flush_epoch long", "late boolean",
 ]
 OUTPUT_SCHEMA = ", ".join(CALL_COLUMNS + STATE_COLUMNS)
 _CALL_NAMES = [c.split()[0] for c in CALL_COLUMNS]
 _STATE_NAMES = [c.split()[0] for c in STATE_COLUMNS]
 STATE_SCHEMA = (
     "last_seq long, epoch long, initialized boolean, user_state string, group_state string, "
-    "advertising_id_state string, consent_state string"
+    "advertising_id_state string, consent_state string, flush_epoch long"
 )
 
 
@@ -49,12 +49,14 @@ def _blank(text: str) -> bool:
 
 
 def _fresh() -> list:
-    return [-(2**63), 0, True, None, None, None, "unknown"]
+    return [-(2**63), 0, True, None, None, None, "unknown", 0]
 
 
 def _step(state: list, call: str, user_id, group_id, adid) -> None:
-    """Apply one call to ``[last_seq, epoch, initialized, user, group, adid, consent]``."""
-    if call == "reset":
+    """Apply one call to ``[last_seq, epoch, initialized, user, group, adid, consent, flushes]``."""
+    if call == "flush":
+        state[7] += 1
+    elif call == "reset":
         state[1] += 1
         state[2] = False
         state[3] = state[4] = state[5] = None
@@ -86,11 +88,11 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
         gid = None if pd.isna(gid) else gid
         adid = None if pd.isna(adid) else adid
         if seq <= st[0]:
-            rows.append((None, None, None, None, None, None, True))
+            rows.append((None, None, None, None, None, None, None, True))
             continue
         _step(st, call, uid, gid, adid)
         st[0] = seq
-        rows.append((st[1], st[2], st[3], st[4], st[5], st[6], False))
+        rows.append((st[1], st[2], st[3], st[4], st[5], st[6], st[7], False))
     state.update(tuple(st))
     out = pd.concat([pdf[_CALL_NAMES], pd.DataFrame(rows, columns=_STATE_NAMES)], axis=1)
     yield out

@@ -13,7 +13,10 @@ from eventloom.streaming.dedup import dedup_messages, dedup_stream
 from eventloom.streaming.identity_state import identity_stream
 from eventloom.streaming.sinks import batch_sink, call_stream, enriched_stream
 
-COLS = ["device_id", "seq", "epoch", "initialized", "user_state", "group_state", "anonymous_id", "advertising_id_state", "consent_state"]
+COLS = [
+    "device_id", "seq", "epoch", "flush_epoch", "initialized", "user_state", "group_state", "anonymous_id",
+    "advertising_id_state", "consent_state",
+]
 
 
 def _write_parts(calls, root, parts=4):
