@@ -138,3 +138,19 @@ def test_enrichment_stream_end_to_end(spark, sf_small):
     n_events = calls.filter(F.col("call").isin("track", "identify", "group", "screen", "page", "alias")).count()
     assert parsed.count() == n_events
     assert parsed.select("e.messageId").distinct().count() == n_events
+
+
+def test_read_json_call_log_with_quarantine(spark):
+    from eventloom.sources.logs import read_calls
+
+    root = tempfile.mkdtemp(prefix="eventloom-json-")
+    with open(f"{root}/calls.json", "w") as f:
+        f.write('{"write_key":"wk","device_id":1,"seq":1,"ts":"2024-01-01T00:00:00Z","call":"track","name":"a"}\n')
+        f.write('{"write_key":"wk","device_id":1,"seq":2,"ts":"2024-01-01T00:00:01Z","call":"identify","user_id":"u1"}\n')
+        f.write('{not json\n')
+    ok, bad = read_calls(spark, root, fmt="json")
+    ok.cache()
+    assert sorted(r.seq for r in ok.collect()) == [1, 2]
+    assert bad.count() == 1
+    ident = identity_asof(ok)
+    assert {r.seq: r.user_state for r in ident.collect()} == {1: None, 2: "u1"}
