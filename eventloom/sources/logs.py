@@ -2,6 +2,8 @@
 
 Schemas are fixed (no inference). JSON is read PERMISSIVE with a corrupt-record
 column, so malformed lines go to a quarantine frame instead of failing the job.
+Write the quarantine (or read it with its columns); Spark refuses a query that
+reads only the corrupt-record column, such as a bare ``count()``.
 """
 
 from __future__ import annotations
