@@ -159,14 +159,17 @@ def fatal_clients(attempts: DataFrame) -> DataFrame:
     )
 
 
-def undelivered(batched: DataFrame, acknowledged: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
+def undelivered(
+    batched: DataFrame, acknowledged: DataFrame, width: int | None = DEFAULT_WIDTH, hot_from: DataFrame | None = None
+) -> DataFrame:
     """DLV6: events sent or created but never acknowledged, in queue order.
 
     ``acknowledged`` holds the ``messageId`` of acknowledged batch members;
     the anti join shuffles both sides on the id (no broadcast: both grow).
+    ``hot_from`` (e.g. the call log) lets the hot-device check skip the join.
     """
     left = batched.join(acknowledged.select("messageId").distinct(), "messageId", "left_anti")
-    return running(left, "device_id", "seq", total={"queue_pos": F.lit(1)}, width=width)
+    return running(left, "device_id", "seq", total={"queue_pos": F.lit(1)}, width=width, hot_from=hot_from)
 
 
 def pipeline_status(

@@ -594,7 +594,7 @@ def _pending(spark, d):
 
     b = _batched(spark, d)
     acked = b.filter(_acked(b)).select("messageId")
-    return und(b, acked)
+    return und(b, acked, hot_from=adapters.calls(spark, d))
 
 
 @query

@@ -67,6 +67,7 @@ def running(
     hot_rows: int | None = None,
     target_rows: int | None = None,
     keep_chunk: bool = False,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add running columns over the rows of each ``by`` group in ``order``.
 
@@ -78,6 +79,11 @@ def running(
     Chained passes share one layout: with ``keep_chunk=True`` the chunk column
     stays in the output, and a later pass over the same rows reuses it, so the
     rows stay partitioned by ``(key, chunk)`` and are not shuffled again.
+
+    ``hot_from`` names a cheaper frame with the same key and order columns
+    whose rows include those of ``df`` (e.g. the raw call log for a filtered
+    derivative): hot keys are found there, since a key cannot be hotter in a
+    subset, and the possibly costly upstream of ``df`` is not run for the check.
     """
     by = _names(by)
     order = _names(order)
@@ -110,7 +116,8 @@ def running(
         d = df.withColumn(_CK, F.floor(_numeric(df, order[0]) / F.lit(width)))
     else:
         stats = _hot_key_stats(
-            df, by, order[0], HOT_ROWS if hot_rows is None else hot_rows, TARGET_ROWS if target_rows is None else target_rows
+            hot_from if hot_from is not None else df, by, order[0],
+            HOT_ROWS if hot_rows is None else hot_rows, TARGET_ROWS if target_rows is None else target_rows,
         )
         # One small aggregate job decides the layout; only a boolean reaches
         # the driver. Without a hot key a plain per-key window is exact and

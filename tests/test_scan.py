@@ -95,3 +95,16 @@ def test_no_hot_key_gives_a_plain_window(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "__chunk" not in plan and "BroadcastExchange" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_keys_found_on_a_superset(spark):
+    df = _frame(spark)
+    sub = df.filter("x > 0")
+    expected = _brute([tuple(r) for r in sub.collect()])
+    out = running(
+        sub, "k", "seq",
+        last={"lv": F.col("v"), "ls": F.when(F.col("x") == 0, F.struct(F.col("v").alias("v")))},
+        total={"t": F.col("x"), "n": F.lit(1)},
+        hot_rows=200, target_rows=50, hot_from=df,
+    ).select("k", "seq", "lv", F.col("ls.v").alias("lsv"), "t", "n")
+    assert {(r.k, r.seq): (r.lv, r.lsv, r.t, r.n) for r in out.collect()} == expected
