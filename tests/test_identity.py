@@ -157,3 +157,13 @@ def test_journey_links_pre_and_post(spark):
     assert got == {1: ("u9", "pre"), 2: ("u9", "post"), 3: ("u9", "post"), 4: ("u9", "post")}
     f = funnel(j).first()
     assert (f.n_people, f.n_identified, f.n_converted, f.n_converted_after_identify) == (1, 1, 1, 1)
+
+
+def test_identity_edge_ids(spark):
+    c = calls(spark, [
+        (1, "identify", None, "用户-ü-✓ <&>", None, None, None),
+        (2, "group", None, None, "grüppe/1", None, None),
+        (3, "track", "x", None, None, None, None),
+    ])
+    i = by_seq(identity_asof(c), "user_state", "group_state")
+    assert i[3] == ("用户-ü-✓ <&>", "grüppe/1")

@@ -40,3 +40,21 @@ def test_whole_map_or_nothing(spark):
     df = spark.createDataFrame([('{"a":1,"b":',), ("[1,2]",), ('{"a":{"b":[1,{"c":null}]}}',), (None,)], "j string")
     got = [r.ok for r in df.select(parse_object(F.col("j")).isNotNull().alias("ok")).collect()]
     assert got == [False, False, True, False]
+
+
+def test_edge_values(spark):
+    """Emoji, empty string, zero, negative and large numbers keep their kinds."""
+    df = spark.createDataFrame(
+        [('{"emoji":"🎉","empty":"","zero":0,"neg":-42,"big":999999999999,"neg_d":-0.5,"nested":{"a":[1,{"b":null}]}}',)],
+        "j string",
+    )
+    m = parse_object(F.col("j"))
+    keys = ["emoji", "empty", "zero", "neg", "big", "neg_d", "nested"]
+    tags = df.select(*[value_tag(F.element_at(m, k)).alias(k) for k in keys]).first().asDict()
+    assert tags == {"emoji": "string", "empty": "string", "zero": "int", "neg": "int", "big": "int", "neg_d": "double", "nested": "object"}
+    r = df.select(
+        as_string(F.element_at(m, "emoji")).alias("e"), as_int(F.element_at(m, "big")).alias("b"),
+        as_int(F.element_at(m, "neg")).alias("n"), F.to_json(F.element_at(m, "nested")).alias("nested"),
+    ).first()
+    assert (r.e, r.b, r.n) == ("🎉", 999999999999, -42)
+    assert r.nested == '{"a":[1,{"b":null}]}'
