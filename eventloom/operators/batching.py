@@ -184,3 +184,52 @@ def size_batches(
     out = ok.join(chosen, key, "left").withColumn("batch_size", F.coalesce(F.col("batch_size"), F.lit(1)))
     out = out.withColumn("batch_no", F.floor((F.col("__rn") - 1) / F.col("batch_size")).cast("bigint")).drop("__rn")
     return out, quarantine
+
+
+def size_batches_exact(
+    sized: DataFrame,
+    max_bytes: int,
+    key: str = "device_id",
+    sizes: Sequence[int] = BATCH_HALVING,
+    width: int | None = DEFAULT_WIDTH,
+) -> tuple[DataFrame, DataFrame]:
+    """BUF7, replayed step by step: the size in force starts at 100; a batch
+    whose body does not fit halves it (the same events are retried); the size
+    never grows back; at size 1 an event that does not fit alone is dropped.
+
+    The size only takes the few values of ``sizes``, so the replay runs level
+    by level: for each level, a per-key aggregate finds the first batch that
+    does not fit, which is where the next, smaller level starts. Each level is
+    one aggregation over the narrow ``(key, seq, bytes)`` rows joined to one
+    row per key, and the per-key starts are checkpointed after each level so
+    the plan stays linear. Returns (sent rows with ``level``, ``batch_size`` and
+    ``batch_no``, dropped rows).
+    """
+    body = lambda total, n: F.lit(12) + total + n - 1
+    rows = cut(running(sized.select(key, "seq", "bytes"), key, "seq", total={"rn": F.lit(1)}, width=width))
+    starts = rows.groupBy(key).agg(F.lit(1).cast("bigint").alias("a0"))
+    for i, s in enumerate(sizes[:-1]):
+        a = F.col(f"a{i}")
+        level = rows.join(starts.select(key, a.alias("__a")), key).filter(F.col("__a").isNotNull() & (F.col("rn") >= F.col("__a")))
+        level = level.withColumn("__c", F.floor((F.col("rn") - F.col("__a")) / s))
+        chunks = level.groupBy(key, "__c").agg(body(F.sum("bytes"), F.count(F.lit(1))).alias("__body"))
+        fail = chunks.groupBy(key).agg(F.min(F.when(F.col("__body") > max_bytes, F.col("__c"))).alias("__fail"))
+        # One row per key; cut lineage so each level plans only its own pass.
+        starts = cut(
+            starts.join(fail, key, "left")
+            .withColumn(f"a{i + 1}", F.when(F.col("__fail").isNotNull(), a + F.col("__fail") * s))
+            .drop("__fail")
+        )
+    last = len(sizes) - 1
+    j = rows.join(starts, key)
+    lvl = None
+    for i in range(last, -1, -1):
+        cond = F.col(f"a{i}").isNotNull() & (F.col("rn") >= F.col(f"a{i}"))
+        lvl = F.when(cond, F.lit(i)) if lvl is None else lvl.when(cond, F.lit(i))
+    j = j.withColumn("level", lvl)
+    size_col = F.element_at(F.array(*[F.lit(s) for s in sizes]), F.col("level") + 1)
+    start_col = F.element_at(F.array(*[F.col(f"a{i}") for i in range(len(sizes))]), F.col("level") + 1)
+    j = j.withColumn("batch_size", size_col).withColumn("batch_no", F.floor((F.col("rn") - start_col) / size_col).cast("bigint"))
+    dropped = (F.col("level") == last) & (body(F.col("bytes"), F.lit(1)) > max_bytes)
+    cols = [key, "seq", "bytes", "level", "batch_size", "batch_no"]
+    return j.filter(~dropped).select(*cols), j.filter(dropped).select(key, "seq", "bytes")

@@ -503,6 +503,25 @@ def size_batches(spark, d):
     )
 
 
+@query
+def size_batches_exact(spark, d):
+    """BUF7 replayed step by step (halving on 413, drop at size 1) under a
+    4000-byte body limit; no SQL oracle, checked against a step-by-step
+    simulation in the tests."""
+    from eventloom.operators.batching import size_batches_exact as sbe
+    from eventloom.operators.envelope import envelope, to_event_json
+
+    ev = pipeline.events(spark, d, with_context=True)
+    sized = ev.select("device_id", "seq", F.octet_length(to_event_json(envelope(ev))).alias("bytes"))
+    sent, dropped = sbe(sized, 4000)
+    return sent.select("device_id", "seq", "bytes", "level", "batch_size", "batch_no").unionByName(
+        dropped.select(
+            "device_id", "seq", "bytes", F.lit(None).cast("int").alias("level"),
+            F.lit(None).cast("int").alias("batch_size"), F.lit(None).cast("bigint").alias("batch_no"),
+        )
+    )
+
+
 @query
 def flush_windows(spark, d):
     """BUF8: events per device and 10-second flush window, requests needed."""

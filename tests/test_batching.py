@@ -81,3 +81,46 @@ def test_size_batches_brute_force(spark):
         if any(12 + b <= 3000 for _, b in rows):
             assert chosen[d] == brute_size(rows, 3000), d
     assert quarantine.count() == sum(1 for rows in data.values() for _, b in rows if 12 + b > 3000)
+
+
+def brute_sequential(rows, max_bytes, sizes=(100, 50, 25, 12, 6, 3, 1)):
+    """Step-by-step dispatcher: returns {seq: (level, batch_no)} and dropped seqs."""
+    out, dropped = {}, []
+    level, pos, start = 0, 0, 0
+    while pos < len(rows):
+        s = sizes[level]
+        chunk = rows[pos:pos + s]
+        fits = 12 + sum(b for _, b in chunk) + len(chunk) - 1 <= max_bytes
+        if fits:
+            for seq, _ in chunk:
+                out[seq] = (level, (pos - start) // s)
+            pos += len(chunk)
+        elif level < len(sizes) - 1:
+            level += 1
+            start = pos
+        else:
+            dropped.append(chunk[0][0])
+            pos += 1
+    return out, dropped
+
+
+def test_size_batches_exact_replay(spark):
+    rnd = random.Random(11)
+    data = {}
+    for d in range(10):
+        n = rnd.randrange(1, 400)
+        data[d] = [(i, rnd.choice([rnd.randrange(20, 60)] * 8 + [rnd.randrange(200, 900), rnd.randrange(2000, 4000)])) for i in range(n)]
+    df = spark.createDataFrame([(d, s, b) for d, rows in data.items() for s, b in rows], "device_id long, seq long, bytes long")
+    from eventloom.operators.batching import size_batches_exact
+
+    for width in (None, 16):
+        sent, dropped = size_batches_exact(df, 3000, width=width)
+        got = {(r.device_id, r.seq): (r.level, r.batch_no) for r in sent.collect()}
+        got_dropped = sorted((r.device_id, r.seq) for r in dropped.collect())
+        want, want_dropped = {}, []
+        for d, rows in data.items():
+            o, dr = brute_sequential(rows, 3000)
+            want.update({(d, s): v for s, v in o.items()})
+            want_dropped += [(d, s) for s in dr]
+        assert got == want
+        assert got_dropped == sorted(want_dropped)
