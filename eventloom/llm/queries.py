@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.common import read_table
+from eventloom.llm.decontaminate import CONTAMINATION_SQL, contamination
 from eventloom.llm.near_dedup import near_duplicates
 
 
@@ -14,5 +15,9 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op4_near_dedup,)}
-ORACLE: dict[str, str] = {}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op4_near_dedup, op9_decontamination)}
+ORACLE: dict[str, str] = {"op9_decontamination": CONTAMINATION_SQL}
