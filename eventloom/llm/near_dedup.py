@@ -17,7 +17,8 @@ nothing beyond its half keys. A large bucket is never expanded into pairs:
    with similarity of at least t share one of their ``floor((1 - t) * n) + 1``
    rarest shingles, whatever the order, so the members of those buckets meet by
    these prefix shingles: some rounds against one pivot per shingle, then all
-   pairs of different components that still share one.
+   pairs of different components that still share one early enough in the
+   order for the needed overlap.
 """
 
 from __future__ import annotations
@@ -151,15 +152,15 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``(node, n, shingle)``: of the rarest shingles of each set, among the
-    given sets, those that some other set has too."""
+    """``(node, n, at, shingle)``: of the rarest shingles of each set, among the
+    given sets, those that some other set has too; ``at``: place in that order."""
     one = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     freq = one.groupBy("shingle").agg(F.count("*").alias("freq"))
     ordered = (one.join(freq, "shingle").groupBy("node", "n")
                .agg(F.sort_array(F.collect_list(F.struct("freq", "shingle"))).alias("s")))
     width = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
-    return (ordered.select("node", "n", F.explode(F.slice("s", F.lit(1), width)).alias("s"))
-            .where("s.freq > 1").select("node", "n", F.col("s.shingle").alias("shingle")))
+    return (ordered.select("node", "n", F.posexplode(F.slice("s", F.lit(1), width)).alias("at", "s"))
+            .where("s.freq > 1").select("node", "n", "at", F.col("s.shingle").alias("shingle")))
 
 
 def near_duplicates(
@@ -208,23 +209,26 @@ def near_duplicates(
     unsettled = tables.join(open_keys, "key", "left_semi").select("node").distinct()
     prefixes = keep(_prefixes(sets.join(unsettled, "node", "left_semi"), percent), "prefixes")
     tested = pairs
-    alike = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    # Sizes, and what can still be common if this shingle is the first common one.
+    alike = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (
+        (100 + percent) * F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at2")) >= percent * (F.col("n") + F.col("m")))
     for turn in range(pivot_rounds + 1):
         now = prefixes.join(labels, "node")
         mixed = now.groupBy("shingle").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min_by(F.struct("node", "n", "comp"), F.xxhash64("node", F.lit(turn))).alias("pivot")).where("low < high")
+            F.min_by(F.struct("node", "n", "at", "comp"), F.xxhash64("node", F.lit(turn))).alias("pivot")).where("low < high")
         if turn < pivot_rounds:
             found = (now.join(mixed.select("shingle", "pivot"), "shingle").where("comp <> pivot.comp")
-                     .withColumn("m", F.col("pivot.n")).where(alike)
+                     .withColumn("m", F.col("pivot.n")).withColumn("at2", F.col("pivot.at")).where(alike)
                      .select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")))
         else:
             # The largest component of a shingle stays on one side only.
             sizes = (now.join(mixed.select("shingle"), "shingle", "left_semi").groupBy("shingle", "comp")
                      .agg(F.count("*").alias("c")).groupBy("shingle").agg(F.max_by("comp", "c").alias("most")))
             here = now.join(sizes, "shingle")
-            minor = here.where("comp <> most").select("shingle", "node", "comp", "n")
-            other = here.select("shingle", F.col("node").alias("other"), F.col("comp").alias("comp2"), F.col("n").alias("m"))
+            minor = here.where("comp <> most").select("shingle", "node", "comp", "n", "at")
+            other = here.select("shingle", F.col("node").alias("other"), F.col("comp").alias("comp2"),
+                                F.col("n").alias("m"), F.col("at").alias("at2"))
             found = (minor.join(other, "shingle").where("comp <> comp2").where(alike)
                      .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
         fresh = keep(found.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
