@@ -1,15 +1,77 @@
-"""Training-text pipeline: documents in, packed sequences out."""
+"""Training-text pipeline: documents in, packed sequences out.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the one
+before it kept; its result is written as Parquet and read again as the next
+one's ``docs``. All but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventloom.llm.common import keep
+from eventloom.llm.decontaminate import contamination
+from eventloom.llm.near_dedup import near_duplicates
+from eventloom.llm.packing import pack
+from eventloom.llm.quality import score_quality
+from eventloom.llm.secrets import redact_secrets
+
+#: Similarity in per cent from which documents count as near duplicates here.
+NEAR_PERCENT = 80
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the doc_ids of ``dropped``."""
+    ids = dropped.select(F.col("doc_id").alias("dropped_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["dropped_id"]), "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. Rows that share a doc_id go
+    only if each of them is rejected."""
+    scored = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rejected = scored.groupBy("doc_id").agg(F.max("predicted").alias("best")).where("best = 0")
+    return _without(docs, rejected)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the smallest
+    doc_id, and of several rows with it one. Empty texts are no duplicates of
+    each other."""
+    result = keep(near_duplicates(docs, percent=NEAR_PERCENT), "groups")
+    kept = _without(docs, result.where("NOT kept"))
+    return kept.dropDuplicates(["doc_id", "text"])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return _without(docs, contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the texts; every document stays."""
+    return redact_secrets(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequences and places."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality", quality), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("secrets", secrets), ("packing", packing),
+]
 
-STAGES: list = []
+#: Learned rules, similarity links and token ids have no SQL; the tests hold
+#: every stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = keep(docs, name)
     return docs

@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from eventloom.llm.common import read_table
 from eventloom.llm.decontaminate import CONTAMINATION_SQL, contamination
 from eventloom.llm.near_dedup import near_duplicates
+from eventloom.llm.packing import pack
 from eventloom.llm.quality import score_quality
 from eventloom.llm.secrets import find_secrets
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -29,5 +34,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op4_near_dedup, op9_decontamination, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op4_near_dedup, op9_decontamination, op10_secrets)}
 ORACLE: dict[str, str] = {"op9_decontamination": CONTAMINATION_SQL}
