@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import keep
+from eventloom.llm.common import keep, sized
 from eventloom.llm.decontaminate import contamination
 from eventloom.llm.near_dedup import near_duplicates
 from eventloom.llm.packing import pack
@@ -23,7 +23,7 @@ NEAR_PERCENT = 80
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` without the doc_ids of ``dropped``."""
-    ids = dropped.select(F.col("doc_id").alias("dropped_id")).distinct()
+    ids = sized(keep(dropped.select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped"))
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["dropped_id"]), "left_anti")
 
 
@@ -39,9 +39,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the smallest
     doc_id, and of several rows with it one. Empty texts are no duplicates of
     each other."""
-    result = keep(near_duplicates(docs, percent=NEAR_PERCENT), "groups")
-    kept = _without(docs, result.where("NOT kept"))
-    return kept.dropDuplicates(["doc_id", "text"])
+    kept = _without(docs, near_duplicates(docs, percent=NEAR_PERCENT).where("NOT kept"))
+    several = keep(kept.groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id"), "several")
+    if several.isEmpty():
+        return kept
+    again = kept.join(several, kept["doc_id"].eqNullSafe(several["doc_id"]), "left_semi")
+    return _without(kept, several).unionByName(again.dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

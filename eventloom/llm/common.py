@@ -35,6 +35,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a table is sent to all executors (some tens of bytes a
+#: row); larger ones are joined by a shuffle, with the same result.
+BROADCAST_ROWS = 400_000
+
+
+def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``table``, marked for broadcast if it has at most ``rows`` rows; give a
+    kept table, for it is counted."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 

@@ -16,25 +16,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import keep, lower_ascii
+from eventloom.llm.common import keep, lower_ascii, sized
 
 #: Word separators of the contract: ASCII outside 0-9 and letters.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 RAREST = 3
-#: Rows up to which a table is sent to all executors (some tens of bytes a
-#: row); larger ones are joined by a shuffle, with the same result.
-BROADCAST_ROWS = 200_000
 
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(text.cast("string"), F.lit(""))), NOT_WORD), "")
 
 
-def _sized(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
-
-
 def _documents(docs: DataFrame) -> DataFrame:
     """A row's key is its doc_id with a hash of its text, so rows that share a
     doc_id (or have none) stay apart and equal rows share their result."""
@@ -66,12 +59,12 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sl
     terms = items.select(F.explode(F.array_distinct("words")).alias("word")).distinct()
     corpus = _documents(docs)
     counts = (corpus.select(F.explode(words_of(F.col("text"))).alias("word"))
-              .join(_sized(keep(terms, "terms")), "word").groupBy("word").agg(F.count("*").alias("freq")))
+              .join(sized(keep(terms, "terms")), "word").groupBy("word").agg(F.count("*").alias("freq")))
     counts = keep(counts, "counts")
 
     each = (items.select("item", "length", "words", F.explode("starts").alias("start"))
             .select("item", "start", F.posexplode(F.slice("words", F.col("start") + 1, F.col("length"))).alias("i", "word"))
-            .join(_sized(counts), "word", "left"))
+            .join(sized(counts), "word", "left"))
     picked = (each.groupBy("item", "start")
               .agg(F.sort_array(F.collect_list(F.struct("freq", (F.col("start") + F.col("i")).alias("place"), "word"))).alias("s"))
               .where(F.col("s")[0]["freq"].isNotNull()).withColumn("s", F.slice("s", 1, RAREST)))
@@ -80,7 +73,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sl
                    .select("item", F.col("x.places").alias("place"), F.col("x.rare").alias("word")).distinct(), "lookups")
 
     postings = corpus.select("key", F.posexplode(words_of(F.col("text"))).alias("at", "word"))
-    met = postings.join(_sized(lookups), "word").select("key", "item", "place", (F.col("at") - F.col("place")).alias("diagonal"))
+    met = postings.join(sized(lookups), "word").select("key", "item", "place", (F.col("at") - F.col("place")).alias("diagonal"))
     if slop:
         met = met.withColumn("off", F.explode(F.sequence(F.lit(-slop), F.lit(slop)))).select(
             "key", "item", "place", (F.col("diagonal") + F.col("off")).alias("diagonal"), "off")
@@ -89,16 +82,16 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sl
     diagonals = (met.groupBy("key", "item", "diagonal")
                  .agg(F.collect_set("place").alias("near"), F.collect_set(F.when(F.col("off") == 0, F.col("place"))).alias("exact")))
     by_item = picked.groupBy("item").agg(F.min(F.size("places")).alias("least"), F.collect_list(F.struct("start", "places")).alias("windows"))
-    candidates = (diagonals.join(_sized(keep(by_item, "windows")), "item")
+    candidates = (diagonals.join(sized(keep(by_item, "windows")), "item")
                   .where((F.size("near") >= F.col("least")) & (F.size("exact") > 0))
                   .withColumn("windows", F.filter("windows", lambda w: F.array_contains("exact", w["places"][0])
                               & (F.size(F.array_intersect(w["places"], "near")) == F.size(w["places"]))))
                   .where(F.size("windows") > 0)
                   .select("key", "item", "diagonal", F.col("windows").alias("windows")))
     candidates = keep(candidates, "candidates")
-    per_doc = (candidates.join(_sized(items.select("item", "item_id", "words", "length")), "item")
+    per_doc = (candidates.join(sized(items.select("item", "item_id", "words", "length")), "item")
                .select("key", F.struct("item_id", "words", "length", "diagonal", "windows").alias("c")))
-    ids = _sized(keep(candidates.select("key").distinct(), "keys"))
+    ids = sized(keep(candidates.select("key").distinct(), "keys"))
     texts = corpus.join(ids, "key", "left_semi").select("key", "text").dropDuplicates(["key"])
     seen = (texts.withColumn("found", words_of(F.col("text"))).drop("text")
             .join(per_doc.groupBy("key").agg(F.collect_list("c").alias("c")), "key")
