@@ -10,6 +10,7 @@ from eventloom.llm.decontaminate import CONTAMINATION_SQL, contamination
 from eventloom.llm.near_dedup import near_duplicates
 from eventloom.llm.packing import pack
 from eventloom.llm.quality import score_quality
+from eventloom.llm.rans import round_trip
 from eventloom.llm.secrets import find_secrets
 
 
@@ -21,6 +22,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -34,5 +39,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op4_near_dedup, op9_decontamination, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op9_decontamination, op10_secrets)}
 ORACLE: dict[str, str] = {"op9_decontamination": CONTAMINATION_SQL}
