@@ -12,6 +12,7 @@ from eventloom.llm.packing import pack
 from eventloom.llm.quality import score_quality
 from eventloom.llm.rans import round_trip
 from eventloom.llm.secrets import find_secrets
+from eventloom.llm.topk import TOP_K_SQL, top_k
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -39,5 +45,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op9_decontamination, op10_secrets)}
-ORACLE: dict[str, str] = {"op9_decontamination": CONTAMINATION_SQL}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op8_topk, op9_decontamination, op10_secrets)}
+ORACLE: dict[str, str] = {"op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL}
