@@ -158,8 +158,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     stats = keep(text_statistics(docs), "statistics")
     truth = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold(F.col("doc_id"), 3) != 1)
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
-    sample = (stats.join(truth, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(sample_rows)
-              .select(*STATS, "y").toPandas())
+    marked = keep(stats.join(truth, "doc_id").withColumn("at", F.xxhash64("doc_id")), "labelled")
+    # Only hashes that can be among the smallest are sorted and sent.
+    share = 2 * sample_rows / max(1, marked.count())
+    some = marked if share >= 1 else marked.where(F.col("at") < F.lit(int(-(2**63) + share * 2**64)))
+    sample = some.orderBy("at", "doc_id", *STATS).limit(sample_rows).select(*STATS, "y").toPandas()
     intercept, rules = learn_rules(sample[list(STATS)].to_numpy(float), sample["y"].to_numpy(float))
     return (stats.withColumn("score", compiled(intercept, rules))
             .select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventloom.llm.class_lm import score_texts
 from eventloom.llm.common import read_table
 from eventloom.llm.decontaminate import CONTAMINATION_SQL, contamination
 from eventloom.llm.near_dedup import near_duplicates
@@ -32,6 +33,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 100 = 0"))
@@ -45,5 +50,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op8_topk, op9_decontamination, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op7_class_lm, op8_topk, op9_decontamination, op10_secrets)}
 ORACLE: dict[str, str] = {"op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL}
