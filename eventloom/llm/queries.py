@@ -13,6 +13,7 @@ from eventloom.llm.packing import pack
 from eventloom.llm.quality import score_quality
 from eventloom.llm.rans import round_trip
 from eventloom.llm.secrets import find_secrets
+from eventloom.llm.toxicity import score_toxicity
 from eventloom.llm.topk import TOP_K_SQL, top_k
 
 
@@ -33,6 +34,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(read_table(spark, sf_dir, "documents"))
 
@@ -50,5 +55,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op7_class_lm, op8_topk, op9_decontamination, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op5_toxicity, op7_class_lm, op8_topk, op9_decontamination, op10_secrets)}
 ORACLE: dict[str, str] = {"op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL}
