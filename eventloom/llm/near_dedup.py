@@ -18,7 +18,8 @@ nothing beyond its half keys. A large bucket is never expanded into pairs:
    rarest shingles, whatever the order, so the members of those buckets meet by
    these prefix shingles: some rounds against one pivot per shingle, then all
    pairs of different components that still share one early enough in the
-   order for the needed overlap.
+   order for the needed overlap, and whose parity bitmaps do not already prove
+   too many differing shingles.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from eventloom.llm.components import relabel
 SHINGLE_WORDS = 5
 HALF_ROWS = 4
 HALF_TABLES = 20
+BITMAP_WORDS = 8
 _WORD_CACHE = 400_000
 
 
@@ -73,6 +75,13 @@ def shingle_set(text: str | None, k: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+def parity_bitmap(values: np.ndarray) -> np.ndarray:
+    """Each shingle flips one bit: two bitmaps differ in at most as many bits
+    as the sets differ in shingles."""
+    odd = np.bincount((values >> np.uint64(40)).astype(np.int64) % (64 * BITMAP_WORDS), minlength=64 * BITMAP_WORDS) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240601)
     a = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,7 +123,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the given nodes, recomputed from the text of
+    """``(node, shingles, bits)`` of the given nodes, recomputed from the text of
     each class's first document (sets of all texts would be larger than the
     texts themselves)."""
     wanted = classes.join(nodes, "node").select("node", "hi", "lo", F.col("doc_id").alias("id"))
@@ -127,12 +136,13 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
                  pa.array([int.from_bytes(d[8:], "little", signed=True) for d in digests], pa.int64()),
-                 pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
-                ["hi", "lo", "shingles"])
+                 pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+                 pa.array([parity_bitmap(x) for x in sets], pa.list_(pa.int64()))],
+                ["hi", "lo", "shingles", "bits"])
 
-    found = texts.mapInArrow(recompute, "hi long, lo long, shingles array<long>")
+    found = texts.mapInArrow(recompute, "hi long, lo long, shingles array<long>, bits array<long>")
     return (found.join(wanted.select("node", "hi", "lo"), ["hi", "lo"])
-            .groupBy("node").agg(F.first("shingles").alias("shingles")))
+            .groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("bits").alias("bits")))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -152,7 +162,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``(node, n, at, shingle)``: of the rarest shingles of each set, among the
+    """``(node, n, at, shingle, bits)``: of the rarest shingles of each set, among the
     given sets, those that some other set has too; ``at``: place in that order."""
     one = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     freq = one.groupBy("shingle").agg(F.count("*").alias("freq"))
@@ -160,7 +170,8 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
                .agg(F.sort_array(F.collect_list(F.struct("freq", "shingle"))).alias("s")))
     width = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
     return (ordered.select("node", "n", F.posexplode(F.slice("s", F.lit(1), width)).alias("at", "s"))
-            .where("s.freq > 1").select("node", "n", "at", F.col("s.shingle").alias("shingle")))
+            .where("s.freq > 1").select("node", "n", "at", F.col("s.shingle").alias("shingle"))
+            .join(sets.select("node", "bits"), "node"))
 
 
 def near_duplicates(
@@ -211,24 +222,27 @@ def near_duplicates(
     tested = pairs
     # Sizes, and what can still be common if this shingle is the first common one.
     alike = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (
-        (100 + percent) * F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at2")) >= percent * (F.col("n") + F.col("m")))
+        (100 + percent) * F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at2")) >= percent * (F.col("n") + F.col("m"))) & (
+        (100 + percent) * sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits2")[i])) for i in range(BITMAP_WORDS))
+        <= (100 - percent) * (F.col("n") + F.col("m")))
     for turn in range(pivot_rounds + 1):
         now = prefixes.join(labels, "node")
         mixed = now.groupBy("shingle").agg(
             F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min_by(F.struct("node", "n", "at", "comp"), F.xxhash64("node", F.lit(turn))).alias("pivot")).where("low < high")
+            F.min_by(F.struct("node", "n", "at", "comp", "bits"), F.xxhash64("node", F.lit(turn))).alias("pivot")).where("low < high")
         if turn < pivot_rounds:
             found = (now.join(mixed.select("shingle", "pivot"), "shingle").where("comp <> pivot.comp")
-                     .withColumn("m", F.col("pivot.n")).withColumn("at2", F.col("pivot.at")).where(alike)
+                     .withColumn("m", F.col("pivot.n")).withColumn("at2", F.col("pivot.at"))
+                     .withColumn("bits2", F.col("pivot.bits")).where(alike)
                      .select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")))
         else:
             # The largest component of a shingle stays on one side only.
             sizes = (now.join(mixed.select("shingle"), "shingle", "left_semi").groupBy("shingle", "comp")
                      .agg(F.count("*").alias("c")).groupBy("shingle").agg(F.max_by("comp", "c").alias("most")))
             here = now.join(sizes, "shingle")
-            minor = here.where("comp <> most").select("shingle", "node", "comp", "n", "at")
+            minor = here.where("comp <> most").select("shingle", "node", "comp", "n", "at", "bits")
             other = here.select("shingle", F.col("node").alias("other"), F.col("comp").alias("comp2"),
-                                F.col("n").alias("m"), F.col("at").alias("at2"))
+                                F.col("n").alias("m"), F.col("at").alias("at2"), F.col("bits").alias("bits2"))
             found = (minor.join(other, "shingle").where("comp <> comp2").where(alike)
                      .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
         fresh = keep(found.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
