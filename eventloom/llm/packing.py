@@ -203,7 +203,7 @@ def _pack_level(pool: DataFrame, n_blocks: int, level: int, capacity: int, islan
     best = elites.groupBy("block").agg(F.min_by("assignment", F.struct("n_bins", "cost", "assignment")).alias("assignment"))
     placed = items.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(
         _places, "pid long, block long, length long, bin long, offset long, fill long")
-    sequence = ((F.lit(level) * (1 << 30) + F.col("block")) * (1 << 16) + F.col("bin")) * 4
+    sequence = ((F.lit(level).cast("long") * (1 << 30) + F.col("block")) * (1 << 16) + F.col("bin")) * 4
     return keep(placed.withColumn("sequence_id", sequence), "placed")
 
 

@@ -10,13 +10,19 @@ space are encoded whole.
 from __future__ import annotations
 
 import os
+import string
 import struct
 from functools import lru_cache
 
 import numpy as np
 
 END = struct.pack("<I", 0)
-_CACHE_ENTRIES = 300_000
+_CACHE_ENTRIES = 500_000
+#: The byte-level alphabet: printable bytes stand for themselves, the others, in
+#: order, for the characters from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPACE = chr(_ALPHABET[32])
 #: Marks a cut with white space at an end: its text is encoded whole.
 _WHOLE = b"whole"
 
@@ -45,12 +51,20 @@ class Encoder:
         vocab = self._tokenizer.get_vocab()
         self._opens = np.zeros(max(vocab.values()) + 1, bool)
         self._opens[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
+        self._model = self._tokenizer.model
+        self._tails: dict[str, bytes] = {}
         self._known: dict[str, bytes] = {}
         self._heads: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a space and a word of letters, one piece for the model."""
+        piece = word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+        ids = [t.id for t in self._model.tokenize(_SPACE + piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _cuts(self, cuts: list[str]) -> list[bytes]:
         """Ids of each cut after a space, all encoded as one text: the one
         token of a cut that begins with a space is its first."""
@@ -68,20 +82,33 @@ class Encoder:
         known, heads = self._known, self._heads
         cut = [t.split(" ") for t in texts]
         got = [list(map(known.get, c)) for c in cut]
-        holes = [i for i, g in enumerate(got) if None in g]
-        new = {x for i in holes for x, g in zip(cut[i], got[i], strict=True) if g is None}
+        holes = [(c, g, [j for j, x in enumerate(g) if x is None]) for c, g in zip(cut, got, strict=True) if None in g]
+        new = {c[j] for c, _, at in holes for j in at}
         known.update((x, _WHOLE) for x in new if x.strip() != x or not x)
         part: list[str] = []
+        tails = self._tails
         for x in new:
-            if x not in known:
+            if x in known:
+                continue
+            if x.isalpha():
+                known[x] = self._word(x)
+                continue
+            word = x.rstrip(string.punctuation)
+            if word.isalpha():
+                tail = x[len(word) :]
+                if tail not in tails:
+                    tails[tail] = self._whole([tail])[0]
+                known[x] = (known.get(word) or self._word(word)) + tails[tail]
+            else:
                 part.append(x)
                 if len(part) == 8192:
                     known.update(zip(part, self._cuts(part), strict=True))
                     part = []
         if part:
             known.update(zip(part, self._cuts(part), strict=True))
-        for i in holes:
-            got[i] = list(map(known.__getitem__, cut[i]))
+        for c, g, at in holes:
+            for j in at:
+                g[j] = known[c[j]]
         firsts = list({c[0] for c in cut}.difference(heads))
         heads.update(zip(firsts, self._whole(firsts), strict=True))
         out: list[bytes | None] = []
