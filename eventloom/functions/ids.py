@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # "<epoch millis>-<8 hex>-<4 hex>-<4 hex>-<4 hex>-<12 hex>"
 UUID_PATTERN = "[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}"
 MESSAGE_ID_PATTERN = "^[+]?[0-9]+-" + UUID_PATTERN + "$"
-INT64_TEXT = "^[+-]?[0-9]{1,19}$"
+INT64_TEXT = "^[+-]?[0-9]+$"
 # ----------------------------------------------------------------------------
 
 

@@ -18,7 +18,11 @@ from pyspark.sql import functions as F
 TAGS = ["null", "string", "int", "double", "bool", "array", "object"]
 # ----------------------------------------------------------------------------
 
-_INTEGRAL_TYPES = ("TINYINT", "SMALLINT", "INT", "BIGINT")
+#: Kind by the schema's leading word; numbers start as int.
+_KINDS = {
+    "STRING": "string", "BOOLEAN": "bool", "VOID": "null", "ARRAY": "array", "OBJECT": "object",
+    **dict.fromkeys(("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "DECIMAL"), "int"),
+}
 
 
 def parse_object(text: Column) -> Column:
@@ -32,21 +36,15 @@ def is_object_text(text: Column) -> Column:
 
 def value_tag(v: Column) -> Column:
     """VAL2: kind of a VARIANT value (NULL for a missing value)."""
-    s = F.schema_of_variant(v)
+    # The leading word of the schema, looked up: the schema text, which holds a
+    # nested value's whole type, is built once for most kinds.
+    word = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for kv in _KINDS.items() for x in kv]), word)
     as_long = F.try_variant_get(v, "$", "bigint")
     as_double = F.try_variant_get(v, "$", "double")
     integral = as_long.isNotNull() & (as_long.cast("double") == as_double)
-    numeric = s.isin(*_INTEGRAL_TYPES, "FLOAT", "DOUBLE") | s.startswith("DECIMAL")
-    return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(s == "STRING", "string")
-        .when(s.isin(*_INTEGRAL_TYPES), "int")
-        .when(numeric, F.when(integral, F.lit("int")).otherwise(F.lit("double")))
-        .when(s == "BOOLEAN", "bool")
-        .when(s == "VOID", "null")
-        .when(s.startswith("ARRAY"), "array")
-        .when(s.startswith("OBJECT"), "object")
-    )
+    fraction = as_double.isNotNull() & ~F.coalesce(integral, F.lit(False))
+    return F.when(v.isNotNull(), F.when((kind == "int") & fraction, F.lit("double")).otherwise(kind))
 
 
 def _tag(v: Column, tag: Column | None) -> Column:

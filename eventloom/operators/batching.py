@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.times import iso_seconds
-from eventloom.plans.scan import DEFAULT_WIDTH, cut, running
+from eventloom.plans.scan import DEFAULT_WIDTH, running
 
 # ---- fixed values: queue and flush settings -----------------------------------
 QUEUE_CAPACITY = 2000
@@ -152,84 +152,43 @@ def count_windows(events: DataFrame, threshold: int = AUTO_FLUSH_AT, key: str =
     )
 
 
-def size_batches(
-    sized: DataFrame,
-    max_bytes: int,
-    key: str = "device_id",
-    sizes: Sequence[int] = BATCH_HALVING,
-    width: int | None = DEFAULT_WIDTH,
-) -> tuple[DataFrame, DataFrame]:
-    """BUF7: batches that fit a body-size limit.
-
-    ``sized`` has the key, ``seq`` and ``bytes`` (the event's JSON length). Events that
-    do not fit alone go to quarantine. For the rest, each key uses the largest
-    candidate size (halving from 100) at which every chunk's body
-    ``{"batch":[e1,...]}`` fits. Returns (batched rows with ``batch_size`` and
-    ``batch_no``, quarantined rows).
-    """
-    body = lambda total, n: F.lit(12) + total + n - 1  # noqa: E731  {"batch":[ ... ]} and commas
-    # The job reads its input in several branches; keep only the narrow columns
-    # and cut lineage so the upstream enrichment runs once.
-    sized = cut(sized.select(key, "seq", "bytes"))
-    single = body(F.col("bytes"), F.lit(1))
-    quarantine = sized.filter(single > max_bytes)
-    ok = sized.filter(single <= max_bytes)
-    ok = running(ok, key, "seq", total={"__rn": F.lit(1)}, width=width)
-    cand = ok.select(key, "__rn", "bytes", F.explode(F.array(*[F.lit(s) for s in sizes])).alias("cand"))
-    chunks = cand.groupBy(key, "cand", F.floor((F.col("__rn") - 1) / F.col("cand")).alias("chunk")).agg(
-        body(F.sum("bytes"), F.count(F.lit(1))).alias("body_bytes")
-    )
-    fits = chunks.groupBy(key, "cand").agg(F.max("body_bytes").alias("worst")).filter(F.col("worst") <= max_bytes)
-    chosen = fits.groupBy(key).agg(F.max("cand").alias("batch_size"))
-    out = ok.join(chosen, key, "left").withColumn("batch_size", F.coalesce(F.col("batch_size"), F.lit(1)))
-    out = out.withColumn("batch_no", F.floor((F.col("__rn") - 1) / F.col("batch_size")).cast("bigint")).drop("__rn")
-    return out, quarantine
+def stamped_bytes(env: Column, ts: Column) -> Column:
+    """Bytes of an event's JSON as it is sent, with its ``sentAt`` (whose text
+    has the same length for every time)."""
+    return F.octet_length(F.to_json(env.withField("sentAt", iso_seconds(ts)), {"ignoreNullFields": "true"})).cast("bigint")
 
 
-def size_batches_exact(
+def size_batches(
     sized: DataFrame,
     max_bytes: int,
-    key: str = "device_id",
+    key: str | Sequence[str] = "device_id",
+    interval: str = FLUSH_INTERVAL,
     sizes: Sequence[int] = BATCH_HALVING,
     width: int | None = DEFAULT_WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
-    """BUF7, replayed step by step: the size in force starts at 100; a batch
-    whose body does not fit halves it (the same events are retried); the size
-    never grows back; at size 1 an event that does not fit alone is dropped.
-
-    The size only takes the few values of ``sizes``, so the replay runs level
-    by level: for each level, a per-key aggregate finds the first batch that
-    does not fit, which is where the next, smaller level starts. Each level is
-    one aggregation over the narrow ``(key, seq, bytes)`` rows joined to one
-    row per key, and the per-key starts are checkpointed after each level so
-    the plan stays linear. Returns (sent rows with ``level``, ``batch_size`` and
-    ``batch_no``, dropped rows).
-    """
-    body = lambda total, n: F.lit(12) + total + n - 1
-    rows = cut(running(sized.select(key, "seq", "bytes"), key, "seq", total={"rn": F.lit(1)}, width=width))
-    starts = rows.groupBy(key).agg(F.lit(1).cast("bigint").alias("a0"))
-    for i, s in enumerate(sizes[:-1]):
-        a = F.col(f"a{i}")
-        level = rows.join(starts.select(key, a.alias("__a")), key).filter(F.col("__a").isNotNull() & (F.col("rn") >= F.col("__a")))
-        level = level.withColumn("__c", F.floor((F.col("rn") - F.col("__a")) / s))
-        chunks = level.groupBy(key, "__c").agg(body(F.sum("bytes"), F.count(F.lit(1))).alias("__body"))
-        fail = chunks.groupBy(key).agg(F.min(F.when(F.col("__body") > max_bytes, F.col("__c"))).alias("__fail"))
-        # One row per key; cut lineage so each level plans only its own pass.
-        starts = cut(
-            starts.join(fail, key, "left")
-            .withColumn(f"a{i + 1}", F.when(F.col("__fail").isNotNull(), a + F.col("__fail") * s))
-            .drop("__fail")
-        )
-    last = len(sizes) - 1
-    j = rows.join(starts, key)
-    lvl = None
-    for i in range(last, -1, -1):
-        cond = F.col(f"a{i}").isNotNull() & (F.col("rn") >= F.col(f"a{i}"))
-        lvl = F.when(cond, F.lit(i)) if lvl is None else lvl.when(cond, F.lit(i))
-    j = j.withColumn("level", lvl)
-    size_col = F.element_at(F.array(*[F.lit(s) for s in sizes]), F.col("level") + 1)
-    start_col = F.element_at(F.array(*[F.col(f"a{i}") for i in range(len(sizes))]), F.col("level") + 1)
-    j = j.withColumn("batch_size", size_col).withColumn("batch_no", F.floor((F.col("rn") - start_col) / size_col).cast("bigint"))
-    dropped = (F.col("level") == last) & (body(F.col("bytes"), F.lit(1)) > max_bytes)
-    cols = [key, "seq", "bytes", "level", "batch_size", "batch_no"]
-    return j.filter(~dropped).select(*cols), j.filter(dropped).select(key, "seq", "bytes")
+    """BUF7: batches whose body ``{"batch":[e1,...]}`` fits ``max_bytes``.
+
+    ``sized`` has the key, ``seq``, ``ts`` and ``bytes`` (:func:`stamped_bytes`).
+    Events that do not fit alone go to quarantine. The rest is batched as by
+    BUF4, and a batch is cut into pieces of the largest candidate size (halving
+    from its 100) at which each piece fits. A batch is bounded, so its byte
+    counts are one short array. Returns (rows with ``flush_start, batch_no,
+    batch_size, piece``; quarantined rows)."""
+    alone = F.lit(12) + F.col("bytes")
+    quarantine = sized.where(alone > max_bytes)
+    b = batch_assign(sized.where(alone <= max_bytes), key=key, interval=interval, max_batch=sizes[0], width=width)
+    keys = [*_keys(key), "flush_start", "batch_no"]
+    g = b.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("batch_pos", "seq", "bytes"))).alias("rows"))
+
+    def fits(size: int) -> Column:
+        pieces = F.sequence(F.lit(0), F.floor((F.size("rows") - 1) / size).cast("int"))
+        piece = lambda i: F.slice(F.col("rows.bytes"), i * size + 1, F.lit(size))
+        total = lambda i: F.aggregate(piece(i), F.lit(0).cast("bigint"), lambda x, y: x + y)
+        return F.forall(pieces, lambda i: F.lit(11) + total(i) + F.size(piece(i)) <= max_bytes)
+
+    size = F.coalesce(*[F.when(fits(s), F.lit(s)) for s in sizes], F.lit(1))
+    out = g.withColumn("batch_size", size).select(*keys, "batch_size", F.explode("rows").alias("r"))
+    return out.select(
+        *keys, "batch_size", F.col("r.seq").alias("seq"), F.col("r.bytes").alias("bytes"),
+        F.floor(F.col("r.batch_pos") / F.col("batch_size")).cast("bigint").alias("piece"),
+    ), quarantine

@@ -124,14 +124,6 @@ def screen_context() -> Column:
     return F.struct(density.cast("double").alias("density"), width.cast("bigint").alias("width"), height.cast("bigint").alias("height"))
 
 
-def _with_system_name(snapshots: DataFrame) -> DataFrame:
-    idiom = F.col("idiom")
-    return snapshots.withColumn(
-        "system_name",
-        F.when(idiom == "pad", "iPadOS").when(idiom == "tv", "tvOS").when(idiom == "mac", "macOS").otherwise("iOS"),
-    )
-
-
 def context_struct(library: tuple[str, str] = DEFAULT_LIBRARY) -> Column:
     """CTX1-CTX8: the context struct of one snapshot row (advertising id filled later)."""
     idiom = F.col("idiom")
@@ -162,7 +154,7 @@ def context_struct(library: tuple[str, str] = DEFAULT_LIBRARY) -> Column:
 
 def with_context(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIBRARY) -> DataFrame:
     """Snapshot rows with their context struct added (a projection)."""
-    return _with_system_name(snapshots).withColumn("context", context_struct(library))
+    return snapshots.withColumn("context", context_struct(library))
 
 
 def device_contexts(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIBRARY) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.masks import mask_key
 from eventloom.functions.times import retry_after_ms
-from eventloom.plans.scan import DEFAULT_WIDTH, cut, running
+from eventloom.plans.scan import DEFAULT_WIDTH, running
 
 # ---- fixed values: dispatcher and breaker settings ------------------------------
 INITIAL_BATCH = 100
@@ -81,15 +81,13 @@ def delivery_actions(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) ->
 def breaker(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """DLV5: circuit-breaker trips replayed from the log (gaps and islands).
 
-    A closed breaker trips at the 3rd failure in a row; once tripped, every
-    further failure trips it again until a success closes it; a non-retryable
-    answer zeroes the streak without changing state; a fatal answer changes
-    nothing. Cooldown of trip n is ``min(120000, 10000 * 2^(n-1))`` ms with
-    ±20 % jitter, given as bounds. Adds ``outcome, size_in_force, streak, trip,
-    trip_no, cooldown_ms, cooldown_min_ms, cooldown_max_ms, breaker_state``.
-
-    Four dependent running passes share one chunk layout (hot clients stay
-    split); lineage is cut once after the streak passes.
+    A closed breaker trips at the 3rd failure in a row, which zeroes the streak.
+    The next attempt after a trip is a half-open probe: a failure trips again, a
+    success closes, any other answer leaves it half-open. A non-retryable answer
+    zeroes the streak, a fatal one does not. Cooldown of trip n is
+    ``min(120000, 10000 * 2^(n-1))`` ms with ±20 % jitter, given as bounds. Adds
+    ``outcome, size_in_force, streak, trip, trip_no, cooldown_ms,
+    cooldown_min_ms, cooldown_max_ms, breaker_state`` (state after the answer).
     """
     o = F.col("outcome")
     a = attempts.withColumn("outcome", outcome(F.col("status")))
@@ -98,22 +96,21 @@ def breaker(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame
     a = running(
         a, "device_id", "seq",
         total={"__brk": o.isin("success", "nonretry").cast("bigint"), "__n413": is413},
-        width=width, keep_chunk=True,
+        width=width,
     )
     before = F.col("__n413") - F.coalesce(is413, F.lit(0))
     halvings = F.least(before, F.lit(_MAX_SHIFT))
     a = a.withColumn("size_in_force", F.greatest(F.lit(1), (F.lit(INITIAL_BATCH) / F.pow(F.lit(2), halvings)).cast("bigint"))).drop("__n413")
     # Pass 2: failures in a row within the island.
-    a = running(a, ["device_id", "__brk"], "seq", total={"streak": (o == "failure").cast("bigint")}, width=width, keep_chunk=True)
-    a = cut(a)
+    a = running(a, ["device_id", "__brk"], "seq", total={"streak": (o == "failure").cast("bigint")}, width=width)
     # Pass 3: state after the row: success closes (0); the failure that reaches the threshold opens (1).
     a = running(
         a, "device_id", "seq",
         last={"__open": F.when(o == "success", F.lit(0)).when((o == "failure") & (F.col("streak") >= FAILURE_THRESHOLD), F.lit(1))},
-        width=width, keep_chunk=True,
+        width=width,
     )
     is_open = F.coalesce(F.col("__open"), F.lit(0)) == 1
-    a = a.withColumn("trip", (o == "failure") & is_open)
+    a = a.withColumn("trip", (o == "failure") & is_open).withColumn("streak", F.when(is_open, F.lit(0)).otherwise(F.col("streak")).cast("bigint"))
     # Pass 4: trips so far.
     a = running(a, "device_id", "seq", total={"trip_no": F.col("trip").cast("bigint")}, width=width)
     exp = F.least(F.col("trip_no") - 1, F.lit(_MAX_SHIFT))
@@ -123,7 +120,7 @@ def breaker(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame
         a.withColumn("cooldown_ms", F.when(F.col("trip"), base).cast("bigint"))
         .withColumn("cooldown_min_ms", F.when(F.col("trip"), base - jitter).cast("bigint"))
         .withColumn("cooldown_max_ms", F.when(F.col("trip"), base + jitter).cast("bigint"))
-        .withColumn("breaker_state", F.when(is_open, "open").otherwise("closed"))
+        .withColumn("breaker_state", F.when(F.col("trip"), "open").when(is_open, "half_open").otherwise("closed"))
         .drop("__brk", "__open")
     )
 
@@ -160,16 +157,15 @@ def fatal_clients(attempts: DataFrame) -> DataFrame:
 
 
 def undelivered(
-    batched: DataFrame, acknowledged: DataFrame, width: int | None = DEFAULT_WIDTH, hot_from: DataFrame | None = None
+    batched: DataFrame, acknowledged: DataFrame, width: int | None = DEFAULT_WIDTH
 ) -> DataFrame:
     """DLV6: events sent or created but never acknowledged, in queue order.
 
     ``acknowledged`` holds the ``messageId`` of acknowledged batch members;
     the anti join shuffles both sides on the id (no broadcast: both grow).
-    ``hot_from`` (e.g. the call log) lets the hot-device check skip the join.
     """
     left = batched.join(acknowledged.select("messageId").distinct(), "messageId", "left_anti")
-    return running(left, "device_id", "seq", total={"queue_pos": F.lit(1)}, width=width, hot_from=hot_from)
+    return running(left, "device_id", "seq", total={"queue_pos": F.lit(1)}, width=width)
 
 
 def pipeline_status(
@@ -234,7 +230,7 @@ def device_status(
     circuit = breaker_log.groupBy("device_id").agg(F.max_by("breaker_state", "seq").alias("circuit_state"))
     s = settings.select("write_key", "flush_interval_seconds", "max_queue_events")
     out = last.join(fatal, "device_id", "left").join(queue, "device_id", "left").join(circuit, "device_id", "left").join(s, "write_key", "left")
-    disabled = F.col("last_fatal_ts").isNotNull() & (F.col("last_reset_ts").isNull() | (F.col("last_fatal_ts") >= F.col("last_reset_ts")))
+    disabled = F.col("last_fatal_ts").isNotNull() & (F.col("last_reset_ts").isNull() | (F.col("last_fatal_ts") > F.col("last_reset_ts")))
     lifecycle = F.when(disabled, "disabled").when(F.col("s.initialized"), "ready").otherwise("idle")
     return out.select(
         "write_key", mask_key(F.col("write_key")).alias("masked_key"), "device_id", lifecycle.alias("lifecycle"),

@@ -36,15 +36,16 @@ def journeys(events: DataFrame) -> DataFrame:
 
 
 def funnel(journey: DataFrame) -> DataFrame:
-    """XT2: people reaching anonymous → identified → converted (purchase)."""
+    """XT2: people reaching anonymous → identified → converted (purchase). A
+    person may have several devices, so steps are ordered by time: ``seq`` only
+    orders one device's calls."""
     per = journey.groupBy("person_id").agg(
-        F.min("seq").alias("first_seq"),
-        F.min(F.when(F.col("userId").isNotNull(), F.col("seq"))).alias("identified_seq"),
-        F.min(F.when((F.col("type") == "track") & (F.col("event") == "purchase"), F.col("seq"))).alias("converted_seq"),
+        F.min(F.when(F.col("userId").isNotNull(), F.col("ts"))).alias("identified"),
+        F.min(F.when((F.col("type") == "track") & (F.col("event") == "purchase"), F.col("ts"))).alias("converted"),
     )
     return per.agg(
         F.count(F.lit(1)).alias("n_people"),
-        F.count("identified_seq").alias("n_identified"),
-        F.count("converted_seq").alias("n_converted"),
-        F.count(F.when(F.col("converted_seq") > F.col("identified_seq"), 1)).alias("n_converted_after_identify"),
+        F.count("identified").alias("n_identified"),
+        F.count("converted").alias("n_converted"),
+        F.count(F.when(F.col("converted") > F.col("identified"), 1)).alias("n_converted_after_identify"),
     )

@@ -490,36 +490,16 @@ def requeue_merge(spark, d):
 
 @query
 def size_batches(spark, d):
-    """BUF7: batch size per device under a 4000-byte body limit (no SQL oracle:
-    the byte sizes come from Spark's JSON writer)."""
+    """BUF7: batches per device and week under a body limit, sized by a text that
+    both engines build alike (quarantined events have no batch)."""
     from eventloom.operators.batching import size_batches as sb
-    from eventloom.operators.envelope import envelope, to_event_json
-
-    ev = pipeline.events(spark, d, with_context=True)
-    sized = ev.select("device_id", "seq", F.octet_length(to_event_json(envelope(ev))).alias("bytes"))
-    ok, quarantined = sb(sized, 4000)
-    return ok.select("device_id", "seq", "bytes", "batch_size", "batch_no").unionByName(
-        quarantined.select("device_id", "seq", "bytes", F.lit(None).cast("int").alias("batch_size"), F.lit(None).cast("bigint").alias("batch_no"))
-    )
-
-
-@query
-def size_batches_exact(spark, d):
-    """BUF7 replayed step by step (halving on 413, drop at size 1) under a
-    4000-byte body limit; no SQL oracle, checked against a step-by-step
-    simulation in the tests."""
-    from eventloom.operators.batching import size_batches_exact as sbe
-    from eventloom.operators.envelope import envelope, to_event_json
 
-    ev = pipeline.events(spark, d, with_context=True)
-    sized = ev.select("device_id", "seq", F.octet_length(to_event_json(envelope(ev))).alias("bytes"))
-    sent, dropped = sbe(sized, 4000)
-    return sent.select("device_id", "seq", "bytes", "level", "batch_size", "batch_no").unionByName(
-        dropped.select(
-            "device_id", "seq", "bytes", F.lit(None).cast("int").alias("level"),
-            F.lit(None).cast("int").alias("batch_size"), F.lit(None).cast("bigint").alias("batch_no"),
-        )
-    )
+    ev = pipeline.events(spark, d)
+    text = F.concat_ws("|", "messageId", "type", "anonymousId", "userId", F.repeat(F.lit("x"), F.when(F.col("seq") % 50 == 7, 900).otherwise(F.col("seq") % 90)))
+    sized = ev.select("device_id", "seq", "ts", F.octet_length(text).cast("bigint").alias("bytes"))
+    ok, quarantined = sb(sized, 1000, interval=BATCH_INTERVAL)
+    cols = ["device_id", "seq", "bytes", "batch_no", "batch_size", "piece"]
+    return ok.select(*cols).unionByName(quarantined.select("device_id", "seq", "bytes"), allowMissingColumns=True)
 
 
 @query
@@ -613,7 +593,7 @@ def _pending(spark, d):
 
     b = _batched(spark, d)
     acked = b.filter(_acked(b)).select("messageId")
-    return und(b, acked, hot_from=adapters.calls(spark, d))
+    return und(b, acked)
 
 
 @query

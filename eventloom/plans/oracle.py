@@ -200,6 +200,7 @@ snap0 AS (
     CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE '2.' || CAST(c_custkey % 5 AS VARCHAR) || '.0' END AS app_version,
     CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(100 + c_custkey % 50 AS VARCHAR) END AS app_build,
     CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE 'com.example.shop' END AS bundle_id,
+    CASE WHEN c_custkey % 13 = 4 THEN 'visionOS' WHEN c_nationkey % 6 = 1 THEN 'iPadOS' WHEN c_nationkey % 6 = 2 THEN 'tvOS' ELSE 'iOS' END AS system_name,
     '17.' || CAST(c_custkey % 6 AS VARCHAR) AS system_version,
     '14.' || CAST(c_custkey % 6 AS VARCHAR) || '.' || CAST(c_custkey % 3 AS VARCHAR) AS mac_version,
     CASE WHEN c_nationkey % 6 = 4 AND c_custkey % 4 = 0 THEN NULL ELSE 393.0 END AS points_width,
@@ -208,9 +209,9 @@ snap0 AS (
     CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_custkey % 2 = 0 END AS wifi,
     ['en_US', 'de_DE', 'fr_FR', 'ja_JP'][c_nationkey % 4 + 1] AS locale,
     ['America/New_York', 'Europe/Berlin', 'Europe/Paris', 'Asia/Tokyo'][c_nationkey % 4 + 1] AS timezone
-  FROM customer WHERE c_custkey % 11 <> 3
+  FROM customer
 ),
-snap AS (
+snap_all AS (
   SELECT device_id, model_code, idiom, on_mac,
     coalesce(display_name, bundle_name, 'Unknown') AS app_name,
     coalesce(app_version, 'unknown') AS app_version,
@@ -224,7 +225,7 @@ snap AS (
          WHEN idiom = 'mac' THEN 'macos' WHEN idiom IS NOT NULL AND on_mac THEN 'macos' ELSE 'unknown' END AS device_type,
     'eventloom-spark' AS library_name, '1.0.0' AS library_version,
     CASE WHEN idiom IS NULL THEN 'unknown' WHEN idiom = 'mac' THEN 'macOS' WHEN on_mac THEN 'macOS'
-         WHEN idiom = 'pad' THEN 'iPadOS' WHEN idiom = 'tv' THEN 'tvOS' ELSE 'iOS' END AS os_name,
+         ELSE system_name END AS os_name,
     CASE WHEN idiom IS NULL THEN 'unknown' WHEN idiom = 'mac' THEN mac_version ELSE system_version END AS os_version,
     CASE WHEN idiom IS NULL THEN 1.0 WHEN idiom = 'mac' AND points_width IS NULL THEN 2.0 ELSE scale END AS screen_density,
     CASE WHEN idiom IS NULL THEN 0 WHEN idiom = 'mac' AND points_width IS NULL THEN 1920
@@ -233,7 +234,8 @@ snap AS (
          ELSE CAST(trunc(points_height * scale) AS BIGINT) END AS screen_height,
     wifi AS network_wifi, locale, timezone
   FROM snap0
-)"""
+),
+snap AS (SELECT * FROM snap_all WHERE device_id % 11 <> 3)"""
 
 BASE_ALL = with_(CALLS, IDENTITY, EVENTS, ATTEMPTS, SNAP)
 
@@ -296,10 +298,10 @@ SELECT e.message_id, e.device_id, s.app_name, s.app_version, s.app_build, s.app_
 FROM ev e LEFT JOIN snap s ON e.device_id = s.device_id""",
     "device_model": with_(SNAP) + f"""
 SELECT device_id, model_code, {MODEL_CASE_SQL} AS model FROM snap0""",
-    "device_type": with_(SNAP) + "\nSELECT device_id, idiom, on_mac, device_type FROM snap",
-    "app_context": with_(SNAP) + "\nSELECT device_id, app_name, app_version, app_build, app_namespace FROM snap",
-    "os_context": with_(SNAP) + "\nSELECT device_id, os_name, os_version FROM snap",
-    "screen_context": with_(SNAP) + "\nSELECT device_id, screen_width, screen_height, screen_density FROM snap",
+    "device_type": with_(SNAP) + "\nSELECT device_id, idiom, on_mac, device_type FROM snap_all",
+    "app_context": with_(SNAP) + "\nSELECT device_id, app_name, app_version, app_build, app_namespace FROM snap_all",
+    "os_context": with_(SNAP) + "\nSELECT device_id, os_name, os_version FROM snap_all",
+    "screen_context": with_(SNAP) + "\nSELECT device_id, screen_width, screen_height, screen_density FROM snap_all",
     "message_id": BASE + "\nSELECT device_id, seq, message_id FROM ev",
     "event_time": with_(CALLS) + """
 SELECT device_id, seq, coalesce("timestamp", strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS event_time,
@@ -519,7 +521,7 @@ dl5 AS (
 brk AS (
   SELECT *,
     CASE WHEN trip THEN least(120000, CAST(10000 AS BIGINT) << CAST(least(trip_no - 1, 30) AS INTEGER)) END AS cooldown_ms,
-    CASE WHEN is_open THEN 'open' ELSE 'closed' END AS breaker_state
+    CASE WHEN trip THEN 'open' WHEN is_open THEN 'half_open' ELSE 'closed' END AS breaker_state
   FROM dl5
 )"""
 
@@ -583,7 +585,7 @@ SELECT write_key, device_id, min(seq) AS first_fatal_seq, arg_min(status, seq) A
 FROM attempts WHERE status IN (401, 403, 404) GROUP BY write_key, device_id""",
     "batch_size_asof": with_(ATTEMPTS, BREAKER) + "\nSELECT device_id, seq, status, size_in_force, action FROM brk",
     "breaker_trips": with_(ATTEMPTS, BREAKER) + """
-SELECT device_id, seq, status, outcome, streak, trip, trip_no,
+SELECT device_id, seq, status, outcome, CAST(CASE WHEN is_open THEN 0 ELSE streak END AS BIGINT) AS streak, trip, trip_no,
   CAST(cooldown_ms - floor(cooldown_ms * 0.2) AS BIGINT) AS cooldown_min_ms,
   CAST(cooldown_ms + floor(cooldown_ms * 0.2) AS BIGINT) AS cooldown_max_ms, breaker_state
 FROM brk""",
@@ -633,8 +635,8 @@ FROM copies GROUP BY message_id""",
     "funnel": BASE + "," + JOURNEYS + """,
 per AS (
   SELECT person_id, min(seq) AS first_seq,
-    min(CASE WHEN ev_user_id IS NOT NULL THEN seq END) AS identified_seq,
-    min(CASE WHEN type = 'track' AND event = 'purchase' THEN seq END) AS converted_seq
+    min(CASE WHEN ev_user_id IS NOT NULL THEN ts END) AS identified_seq,
+    min(CASE WHEN type = 'track' AND event = 'purchase' THEN ts END) AS converted_seq
   FROM jn GROUP BY person_id
 )
 SELECT count(*) AS n_people, count(identified_seq) AS n_identified, count(converted_seq) AS n_converted,
@@ -700,9 +702,28 @@ que AS (SELECT device_id, count(*) AS queue_length FROM pending GROUP BY device_
 cir AS (SELECT device_id, arg_max(breaker_state, seq) AS circuit_state FROM brk GROUP BY device_id)
 SELECT l.write_key, CASE WHEN length(l.write_key) > 4 THEN '***' || right(l.write_key, 4) ELSE '***' END AS masked_key,
   l.device_id,
-  CASE WHEN f.last_fatal_ts IS NOT NULL AND (l.last_reset_ts IS NULL OR f.last_fatal_ts >= l.last_reset_ts) THEN 'disabled'
+  CASE WHEN f.last_fatal_ts IS NOT NULL AND (l.last_reset_ts IS NULL OR f.last_fatal_ts > l.last_reset_ts) THEN 'disabled'
        WHEN l.initialized THEN 'ready' ELSE 'idle' END AS lifecycle,
   coalesce(q.queue_length, 0) AS queue_length, coalesce(c.circuit_state, 'closed') AS circuit_state,
   l.anonymous_id, l.user_id, l.group_id, s.flush_interval_seconds, s.max_queue_events
 FROM lastc l LEFT JOIN fat f ON l.device_id = f.device_id LEFT JOIN que q ON l.device_id = q.device_id
 LEFT JOIN cir c ON l.device_id = c.device_id LEFT JOIN settings_ok s ON l.write_key = s.write_key"""
+
+ORACLE["size_batches"] = BASE + """,
+sz AS (
+  SELECT device_id, seq, ts, strlen(concat_ws('|', message_id, type, anonymous_id, ev_user_id,
+    repeat('x', CASE WHEN seq % 50 = 7 THEN 900 ELSE seq % 90 END))) AS bytes FROM ev
+),
+pos0 AS (
+  SELECT *, epoch_us(ts) // 604800000000 AS wk, row_number() OVER (PARTITION BY device_id, epoch_us(ts) // 604800000000 ORDER BY seq) - 1 AS rn
+  FROM sz WHERE 12 + bytes <= 1000
+),
+pos AS (SELECT *, rn // 100 AS batch_no, rn % 100 AS batch_pos FROM pos0),
+piece AS (
+  SELECT device_id, wk, batch_no, s, 11 + sum(bytes) + count(*) AS body
+  FROM pos, (VALUES (100), (50), (25), (12), (6), (3), (1)) c(s) GROUP BY device_id, wk, batch_no, s, batch_pos // s
+),
+fit AS (SELECT device_id, wk, batch_no, s FROM piece GROUP BY device_id, wk, batch_no, s HAVING max(body) <= 1000),
+chosen AS (SELECT device_id, wk, batch_no, max(s) AS batch_size FROM fit GROUP BY device_id, wk, batch_no)
+SELECT device_id, seq, bytes, batch_no, batch_size, batch_pos // batch_size AS piece FROM pos JOIN chosen USING (device_id, wk, batch_no)
+UNION ALL SELECT device_id, seq, bytes, NULL, NULL, NULL FROM sz WHERE 12 + bytes > 1000"""

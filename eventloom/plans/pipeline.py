@@ -13,7 +13,7 @@ from eventloom.operators.context import attach_context, device_contexts
 from eventloom.operators.envelope import build_events
 from eventloom.operators.identity import disabled_drop, identity_asof
 from eventloom.plans.memo import plan
-from eventloom.plans.scan import DEFAULT_WIDTH, cut
+from eventloom.plans.scan import DEFAULT_WIDTH
 from eventloom.sources import adapters
 
 
@@ -25,10 +25,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def identity(spark: SparkSession, sf_dir: str, *, drop_disabled: bool = False, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     c = adapters.calls(spark, sf_dir)
     if drop_disabled:
-        # The kept calls feed several branches of the identity passes: write
-        # them once (checkpoint in spark.checkpoint.dir) instead of replaying
-        # the disabled filter in every branch.
-        c = cut(disabled_drop(c, adapters.attempts(spark, sf_dir), width=width))
+        c = disabled_drop(c, adapters.attempts(spark, sf_dir), width=width)
     return identity_asof(c, width=width)
 
 
@@ -36,7 +33,7 @@ def identity(spark: SparkSession, sf_dir: str, *, drop_disabled: bool = False, w
 def events(spark: SparkSession, sf_dir: str, *, with_context: bool = False, **kw) -> DataFrame:
     ev = build_events(identity(spark, sf_dir, **kw))
     if with_context:
-        ev = attach_context(ev, device_contexts(adapters.device_snapshots(spark, sf_dir)))
+        ev = attach_context(ev, device_contexts(adapters.reported_snapshots(spark, sf_dir)))
     return ev
 
 
@@ -58,7 +55,7 @@ def light_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @plan
 def breaker_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DLV5 replay over the attempts log (its lineage cut runs once per session)."""
+    """DLV5 replay over the attempts log (lazy)."""
     from eventloom.operators.delivery import breaker
 
     return breaker(adapters.attempts(spark, sf_dir))

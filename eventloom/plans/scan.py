@@ -1,21 +1,18 @@
-"""Running (prefix) values per key that stay parallel when one key is hot.
+"""Running (prefix) values per key, whole or split along the order.
 
 Most operators of the engine are "state as of this row" questions: the user id
 set by the last ``identify``, the number of ``reset`` rows so far, the number of
-413 answers before this attempt. A plain ``Window.partitionBy(key)`` answers
-them, but puts every row of a key into one task; one device or write key that
-holds a third of the data would then run in a single task.
-
-``running`` splits hot keys into chunks along the order and computes the
-values in two levels:
-
-0. chunking: a per-key count (partial aggregation, one row per key) finds the
-   keys with more than ``hot_rows`` rows. A small job first asks only whether
-   any exists; if none does, a plain per-key window is exact and the steps
-   below are skipped. There are at most ``total_rows / hot_rows`` hot keys, so
-   their table has a proven size bound and is broadcast. Each hot key is cut
-   into chunks of about ``target_rows`` rows by ranges of its first order
-   column; every other key is one chunk;
+413 answers before this attempt. ``running`` answers them with one window per
+key, or with the key split along its order; both give the same rows.
+
+The split is an explicit choice, never taken by looking at the data: by the
+``width`` argument, or for a whole session by ``spark.eventloom.scan.split``
+(``cluster_conf`` sets it). It bounds what one task holds, so that a device or
+write key with a third of all rows runs in parallel, and costs a second read of
+the input. Chunks are cells of a fixed grid on the first order column
+(``SEQ_WIDTH`` numbers or ``TIME_WIDTH_US`` microseconds), so one outlier in the
+order only makes one more chunk:
+
 1. a window per ``(key, chunk)`` gives the in-chunk running value;
 2. a per-chunk summary (partial aggregation, so only one row per chunk is
    shuffled) gives each chunk's total, and a window over the summaries gives the
@@ -29,32 +26,38 @@ Two kinds of running value are supported, both associative:
   ``x`` is NULL);
 * ``total``: the running sum (NULL counts as 0).
 
-Both include the current row. Key columns must not be NULL.
+Both include the current row. NULL keys form one group; rows with a NULL order
+value come first and are one chunk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Fixed chunk width (units of the first order column) when given explicitly;
-#: ``None`` selects adaptive hot-key chunking, ``0`` turns chunking off.
+#: ``None`` follows the session's setting, ``0`` never splits, a number is the
+#: chunk width in units of the first order column.
 DEFAULT_WIDTH = None
-#: A key with more rows than this is split.
-HOT_ROWS = 4_000_000
-#: Rows per chunk of a hot key.
-TARGET_ROWS = 1_000_000
+SPLIT_CONF = "spark.eventloom.scan.split"
+#: Grid of a split session: a chunk holds at most this many sequence numbers,
+SEQ_WIDTH = 1_000_000
+#: or rows of this much time.
+TIME_WIDTH_US = 6 * 3600 * 1_000_000
 
 _CK = "__chunk"
-_PLAIN = "__no_hot_keys"
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def split_session(spark: SparkSession) -> bool:
+    return spark.conf.get(SPLIT_CONF, "false").lower() == "true"
+
+
 def running(
     df: DataFrame,
     by: str | Sequence[str],
@@ -62,160 +65,63 @@ def running(
     *,
     last: Mapping[str, Column] | None = None,
     total: Mapping[str, Column] | None = None,
-    chunk: Column | None = None,
     width: int | None = DEFAULT_WIDTH,
-    hot_rows: int | None = None,
-    target_rows: int | None = None,
-    keep_chunk: bool = False,
-    hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add running columns over the rows of each ``by`` group in ``order``.
-
-    Chunking: an explicit ``chunk`` column (non-decreasing along ``order``
-    within a key); else a fixed ``width`` of the first order column; else
-    (``width=None``) adaptive hot-key chunking. ``width=0`` computes plain
-    per-key windows, for data known to have no hot key.
-
-    Chained passes share one layout: with ``keep_chunk=True`` the chunk column
-    stays in the output, and a later pass over the same rows reuses it, so the
-    rows stay partitioned by ``(key, chunk)`` and are not shuffled again.
-
-    ``hot_from`` names a cheaper frame with the same key and order columns
-    whose rows include those of ``df`` (e.g. the raw call log for a filtered
-    derivative): hot keys are found there, since a key cannot be hotter in a
-    subset, and the possibly costly upstream of ``df`` is not run for the check.
-    """
+    """Add running columns over the rows of each ``by`` group in ``order``
+    (see the module's docstring for ``last``, ``total`` and ``width``). Lazy:
+    building it starts no job."""
     by = _names(by)
     order = _names(order)
     last = dict(last or {})
     total = dict(total or {})
     if not last and not total:
         return df
+    if width is None:
+        width = _grid(df, order[0]) if split_session(df.sparkSession) else 0
+
+    def values(partition: list[str], prefix: str = "") -> dict[str, Column]:
+        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cols = {prefix + n: F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
+        return cols | {prefix + n: F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()}
 
-    def plain(frame: DataFrame, mark: bool) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cols = {n: F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
-        cols.update({n: F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
-        out = frame.withColumns(cols).drop(_CK)
-        if mark and keep_chunk:
-            return out if _PLAIN in out.columns else out.withColumn(_PLAIN, F.lit(True))
-        return out.drop(_PLAIN)
-
-    if chunk is None and width == 0:
-        return plain(df, mark=False)
-
-    adaptive = False
-    if chunk is not None:
-        d = df.withColumn(_CK, chunk)
-    elif _PLAIN in df.columns and width is None:
-        return plain(df, mark=True)  # an earlier pass found no hot key
-    elif _CK in df.columns:
-        d = df
-        adaptive = width is None
-    elif width:
-        d = df.withColumn(_CK, F.floor(_numeric(df, order[0]) / F.lit(width)))
-    else:
-        stats = _hot_key_stats(
-            hot_from if hot_from is not None else df, by, order[0],
-            HOT_ROWS if hot_rows is None else hot_rows, TARGET_ROWS if target_rows is None else target_rows,
-        )
-        # One small aggregate job decides the layout; only a boolean reaches
-        # the driver. Without a hot key a plain per-key window is exact and
-        # reads the input once.
-        if stats.isEmpty():
-            return plain(df, mark=True)
-        d = _hot_key_chunks(df, by, order[0], stats)
-        adaptive = True
-    # Adaptive chunks are -1 for keys that are not split: a single chunk has
-    # nothing to carry, so only split keys go through the summary path.
-    split_only = F.col(_CK) >= 0 if adaptive else F.lit(True)
-
-    # Level 1: in-chunk running values.
-    w = Window.partitionBy(*by, _CK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local_cols = {f"__l_{n}": F.last(e, ignorenulls=True).over(w) for n, e in last.items()}
-    local_cols.update({f"__t_{n}": F.sum(F.coalesce(e, F.lit(0))).over(w) for n, e in total.items()})
-    local = d.withColumns(local_cols)
+    if not width:
+        return df.withColumns(values(by))
+
+    # Level 1: in-chunk running values. A NULL order value sorts first.
+    cell = F.coalesce(F.floor(_numeric(df, order[0]) / F.lit(width)), F.lit(-(2**63)))
+    d = df.withColumn(_CK, cell.cast("bigint"))
+    local = d.withColumns(values([*by, _CK], "__l_"))
 
     # Level 2: one summary row per chunk, then carry-in from earlier chunks.
-    ordering = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-    aggs = [F.max_by(expr, F.when(expr.isNotNull(), ordering)).alias(f"__l_{n}") for n, expr in last.items()]
-    aggs += [F.sum(F.coalesce(expr, F.lit(0))).alias(f"__t_{n}") for n, expr in total.items()]
-    summary = d.filter(split_only).groupBy(*by, _CK).agg(*aggs)
-    wc = Window.partitionBy(*by).orderBy(_CK).rowsBetween(Window.unboundedPreceding, -1)
+    position = F.struct(*[F.col(c) for c in order])
+    aggs = [F.max_by(e, F.when(e.isNotNull(), position)).alias(n) for n, e in last.items()]
+    aggs += [F.sum(F.coalesce(e, F.lit(0))).alias(n) for n, e in total.items()]
+    keys = [f"__k{i}" for i in range(len(by))]
+    summary = d.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], F.col(_CK).alias("__c")).agg(*aggs)
+    wc = Window.partitionBy(*keys).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *by,
-        _CK,
-        *[F.last(f"__l_{n}", ignorenulls=True).over(wc).alias(f"__cl_{n}") for n in last],
-        *[F.sum(f"__t_{n}").over(wc).alias(f"__ct_{n}") for n in total],
+        *keys, "__c",
+        *[F.last(n, ignorenulls=True).over(wc).alias(f"__c_{n}") for n in last],
+        *[F.sum(n).over(wc).alias(f"__c_{n}") for n in total],
     )
+    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(k)) for b, k in zip(by, keys, strict=True)], F.col(_CK) == F.col("__c"))
+    joined = local.join(carry, same, "left")
+    final = {n: F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}")) for n in last}
+    final |= {n: F.col(f"__l_{n}") + F.coalesce(F.col(f"__c_{n}"), F.lit(0)) for n in total}
+    return joined.select(*[c for c in df.columns if c not in final], *[e.alias(n) for n, e in final.items()])
 
-    joined = local.join(carry, on=[*by, _CK], how="left")
-    final = {n: F.coalesce(F.col(f"__l_{n}"), F.col(f"__cl_{n}")) for n in last}
-    final.update({n: F.col(f"__t_{n}") + F.coalesce(F.col(f"__ct_{n}"), F.lit(0)) for n in total})
-    keep = [c for c in df.columns if c not in final and c not in (_CK, _PLAIN)]
-    if keep_chunk:
-        keep.append(_CK)
-    return joined.select(*keep, *[e.alias(n) for n, e in final.items()])
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage between dependent passes with a reliable checkpoint.
-
-    A pass reads its input twice (rows and chunk summaries), so chained passes
-    would repeat all earlier work in the plan. The checkpoint is written to the
-    folder the cluster names in ``spark.checkpoint.dir`` (a scratch folder is
-    chosen only when none is set, as in local tests).
-    """
-    from eventloom.session import ensure_checkpoint_dir
-
-    from pyspark import StorageLevel
 
-    ensure_checkpoint_dir(df.sparkSession)
-    # Persist first so the checkpoint write does not recompute the input.
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
-def drop_chunk(df: DataFrame) -> DataFrame:
-    return df.drop(_CK, _PLAIN)
+def _grid(df: DataFrame, col: str) -> int:
+    kind = df.schema[col].dataType.typeName()
+    if kind.startswith("timestamp"):
+        return TIME_WIDTH_US
+    return 1 if kind == "date" else SEQ_WIDTH
 
 
 def _numeric(df: DataFrame, col: str) -> Column:
-    dtype = df.schema[col].dataType.typeName()
-    if dtype in ("timestamp", "timestamp_ntz"):
+    kind = df.schema[col].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz"):
         return F.unix_micros(F.col(col).cast("timestamp"))
-    if dtype == "date":
+    if kind == "date":
         return F.unix_date(F.col(col)).cast("bigint")
     return F.col(col).cast("bigint")
-
-
-def _hot_key_stats(df: DataFrame, by: list[str], first_order: str, hot_rows: int, target_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, with their range start and the
-    range width that cuts them into chunks of about ``target_rows`` rows.
-    At most ``total rows / hot_rows`` keys qualify: a proven size bound."""
-    pos = _numeric(df, first_order)
-    stats = (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"), F.max(pos).alias("__hi"))
-        .filter(F.col("__n") > hot_rows)
-    )
-    pieces = F.ceil(F.col("__n") / F.lit(target_rows))
-    return stats.select(
-        *by, "__lo", F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) / pieces)).cast("bigint").alias("__w")
-    )
-
-
-def _hot_key_chunks(df: DataFrame, by: list[str], first_order: str, stats: DataFrame) -> DataFrame:
-    """Add the chunk column: ranges for hot keys, -1 for all other keys."""
-    pos = _numeric(df, first_order)
-    j = df.join(F.broadcast(stats), on=by, how="left")  # bounded: see _hot_key_stats
-    ck = F.when(F.col("__w").isNotNull(), F.floor((pos - F.col("__lo")) / F.col("__w"))).otherwise(F.lit(-1)).cast("bigint")
-    return j.withColumn(_CK, ck).drop("__lo", "__w")
-
-
-def row_number(df: DataFrame, by: str | Sequence[str], order: str | Sequence[str], name: str = "rn", **kw) -> DataFrame:
-    """1-based position of each row within its key, skew-safe."""
-    return running(df, by, order, total={name: F.lit(1)}, **kw)

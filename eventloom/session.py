@@ -75,6 +75,8 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> d
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # Running values are split along the order, so a hot key is no single task.
+        "spark.eventloom.scan.split": "true",
         # Keyed streaming state (one row per device) in RocksDB, off the JVM heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

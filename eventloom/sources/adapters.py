@@ -180,8 +180,7 @@ def device_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     nk = F.col("c_nationkey")
     idiom = F.when(ck % 17 == 5, F.lit(None).cast("string")).otherwise(_pick(IDIOMS, nk % 6))
     return (
-        c.filter(ck % 11 != 3)
-        .select(
+        c.select(
             ck.alias("device_id"),
             _pick(MODEL_CODES, ck % 6).alias("model_code"),
             idiom.alias("idiom"),
@@ -192,6 +191,7 @@ def device_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(ck % 9 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("2."), _s(ck % 5), F.lit(".0"))).alias("app_version"),
             F.when(ck % 10 == 0, F.lit(None).cast("string")).otherwise(_s(F.lit(100) + ck % 50)).alias("app_build"),
             F.when(ck % 8 == 0, F.lit(None).cast("string")).otherwise(F.lit("com.example.shop")).alias("bundle_id"),
+            F.when(ck % 13 == 4, "visionOS").when(nk % 6 == 1, "iPadOS").when(nk % 6 == 2, "tvOS").otherwise("iOS").alias("system_name"),
             F.concat(F.lit("17."), _s(ck % 6)).alias("system_version"),
             F.lit(14).cast("bigint").alias("os_major"),
             (ck % 6).alias("os_minor"),
@@ -206,6 +206,12 @@ def device_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@plan
+def reported_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots that events meet; some devices never reported one."""
+    return device_snapshots(spark, sf_dir).filter(F.col("device_id") % 11 != 3)
+
+
 SNAPSHOT_BASE_TS = "2023-12-31 00:00:00"
 SNAPSHOT_UPGRADE_TS = "2024-01-15 00:00:00"
 
@@ -216,7 +222,7 @@ def device_snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``SNAPSHOT_BASE_TS``; devices with ``device_id % 4 = 1`` report again at
     ``SNAPSHOT_UPGRADE_TS`` after an app upgrade (version ``3.0.0``, build
     ``300``)."""
-    s = device_snapshots(spark, sf_dir)
+    s = reported_snapshots(spark, sf_dir)
     base = s.withColumn("snapshot_ts", F.to_timestamp(F.lit(SNAPSHOT_BASE_TS)))
     upgraded = (
         s.filter(F.col("device_id") % 4 == 1)

@@ -26,10 +26,27 @@ def call_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1)
     return spark.readStream.schema(CALLS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 
-def batch_sink(out_dir: str, key: str = "device_id", interval: str = FLUSH_INTERVAL, max_batch: int = MAX_BATCH) -> Callable[[DataFrame, int], None]:
-    """STR2: ``foreachBatch`` writer of request bodies, one folder per batch id."""
-
-    def write(events: DataFrame, batch_id: int) -> None:
+def batch_sink(out_dir: str, late_dir: str | None = None, key: str = "device_id", interval: str = FLUSH_INTERVAL, max_batch: int = MAX_BATCH) -> Callable[[DataFrame, int], None]:
+    """STR2: ``foreachBatch`` writer of request bodies, one folder per batch id.
+
+    With ``late_dir`` the micro-batch is identity rows (:func:`identity_stream`):
+    rows that came after a later one of their device are written there as JSON,
+    the others become events. The micro-batch is kept while it is used, so the
+    stateful step runs once."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()
+        try:
+            if late_dir:
+                late = rows.filter(F.col("late")).select(*CALLS_SCHEMA.fieldNames())
+                late.write.mode("overwrite").json(f"{late_dir}/batch_id={batch_id}")
+                _write_bodies(build_events(rows.filter(~F.col("late"))), batch_id)
+            else:
+                _write_bodies(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    def _write_bodies(events: DataFrame, batch_id: int) -> None:
         batched = batch_assign(events, key=key, interval=interval, max_batch=max_batch)
         bodies = batch_bodies(batched, envelope(batched))
         bodies.select("body").write.mode("overwrite").text(f"{out_dir}/batch_id={batch_id}")
@@ -53,17 +70,26 @@ def snapshot_sink(path: str) -> Callable[[DataFrame, int], None]:
     def write(ident: DataFrame, batch_id: int) -> None:
         spark = ident.sparkSession
         latest = identity_snapshot(ident.filter(~F.col("late")) if "late" in ident.columns else ident)
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(f"{path}/version={batch_id - 1}")
-                latest = _newest(prev.unionByName(latest))
-            except Exception:  # noqa: BLE001 - no previous version yet
-                pass
+        versions = [v for v in written_versions(spark, path) if v < batch_id]
+        if versions:
+            prev = spark.read.parquet(f"{path}/version={max(versions)}")
+            latest = _newest(prev.unionByName(latest))
         latest.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     return write
 
 
+def written_versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete snapshot versions under ``path``, on any Hadoop file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath() for s in fs.listStatus(folder)]
+    done = [p for p in names if p.getName().startswith("version=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName().split("=")[1]) for p in done)
+
+
 def _newest(snapshots: DataFrame) -> DataFrame:
     cols = [c for c in snapshots.columns if c not in ("write_key", "device_id")]
     g = snapshots.groupBy("write_key", "device_id").agg(F.max_by(F.struct(*cols), F.col("last_seq")).alias("s"))
@@ -79,11 +105,13 @@ def start_enrichment_stream(
     flush_interval: str = FLUSH_INTERVAL,
     max_files_per_trigger: int = 1,
     available_now: bool = False,
+    late_dir: str | None = None,
 ):
     """STR1-STR3 wired together: bounded intake of call files → keyed identity
     state → envelopes → request bodies written per micro-batch, every
-    ``flush_interval`` (or once over all available input)."""
-    events = enriched_stream(call_stream(spark, calls_path, max_files_per_trigger))
-    writer = events.writeStream.foreachBatch(batch_sink(out_dir)).option("checkpointLocation", checkpoint_dir)
+    ``flush_interval`` (or once over all available input). Late calls go to
+    ``late_dir`` (``<out_dir>-late``)."""
+    rows = identity_stream(call_stream(spark, calls_path, max_files_per_trigger))
+    writer = rows.writeStream.foreachBatch(batch_sink(out_dir, late_dir or f"{out_dir}-late")).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush_interval)
     return writer.start()

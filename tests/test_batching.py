@@ -62,65 +62,42 @@ def test_count_windows(spark):
     assert got == [(0, 1, 20, 20), (1, 21, 40, 20), (2, 41, 45, 5)]
 
 
-def brute_size(rows, max_bytes, sizes=(100, 50, 25, 12, 6, 3, 1)):
-    ok = [(s, b) for s, b in rows if 12 + b <= max_bytes]
-    for c in sizes:
-        chunks = [ok[i:i + c] for i in range(0, len(ok), c)]
-        if all(12 + sum(b for _, b in ch) + len(ch) - 1 <= max_bytes for ch in chunks):
-            return c
-    return 1
+def brute_sizes(rows, max_bytes, sizes=(100, 50, 25, 12, 6, 3, 1)):
+    """{seq: (batch_no, size, piece)} of one key's events in one window."""
+    ok, out = [(s, b) for s, b in rows if 12 + b <= max_bytes], {}
+    for no in range(0, len(ok), 100):
+        batch = ok[no:no + 100]
+        for c in sizes:
+            pieces = [batch[i:i + c] for i in range(0, len(batch), c)]
+            if all(12 + sum(b for _, b in p) + len(p) - 1 <= max_bytes for p in pieces):
+                out |= {s: (no // 100, c, i) for i, p in enumerate(pieces) for s, _ in p}
+                break
+    return out
 
 
 def test_size_batches_brute_force(spark):
     rnd = random.Random(5)
-    data = {d: [(i, rnd.randrange(50, 900)) for i in range(rnd.randrange(1, 300))] for d in range(8)}
-    df = spark.createDataFrame([(d, s, b) for d, rows in data.items() for s, b in rows], "device_id long, seq long, bytes long")
-    out, quarantine = size_batches(df, 3000)
-    chosen = {r.device_id: r.bs for r in out.groupBy("device_id").agg(F.max("batch_size").alias("bs")).collect()}
-    for d, rows in data.items():
-        if any(12 + b <= 3000 for _, b in rows):
-            assert chosen[d] == brute_size(rows, 3000), d
-    assert quarantine.count() == sum(1 for rows in data.values() for _, b in rows if 12 + b > 3000)
-
-
-def brute_sequential(rows, max_bytes, sizes=(100, 50, 25, 12, 6, 3, 1)):
-    """Step-by-step dispatcher: returns {seq: (level, batch_no)} and dropped seqs."""
-    out, dropped = {}, []
-    level, pos, start = 0, 0, 0
-    while pos < len(rows):
-        s = sizes[level]
-        chunk = rows[pos:pos + s]
-        fits = 12 + sum(b for _, b in chunk) + len(chunk) - 1 <= max_bytes
-        if fits:
-            for seq, _ in chunk:
-                out[seq] = (level, (pos - start) // s)
-            pos += len(chunk)
-        elif level < len(sizes) - 1:
-            level += 1
-            start = pos
-        else:
-            dropped.append(chunk[0][0])
-            pos += 1
-    return out, dropped
-
-
-def test_size_batches_exact_replay(spark):
-    rnd = random.Random(11)
-    data = {}
-    for d in range(10):
-        n = rnd.randrange(1, 400)
-        data[d] = [(i, rnd.choice([rnd.randrange(20, 60)] * 8 + [rnd.randrange(200, 900), rnd.randrange(2000, 4000)])) for i in range(n)]
-    df = spark.createDataFrame([(d, s, b) for d, rows in data.items() for s, b in rows], "device_id long, seq long, bytes long")
-    from eventloom.operators.batching import size_batches_exact
-
-    for width in (None, 16):
-        sent, dropped = size_batches_exact(df, 3000, width=width)
-        got = {(r.device_id, r.seq): (r.level, r.batch_no) for r in sent.collect()}
-        got_dropped = sorted((r.device_id, r.seq) for r in dropped.collect())
-        want, want_dropped = {}, []
-        for d, rows in data.items():
-            o, dr = brute_sequential(rows, 3000)
-            want.update({(d, s): v for s, v in o.items()})
-            want_dropped += [(d, s) for s in dr]
-        assert got == want
-        assert got_dropped == sorted(want_dropped)
+    data = {d: [(i, rnd.choice([rnd.randrange(20, 60)] * 8 + [rnd.randrange(200, 900), rnd.randrange(2900, 3100)]))
+                for i in range(rnd.randrange(1, 400))] for d in range(8)}
+    df = spark.createDataFrame([(d, s, dt.datetime(2024, 1, 1), b) for d, rows in data.items() for s, b in rows],
+                               "device_id long, seq long, ts timestamp, bytes long")
+    for width in (0, 16):
+        out, quarantine = size_batches(df, 3000, width=width)
+        got = {(r.device_id, r.seq): (r.batch_no, r.batch_size, r.piece) for r in out.collect()}
+        assert got == {(d, s): v for d, rows in data.items() for s, v in brute_sizes(rows, 3000).items()}
+        assert quarantine.count() == sum(1 for rows in data.values() for _, b in rows if 12 + b > 3000)
+
+
+def test_no_stamped_body_exceeds_the_limit(spark, sf_small):
+    from eventloom.operators.batching import stamped_bytes
+    from eventloom.operators.envelope import envelope
+    from eventloom.plans import pipeline
+
+    ev = pipeline.events(spark, sf_small, with_context=True)
+    env = envelope(ev)
+    sized = ev.select("device_id", "seq", "ts", stamped_bytes(env, F.col("ts")).alias("bytes"),
+                      F.to_json(env.withField("sentAt", F.lit("2024-01-01T00:00:00Z")), {"ignoreNullFields": "true"}).alias("j"))
+    ok, _ = size_batches(sized.drop("j"), 4000, interval="7 days")
+    bodies = (ok.join(sized.select("device_id", "seq", "j"), ["device_id", "seq"]).groupBy("device_id", "flush_start", "batch_no", "piece")
+              .agg(F.concat(F.lit('{"batch":['), F.array_join(F.collect_list("j"), ","), F.lit("]}")).alias("body")))
+    assert bodies.where(F.octet_length("body") > 4000).count() == 0 and bodies.count() > 0

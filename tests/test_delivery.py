@@ -67,6 +67,15 @@ def test_breaker_matches_replay(spark):
                     assert (r.cooldown_min_ms, r.cooldown_max_ms) == (base - int(base * 0.2), base + int(base * 0.2))
 
 
+def test_states_after_a_trip(spark):
+    a = attempts(spark, {1: [503, 503, 503, 400, 404, 503, 200, 503, 503, 401, 503]})
+    got = [(r.breaker_state, r.streak, r.trip_no) for r in breaker(a).orderBy("seq").collect()]
+    assert got == [
+        ("closed", 1, 0), ("closed", 2, 0), ("open", 0, 1), ("half_open", 0, 1), ("half_open", 0, 1), ("open", 0, 2), ("closed", 0, 2),
+        ("closed", 1, 2), ("closed", 2, 2), ("closed", 2, 2), ("open", 0, 3),
+    ]
+
+
 def test_every_status_class(spark):
     statuses = [200, 503, 408, 429, 413, 413, 400, 302, 101, 600, None, 401]
     a = attempts(spark, {1: statuses})

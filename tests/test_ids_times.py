@@ -51,6 +51,12 @@ def test_retry_after(spark):
         ({"Retry-After": "Monday, 01-Jan-24 06:00:04 GMT"}, 4000),
         ({"Retry-After": "Mon Jan  1 06:00:05 2024"}, 5000),
         ({"Retry-After": "Sun, 31 Dec 2023 06:00:00 GMT"}, 0),
+        ({"Retry-After": "Mon, 01 Jan 2024 01:00:06 EST"}, 6000),
+        ({"Retry-After": "Mon, 01 Jan 2024 07:00:07 +0100"}, 7000),
+        ({"Retry-After": "Mon, 01 Jan 2024 06:00:03"}, None),  # no zone
+        ({"Retry-After": "01 Jan 2024 06:00:03 GMT"}, None),  # no weekday
+        ({"Retry-After": "0000000000000000000000008"}, 8000),
+        ({"Retry-After": "99999999999999999999999999"}, None),
         ({}, None),
     ]
     df = spark.createDataFrame([(h, now, e) for h, e in rows], "h map<string,string>, now timestamp, e long")

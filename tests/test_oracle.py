@@ -9,9 +9,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+import eventloom.plans.scan as scan
+from eventloom.plans import memo
+from eventloom.plans.catalog import REGISTRY
+from eventloom.plans.oracle import ORACLE
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-NO_ORACLE = {"size_batches", "size_batches_exact"}
+NO_ORACLE: set[str] = set()
 
 
 def _norm(v):
@@ -42,7 +46,8 @@ def duck(sf_small):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(REGISTRY) - set(ORACLE) == NO_ORACLE
+    assert set(REGISTRY) <= set(E.queries())
 
 
 def test_entry(spark):
@@ -51,8 +56,21 @@ def test_entry(spark):
     assert {"message_id", "type", "user_id", "anonymous_id"} <= set(df.columns)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - NO_ORACLE))
-def test_query_matches_oracle(spark, duck, sf_small, name):
+@pytest.fixture(params=["whole", "split"])
+def layout(request, spark, monkeypatch):
+    """Every query with keys whole, and split into chunks of a few rows."""
+    memo.clear()
+    if request.param == "split":
+        monkeypatch.setattr(scan, "SEQ_WIDTH", 7)
+        monkeypatch.setattr(scan, "TIME_WIDTH_US", 3600 * 1_000_000)
+        spark.conf.set(scan.SPLIT_CONF, "true")
+    yield request.param
+    spark.conf.unset(scan.SPLIT_CONF)
+    memo.clear()
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - NO_ORACLE))
+def test_query_matches_oracle(spark, duck, sf_small, name, layout):
     got = E.queries()[name](spark, sf_small).toPandas()
     want = duck.execute(E.oracle_sql()[name]).df()
     gc, gr = _rows(got)

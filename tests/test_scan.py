@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+import eventloom.plans.scan as scan
 from eventloom.plans.scan import running
 
 
@@ -55,56 +56,59 @@ def test_hot_key_is_split_into_chunks(spark):
     assert "__chunk" in plan
 
 
-def test_adaptive_hot_key_chunking(spark):
-    df = _frame(spark)
-    expected = _brute([tuple(r) for r in df.collect()])
-    out = running(
-        df, "k", "seq",
-        last={"lv": F.col("v"), "ls": F.when(F.col("x") == 0, F.struct(F.col("v").alias("v")))},
-        total={"t": F.col("x"), "n": F.lit(1)},
-        hot_rows=200, target_rows=50,
-    ).select("k", "seq", "lv", F.col("ls.v").alias("lsv"), "t", "n")
-    got = {(r.k, r.seq): (r.lv, r.lsv, r.t, r.n) for r in out.collect()}
-    assert got == expected
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan  # the hot-key table, bounded by rows / hot_rows
-
-
-def test_operators_under_adaptive_chunking(spark, sf_small, monkeypatch):
-    """Identity and breaker outputs do not change when hot keys are split."""
-    import eventloom.plans.scan as scan
-    from eventloom.operators.delivery import breaker
-    from eventloom.operators.identity import identity_asof
-    from eventloom.sources import adapters
-
-    cols = ["device_id", "seq", "epoch", "user_state", "group_state", "anonymous_id", "advertising_id_state"]
-    calls = adapters.calls(spark, sf_small)
-    base = sorted(tuple(r) for r in identity_asof(calls, width=0).select(*cols).collect())
-    att = adapters.attempts(spark, sf_small)
-    bcols = ["device_id", "seq", "streak", "trip", "trip_no"]
-    bbase = sorted(tuple(r) for r in breaker(att, width=0).select(*bcols).collect())
-    monkeypatch.setattr(scan, "HOT_ROWS", 20)
-    monkeypatch.setattr(scan, "TARGET_ROWS", 7)
-    assert sorted(tuple(r) for r in identity_asof(calls).select(*cols).collect()) == base
-    assert sorted(tuple(r) for r in breaker(att).select(*bcols).collect()) == bbase
-
-
-def test_no_hot_key_gives_a_plain_window(spark):
-    df = _frame(spark)
-    out = running(df, "k", "seq", total={"n": F.lit(1)}, hot_rows=10_000)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "__chunk" not in plan and "BroadcastExchange" not in plan
-    assert plan.count("Exchange hashpartitioning") == 1
+def _values(out):
+    return {(r.k, r.seq): (r.lv, r.lsv, r.t, r.n) for r in out.collect()}
 
 
-def test_hot_keys_found_on_a_superset(spark):
+def test_split_session_equals_whole_keys(spark, monkeypatch):
     df = _frame(spark)
-    sub = df.filter("x > 0")
-    expected = _brute([tuple(r) for r in sub.collect()])
-    out = running(
-        sub, "k", "seq",
-        last={"lv": F.col("v"), "ls": F.when(F.col("x") == 0, F.struct(F.col("v").alias("v")))},
-        total={"t": F.col("x"), "n": F.lit(1)},
-        hot_rows=200, target_rows=50, hot_from=df,
-    ).select("k", "seq", "lv", F.col("ls.v").alias("lsv"), "t", "n")
-    assert {(r.k, r.seq): (r.lv, r.lsv, r.t, r.n) for r in out.collect()} == expected
+    whole = _values(_run(df, None))
+    monkeypatch.setattr(scan, "SEQ_WIDTH", 5)
+    spark.conf.set(scan.SPLIT_CONF, "true")
+    try:
+        split = _run(df, None)
+        assert "__chunk" in split._jdf.queryExecution().executedPlan().toString()
+        assert _values(split) == whole
+    finally:
+        spark.conf.unset(scan.SPLIT_CONF)
+
+
+def test_whole_keys_are_one_shuffle(spark):
+    plan = _run(_frame(spark), 0)._jdf.queryExecution().executedPlan().toString()
+    assert "__chunk" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_null_order_values_and_null_keys_are_exact(spark):
+    rows = [("a", None, 5), ("a", 1, 1), ("a", 900, 2), (None, None, 7), (None, 3, 1), (None, 50, 1)]
+    df = spark.createDataFrame(rows, "k string, seq long, x long")
+    got = {w: sorted(map(str, running(df, "k", "seq", total={"t": F.col("x")}, width=w).collect())) for w in (0, 10)}
+    assert got[0] == got[10]
+    assert sum(r.x for r in df.collect() if r.k == "a") == max(
+        r.t for r in running(df, "k", "seq", total={"t": F.col("x")}, width=10).collect() if r.k == "a")
+
+
+def test_one_outlier_does_not_defeat_the_split(spark):
+    df = spark.range(10_000).select(F.lit(1).alias("k"), F.col("id").alias("seq")).union(
+        spark.createDataFrame([(1, 10**15)], "k int, seq long"))
+    cells = df.groupBy(F.floor(F.col("seq") / 100)).count()
+    assert cells.agg(F.max("count")).first()[0] <= 200
+    got = running(df, "k", "seq", total={"n": F.lit(1)}, width=100)
+    assert got.agg(F.max("n")).first()[0] == 10_001
+
+
+def test_building_starts_no_job(spark, sf_small, monkeypatch):
+    from eventloom.plans import memo
+    from eventloom.plans.catalog import REGISTRY
+
+    tracker = spark.sparkContext.statusTracker()
+    memo.clear()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        for name in sorted(REGISTRY):
+            REGISTRY[name](spark, sf_small)
+        # Only schema reads of the input files.
+        jobs = [j for j in tracker.getJobIdsForGroup("build")]
+        shuffles = [j for j in jobs if len(tracker.getJobInfo(j).stageIds) > 1]
+        assert not shuffles
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
