@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fold, keep
+from eventloom.llm.common import fold, keep, small_batches
 
 FREQUENT = 4000
 TIED = 500
@@ -80,17 +80,27 @@ def _unit_bigrams(texts: DataFrame, frequent: dict[str, int], tied: int, n_units
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _Units(frequent, tied)
-        for big in batches:
-            for batch in (big.slice(at, 2000) for at in range(0, big.num_rows, 2000)):
-                codes = []
-                for text in batch.column(0).to_pylist():
-                    words = words_of(text)
-                    u = np.empty(len(words) + 2, np.int64)
-                    u[0] = u[-1] = END_UNIT
-                    u[1:-1] = np.fromiter(map(units.__getitem__, words), np.int64, len(words))
-                    codes.append(u[:-1] * n_units + u[1:])
-                code, c = np.unique(np.concatenate(codes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code // n_units), pa.array(code % n_units), pa.array(c)], ["u", "v", "c"])
+        codes: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            code, c = np.unique(np.concatenate(codes), return_counts=True)
+            codes.clear()
+            return pa.RecordBatch.from_arrays([pa.array(code // n_units), pa.array(code % n_units), pa.array(c)], ["u", "v", "c"])
+
+        held = 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words = words_of(text)
+                u = np.empty(len(words) + 2, np.int64)
+                u[0] = u[-1] = END_UNIT
+                u[1:-1] = np.fromiter(map(units.__getitem__, words), np.int64, len(words))
+                codes.append(u[:-1] * n_units + u[1:])
+                held += len(u)
+                if held > 2_000_000:
+                    yield flush()
+                    held = 0
+        if codes:
+            yield flush()
 
     return texts.select("text").mapInArrow(run, "u long, v long, c long").groupBy("u", "v").agg(F.sum("c").alias("c"))
 
@@ -200,7 +210,7 @@ def score_texts(docs: DataFrame, frequent: int = FREQUENT, tied: int = TIED, cla
     its end alone. Repeated rows count as often as they occur and each get their
     row; a null doc_id counts as the text ''. Without training rows every token
     is unknown. An empty table gives no rows."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     held_out = fold(F.col("doc_id"), 5) == 1
     train = rows.where(~held_out)
     counts = keep(_word_counts(train), "counts")

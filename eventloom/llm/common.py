@@ -46,6 +46,15 @@ def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with Python tasks of its session given at most ``rows`` rows at
+    once: texts may be long, and a worker holds a batch several times."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= rows:
+        conf.set(name, str(rows))
+    return df
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 

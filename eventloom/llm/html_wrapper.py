@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import keep, sized
+from eventloom.llm.common import keep, sized, small_batches
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
@@ -324,7 +324,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     empty text; pages with a null url share the host ''. Repeated rows each get
     their row; other columns are not used. An empty table gives no rows."""
     host = F.lower(F.coalesce(F.regexp_extract(F.col("url").cast("string"), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1), F.lit("")))
-    rows = pages.select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host.alias("host"))
+    rows = small_batches(pages).select("page_id", "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host.alias("host"))
     wrappers = keep(infer_wrappers(rows), "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,14 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import keep
+from eventloom.llm.common import keep, small_batches
 from eventloom.llm.components import relabel
 
 SHINGLE_WORDS = 5
 HALF_ROWS = 4
 HALF_TABLES = 20
 BITMAP_WORDS = 8
-_WORD_CACHE = 400_000
+_WORD_CACHE = 150_000
 
 
 class _WordHash(dict):
@@ -190,7 +190,7 @@ def near_duplicates(
     component_id is null and the row is kept. Other columns of ``docs`` are
     not used. An empty table gives no rows.
     """
-    sig = keep(_rows(docs).mapInArrow(
+    sig = keep(small_batches(_rows(docs)).mapInArrow(
         lambda batches: _signatures(batches, SHINGLE_WORDS, half_rows, half_tables),
         "doc_id long, hi long, lo long, n_shingles long, half_keys array<long>"), "signatures")
     classes = keep(sig.where("n_shingles > 0").groupBy("hi", "lo")

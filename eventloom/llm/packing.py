@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import keep
+from eventloom.llm.common import keep, small_batches
 from eventloom.llm.tokens import END, encoder
 
 CAPACITY = 2048
@@ -59,7 +59,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity:
                     [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECES)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECES)
 
 
 class _Packing:

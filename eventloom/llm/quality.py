@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fold, keep
+from eventloom.llm.common import fold, keep, small_batches
 
 STATS = (
     "log_chars", "symbols", "upper", "digits", "pipes", "ends", "commas", "word_chars", "distinct", "repeats", "short",
@@ -155,7 +155,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     that are null are ignored, several of one document averaged; repeated rows
     each get their row. Without labels of both classes all texts get the share
     of label 1 seen (0.5 for none). Empty tables give no rows."""
-    stats = keep(text_statistics(docs), "statistics")
+    stats = keep(text_statistics(small_batches(docs)), "statistics")
     truth = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold(F.col("doc_id"), 3) != 1)
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
     marked = keep(stats.join(truth, "doc_id").withColumn("at", F.xxhash64("doc_id")), "labelled")

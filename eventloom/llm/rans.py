@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import keep, table_path
+from eventloom.llm.common import keep, small_batches, table_path
 from eventloom.llm.tokens import END, encoder
 
 SCALE = 20
@@ -136,7 +136,7 @@ def _tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
                     ["doc_id", "at", "n", "ids"])
                 before = int(ends[-1]) if len(ends) else before
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(width, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first(), "text")

@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import small_batches
+
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -188,7 +190,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))],
                 ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
@@ -222,4 +224,4 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
                 cols[chars_at] = pc.if_else(same, cols[chars_at], pc.utf8_length(now).cast(cols[chars_at].type))
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return docs.mapInArrow(run, docs.schema) if types["text"] == "string" else docs
+    return small_batches(docs).mapInArrow(run, docs.schema) if types["text"] == "string" else docs

@@ -23,8 +23,6 @@ _CACHE_ENTRIES = 500_000
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _SPACE = chr(_ALPHABET[32])
-#: Marks a cut with white space at an end: its text is encoded whole.
-_WHOLE = b"whole"
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -39,6 +37,22 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _SpacedError(Exception):
+    """A cut with white space at an end: its text is encoded whole."""
+
+
+class _Cuts(dict):
+    """Ids of cuts, found when first asked for."""
+
+    def __init__(self, encoder: Encoder, lead: str):
+        super().__init__()
+        self._encoder, self._lead = encoder, lead
+
+    def __missing__(self, cut: str) -> bytes:
+        ids = self[cut] = self._encoder.cut(cut, self._lead)
+        return ids
+
+
 class Encoder:
     """``encode(texts)``: ids of each text as little-endian unsigned 32-bit
     bytes, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``."""
@@ -48,77 +62,44 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file(name))
-        vocab = self._tokenizer.get_vocab()
-        self._opens = np.zeros(max(vocab.values()) + 1, bool)
-        self._opens[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
         self._model = self._tokenizer.model
-        self._tails: dict[str, bytes] = {}
-        self._known: dict[str, bytes] = {}
-        self._heads: dict[str, bytes] = {}
+        self._line = self._whole(["\n"])[0]
+        self._after, self._first = _Cuts(self, " "), _Cuts(self, "")
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a space and a word of letters, one piece for the model."""
+    def _word(self, word: str, lead: str) -> bytes:
+        """Ids of a word of letters, one piece for the model."""
         piece = word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
-        ids = [t.id for t in self._model.tokenize(_SPACE + piece)]
+        ids = [t.id for t in self._model.tokenize(_SPACE + piece if lead else piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _cuts(self, cuts: list[str]) -> list[bytes]:
-        """Ids of each cut after a space, all encoded as one text: the one
-        token of a cut that begins with a space is its first."""
-        ids = np.array(self._tokenizer.encode(" " + " ".join(cuts), add_special_tokens=False).ids, "<u4")
-        starts = self._opens[ids].nonzero()[0].tolist()
-        assert len(starts) == len(cuts)
-        raw, ends = ids.tobytes(), [*starts[1:], len(ids)]
-        return [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+    def cut(self, cut: str, lead: str) -> bytes:
+        if cut.isalpha():
+            return self._word(cut, lead)
+        if cut.strip() != cut or not cut:
+            raise _SpacedError
+        word = cut.rstrip(string.punctuation)
+        if word.isalpha():
+            return (self._after if lead else self._first)[word] + self._first[cut[len(word) :]]
+        left, line, right = cut.partition("\n")
+        if line and left[-1:].strip() and right[:1].strip():  # a line break between words is a piece
+            return (self._after if lead else self._first)[left] + self._line + self._first[right]
+        return self._whole([lead + cut])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._known) > _CACHE_ENTRIES:
-            self._known = {}
-        if len(self._heads) > _CACHE_ENTRIES // 10:
-            self._heads = {}
-        known, heads = self._known, self._heads
-        cut = [t.split(" ") for t in texts]
-        got = [list(map(known.get, c)) for c in cut]
-        holes = [(c, g, [j for j, x in enumerate(g) if x is None]) for c, g in zip(cut, got, strict=True) if None in g]
-        new = {c[j] for c, _, at in holes for j in at}
-        known.update((x, _WHOLE) for x in new if x.strip() != x or not x)
-        part: list[str] = []
-        tails = self._tails
-        for x in new:
-            if x in known:
-                continue
-            if x.isalpha():
-                known[x] = self._word(x)
-                continue
-            word = x.rstrip(string.punctuation)
-            if word.isalpha():
-                tail = x[len(word) :]
-                if tail not in tails:
-                    tails[tail] = self._whole([tail])[0]
-                known[x] = (known.get(word) or self._word(word)) + tails[tail]
-            else:
-                part.append(x)
-                if len(part) == 8192:
-                    known.update(zip(part, self._cuts(part), strict=True))
-                    part = []
-        if part:
-            known.update(zip(part, self._cuts(part), strict=True))
-        for c, g, at in holes:
-            for j in at:
-                g[j] = known[c[j]]
-        firsts = list({c[0] for c in cut}.difference(heads))
-        heads.update(zip(firsts, self._whole(firsts), strict=True))
-        out: list[bytes | None] = []
-        for c, g in zip(cut, got, strict=True):
-            if len(c) > 1:
-                whole = _WHOLE in g
-                g[0] = heads[c[0]]
-                out.append(None if whole else b"".join(g))
-            else:
-                out.append(heads[c[0]])
+        for known in (self._after, self._first):
+            if len(known) > _CACHE_ENTRIES:
+                known.clear()
+        after, out = self._after.__getitem__, []
+        for text in texts:
+            cuts = text.split(" ")
+            try:
+                first = self._first[cuts[0]]
+                out.append(first + b"".join(map(after, cuts[1:])))
+            except _SpacedError:
+                out.append(None)
         rest = iter(self._whole([t for t, x in zip(texts, out, strict=True) if x is None]))
         return [next(rest) if x is None else x for x in out]
 
