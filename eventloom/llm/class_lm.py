@@ -123,7 +123,7 @@ def best_moves(right: np.ndarray, left: np.ndarray, own: np.ndarray, at: np.ndar
         rest[a, a] += s
         r[a] -= s
         l[a] -= s
-        row, col = rest.sum(axis=1), rest.sum(axis=0)
+        row, col = rest.sum(axis=1) + l, rest.sum(axis=0) + r  # the unit is in some class anyway
         diagonal = np.diag(rest)
         f = (_h(rest + r) - _h(rest)).sum(axis=1) + (_h(rest + l[:, None]) - _h(rest)).sum(axis=0)
         f += _h(diagonal + r + l + s) - _h(diagonal) - (_h(diagonal + r) - _h(diagonal)) - (_h(diagonal + l) - _h(diagonal))

@@ -27,9 +27,9 @@ from eventloom.llm.tokens import END, encoder
 
 SCALE = 20
 LOW = 1 << 31  # states lie in [LOW, 2**63)
-LANES = 512
-CHECK_STEPS = 64
-BLOCK_TOKENS = 1 << 17
+LANES = 2048
+CHECK_STEPS = 128
+BLOCK_TOKENS = 1 << 19
 FILE_TOKENS = 1 << 24
 
 BLOCK = ("block_start long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, states binary, words binary, "
@@ -87,7 +87,8 @@ class Coder:
                 words.append((out & np.uint64(0xFFFFFFFF)).astype("<u4"))
                 written += len(out)
                 lane = np.where(full, lane >> shift, lane)
-            x[:n] = ((lane // f) << scale) + lane % f + c
+            q = lane // f
+            x[:n] = (q << scale) + (lane - q * f) + c
             if t and t % CHECK_STEPS == 0:
                 checks.append((x.copy(), written))
         checks.reverse()
@@ -156,17 +157,17 @@ def _ids(packed: bytes) -> np.ndarray:
 def _counts(tokens: DataFrame) -> np.ndarray:
     """Occurrences of each id over the corpus; as long as the largest id."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for f in frames:
-            for packed in f["ids"]:
-                c = np.bincount(_ids(packed), minlength=len(total))
+        for batch in batches:
+            if batch.num_rows:
+                c = np.bincount(np.concatenate([_ids(x) for x in batch.column(0).to_pylist()]), minlength=len(total))
                 c[: len(total)] += total
                 total = c
         seen = total.nonzero()[0]
-        yield pd.DataFrame({"id": seen, "c": total[seen]})
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "c"])
 
-    rows = tokens.select("ids").mapInPandas(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).toPandas()
+    rows = tokens.select("ids").mapInArrow(run, "id long, c long").groupBy("id").agg(F.sum("c").alias("c")).toPandas()
     out = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, np.int64)
     out[rows["id"].to_numpy(np.int64)] = rows["c"].to_numpy(np.int64)
     return out

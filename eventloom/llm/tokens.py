@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import string
 import struct
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -49,7 +50,14 @@ class _Cuts(dict):
         self._encoder, self._lead = encoder, lead
 
     def __missing__(self, cut: str) -> bytes:
-        ids = self[cut] = self._encoder.cut(cut, self._lead)
+        encoder, lead = self._encoder, self._lead
+        if cut.isalpha():
+            ids = encoder.word(cut, lead)
+        elif (word := cut.rstrip(string.punctuation)).isalpha():
+            ids = (self.get(word) or encoder.word(word, lead)) + encoder.first[cut[len(word) :]]
+        else:
+            ids = encoder.cut(cut, lead)
+        self[cut] = ids
         return ids
 
 
@@ -62,41 +70,35 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file(name))
-        self._model = self._tokenizer.model
+        self._pieces = self._tokenizer.model.tokenize
         self._line = self._whole(["\n"])[0]
-        self._after, self._first = _Cuts(self, " "), _Cuts(self, "")
+        self.after, self.first = _Cuts(self, " "), _Cuts(self, "")
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, word: str, lead: str) -> bytes:
+    def word(self, word: str, lead: str) -> bytes:
         """Ids of a word of letters, one piece for the model."""
         piece = word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
-        ids = [t.id for t in self._model.tokenize(_SPACE + piece if lead else piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [t.id for t in self._pieces(_SPACE + piece if lead else piece)]).tobytes()
 
     def cut(self, cut: str, lead: str) -> bytes:
-        if cut.isalpha():
-            return self._word(cut, lead)
         if cut.strip() != cut or not cut:
             raise _SpacedError
-        word = cut.rstrip(string.punctuation)
-        if word.isalpha():
-            return (self._after if lead else self._first)[word] + self._first[cut[len(word) :]]
         left, line, right = cut.partition("\n")
         if line and left[-1:].strip() and right[:1].strip():  # a line break between words is a piece
-            return (self._after if lead else self._first)[left] + self._line + self._first[right]
+            return (self.after if lead else self.first)[left] + self._line + self.first[right]
         return self._whole([lead + cut])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for known in (self._after, self._first):
+        for known in (self.after, self.first):
             if len(known) > _CACHE_ENTRIES:
                 known.clear()
-        after, out = self._after.__getitem__, []
+        after, out = self.after.__getitem__, []
         for text in texts:
             cuts = text.split(" ")
             try:
-                first = self._first[cuts[0]]
+                first = self.first[cuts[0]]
                 out.append(first + b"".join(map(after, cuts[1:])))
             except _SpacedError:
                 out.append(None)
