@@ -3,9 +3,8 @@
 Counts shuffles, broadcasts, window operators and scans in the plan Spark
 would run (AQE may still coalesce partitions or switch joins at runtime), and
 lists the columns each parquet scan reads.
-Usage: python scripts/plan_report.py [sf_dir] [--force-hot] > docs/plans.md
-``--force-hot`` lowers the hot-key threshold so every device is split and the
-two-level (chunked) plans are shown.
+Usage: python scripts/plan_report.py [sf_dir] [--split] > docs/plans.md
+``--split`` shows the plans of a session that splits keys along their order.
 """
 
 from __future__ import annotations
@@ -16,28 +15,27 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as E  # noqa: E402
-from eventloom.session import local_session  # noqa: E402
+from eventloom.plans.catalog import REGISTRY  # noqa: E402
+from eventloom.plans.scan import SPLIT_CONF  # noqa: E402
+from eventloom.session import ensure_utc, local_session  # noqa: E402
 
 
 def main() -> None:
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
-    force_hot = "--force-hot" in sys.argv
-    if force_hot:
-        import eventloom.plans.scan as scan
-
-        scan.HOT_ROWS, scan.TARGET_ROWS = 20, 10
+    split = "--split" in sys.argv
     spark = local_session(cpus=4)
+    spark.conf.set(SPLIT_CONF, str(split).lower())
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    title = "with every device treated as hot (two-level chunked plans)" if force_hot else "as planned for the data"
+    ensure_utc(spark)
+    title = "with keys split along their order" if split else "with whole keys"
     print(f"## Physical plans of the registered queries, {title}\n")
     print(f"Input `{sf_dir}`, AQE off so the static plan is shown. `shuffles` counts hash/range")
     print("exchanges (reused ones separately), `bcast` broadcast exchanges, `windows` Window")
     print("operators, `sortagg` sort-based aggregates. Scans list the columns read (ReadSchema).\n")
     print("| query | shuffles | reused | bcast | windows | sortagg | scans (columns read) |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in REGISTRY.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         shuffles = len(re.findall(r"Exchange (hash|range|single|round)", plan)) - plan.count("ReusedExchange")
         reused = plan.count("ReusedExchange")
