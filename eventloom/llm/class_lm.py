@@ -8,9 +8,10 @@ groups tied by their last letters, so that every word has a class. The model is
 additive smoothing throughout.
 
 Counts are taken in Spark over all training tokens. The driver sees the units
-(at most ``frequent`` words), their classes and the class bigram matrix, whose
-sizes are parameters. Words of a text meet their counts by chunk: a chunk of
-some MB of texts asks for each of its words once.
+(at most ``frequent`` words), their classes, the class bigram matrix and the
+counts of the ``SHARED_COUNTS`` most frequent words, whose sizes are parameters.
+Other words of a text meet their counts by chunk: a chunk of some MB of texts
+asks for each of them once.
 """
 
 from __future__ import annotations
@@ -25,34 +26,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fold, keep, small_batches
+from eventloom.llm.common import fold, free_shuffles, keep, small_batches
 
-FREQUENT = 4000
-TIED = 500
+FREQUENT = 1200
+TIED = 150
 CLASSES = 48
+#: Words whose counts go to every task; the others are asked for by chunk.
+SHARED_COUNTS = 100_000
 ROUNDS = 6
 MIX = 0.7
 CHUNK_BYTES = 6_000_000
 END_UNIT = 0
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words between ASCII white space, A-Z lowered."""
-    return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").lower().split()] if text else []
+def words_of(text: str | None) -> list[bytes]:
+    """Words between ASCII white space, A-Z lowered, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
 class _Units(dict):
     """Unit of a word: its own for a frequent word, else that of its ending."""
 
-    def __init__(self, frequent: dict[str, int], tied: int):
+    def __init__(self, frequent: dict[bytes, int], tied: int):
         super().__init__(frequent)
         self._first, self._tied, self._own = len(frequent) + 1, tied, len(frequent)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > self._own + 300_000:
-            for w in [w for w, u in self.items() if u >= self._first]:
-                del self[w]
-        u = self[word] = self._first + zlib.crc32(word[-3:].encode("utf-8", "surrogatepass")) % self._tied
+    def __missing__(self, word: bytes) -> int:
+        u = self._first + zlib.crc32(word[-3:]) % self._tied
+        if len(self) < self._own + 200_000:
+            self[word] = u
         return u
 
 
@@ -61,7 +63,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 counts.update(words_of(text))
@@ -71,36 +73,29 @@ def _word_counts(texts: DataFrame) -> DataFrame:
         if counts:
             yield flush()
 
-    return texts.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _unit_bigrams(texts: DataFrame, frequent: dict[str, int], tied: int, n_units: int) -> DataFrame:
+def _unit_bigrams(texts: DataFrame, frequent: dict[bytes, int], tied: int, n_units: int) -> DataFrame:
     """``u, v, c``: how often unit v follows unit u; the end stands before the
     first word and after the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _Units(frequent, tied)
-        codes: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            code, c = np.unique(np.concatenate(codes), return_counts=True)
-            codes.clear()
-            return pa.RecordBatch.from_arrays([pa.array(code // n_units), pa.array(code % n_units), pa.array(c)], ["u", "v", "c"])
-
-        held = 0
+        table = np.zeros(n_units * n_units, np.int64)
         for batch in batches:
+            codes = []
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
                 u = np.empty(len(words) + 2, np.int64)
                 u[0] = u[-1] = END_UNIT
                 u[1:-1] = np.fromiter(map(units.__getitem__, words), np.int64, len(words))
                 codes.append(u[:-1] * n_units + u[1:])
-                held += len(u)
-                if held > 2_000_000:
-                    yield flush()
-                    held = 0
-        if codes:
-            yield flush()
+            if codes:
+                code, c = np.unique(np.concatenate(codes), return_counts=True)
+                table[code] += c
+        code = table.nonzero()[0]
+        yield pa.RecordBatch.from_arrays([pa.array(code // n_units), pa.array(code % n_units), pa.array(table[code])], ["u", "v", "c"])
 
     return texts.select("text").mapInArrow(run, "u long, v long, c long").groupBy("u", "v").agg(F.sum("c").alias("c"))
 
@@ -217,12 +212,14 @@ def score_texts(docs: DataFrame, frequent: int = FREQUENT, tied: int = TIED, cla
     n_docs = train.count()
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, v = total + n_docs, distinct + (n_docs > 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(frequent).toPandas()
-    known = dict(zip(top["word"], range(1, len(top) + 1), strict=True))
-    known_counts = dict(zip(top["word"], top["c"].tolist(), strict=True))
+    top = [(bytes(r.word), r.c) for r in counts.orderBy(F.desc("c"), "word").limit(max(frequent, SHARED_COUNTS)).collect()]
+    known = {w: i for i, (w, _) in enumerate(top[:frequent], 1)}
+    shared = docs.sparkSession.sparkContext.broadcast(dict(top))
     n_units = len(known) + 1 + tied
     bigrams = keep(_unit_bigrams(train, known, tied, n_units), "bigrams")
+    free_shuffles(docs)
     at, g = exchange_classes(bigrams, n_units, classes, rounds)
+    free_shuffles(docs)
 
     def by_class(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         units = _Units(known, tied)
@@ -244,43 +241,47 @@ def score_texts(docs: DataFrame, frequent: int = FREQUENT, tied: int = TIED, cla
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))).repartition(width, "chunk")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_counts = shared.value
         seen: dict[int, set] = {}
         for batch in batches:
-            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, chunk in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 seen.setdefault(chunk, set()).update(words_of(text))
             if sum(map(len, seen.values())) > 300_000:
-                yield from _requests(seen, known)
+                yield from _requests(seen, known_counts)
                 seen = {}
-        yield from _requests(seen, known)
+        yield from _requests(seen, known_counts)
 
-    wanted = dealt.select("chunk", "text").mapInArrow(asked, "chunk long, word string").distinct()
-    answers = wanted.join(counts, "word")
+    # A chunk lies in one task, so its requests hardly repeat; that does no harm.
+    answers = dealt.mapInArrow(asked, "chunk long, word binary").join(counts, "word")
 
     def score(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        units = _Units(known, tied)
-        c_of = dict(zip(found["word"], found["c"].tolist(), strict=True)) | known_counts
-        number: dict[str, int] = {}
+        units, known_counts = _Units(known, tied), shared.value
+        c_of = dict(zip(map(bytes, found["word"]), found["c"].tolist(), strict=True))
         c_list, class_list = [n_docs], [0]  # the end
-        out = []
+
+        class Numbers(dict):
+            def __missing__(self, w: bytes) -> int:
+                i = self[w] = len(c_list)
+                c = known_counts.get(w)
+                c_list.append(c_of.get(w, 0) if c is None else c)
+                class_list.append(at[units[w]])
+                return i
+
+        number = Numbers().__getitem__
         ids_of = []
         for text in texts["text"]:
-            ids = []
-            for w in words_of(text):
-                i = number.get(w)
-                if i is None:
-                    i = number[w] = len(c_list)
-                    c_list.append(c_of.get(w, 0))
-                    class_list.append(at[units[w]])
-                ids.append(i)
-            ids.append(0)
-            ids_of.append(np.array(ids))
+            words = words_of(text)
+            ids = np.zeros(len(words) + 1, np.int32)
+            ids[:-1] = np.fromiter(map(number, words), np.int32, len(words))
+            ids_of.append(ids)
         c, cls = np.array(c_list, float), np.array(class_list, np.int64)
         base = (c + 0.5) / (n + 0.5 * (v + 1))
         emit = (c + 0.5) / (tokens[cls] + rest[cls])
+        log_base, out = np.log10(base), []
         for doc_id, ids in zip(texts["doc_id"], ids_of, strict=True):
             k = cls[ids]
             p = MIX * follow[np.concatenate([[0], k[:-1]]), k] * emit[ids] + (1 - MIX) * base[ids]
-            out.append((doc_id, len(ids), int((c[ids] > 0).sum()), float(np.log10(base[ids]).sum()), float(np.log10(p).sum())))
+            out.append((doc_id, len(ids), int((c[ids] > 0).sum()), float(log_base[ids].sum()), float(np.log10(p).sum())))
         frame = pd.DataFrame(out, columns=["doc_id", "n_tokens", "n_known", "base_score", "score"])
         frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
@@ -291,7 +292,7 @@ def score_texts(docs: DataFrame, frequent: int = FREQUENT, tied: int = TIED, cla
                          "base_score", "score")
 
 
-def _requests(seen: dict[int, set], known: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def _requests(seen: dict[int, set], known: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     for chunk, words in seen.items():
         words = [w for w in words if w not in known]
-        yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(words), pa.int64()), pa.array(words, pa.string())], ["chunk", "word"])
+        yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(words), pa.int64()), pa.array(words, pa.binary())], ["chunk", "word"])

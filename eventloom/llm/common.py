@@ -35,6 +35,12 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Let Spark drop the shuffle files of finished jobs now: it does so when
+    the driver collects its garbage, which may come late on a large heap."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 #: Rows up to which a table is sent to all executors (some tens of bytes a
 #: row); larger ones are joined by a shuffle, with the same result.
 BROADCAST_ROWS = 400_000
