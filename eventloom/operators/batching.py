@@ -6,8 +6,10 @@ failed batches go back to the front. Here each rule is a table operator keyed
 by a queue key (``device_id`` by default) and ordered by ``seq``:
 
 * top-k rules (keep newest/first N, requeue merge) use ``row_number() <= N``,
-  which Spark plans as a WindowGroupLimit before and after the shuffle, so a
-  hot key ships at most N rows per task;
+  which Spark plans, for N up to ``spark.sql.optimizer.windowGroupLimitThreshold``,
+  as a WindowGroupLimit before and after the shuffle; in a session that splits
+  keys they are positions of the split scan, cut inside each chunk first, for
+  any N;
 * positions (batch numbers, count windows, drop-front) use the skew-safe
   running count of :mod:`eventloom.plans.scan`;
 * batch bodies collect at most ``max_batch`` events per group.
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.times import iso_seconds
-from eventloom.plans.scan import DEFAULT_WIDTH, running
+from eventloom.plans.scan import DEFAULT_WIDTH, SEQ_WIDTH, running, split_session
 
 # ---- fixed values: queue and flush settings -----------------------------------
 QUEUE_CAPACITY = 2000
@@ -37,16 +39,30 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _first_rows(df: DataFrame, n: int, keys: list[str], order: Column, position: str | None = None) -> DataFrame:
+    """The first ``n`` rows of each key in ``order`` (a bigint); with
+    ``position`` their places, from 1, stay as that column."""
+    name = position or "__rn"
+    if split_session(df.sparkSession):
+        d = df.withColumn("__order", order)
+        # At most n rows of a key and cell can be among its first n.
+        cell = Window.partitionBy(*keys, F.floor(F.col("__order") / SEQ_WIDTH)).orderBy("__order")
+        d = d.withColumn("__in_cell", F.row_number().over(cell)).filter(F.col("__in_cell") <= n).drop("__in_cell")
+        out = running(d, keys, "__order", total={name: F.lit(1)}).drop("__order")
+    else:
+        out = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
+    out = out.filter(F.col(name) <= n)
+    return out if position else out.drop(name)
+
+
 def keep_newest(df: DataFrame, n: int = QUEUE_CAPACITY, key: str | Sequence[str] = "device_id", order: str = "seq") -> DataFrame:
     """BUF1: bounded buffer, drop oldest: the newest ``n`` rows per key."""
-    w = Window.partitionBy(*_keys(key)).orderBy(F.col(order).desc())
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    return _first_rows(df, n, _keys(key), -F.col(order).cast("bigint"))
 
 
 def keep_first(df: DataFrame, n: int = QUEUE_CAPACITY, key: str | Sequence[str] = "device_id", order: str = "seq") -> DataFrame:
     """BUF2 / BUF5 ``drain``: drop newest, i.e. the first ``n`` rows per key."""
-    w = Window.partitionBy(*_keys(key)).orderBy(F.col(order).asc())
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n).drop("__rn")
+    return _first_rows(df, n, _keys(key), F.col(order).cast("bigint"))
 
 
 def drop_front(df: DataFrame, n: int, key: str | Sequence[str] = "device_id", order: str = "seq", width: int | None = DEFAULT_WIDTH) -> DataFrame:
@@ -69,8 +85,8 @@ def requeue_merge(failed: DataFrame, new: DataFrame, capacity: int = QUEUE_CAPAC
     """BUF6: failed events go ahead of new ones; over capacity the newest new
     events are lost. Adds ``is_new`` and ``queue_pos`` (from 1)."""
     u = failed.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
-    w = Window.partitionBy(*_keys(key)).orderBy(F.col("is_new").asc(), F.col("seq").asc())
-    return u.withColumn("queue_pos", F.row_number().over(w).cast("bigint")).filter(F.col("queue_pos") <= capacity)
+    place = F.col("seq").cast("bigint") + F.when(F.col("is_new"), F.lit(1 << 61)).otherwise(F.lit(0))
+    return _first_rows(u, capacity, _keys(key), place, "queue_pos")
 
 
 def flush_window(ts: Column, interval: str = FLUSH_INTERVAL) -> Column:

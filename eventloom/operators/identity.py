@@ -21,6 +21,7 @@ from eventloom.functions.ids import anonymous_id
 from eventloom.plans.scan import DEFAULT_WIDTH, running
 
 FATAL_STATUSES = (401, 403, 404)
+_START = "__start"
 
 
 def _null_struct():
@@ -33,7 +34,8 @@ def _blank(c):
 
 
 def identity_asof(
-    calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_adid: bool = True, alias_sets_user: bool = False
+    calls: DataFrame, *, width: int | None = DEFAULT_WIDTH, with_adid: bool = True, alias_sets_user: bool = False,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """IDN1, IDN2, IDN5: add ``epoch, flush_epoch, initialized, user_state,
     group_state, anonymous_id`` and (``with_adid``) ``advertising_id_state,
@@ -42,20 +44,36 @@ def identity_asof(
 
     ``alias`` only emits an event; with ``alias_sets_user=True`` it also sets
     the user id like ``identify`` (the documented, not the coded, behaviour).
+
+    ``start`` (an :func:`identity_snapshot`) is the state to resume from: a
+    daily run reads the day's calls and the last snapshot. Its ``last_seq`` must
+    be below the device's calls; devices without a row start fresh.
     """
+    if start is not None:
+        first = start.select(
+            "write_key", "device_id", F.col("last_seq").alias("seq"), F.lit(_START).alias("call"), "user_id", "group_id", "advertising_id",
+            F.struct("epoch", "flush_epoch", "initialized", "consent_state").alias("__start"))
+        calls = calls.unionByName(first, allowMissingColumns=True)
+    else:
+        calls = calls.withColumn("__start", F.lit(None).cast("struct<epoch:bigint,flush_epoch:bigint,initialized:boolean,consent_state:string>"))
     call = F.col("call")
+    is_start = call == _START
+    begin = F.col("__start")
     is_reset = call == "reset"
-    sets_user = call.isin("identify", "alias") if alias_sets_user else (call == "identify")
+    sets_user = (call.isin("identify", "alias") if alias_sets_user else (call == "identify")) | is_start
     ident = running(
         calls,
         "device_id",
         "seq",
         last={
             "__u": F.when(is_reset, _null_struct()).when(sets_user, F.struct(F.col("user_id").alias("v"))),
-            "__g": F.when(is_reset, _null_struct()).when(call == "group", F.struct(F.col("group_id").alias("v"))),
-            "__m": F.when(is_reset, F.lit(False)).when(call == "initialize", F.lit(True)),
+            "__g": F.when(is_reset, _null_struct()).when((call == "group") | is_start, F.struct(F.col("group_id").alias("v"))),
+            "__m": F.when(is_reset, F.lit(False)).when(call == "initialize", F.lit(True)).when(is_start, begin["initialized"]),
+        },
+        total={
+            "epoch": F.coalesce(begin["epoch"], is_reset.cast("bigint")),
+            "flush_epoch": F.coalesce(begin["flush_epoch"], (call == "flush").cast("bigint")),
         },
-        total={"epoch": is_reset.cast("bigint"), "flush_epoch": (call == "flush").cast("bigint")},
         width=width,
     )
     initialized = F.coalesce(F.col("__m"), F.lit(True))
@@ -67,26 +85,28 @@ def identity_asof(
         F.when(initialized, anonymous_id(F.col("device_id"), F.col("epoch"))).otherwise(F.lit("unknown")).alias("anonymous_id"),
     )
     if not with_adid:
-        return ident
+        return ident.where(~is_start).drop("__start")
 
     ready = F.col("initialized")
     adid = F.col("advertising_id")
     valid_set = (call == "setAdvertisingId") & (adid.isNull() | ~_blank(adid))
     change = (
-        F.when(is_reset, F.struct(F.lit(None).cast("string").alias("v"), F.lit("unknown").alias("c")))
+        F.when(is_start, F.struct(adid.alias("v"), begin["consent_state"].alias("c")))
+        .when(is_reset, F.struct(F.lit(None).cast("string").alias("v"), F.lit("unknown").alias("c")))
         .when(ready & valid_set, F.struct(adid.alias("v"), F.when(adid.isNull(), "withdrawn").otherwise("granted").alias("c")))
         .when(ready & (call == "clearAdvertisingId"), F.struct(F.lit(None).cast("string").alias("v"), F.lit("withdrawn").alias("c")))
     )
     ident = running(ident, "device_id", "seq", last={"__a": change}, width=width)
-    return ident.select(
-        *[c for c in ident.columns if c != "__a"],
+    return ident.where(~is_start).select(
+        *[c for c in ident.columns if c not in ("__a", "__start")],
         F.col("__a.v").alias("advertising_id_state"),
         F.coalesce(F.col("__a.c"), F.lit("unknown")).alias("consent_state"),
     )
 
 
 def identity_snapshot(ident: DataFrame) -> DataFrame:
-    """IDN4: latest identity per device (what a restart would load).
+    """IDN4: latest identity per device (what a restart loads: ``start`` of
+    :func:`identity_asof`).
 
     ``max_by`` is a partial aggregate, so a hot device is pre-reduced per task.
     """
@@ -98,6 +118,9 @@ def identity_snapshot(ident: DataFrame) -> DataFrame:
             F.col("user_state").alias("user_id"),
             F.col("group_state").alias("group_id"),
             F.col("advertising_id_state").alias("advertising_id"),
+            F.col("initialized"),
+            F.col("consent_state"),
+            F.col("flush_epoch"),
         ),
         F.col("seq"),
     )
@@ -110,6 +133,9 @@ def identity_snapshot(ident: DataFrame) -> DataFrame:
         F.col("s.user_id").alias("user_id"),
         F.col("s.group_id").alias("group_id"),
         F.col("s.advertising_id").alias("advertising_id"),
+        F.col("s.initialized").alias("initialized"),
+        F.col("s.consent_state").alias("consent_state"),
+        F.col("s.flush_epoch").alias("flush_epoch"),
     )
 
 

@@ -78,6 +78,20 @@ def identity_asof(spark, d):
     return i.select("device_id", "seq", "call", "epoch", F.col("user_state").alias("user_id"), F.col("group_state").alias("group_id"))
 
 
+@query
+def identity_resumed(spark, d):
+    """IDN1, IDN2, IDN4, IDN5: the first six calls of each device, their snapshot,
+    and the rest resumed from it, together."""
+    from eventloom.operators.identity import identity_asof as asof, identity_snapshot as snap
+
+    c = adapters.calls(spark, d)
+    begun = asof(c.where("seq <= 6"))
+    rest = asof(c.where("seq > 6"), start=snap(begun))
+    return begun.unionByName(rest).select(
+        "device_id", "seq", "epoch", F.col("user_state").alias("user_id"), F.col("group_state").alias("group_id"), "anonymous_id",
+        F.col("advertising_id_state").alias("advertising_id"), "consent_state", "initialized")
+
+
 @query
 def anonymous_id(spark, d):
     """IDN2: anonymous id per device epoch, ``unknown`` until initialized."""

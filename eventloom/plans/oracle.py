@@ -138,6 +138,9 @@ SELECT message_id, device_id, seq, write_key, type, event, ev_user_id AS user_id
        group_state AS group_id, event_time FROM ev""",
     "identity_asof": BASE + """
 SELECT device_id, seq, call, epoch, user_state AS user_id, group_state AS group_id FROM ident""",
+    "identity_resumed": BASE + """
+SELECT device_id, seq, epoch, user_state AS user_id, group_state AS group_id, anonymous_id,
+  advertising_id_state AS advertising_id, consent_state, initialized FROM ident""",
     "anonymous_id": BASE + """
 SELECT device_id, seq, epoch, initialized, anonymous_id FROM ident""",
     "adid_asof": BASE + """
@@ -270,7 +273,7 @@ SELECT message_id, ev_user_id AS user_id, anonymous_id, group_state AS group_id,
        type IN ('identify', 'alias') AS user_from_event FROM ev""",
     "identity_snapshot": BASE + """
 SELECT write_key, device_id, seq AS last_seq, epoch, anonymous_id, user_state AS user_id,
-       group_state AS group_id, advertising_id_state AS advertising_id
+       group_state AS group_id, advertising_id_state AS advertising_id, initialized, consent_state, flush_epoch
 FROM ident QUALIFY row_number() OVER (PARTITION BY write_key, device_id ORDER BY seq DESC) = 1""",
     "alias_edges": BASE + """
 SELECT anonymous_id, ev_user_id AS user_id, min(seq) AS first_seq, min(epoch_us(ts)) AS first_ts_us, count(*) AS n

@@ -101,3 +101,18 @@ def test_no_stamped_body_exceeds_the_limit(spark, sf_small):
     bodies = (ok.join(sized.select("device_id", "seq", "j"), ["device_id", "seq"]).groupBy("device_id", "flush_start", "batch_no", "piece")
               .agg(F.concat(F.lit('{"batch":['), F.array_join(F.collect_list("j"), ","), F.lit("]}")).alias("body")))
     assert bodies.where(F.octet_length("body") > 4000).count() == 0 and bodies.count() > 0
+
+
+def test_top_k_at_full_capacity_in_both_layouts(spark):
+    from eventloom.plans.scan import SPLIT_CONF
+
+    df = spark.range(5_000).selectExpr("id % 2 AS device_id", "id AS seq", "timestamp'2024-01-01' AS ts")
+    want = {"newest": [s for s in range(5_000) if s >= 1_000], "first": [s for s in range(5_000) if s < 4_000]}
+    for split in ("false", "true"):
+        spark.conf.set(SPLIT_CONF, split)
+        try:
+            assert seqs(keep_newest(df, 2000)) == want["newest"] and seqs(keep_first(df, 2000)) == want["first"]
+            merged = requeue_merge(df.where("seq >= 4000"), df.where("seq < 4000"), 2000).where("device_id = 1")
+            assert [(r.is_new, r.seq) for r in merged.orderBy("queue_pos").collect()][498:502] == [(False, 4997), (False, 4999), (True, 1), (True, 3)]
+        finally:
+            spark.conf.unset(SPLIT_CONF)
