@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators.batching import FLUSH_INTERVAL, MAX_BATCH, batch_assign, batch_bodies
+from eventloom.operators.context import attach_context, device_contexts
 from eventloom.operators.envelope import build_events, envelope
 from eventloom.schemas import CALLS_SCHEMA
 from eventloom.streaming.identity_state import identity_stream
@@ -26,12 +27,13 @@ def call_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1)
     return spark.readStream.schema(CALLS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 
-def batch_sink(out_dir: str, late_dir: str | None = None, key: str = "device_id", interval: str = FLUSH_INTERVAL, max_batch: int = MAX_BATCH) -> Callable[[DataFrame, int], None]:
+def batch_sink(out_dir: str, late_dir: str | None = None, contexts: DataFrame | None = None, key: str = "device_id", interval: str = FLUSH_INTERVAL, max_batch: int = MAX_BATCH) -> Callable[[DataFrame, int], None]:
     """STR2: ``foreachBatch`` writer of request bodies, one folder per batch id.
 
     With ``late_dir`` the micro-batch is identity rows (:func:`identity_stream`):
     rows that came after a later one of their device are written there as JSON,
-    the others become events. The micro-batch is kept while it is used, so the
+    the others become events. ``contexts`` (``device_id, context``, one row per
+    device) is attached to every event. The micro-batch is kept while it is used, so the
     stateful step runs once."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
@@ -47,6 +49,8 @@ def batch_sink(out_dir: str, late_dir: str | None = None, key: str = "device_id"
             rows.unpersist()
 
     def _write_bodies(events: DataFrame, batch_id: int) -> None:
+        if contexts is not None:
+            events = attach_context(events, contexts)
         batched = batch_assign(events, key=key, interval=interval, max_batch=max_batch)
         bodies = batch_bodies(batched, envelope(batched))
         bodies.select("body").write.mode("overwrite").text(f"{out_dir}/batch_id={batch_id}")
@@ -106,12 +110,14 @@ def start_enrichment_stream(
     max_files_per_trigger: int = 1,
     available_now: bool = False,
     late_dir: str | None = None,
+    snapshots: DataFrame | None = None,
 ):
     """STR1-STR3 wired together: bounded intake of call files → keyed identity
     state → envelopes → request bodies written per micro-batch, every
     ``flush_interval`` (or once over all available input). Late calls go to
-    ``late_dir`` (``<out_dir>-late``)."""
+    ``late_dir`` (``<out_dir>-late``); device ``snapshots`` give the context of
+    every event."""
     rows = identity_stream(call_stream(spark, calls_path, max_files_per_trigger))
-    writer = rows.writeStream.foreachBatch(batch_sink(out_dir, late_dir or f"{out_dir}-late")).option("checkpointLocation", checkpoint_dir)
+    writer = rows.writeStream.foreachBatch(batch_sink(out_dir, late_dir or f"{out_dir}-late", device_contexts(snapshots) if snapshots is not None else None)).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush_interval)
     return writer.start()

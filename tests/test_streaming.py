@@ -1,6 +1,7 @@
 """Streaming: stateful identity equals the batch operator; sinks are idempotent."""
 
 import datetime as dt
+import json
 import tempfile
 import time
 
@@ -140,6 +141,37 @@ def test_enrichment_stream_end_to_end(spark, sf_small):
     assert parsed.select("e.messageId").distinct().count() == n_events
 
 
+def test_stream_bodies_carry_the_context_of_batch_events(spark, sf_small):
+    from eventloom.operators.envelope import envelope, to_event_json
+    from eventloom.plans import pipeline
+    from eventloom.streaming.sinks import start_enrichment_stream
+
+    root = tempfile.mkdtemp(prefix="eventloom-ctx-")
+    _write_parts(adapters.calls(spark, sf_small), root, parts=2)
+    out = tempfile.mkdtemp(prefix="eventloom-ctx-out-")
+    start_enrichment_stream(spark, root, out, tempfile.mkdtemp(prefix="eventloom-ctx-ck-"), available_now=True,
+                            snapshots=adapters.reported_snapshots(spark, sf_small)).awaitTermination(300)
+    got = {}
+    for r in spark.read.text(out + "/*").collect():
+        for e in json.loads(r.value)["batch"]:
+            e.pop("sentAt")
+            got[e["messageId"]] = e
+    ev = pipeline.events(spark, sf_small, with_context=True)
+    want = {(e := json.loads(r.j))["messageId"]: e for r in ev.select(to_event_json(envelope(ev)).alias("j")).collect()}
+    assert any("context" in e for e in want.values()) and got == want
+
+
+def test_late_rows_are_written_beside_the_bodies(spark):
+    rows = [("wk", 1, 5, dt.datetime(2024, 1, 1), "track", False), ("wk", 1, 3, dt.datetime(2024, 1, 1), "track", True)]
+    base = spark.createDataFrame(rows, "write_key string, device_id long, seq long, ts timestamp, call string, late boolean")
+    calls = spark.createDataFrame([], CALLS_SCHEMA).join(base.limit(0).select("seq"), "seq", "left_semi").unionByName(base, allowMissingColumns=True)
+    ident = identity_asof(calls.drop("late")).join(base.select("seq", "late"), "seq")
+    out = tempfile.mkdtemp(prefix="eventloom-late-")
+    batch_sink(f"{out}/bodies", f"{out}/late", interval="1 day")(ident, 0)
+    assert [r.seq for r in spark.read.json(f"{out}/late/batch_id=0").collect()] == [3]
+    assert spark.read.text(f"{out}/bodies/batch_id=0").count() == 1
+
+
 def test_read_json_call_log_with_quarantine(spark):
     from eventloom.sources.logs import read_calls
 
