@@ -45,7 +45,7 @@ SAME = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
         "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody"}, {"table"}), "option": ({"option"}, {"select", "datalist"})}
 FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|side-?bar|menu\w*|nav|navbar|navigation|bread-?crumbs?|cookies?|consent|"
-    r"gdpr|notices?|newsletter|subscri\w*|comments?|commentlist|disqus|respond|shar(?:e|ing)|social|related|recommend\w*|footer|header|masthead|"
+    r"gdpr|notices?|newsletter|subscri\w*|comments?|commentlist|disqus|respond|shar(?:e|ing)|social|related|recommend\w*|announce\w*|notifications?|disclaimer|copyright|responses|replies|discussion|reactions|cta|topbar|footer|header|masthead|"
     r"pop-?up|modal|overlay|toolbar|pagination|pager|widgets?|log-?in|sign-?up|search\w*|skip|alerts?)(?=$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: A slot is furniture if it is the same on this many pages, all of a host's.
