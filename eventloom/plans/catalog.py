@@ -408,6 +408,23 @@ def event_json_roundtrip(spark, d):
     return j.select(F.col("messageId").alias("message_id"), roundtrip_ok("json", env_schema).alias("roundtrip_ok"))
 
 
+@query
+def event_json_parsed(spark, d):
+    """SNK3: event JSON read back into typed envelopes; every fifth text is cut
+    off and goes to the quarantine (null columns)."""
+    from eventloom.operators.envelope import envelope
+    from eventloom.operators.messages import parse_events
+
+    j = _event_json(spark, d)
+    schema = j.select(envelope(j).alias("e")).schema["e"].dataType
+    lines = j.select(F.col("messageId").alias("message_id"), F.when(F.col("seq") % 5 == 0, F.expr("left(json, 25)")).otherwise(F.col("json")).alias("json"))
+    good, bad = parse_events(lines, "json", schema)
+    cols = {"p_type": "type", "p_event": "event", "p_user_id": "userId", "p_anonymous_id": "anonymousId", "p_group_id": "groupId",
+            "p_timestamp": "timestamp", "p_write_key": "writeKey"}
+    good = good.select("message_id", F.lit(True).alias("parsed"), *[F.col(f"event.{v}").alias(k) for k, v in cols.items()])
+    return good.unionByName(bad.select("message_id", F.lit(False).alias("parsed")), allowMissingColumns=True)
+
+
 # ---- buffering and batching -------------------------------------------------------
 
 #: Registered batch reports use a shared job keyed by write key with weekly

@@ -455,6 +455,12 @@ SELECT e.message_id, e.type AS j_type, e.event AS j_event, e.ev_user_id AS j_use
   CASE WHEN e.type IN ('screen', 'page') THEN e.name END AS j_props_name,
   e.event IS NOT NULL AS has_event_key, false AS has_sent_at_key
 FROM ev e LEFT JOIN snap s ON e.device_id = s.device_id""",
+    "event_json_parsed": BASE + """
+SELECT message_id, seq % 5 <> 0 AS parsed, CASE WHEN seq % 5 <> 0 THEN type END AS p_type,
+  CASE WHEN seq % 5 <> 0 THEN event END AS p_event, CASE WHEN seq % 5 <> 0 THEN ev_user_id END AS p_user_id,
+  CASE WHEN seq % 5 <> 0 THEN anonymous_id END AS p_anonymous_id, CASE WHEN seq % 5 <> 0 THEN group_state END AS p_group_id,
+  CASE WHEN seq % 5 <> 0 THEN event_time END AS p_timestamp, CASE WHEN seq % 5 <> 0 THEN write_key END AS p_write_key
+FROM ev""",
     "event_json_roundtrip": BASE + "\nSELECT message_id, true AS roundtrip_ok FROM ev",
 })
 
