@@ -168,6 +168,12 @@ def undelivered(
     return running(left, "device_id", "seq", total={"queue_pos": F.lit(1)}, width=width)
 
 
+def _one_setting(settings: DataFrame) -> DataFrame:
+    """One row per write key (of several the greatest, column by column order)."""
+    rest = [c for c in settings.columns if c != "write_key"]
+    return settings.groupBy("write_key").agg(F.max(F.struct(*rest)).alias("s")).select("write_key", *[F.col(f"s.{c}").alias(c) for c in rest])
+
+
 def pipeline_status(
     write_keys: DataFrame,
     pending: DataFrame,
@@ -184,9 +190,9 @@ def pipeline_status(
     )
     last_state = breaker_log.groupBy("write_key", "device_id").agg(F.max_by("breaker_state", "seq").alias("state"))
     brk = last_state.groupBy("write_key").agg(F.count(F.when(F.col("state") == "open", 1)).alias("n_open_breakers"))
-    s = settings.select(
+    s = _one_setting(settings.select(
         "write_key", "host_clean", "flush_interval_seconds", "max_queue_events", F.col("valid").alias("settings_valid")
-    )
+    ))
     out = write_keys.select("write_key").distinct()
     for t in (q, ids, brk, s):
         out = out.join(t, "write_key", "left")
@@ -228,7 +234,7 @@ def device_status(
     fatal = attempts.filter(F.col("status").isin(*FATAL)).groupBy("device_id").agg(F.max("attempt_ts").alias("last_fatal_ts"))
     queue = pending.groupBy("device_id").agg(F.count(F.lit(1)).alias("queue_length"))
     circuit = breaker_log.groupBy("device_id").agg(F.max_by("breaker_state", "seq").alias("circuit_state"))
-    s = settings.select("write_key", "flush_interval_seconds", "max_queue_events")
+    s = _one_setting(settings.select("write_key", "flush_interval_seconds", "max_queue_events"))
     out = last.join(fatal, "device_id", "left").join(queue, "device_id", "left").join(circuit, "device_id", "left").join(s, "write_key", "left")
     disabled = F.col("last_fatal_ts").isNotNull() & (F.col("last_reset_ts").isNull() | (F.col("last_fatal_ts") > F.col("last_reset_ts")))
     lifecycle = F.when(disabled, "disabled").when(F.col("s.initialized"), "ready").otherwise("idle")

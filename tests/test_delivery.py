@@ -106,3 +106,10 @@ def test_retry_delay(spark):
     a = spark.createDataFrame(rows, ATTEMPTS_SCHEMA)
     got = [r.retry_delay_ms for r in retry_delay(a).orderBy("seq").collect()]
     assert got == [2000, 100, 10000, 20000, None, 1000, 0, None, 0]
+
+
+def test_several_settings_of_a_key_give_one_row(spark):
+    from eventloom.operators.delivery import _one_setting
+
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 1), ("b", None, 3)], "write_key string, x int, y int")
+    assert sorted(map(tuple, _one_setting(df).collect())) == [("a", 2, 1), ("b", None, 3)]
