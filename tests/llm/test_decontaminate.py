@@ -37,7 +37,7 @@ def ordered(rows):
 def test_messy_rows_match_brute_force(spark, messy):
     texts = [r.text for r in messy.collect()]
     items = [(1, " ".join(texts[0].split()[5:30])), (1, " ".join(texts[0].split()[5:30])), (2, "one two"), (10, texts[0].upper()),
-             (3, None), (4, ""), (5, "never seen words in any of the texts at all here"), (None, texts[0]), (6, "pi"), (7, "é漢字 " * 12)]
+             (3, None), (4, ""), (5, "never seen words in any of the texts at all here"), (None, texts[0]), (6, "pi"), (7, "é漢字 " * 12), (12, texts[9])]  # texts[9] has no doc_id
     bench = spark.createDataFrame([(*i, 1, "w") for i in items], "item_id long, text string, at int, word string")
     got = contamination(messy, bench).collect()
     assert ordered(got) == ordered(brute([(r.doc_id, r.text) for r in messy.collect()], items))
