@@ -162,15 +162,18 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``(node, n, at, shingle, bits)``: of the rarest shingles of each set, among the
-    given sets, those that some other set has too; ``at``: place in that order."""
+    """``(node, n, at, shingle, before, bits)``: of the rarest shingles of each
+    set, among the given sets, those that some other set has too; ``at``: place in
+    that order; ``before``: those of them at earlier places."""
     one = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     freq = one.groupBy("shingle").agg(F.count("*").alias("freq"))
     ordered = (one.join(freq, "shingle").groupBy("node", "n")
                .agg(F.sort_array(F.collect_list(F.struct("freq", "shingle"))).alias("s")))
     width = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
-    return (ordered.select("node", "n", F.posexplode(F.slice("s", F.lit(1), width)).alias("at", "s"))
-            .where("s.freq > 1").select("node", "n", "at", F.col("s.shingle").alias("shingle"))
+    earlier = F.transform(F.filter(F.slice("p", F.lit(1), F.col("at")), lambda x: x["freq"] > 1), lambda x: x["shingle"])
+    return (ordered.select("node", "n", F.slice("s", F.lit(1), width).alias("p"))
+            .select("node", "n", "p", F.posexplode("p").alias("at", "s")).where("s.freq > 1")
+            .select("node", "n", "at", F.col("s.shingle").alias("shingle"), earlier.alias("before"))
             .join(sets.select("node", "bits"), "node"))
 
 
@@ -240,10 +243,11 @@ def near_duplicates(
             sizes = (now.join(mixed.select("shingle"), "shingle", "left_semi").groupBy("shingle", "comp")
                      .agg(F.count("*").alias("c")).groupBy("shingle").agg(F.max_by("comp", "c").alias("most")))
             here = now.join(sizes, "shingle")
-            minor = here.where("comp <> most").select("shingle", "node", "comp", "n", "at", "bits")
+            minor = here.where("comp <> most").select("shingle", "node", "comp", "n", "at", "bits", "before")
             other = here.select("shingle", F.col("node").alias("other"), F.col("comp").alias("comp2"),
-                                F.col("n").alias("m"), F.col("at").alias("at2"), F.col("bits").alias("bits2"))
-            found = (minor.join(other, "shingle").where("comp <> comp2").where(alike)
+                                F.col("n").alias("m"), F.col("at").alias("at2"), F.col("bits").alias("bits2"), F.col("before").alias("before2"))
+            # A pair is made at its first common shingle only.
+            found = (minor.join(other, "shingle").where("comp <> comp2").where(alike).where(~F.arrays_overlap("before", "before2"))
                      .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
         fresh = keep(found.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         labels = relabel(labels, _confirm(fresh, sets, percent))
