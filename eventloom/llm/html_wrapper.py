@@ -47,6 +47,11 @@ FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|side-?bar|menu\w*|nav|navbar|navigation|bread-?crumbs?|cookies?|consent|"
     r"gdpr|notices?|newsletter|subscri\w*|comments?|commentlist|disqus|respond|shar(?:e|ing)|social|related|recommend\w*|announce\w*|notifications?|disclaimer|copyright|responses|replies|discussion|reactions|cta|topbar|footer|header|masthead|"
     r"pop-?up|modal|overlay|toolbar|pagination|pager|widgets?|log-?in|sign-?up|search\w*|skip|alerts?)(?=$|[\s_-])", re.I)
+#: Names that text bears too (a notice, related work): these go only if their place behaves like furniture on the host's pages.
+WEAK = re.compile(
+    r"(?:^|[\s_-])(?:notices?|related|recommend\w*|announce\w*|notifications?|disclaimer|copyright|respond|responses|replies|discussion|reactions|"
+    r"search\w*|skip|alerts?|banner|menu\w*|promo\w*|social|overlay|widgets?)(?=$|[\s_-])", re.I)
+STRONG, UNSURE, HEADER = 1, 2, 3
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: A slot is furniture if it is the same on this many pages, all of a host's.
 SAME_PAGES = 8
@@ -55,31 +60,44 @@ DEPTH = 48
 
 _TOKEN = re.compile(r"""<!--(?:(?!-->).)*(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_HEADING = re.compile(r"h[1-6]")
 _DIGITS = re.compile(r"\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 @lru_cache(100_000)
-def _element(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """``(key, dropped, dropped outside an article)`` of an element."""
+def _element(tag: str, attributes: str) -> tuple[str, bool, bool, int]:
+    """``(key, dropped, dropped outside an article, kind of name)`` of an
+    element. A dropped element with a kind of name may be taken back."""
     a = {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip(" /") else {}
     names = [a.get("class", ""), a.get("id", ""), a.get("role", "")]
     key = tag + "".join(f".{_DIGITS.sub('0', x)}" if x else "" for x in names)
     if tag in ("html", "body", "main"):
-        return key, False, False
+        return key, False, False, 0
     hidden = "hidden" in a or a.get("aria-hidden") == "true" or bool(_HIDDEN.search(a.get("style", "")))
-    named = any(FURNITURE.search(x) for x in names[:2]) or names[2].lower() in ROLES
+    if hidden or (tag in DROPPED and tag != "form"):
+        return key, True, True, 0
+    if _HEADING.fullmatch(tag):
+        names[1] = ""  # an anchor made of the heading's words
     if tag == "article":
-        named = bool(re.search(r"(?:^|[\s_-])(?:comments?|related|promo\w*|ads?)(?=$|[\s_-])", f"{names[0]} {names[1]}", re.I))
-    header = tag == "header" or bool(re.search(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", f"{names[0]} {names[1]}", re.I))
-    return key, tag in DROPPED or hidden or (named and not header), header or tag in DROPPED or hidden or named
+        kind = STRONG if re.search(r"(?:^|[\s_-])(?:comments?|related|promo\w*|ads?)(?=$|[\s_-])", f"{names[0]} {names[1]}", re.I) else 0
+    elif tag == "header" or re.search(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", f"{names[0]} {names[1]}", re.I):
+        kind = HEADER
+    elif tag == "form" or names[2].lower() in ROLES or any(FURNITURE.search(WEAK.sub(" ", x)) for x in names[:2]):
+        kind = STRONG
+    else:
+        kind = UNSURE if any(WEAK.search(x) for x in names[:2]) else 0
+    return key, kind == STRONG, kind != 0, kind
 
 
 class Node:
-    __slots__ = ("tag", "key", "dropped", "outer", "children", "block")
+    __slots__ = ("tag", "key", "dropped", "outer", "kind", "children", "block")
 
-    def __init__(self, tag: str, key: str, dropped: bool, outer: bool):
-        self.tag, self.key, self.dropped, self.outer, self.children, self.block = tag, key, dropped, outer, [], tag in BLOCKS
+    def __init__(self, tag: str, key: str, dropped: bool, outer: bool, kind: int = 0):
+        self.tag, self.key, self.dropped, self.outer, self.kind, self.children, self.block = tag, key, dropped, outer, kind, [], tag in BLOCKS
+
+    def unname(self) -> None:
+        self.dropped, self.outer, self.kind = False, False, 0
 
 
 def parse(page: str | None) -> Node:
@@ -129,6 +147,8 @@ def parse(page: str | None) -> Node:
                 elif stack[i].tag in scope:
                     break
         node = Node(tag, *_element(tag, m[3]))
+        if node.kind and not node.block and any(x.tag in ("pre", "code") for x in stack):
+            node.unname()  # highlighted code
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(text, at)
@@ -137,6 +157,29 @@ def parse(page: str | None) -> Node:
             stack.append(node)
 
 
+def _take_back(root: Node) -> None:
+    """Names do not count on elements that hold the page's longest article or
+    main, or more than half of its text."""
+    order: list[tuple[Node, int]] = [(root, -1)]
+    for at, (n, _) in enumerate(order):  # grows as it is read
+        order.extend((c, at) for c in n.children if not isinstance(c, str) and (c.kind or not c.dropped))
+    chars = [sum(len(c.strip()) for c in n.children if isinstance(c, str)) for n, _ in order]
+    for at in range(len(order) - 1, 0, -1):
+        chars[order[at][1]] += chars[at]
+    for tag in ("article", "main"):
+        found = [at for at, (n, _) in enumerate(order) if n.tag == tag]
+        if found:
+            at = max(found, key=lambda i: (not order[i][0].kind, chars[i], -i))
+            at = at if order[at][0].kind else order[at][1]
+            while at > 0:
+                if order[at][0].tag != "article":
+                    order[at][0].unname()
+                at = order[at][1]
+    for (n, _), c in zip(order, chars, strict=True):
+        if n.kind and 2 * c > chars[0]:
+            n.unname()
+
+
 # A wrapper node: [key, flags, children, slot]; flags 1 optional, 2 repeated;
 # slot: [pages, hash of the text or -1 if it differs, characters, linked ones].
 Wrapper = list
@@ -248,20 +291,25 @@ def _wrapper_rows(held: dict[str, list]) -> pa.RecordBatch:
 @lru_cache(256)
 def _furniture_places(text: str, n_pages: int) -> Wrapper:
     """The wrapper with slots replaced by whether they are furniture where no
-    article holds them."""
+    article holds them; last, whether an element behaves like furniture: most of
+    its text is linked, or the same on several pages."""
 
-    def mark(w: Wrapper) -> Wrapper:
+    def mark(w: Wrapper) -> tuple[Wrapper, int, int]:
         s = w[3]
         same = bool(s) and s[0] >= SAME_PAGES and s[0] >= n_pages and s[1] != -1
         links = bool(s) and n_pages >= SAME_PAGES and s[3] >= LINK_SHARE * s[2]
-        return [w[0], w[1], [mark(c) for c in w[2]], same or links]
+        kids = [mark(c) for c in w[2]]
+        chars = (s[2] if s else 0) + sum(k[1] for k in kids)
+        telling = (0 if not s else s[2] if s[0] > 1 and s[1] != -1 else s[3]) + sum(k[2] for k in kids)
+        return [w[0], w[1], [k[0] for k in kids], same or links, 2 * telling > chars], chars, telling
 
-    return mark(json.loads(text))
+    return mark(json.loads(text))[0]
 
 
 def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
     """Blocks of the main text, joined by newlines."""
     root = parse(page)
+    _take_back(root)
 
     def holds(name: str) -> bool:
         todo = [root]
@@ -303,7 +351,8 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
             flush()
         elif c.tag == "br":
             current.append(" ")
-        if c.dropped or (c.outer and not (within and inside)):
+        unsure = c.kind == UNSURE and (inside or not within)
+        if c.dropped or (c.outer and not unsure and not (within and inside)):
             continue
         below = None
         if w is not None:
@@ -313,6 +362,8 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
                 at = next((j for j, k in enumerate(kids) if k[0] == c.key), None)
             if at is not None:
                 below, frame[3] = kids[at], at
+        if unsure and below is not None and below[4]:
+            continue
         todo.append([c, 0, below, 0, inside or c.tag == within])
     flush()
     return "\n".join(blocks)

@@ -59,6 +59,20 @@ def test_article_text():
     assert H.main_text(None) == H.main_text("") == H.main_text("<p>") == ""
 
 
+def test_names_drop_no_text(spark):
+    body = "<p>long text of the page, with many words</p>"
+    for box in ("<div class='site-content right-sidebar'>%s</div>", "<div id=page class=has-sidebar>%s</div>", "<form id=f>%s</form>", "<div class=header-fixed>%s</div>"):
+        assert H.main_text(box % f"<article>{body}</article><div class=sidebar><article>teaser</article></div>") == "long text of the page, with many words"
+        assert H.main_text(box % body) == "long text of the page, with many words"
+    inside = """<h2 id=related-work>Related</h2><section id=discussion><p>d</p></section><h3 id=search-trees>Trees</h3><p class=notice>n</p>
+<pre><code>x = 1 <span class='hljs-comment'># one</span> <span class="token comment"># two</span></code></pre>"""
+    assert H.main_text(f"<article>{body}{inside}</article>") == "long text of the page, with many words\nRelated\nd\nTrees\nn\nx = 1 # one # two"
+    pages = [(i, "http://h/", f"<article><p>Text {i} of the host</p><p class=notice>Terms apply.</p></article>") for i in range(4)]
+    pages += [(i, "http://k/", f"<article><p>Text {i} of the host</p><p class=notice>Notice {i}</p></article>") for i in range(4)]
+    got = sorted(r.text for r in H.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect())
+    assert got == sorted([f"Text {i} of the host" for i in range(4)] + [f"Text {i} of the host\nNotice {i}" for i in range(4)])
+
+
 def test_wrappers_find_furniture_outside_articles(spark):
     pages = [(i, "http://h.example/p" if i % 2 else "http://h.example/q", f"<body><div>Our site, since 1990</div><p>text {i}</p><p>more {i}</p></body>", i) for i in range(12)]
     pages += [(100, None, None, 1), (101, "http://x/", "", 1), (102, "http://x/", "<p>only</p>" * 3, 1), (102, "http://x/", "<p>only</p>" * 3, 1)]
