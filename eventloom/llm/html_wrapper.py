@@ -4,18 +4,23 @@ Every page is parsed into a tree of elements with text slots. Same-host pages
 are aligned level by level: equal neighbours fold into repeated groups, elements
 that only some pages have become optional, differing text leaves a slot. The
 result is one wrapper per host, an expression of sequences, options and
-repetitions without unions. Tasks fold their own pages first, so a host with
-many pages sends one wrapper a task.
-
-A slot's place in the wrapper says what it holds: text in navigation, forms,
-adverts and the like goes by element and name; outside the article, slots that
-are the same on all of a host's pages, or are nearly all link text, are page
-furniture too. Pages are then read against their host's wrapper. Text inside
-the article itself is never dropped for being common.
+repetitions without unions. A host with many pages is folded in up to 64 parts.
+
+A slot's place in the wrapper says what it holds: a text that most of the pages
+with the slot have there is page furniture, inside the article too (but not its
+h1); a slot of differing texts is content, however many pages have it; without
+an article, slots of nearly only link text are furniture. Text in navigation,
+adverts and the like also goes by element and name, unless the element holds the
+article or most of the page's text; unsure names count only where the place
+behaves like furniture. Pages are then read against their host's wrapper. Pages
+that share the two longest texts are copies and count as one, so that a copied text
+is not taken for furniture. Where an element repeats within a page (paragraphs
+in a row), its texts differ and the slot is content.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -53,13 +58,19 @@ WEAK = re.compile(
     r"search\w*|skip|alerts?|banner|menu\w*|promo\w*|social|overlay|widgets?)(?=$|[\s_-])", re.I)
 STRONG, UNSURE, HEADER = 1, 2, 3
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: A slot is furniture if it is the same on this many pages, all of a host's.
-SAME_PAGES = 8
+#: A text is furniture if this share of the pages that have its slot, at least
+#: two, have it there. A slot keeps the ``SLOT_TEXTS`` most frequent texts
+#: (Misra-Gries), which counts a text too low by at most one in
+#: ``SLOT_TEXTS + 1`` of the others.
+SAME_SHARE = 0.8
+LEAST_PAGES = 2
+SLOT_TEXTS = 4
 LINK_SHARE = 0.9
 DEPTH = 48
 
 _TOKEN = re.compile(r"""<!--(?:(?!-->).)*(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_HEADLINE = re.compile("h1")
 _HEADING = re.compile(r"h[1-6]")
 _DIGITS = re.compile(r"\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -181,7 +192,8 @@ def _take_back(root: Node) -> None:
 
 
 # A wrapper node: [key, flags, children, slot]; flags 1 optional, 2 repeated;
-# slot: [pages, hash of the text or -1 if it differs, characters, linked ones].
+# slot: [pages, {hash of the text: pages with it}, characters, linked ones]; a
+# text is not counted where one page has several in a folded slot.
 Wrapper = list
 
 
@@ -202,11 +214,40 @@ def shape(root: Node) -> Wrapper:
             else:
                 kids.append(build(c, depth + 1, linked))
         text = " ".join(" ".join(own).split())
-        return [node.key, 0, squash(kids), [1, zlib.crc32(text.encode("utf-8", "surrogatepass")), len(text), len(text) * linked] if text else None]
+        return [node.key, 0, squash(kids), [1, {_text_hash(text): 1}, len(text), len(text) * linked] if text else None]
 
     return build(root, 0, False)
 
 
+def own_text(node: Node) -> str:
+    return " ".join(" ".join(c for c in node.children if isinstance(c, str) and not c.isspace()).split())
+
+
+def _text_hash(text: str) -> str:
+    return format(zlib.crc32(text.encode("utf-8", "surrogatepass")), "x")  # keys of a JSON object
+
+
+def page_key(root: Node) -> int:
+    """Hash of the two longest texts of a page's article (main), or of all text
+    without one: pages that share it are copies, whose common text says nothing
+    about the host."""
+    texts: dict[str, list[str]] = {"article": [], "main": [], "": []}
+    todo: list[tuple[Node, str]] = [(root, "")]
+    while todo:
+        n, place = todo.pop()
+        if n.tag == "article" or (n.tag == "main" and not place):
+            place = n.tag
+        for c in n.children:
+            if not isinstance(c, str):
+                if not c.dropped:
+                    todo.append((c, place))
+            elif not c.isspace():
+                texts[place].append(" ".join(c.split()))
+    place = next((x for x in texts if texts[x]), "")
+    told = sorted(texts[place], key=lambda x: (-len(x), x))[: 2 if place else None]
+    return int.from_bytes(hashlib.blake2b("\n".join(told).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
 def squash(kids: list[Wrapper]) -> list[Wrapper]:
     """Neighbouring equal groups of one to three elements folded into one
     repeated group."""
@@ -229,10 +270,22 @@ def _merged(a: Wrapper, b: Wrapper, flags: int = 0, same_page: bool = False) ->
     x, y = a[3], b[3]
     slot = x or y
     if x and y:
-        slot = [max(x[0], y[0]) if same_page else x[0] + y[0], x[1] if x[1] == y[1] else -1, x[2] + y[2], x[3] + y[3]]
+        slot = [max(x[0], y[0]) if same_page else x[0] + y[0], _texts(x[1], y[1], same_page), x[2] + y[2], x[3] + y[3]]
     return [a[0], a[1] | b[1] | flags, merge(a[2], b[2], same_page), slot]
 
 
+def _texts(a: dict[str, int], b: dict[str, int], same_page: bool) -> dict[str, int]:
+    if same_page:
+        return {t: max(a[t], b[t]) for t in a if t in b} if len(a) == len(b) == 1 else {}
+    out = dict(a)
+    for t, n in b.items():
+        out[t] = out.get(t, 0) + n
+    if len(out) > SLOT_TEXTS:
+        less = sorted(out.values(), reverse=True)[SLOT_TEXTS]
+        out = {t: n - less for t, n in out.items() if n > less}
+    return out
+
+
 def merge(a: list[Wrapper], b: list[Wrapper], same_page: bool = False) -> list[Wrapper]:
     """Two sequences aligned; what only one has becomes optional."""
     if not a or not b:
@@ -256,52 +309,83 @@ def expression(w: Wrapper) -> str:
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """``host, n_pages, wrapper`` (JSON) of all ``pages(host, html)``."""
+    """``host, n_pages, wrapper`` (JSON) of all ``pages(host, html)``. Copies of
+    a page count as one page; pages without text are left out."""
+    salts = 64
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
+    def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = []
             for host, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                w = shape(parse(page))
-                old = held.get(host)
-                held[host] = [1, w] if old is None else [old[0] + 1, _merged(old[1], w)]
-            if len(held) > 2000:
-                yield _wrapper_rows(held)
-                held = {}
-        yield _wrapper_rows(held)
+                root = parse(page)
+                w = shape(root)
+                if _has_text(w):
+                    key = page_key(root)
+                    rows.append((host, key % salts, key, json.dumps(w)))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)],
+                                             ["host", "salt", "key", "wrapper"])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Sorted by host, salt and key: ``page`` merges copies, ``total`` pages.
+        at, page, total, n = None, None, None, 0
+        done: list[tuple[str, int, Wrapper]] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                w = json.loads(row[3])
+                if at == row[:3]:
+                    page = _merged(page, w, same_page=True)
+                    continue
+                if at is not None:
+                    total, n = page if total is None else _merged(total, page), n + 1
+                    if at[:2] != row[:2]:
+                        done.append((at[0], n, total))
+                        total, n = None, 0
+                at, page = row[:3], w
+            if len(done) > 500:
+                yield _wrapper_rows(done)
+                done = []
+        if at is not None:
+            done.append((at[0], n + 1, page if total is None else _merged(total, page)))
+        yield _wrapper_rows(done)
 
     def combine(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         total, w = 0, None
-        for n, text in zip(f["n_pages"], f["wrapper"], strict=True):
+        for n, text in sorted(zip(f["n_pages"], f["wrapper"], strict=True)):
             total, w = total + n, json.loads(text) if w is None else _merged(w, json.loads(text))
         return pd.DataFrame({"host": [key[0]], "n_pages": [total], "wrapper": [json.dumps(w)]})
 
-    kind = "host string, n_pages long, wrapper string"
-    parts = pages.select("host", "html").mapInArrow(fold, kind).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(8)))
-    some = parts.groupBy("host", "salt").applyInPandas(combine, kind)
-    return some.groupBy("host").applyInPandas(combine, kind)
+    order = ["host", "salt", "key", "wrapper"]
+    parts = (pages.select("host", "html").mapInArrow(shapes, "host string, salt long, key long, wrapper string")
+             .repartition("host", "salt").sortWithinPartitions(*order).select(*order))
+    return parts.mapInArrow(fold, "host string, n_pages long, wrapper string").groupBy("host").applyInPandas(
+        combine, "host string, n_pages long, wrapper string")
 
 
-def _wrapper_rows(held: dict[str, list]) -> pa.RecordBatch:
+def _has_text(w: Wrapper) -> bool:
+    return w[3] is not None or any(map(_has_text, w[2]))
+
+
+def _wrapper_rows(rows: list[tuple[str, int, Wrapper]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.string()), pa.array([n for n, _ in held.values()], pa.int64()),
-         pa.array([json.dumps(w) for _, w in held.values()], pa.string())], ["host", "n_pages", "wrapper"])
+        [pa.array([h for h, _, _ in rows], pa.string()), pa.array([n for _, n, _ in rows], pa.int64()),
+         pa.array([json.dumps(w) for _, _, w in rows], pa.string())], ["host", "n_pages", "wrapper"])
 
 
 @lru_cache(256)
 def _furniture_places(text: str, n_pages: int) -> Wrapper:
-    """The wrapper with slots replaced by whether they are furniture where no
-    article holds them; last, whether an element behaves like furniture: most of
-    its text is linked, or the same on several pages."""
+    """The wrapper with slots replaced by the texts that are furniture there
+    and whether links are, where no article holds them; last, whether an element
+    behaves like furniture: most of its text is linked, or is furniture."""
 
     def mark(w: Wrapper) -> tuple[Wrapper, int, int]:
         s = w[3]
-        same = bool(s) and s[0] >= SAME_PAGES and s[0] >= n_pages and s[1] != -1
-        links = bool(s) and n_pages >= SAME_PAGES and s[3] >= LINK_SHARE * s[2]
+        same = frozenset(t for t, n in s[1].items() if n >= LEAST_PAGES and n >= SAME_SHARE * s[0]) if s else frozenset()
+        links = bool(s) and n_pages >= LEAST_PAGES and s[3] >= LINK_SHARE * s[2]
         kids = [mark(c) for c in w[2]]
         chars = (s[2] if s else 0) + sum(k[1] for k in kids)
-        telling = (0 if not s else s[2] if s[0] > 1 and s[1] != -1 else s[3]) + sum(k[2] for k in kids)
-        return [w[0], w[1], [k[0] for k in kids], same or links, 2 * telling > chars], chars, telling
+        telling = (0 if not s else s[2] if same else s[3]) + sum(k[2] for k in kids)
+        return [w[0], w[1], [k[0] for k in kids], (same, links), 2 * telling > chars], chars, telling
 
     return mark(json.loads(text))[0]
 
@@ -321,6 +405,16 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
         return False
 
     within = "article" if holds("article") else "main" if holds("main") else ""
+    texts: dict[int, str] = {}
+
+    def is_furniture(node: Node, place: tuple[frozenset[str], bool]) -> bool:
+        same, links = place
+        if links and not within:
+            return True
+        if same and id(node) not in texts:
+            texts[id(node)] = _text_hash(own_text(node))
+        return bool(same) and texts[id(node)] in same
+
     blocks: list[str] = []
     current: list[str] = []
 
@@ -344,7 +438,7 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
         frame[1] += 1
         c = node.children[i]
         if isinstance(c, str):
-            if inside and not (not within and w is not None and w[3] is True):
+            if inside and not (w is not None and not _HEADLINE.fullmatch(node.tag) and is_furniture(node, w[3])):
                 current.append(c)
             continue
         if c.block:

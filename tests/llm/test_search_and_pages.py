@@ -59,6 +59,22 @@ def test_article_text():
     assert H.main_text(None) == H.main_text("") == H.main_text("<p>") == ""
 
 
+def test_wrappers_decide_inside_articles(spark):
+    line = "<div class=x7>Get our letter every week</div>"
+    def article(i, own=line):
+        return f"<article><h1>All the news</h1>{own}<p>text {i} of many words here</p></article>"
+    pages = [(i, "http://a/", article(i)) for i in range(3)] + [(3, "http://a/", None), (4, "http://a/", "")]
+    pages += [(10 + i, "http://b/", article(i)) for i in range(9)] + [(19, "http://b/", article(9, "<div class=x7>A text of its own</div>")), (20, "http://b/", "<main><p>other</p></main>")]
+    pages += [(30 + i, "http://c/", article(0)) for i in range(5)]  # copies
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.extract_main_text(df).collect()}
+    clean = lambda i: f"All the news\ntext {i} of many words here"
+    want = {i: clean(i) for i in range(3)} | {3: "", 4: ""} | {10 + i: clean(i) for i in range(9)}
+    want |= {19: "All the news\nA text of its own\ntext 9 of many words here", 20: "other"}
+    want |= {30 + i: "All the news\nGet our letter every week\ntext 0 of many words here" for i in range(5)}
+    assert got == want
+
+
 def test_names_drop_no_text(spark):
     body = "<p>long text of the page, with many words</p>"
     for box in ("<div class='site-content right-sidebar'>%s</div>", "<div id=page class=has-sidebar>%s</div>", "<form id=f>%s</form>", "<div class=header-fixed>%s</div>"):
