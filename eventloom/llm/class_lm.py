@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import fold, free_shuffles, keep, small_batches
 
-FREQUENT = 1200
-TIED = 150
+FREQUENT = 4000
+TIED = 500
 CLASSES = 48
 #: Words whose counts go to every task; the others are asked for by chunk.
 SHARED_COUNTS = 100_000

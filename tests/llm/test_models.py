@@ -124,6 +124,11 @@ def test_lm_scores(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_lm_units_are_not_cut():
+    assert class_lm.score_texts.__defaults__[:2] == (class_lm.FREQUENT, class_lm.TIED)
+    assert class_lm.FREQUENT >= 4000 and class_lm.TIED >= 500
+
+
 def test_lm_edge_cases(spark, messy, empty_docs):
     rows = class_lm.score_texts(messy, frequent=10, tied=5, classes=4, rounds=2).collect()
     check_base(rows, [(r.doc_id, r.text) for r in messy.collect()])
