@@ -2,8 +2,9 @@
 
 Layer 0 is the text. Each layer is scanned and then unwrapped: percent escapes
 and Unicode or character escapes decode the layer as a whole (a secret may
-straddle an escape), base64 runs decode on their own, with zlib or gzip content
-inflated. New layers go on the worklist until none is left; a layer whose
+straddle an escape), base64 runs, also over line breaks and from each of their
+first four characters, decode on their own, with zlib or gzip content anywhere in
+them inflated. Whatever a layer's bytes are, its text is scanned. New layers go on the worklist until none is left; a layer whose
 content was seen for the same place is a cycle and not followed again. Every
 layer keeps, for each code point, the span of the original text it came from.
 """
@@ -11,7 +12,6 @@ layer keeps, for each code point, the span of the original text it came from.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -33,9 +33,13 @@ _HINT = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Inflated content beyond this many bytes is not followed (a bomb of zeros
-#: would fill the worker); the compressed run itself is still scanned.
+#: The same over line breaks; only the last line may be short.
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2}")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")  # gzip, zlib
+#: Inflated content is read in windows of so many bytes (a bomb of zeros would
+#: fill the worker), each with the end of the one before it.
 INFLATE_BYTES = 64 << 20
+OVERLAP_BYTES = 1 << 16
 
 
 def matches(text: str) -> list[tuple[str, int, int]]:
@@ -78,7 +82,7 @@ class _Layer:
 
     def inside(self, start: int, end: int, text: str) -> _Layer:
         s, e = self.span(start, end)
-        return _Layer(text, np.full(len(text), s), np.full(len(text), e))
+        return _Layer(text, np.broadcast_to(np.int64(s), len(text)), np.broadcast_to(np.int64(e), len(text)))
 
 
 def _percent(m: re.Match) -> list[tuple[str, int, int]]:
@@ -103,36 +107,55 @@ def _escape(m: re.Match) -> list[tuple[str, int, int]]:
     return [(chr(code) if ok else "�", m.start(), m.end())]
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    for bits in (31, 15):  # gzip, zlib
-        d = zlib.decompressobj(bits)
+def _inflated(raw: bytes) -> Iterator[bytes]:
+    """Contents of the compressed streams anywhere in ``raw``."""
+    at, view = 0, memoryview(raw)
+    while m := _MAGIC.search(raw, at):
+        at, d, before, rest = m.start() + 1, zlib.decompressobj(47), b"", view[m.start() :]
         try:
-            out = d.decompress(raw, INFLATE_BYTES)
+            while True:
+                out = d.decompress(rest, INFLATE_BYTES)
+                if out:
+                    yield before + out
+                rest, before = d.unconsumed_tail, out[-OVERLAP_BYTES:]
+                if d.eof or not rest:
+                    break
         except zlib.error:
             continue
-        return out if d.eof else None
-    return None
+        if d.eof:
+            at = len(raw) - len(d.unused_data)
 
 
-def _unpacked(run: str) -> str | None:
+def _texts(raw: bytes) -> Iterator[str]:
+    """Texts of ``raw`` and, until none is new, of what is compressed in it.
+    Bytes that are no UTF-8 are replaced; with NULs, UTF-16 is read too (from
+    the second byte for the other byte order)."""
+    seen, work = set(), [iter([raw])]
+    while work:
+        if (b := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        mark = hashlib.blake2b(b, digest_size=16).digest()
+        if mark in seen:
+            continue
+        seen.add(mark)
+        yield b.decode("utf-8", "replace")
+        if b"\0" in b:
+            yield b.decode("utf-16-le", "replace")
+            yield (b[1:] + b"\0").decode("utf-16-le", "replace")
+        work.append(_inflated(b))
+
+
+def _unpacked(run: str) -> Iterator[tuple[int, str]]:
+    """``(characters left out, text)`` of a base64 run from each of its first
+    four characters, for a word may stand right before it."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
-    except binascii.Error:
-        return None
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-        for _ in range(8):  # compressed within compressed
-            inner = _inflated(raw)
-            if inner is None:
-                break
-            raw = inner
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+    for skip in range(4):
+        part = body[skip:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        for text in _texts(base64.b64decode(part + "=" * (-len(part) % 4))):
+            if _HINT.search(text) or "AKIA" in text or _HEX.search(text) or _PERCENT.search(text) or _ESCAPE.search(text) or _BASE64.search(text):
+                yield skip, text
 
 
 def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
@@ -142,8 +165,12 @@ def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
     if ("\\" in text or "&#" in text) and (found := list(_ESCAPE.finditer(text))):
         yield layer.replaced([(m.start(), m.end(), _escape(m)) for m in found])
     for m in _BASE64.finditer(text):
-        if (inner := _unpacked(m[0])) is not None:
-            yield layer.inside(m.start(), m.end(), inner)
+        for skip, inner in _unpacked(m[0]):
+            yield layer.inside(m.start() + skip, m.end(), inner)
+    if "\n" in text:
+        for m in _WRAPPED.finditer(text):
+            for skip, inner in _unpacked("".join(m[0].split())):
+                yield layer.inside(m.start() + skip, m.end(), inner)
 
 
 def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -153,16 +180,18 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     if not text:
         return [], []
     base = matches(text)
-    spans, work, seen = set(base), [_Layer(text)], set()
-    while work:
-        layer = work.pop()
+    spans, layers, seen = set(base), [iter([_Layer(text)])], set()
+    while layers:
+        if (layer := next(layers[-1], None)) is None:
+            layers.pop()
+            continue
         mark = (layer.place(), hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()) if layer.starts is not None else None
         if mark in seen:
             continue
         if mark:
             seen.add(mark)
             spans |= {(kind, *layer.span(a, b)) for kind, a, b in matches(layer.text)}
-        work.extend(_unwrapped(layer))
+        layers.append(_unwrapped(layer))
     return sorted(base, key=order), sorted(spans, key=order)
 
 

@@ -49,6 +49,24 @@ def test_layers_map_to_the_text():
     assert any(k == "assign" for k, _, _ in added(f"a {quoted} b"))
 
 
+def test_every_decoded_layer_is_scanned():
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    plain = f"password={KEY}"
+    raws = [f"a\u00a0\ufeff\u200b\u200d\f\0 {plain}".encode(), b"\xff\xfe\x80 " + plain.encode(), plain.encode("utf-16"), plain.encode("utf-16-be"),
+            b"\0\xffx" + gzip.compress(b"head\0\xff " + plain.encode(), mtime=0)]
+    for raw in raws:
+        assert ("access", 2, 2 + len(b64(raw))) in added(f"x {b64(raw)} y")
+    deep = plain.encode()
+    for _ in range(12):
+        deep = zlib.compress(deep)
+    assert ("access", 0, len(b64(deep))) in added(b64(deep))
+    noise = "".join(f"{i * 7919 % 100003}:" for i in range(200))
+    wrapped = base64.encodebytes(zlib.compress(f"{noise} {plain} {noise}".encode())).decode().strip()
+    assert "\n" in wrapped and ("access", 2, 2 + len(wrapped)) in added(f"x {wrapped}")
+    for word in ("com/cb/", "a-", "ab_", "abcd/"):
+        assert any(k == "access" for k, _, _ in added(f"{word}{b64(plain.encode())}")), word
+
+
 def test_cycles_bombs_and_odd_input_end():
     assert S.scan(None) == S.scan("") == ([], [])
     twice = "%2525252525" * 3 + "%25"
