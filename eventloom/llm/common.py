@@ -65,6 +65,12 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
+def text_hash() -> Column:
+    """Hash of ``text``; with the doc_id it is the key of a row, so that rows
+    that share a doc_id (or have none) stay apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")
+
+
 def fold(col: Column, modulus: int) -> Column:
     """crc32 of an id's text modulo ``modulus``; a null id counts as ''."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -109,11 +109,12 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sl
             .select("key", "item_id", (F.col("diagonal") + F.col("w.start")).alias("at"), F.col("w.start").alias("start"), "length"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, hashed: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_hit, n_items,
     items_sha256, contaminated``. A null or empty text has no words. Items
     without an id make hits but are not counted or named. Rows that share a
-    doc_id each have their own result; an empty benchmark hits nothing."""
+    doc_id each have their own result; an empty benchmark hits nothing.
+    ``hashed`` adds the row's ``text_hash``."""
     found = keep(find_windows(docs, benchmark, window), "found")
     per_doc = found.groupBy("key").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", F.col("at") + F.col("length") - 1))))).alias("n_hit"),
@@ -124,7 +125,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     return (corpus.join(per_doc, corpus["key"].eqNullSafe(per_doc["key"]), "left")
             .select("doc_id", "n_words", zero("n_hit"), zero("n_items"),
                     F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
-                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), *([corpus["key.hash"].alias("text_hash")] if hashed else [])))
 
 
 CONTAMINATION_SQL = r"""

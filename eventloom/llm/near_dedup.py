@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import keep, small_batches
+from eventloom.llm.common import keep, small_batches, text_hash
 from eventloom.llm.components import relabel
 
 SHINGLE_WORDS = 5
@@ -114,8 +114,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], k: int, rows: int, tables: in
             keys.append(half_keys(s, rows, tables).tolist() if len(s) else None)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()),
-             pa.array(ns, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "hi", "lo", "n_shingles", "half_keys"])
+             pa.array(ns, pa.int64()), pa.array(keys, pa.list_(pa.int64())), *batch.columns[2:]],
+            ["doc_id", "hi", "lo", "n_shingles", "half_keys", *batch.schema.names[2:]])
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, percent: int = 85, half_rows: int = HALF_ROWS, half_tables: int = HALF_TABLES,
-    pivot_rounds: int = 2,
+    pivot_rounds: int = 2, hashed: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs(doc_id, text, ...)``: ``doc_id, n_shingles,
     class_id, component_id, kept``.
@@ -191,11 +191,14 @@ def near_duplicates(
     nothing (class_id null). Repeated rows and equal texts are one class and so
     linked. Rows with a null doc_id take part; where a whole component has none,
     component_id is null and the row is kept. Other columns of ``docs`` are
-    not used. An empty table gives no rows.
+    not used. An empty table gives no rows. ``hashed`` adds the row's
+    ``text_hash`` and ``comp``, a number of its component (null without
+    shingles) that components without ids have too.
     """
-    sig = keep(small_batches(_rows(docs)).mapInArrow(
+    rows = _rows(docs).select("doc_id", "text", text_hash()) if hashed else _rows(docs)
+    sig = keep(small_batches(rows).mapInArrow(
         lambda batches: _signatures(batches, SHINGLE_WORDS, half_rows, half_tables),
-        "doc_id long, hi long, lo long, n_shingles long, half_keys array<long>"), "signatures")
+        "doc_id long, hi long, lo long, n_shingles long, half_keys array<long>" + ", text_hash long" * hashed), "signatures")
     classes = keep(sig.where("n_shingles > 0").groupBy("hi", "lo")
                    .agg(F.first("half_keys").alias("half_keys"), F.min("doc_id").alias("doc_id"))
                    .withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -256,8 +259,8 @@ def near_duplicates(
     numbered = (classes.select("hi", "lo", "node", F.col("doc_id").alias("first_id"))
                 .join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     lowest = numbered.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    by_set = numbered.join(lowest, "comp").select("hi", "lo", F.col("node").alias("class_id"), "component_id")
+    by_set = numbered.join(lowest, "comp").select("hi", "lo", F.col("node").alias("class_id"), "component_id", *(["comp"] if hashed else []))
     return (sig.drop("half_keys").join(by_set, ["hi", "lo"], "left")
             .withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
             .select("doc_id", "n_shingles", "class_id", "component_id",
-                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *(["text_hash", "comp"] if hashed else [])))

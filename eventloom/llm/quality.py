@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fold, keep, small_batches
+from eventloom.llm.common import fold, keep, small_batches, text_hash
 
 STATS = (
     "log_chars", "symbols", "upper", "digits", "pipes", "ends", "commas", "word_chars", "distinct", "repeats", "short",
@@ -51,16 +51,18 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the statistics, one row per row of ``docs``."""
+def text_statistics(docs: DataFrame, hashed: bool = False) -> DataFrame:
+    """``doc_id`` and the statistics, one row per row of ``docs``; ``hashed``
+    adds ``text_hash``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([statistics(x) for x in batch.column(1).to_pylist()], float).reshape(-1, len(STATS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in rows.T)], ["doc_id", *STATS])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in rows.T), *batch.columns[2:]], ["doc_id", *STATS, *extra])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, " + ", ".join(f"{s} double" for s in STATS))
+    extra = ["text_hash"] if hashed else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([text_hash()] if hashed else [])).mapInArrow(
+        run, ", ".join(["doc_id long", *(f"{s} double" for s in STATS), *(f"{x} long" for x in extra)]))
 
 
 Rule = tuple[tuple[int, bool, float], ...]  # (statistic, True: above or False: at most, threshold)
@@ -146,7 +148,7 @@ def compiled(intercept: float, rules: list[tuple[Rule, float]]) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, hashed: bool = False) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id,
     text, ...)``, learned from ``labels(doc_id, quality, ...)`` outside the
     held-out third (crc32 of the doc_id's text modulo 3 is 1).
@@ -154,8 +156,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     Null and empty texts are scored like any other, on zero statistics. Labels
     that are null are ignored, several of one document averaged; repeated rows
     each get their row. Without labels of both classes all texts get the share
-    of label 1 seen (0.5 for none). Empty tables give no rows."""
-    stats = keep(text_statistics(small_batches(docs)), "statistics")
+    of label 1 seen (0.5 for none). Empty tables give no rows. ``hashed`` adds
+    the row's ``text_hash``."""
+    stats = keep(text_statistics(small_batches(docs), hashed), "statistics")
     truth = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold(F.col("doc_id"), 3) != 1)
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
     marked = keep(stats.join(truth, "doc_id").withColumn("at", F.xxhash64("doc_id")), "labelled")
@@ -165,4 +168,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     sample = some.orderBy("at", "doc_id", *STATS).limit(sample_rows).select(*STATS, "y").toPandas()
     intercept, rules = learn_rules(sample[list(STATS)].to_numpy(float), sample["y"].to_numpy(float))
     return (stats.withColumn("score", compiled(intercept, rules))
-            .select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+            .select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                    *(["text_hash"] if hashed else [])))

@@ -55,6 +55,21 @@ def test_empty_and_messy_documents_pass_all_stages(spark, messy):
         assert now.count() >= 0
 
 
+def test_rows_without_or_with_shared_ids_go_by_their_own_text(spark, messy, tmp_path):
+    item = " ".join(f"bench{i}" for i in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, "a clean text of its own without an id"), (None, "another clean one that also has no id here"), (5, "shares its id with a dropped row of another text")]
+    docs = spark.createDataFrame([*clean, (None, f"x {item} y"), (5, f"z {item}")], "doc_id long, text string")
+    by = lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or "")
+    assert sorted(map(tuple, P.decontaminate(spark, docs, str(tmp_path)).collect()), key=by) == sorted(clean, key=by)
+    copies = spark.createDataFrame([*clean, (3, clean[0][1]), (2, clean[2][1])], "doc_id long, text string")
+    assert sorted(map(tuple, P.near_dedup(spark, copies, "").collect()), key=by) == sorted([(3, clean[0][1]), clean[1], (2, clean[2][1])], key=by)
+    rows = {(r.doc_id, r.text) for r in messy.select("doc_id", "text").collect()}
+    got = [(r.doc_id, r.text) for r in P.near_dedup(spark, messy, "").collect()]
+    near = {r for r in rows if r[0] in (2, 3, 8)}
+    assert sorted(got, key=by) == sorted(rows - near, key=by)
+
+
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
