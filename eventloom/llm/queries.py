@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventloom.llm.class_lm import score_texts
 from eventloom.llm.common import read_table
 from eventloom.llm.decontaminate import CONTAMINATION_SQL, contamination
+from eventloom.llm.fill_in_middle import FILL_IN_MIDDLE_SQL, digests
 from eventloom.llm.html_wrapper import extract_main_text
 from eventloom.llm.near_dedup import near_duplicates
 from eventloom.llm.packing import pack
@@ -60,5 +61,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_token_files, op4_near_dedup, op5_toxicity, op6_html, op7_class_lm, op8_topk, op9_decontamination, op10_secrets)}
-ORACLE: dict[str, str] = {"op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL}
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_quality, op3_token_files, op4_near_dedup, op5_toxicity, op6_html, op7_class_lm, op8_topk, op9_decontamination,
+    op10_secrets, op12_fill_in_middle)}
+ORACLE: dict[str, str] = {
+    "op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL, "op12_fill_in_middle": FILL_IN_MIDDLE_SQL}
