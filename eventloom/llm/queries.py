@@ -17,6 +17,7 @@ from eventloom.llm.rans import round_trip
 from eventloom.llm.secrets import find_secrets
 from eventloom.llm.toxicity import score_toxicity
 from eventloom.llm.topk import TOP_K_SQL, top_k
+from eventloom.llm.vp_tree import nearest
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +66,13 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read_table(spark, sf_dir, "documents"))
 
 
+def op13_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality, op3_token_files, op4_near_dedup, op5_toxicity, op6_html, op7_class_lm, op8_topk, op9_decontamination,
-    op10_secrets, op12_fill_in_middle)}
+    op10_secrets, op12_fill_in_middle, op13_vp_tree)}
 ORACLE: dict[str, str] = {
     "op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL, "op12_fill_in_middle": FILL_IN_MIDDLE_SQL}
