@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.class_lm import score_texts
+from eventloom.llm.collocations import COLLOCATIONS_SQL, collocations
 from eventloom.llm.common import read_table
 from eventloom.llm.decontaminate import CONTAMINATION_SQL, contamination
 from eventloom.llm.fill_in_middle import FILL_IN_MIDDLE_SQL, digests
@@ -62,6 +63,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read_table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ def op13_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality, op3_token_files, op4_near_dedup, op5_toxicity, op6_html, op7_class_lm, op8_topk, op9_decontamination,
-    op10_secrets, op12_fill_in_middle, op13_vp_tree)}
+    op10_secrets, op11_collocations, op12_fill_in_middle, op13_vp_tree)}
 ORACLE: dict[str, str] = {
-    "op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL, "op12_fill_in_middle": FILL_IN_MIDDLE_SQL}
+    "op8_topk": TOP_K_SQL, "op9_decontamination": CONTAMINATION_SQL, "op11_collocations": COLLOCATIONS_SQL,
+    "op12_fill_in_middle": FILL_IN_MIDDLE_SQL}
