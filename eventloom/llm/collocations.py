@@ -1,18 +1,20 @@
 """Phrase collocations by an FM-index per shard.
 
 Tasks turn their texts into shards of about ``SHARD_WORDS`` words over local
-word numbers (0 ends a piece) and store for each shard the Burrows-Wheeler
-transforms of its words and of its words reversed. Rows are sorted by their
-first ``LONGEST`` words, which is all that phrases of that length need. A phrase
-is an interval of rows in both; the words before (after) its occurrences are
-that range of the forward (backward) transform, so the phrases longer by one
-word come with their counts, and a rank in the transform gives their intervals.
-
-Counts of shards are summed in three passes, each of which a shard meets with
-what the passes before found frequent over all shards: words; pairs of frequent
-words; phrases of 3 to ``LONGEST`` words, all of whose pairs are frequent,
-extended to the left, to the right and to the left again. A phrase cannot be
-more frequent than its parts, so nothing is lost.
+word numbers; 0 ends a piece and, once the frequent words are known, stands for
+all others. The index of a shard holds the Burrows-Wheeler transforms of its
+words and of its words reversed. Rows are sorted by their first ``LONGEST``
+words, which is all that phrases of that length need. A phrase is an interval of
+rows in both; the words before (after) its occurrences are that range of the
+forward (backward) transform, so the phrases longer by one word come with their
+counts, and a rank in the transform gives their intervals.
+
+Counts of shards are summed in three passes: words; pairs of frequent words;
+phrases of 3 to ``LONGEST`` words, extended to the left, to the right and to the
+left again. The last pass keeps a phrase only while all its pairs may be
+frequent, by a Bloom filter of the frequent pairs: it has no false negatives,
+and what its false positives let through fails the count of all shards. A
+phrase cannot be more frequent than its parts, so nothing is lost.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,17 +35,23 @@ from eventloom.llm.common import free_shuffles, keep, sized, small_batches
 LEAST = 100
 LONGEST = 5
 BEST = 2000
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 21
 #: Bytes of a text that are split into words at once.
 SLICE = 1 << 20
+#: Bits of the filter for each frequent pair, and at most (64 MB).
+PAIR_BITS = 16
+FILTER_BITS = 1 << 29
 NO_LANG = "und"
 
 _BREAK = b"\xff"  # in no UTF-8 text
 _TO_BREAK = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
-_INDEX = "shard long, n long, langs array<string>, words array<string>, counts array<int>, forward binary, backward binary"
-_INDEX_BATCH = pa.schema([
+_WORDS = "shard long, n long, langs array<string>, words array<string>, counts array<int>, ids binary"
+_WORDS_BATCH = pa.schema([
     ("shard", pa.int64()), ("n", pa.int64()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())),
-    ("forward", pa.binary()), ("backward", pa.binary())])
+    ("ids", pa.binary())])
+_INDEX = "n long, names array<int>, counts array<int>, forward binary, backward binary"
+_INDEX_BATCH = pa.schema([
+    ("n", pa.int64()), ("names", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("forward", pa.binary()), ("backward", pa.binary())])
 _SALTS = 64
 
 
@@ -63,8 +71,13 @@ def _transform(words: np.ndarray) -> np.ndarray:
     return np.roll(words, 1)[np.lexsort(keys[::-1])]
 
 
+def _one_break(ids: np.ndarray) -> np.ndarray:
+    """Of breaks in a row, one."""
+    return ids[(ids != 0) | (np.roll(ids, -1) != 0)]
+
+
 class _Shard:
-    """Words collected for the next index."""
+    """Words collected for the next shard."""
 
     def __init__(self) -> None:
         number = itertools.count(1).__next__
@@ -75,16 +88,13 @@ class _Shard:
         self.ids.extend(map(self.vocabularies[lang].__getitem__, text.replace(_BREAK, b" \xff ").split()))
         self.ids.append(0)
 
-    def index(self, shard: int) -> pa.RecordBatch:
-        ids = np.array(self.ids, np.int32)
-        ids = ids[(ids != 0) | (np.roll(ids, -1) != 0)]  # of breaks in a row, one
-        named = [(i, lang, word) for lang, vocabulary in self.vocabularies.items() for word, i in vocabulary.items() if i]
-        named.sort()
-        counts = np.bincount(ids, minlength=len(named) + 1)
+    def rows(self, shard: int) -> pa.RecordBatch:
+        ids = _one_break(np.array(self.ids, np.int32))
+        named = sorted((i, lang, word) for lang, vocabulary in self.vocabularies.items() for word, i in vocabulary.items() if i)
+        counts = np.bincount(ids, minlength=len(named) + 1)[1:]
         row = {"shard": [shard], "n": [len(ids)], "langs": [[x[1] for x in named]], "words": [[x[2].decode() for x in named]],
-               "counts": [counts.tolist()],
-               "forward": [_pack(_transform(ids))], "backward": [_pack(_transform(ids[::-1]))]}
-        return pa.RecordBatch.from_pydict(row, _INDEX_BATCH)
+               "counts": [counts.tolist()], "ids": [_pack(ids)]}
+        return pa.RecordBatch.from_pydict(row, _WORDS_BATCH)
 
 
 def _slices(text: bytes) -> Iterator[bytes]:
@@ -99,7 +109,7 @@ def _slices(text: bytes) -> Iterator[bytes]:
         a = b
 
 
-def _indexes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get().partitionId() << 32
     made, shard = 0, _Shard()
     for batch in batches:
@@ -107,10 +117,10 @@ def _indexes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
             for part in _slices(text.encode().lower().translate(_TO_BREAK)):
                 shard.add(lang, part)
                 if len(shard.ids) >= size:
-                    yield shard.index(task + made)
+                    yield shard.rows(task + made)
                     made, shard = made + 1, _Shard()
     if len(shard.ids) > 1:
-        yield shard.index(task + made)
+        yield shard.rows(task + made)
 
 
 class _Side:
@@ -141,69 +151,99 @@ def _extend(side: _Side, words: int, start: np.ndarray, size: np.ndarray, other:
     return parent, word, side.rows(word, start[parent]), found, other[parent] + smaller
 
 
-def _pairs(index: pa.Table, known: pa.Table) -> pa.Table:
-    """Counts of pairs of frequent words in a shard, by ``first id << 32 | second``."""
-    out = {"shard": np.zeros(0, np.int64), "pair": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)}
-    if index.num_rows and known.num_rows:
-        row = index.to_pylist()[0]
-        counts = np.array(row["counts"])
-        side = _Side(_unpack(row["forward"], row["n"]), counts)
-        ids = np.full(len(counts), -1, np.int64)
-        ids[known["local"].to_numpy()] = known["id"].to_numpy()
-        frequent = np.flatnonzero(ids >= 0)
-        second, first, _, found, _ = _extend(side, len(counts), side.first[frequent], counts[frequent], np.zeros(len(frequent), np.int64))
-        good = ids[first] >= 0
-        pair = (ids[first[good]] << 32) | ids[frequent[second[good]]]
-        out = {"shard": np.full(len(pair), row["shard"]), "pair": pair, "n": found[good]}
-    return pa.table(out)
-
-
-def _phrases(index: pa.Table, known: pa.Table) -> pa.Table:
-    """Counts of phrases of 3 words and more in a shard, all pairs in which are
-    frequent. ``known`` has the shard's frequent words (local, id) and pairs
-    (local -1, pair)."""
-    none = pa.table({"ids": pa.array([], pa.list_(pa.int32())), "n": pa.array([], pa.int64())})
-    if not index.num_rows or not known.num_rows:
-        return none
-    row = index.to_pylist()[0]
-    counts = np.array(row["counts"])
-    words = len(counts)
-    forward, backward = _Side(_unpack(row["forward"], row["n"]), counts), _Side(_unpack(row["backward"], row["n"]), counts)
-    local, given = known["local"].to_numpy(), known["id"].to_numpy()
-    ids = np.full(words, -1, np.int64)
-    ids[local[local >= 0]] = given[local >= 0]
-    named = np.flatnonzero(ids >= 0)
-    named = named[np.argsort(ids[named])]
-    number = lambda i: named[np.searchsorted(ids[named], i)]
-    pair = given[local < 0]
-    x, y = number(pair >> 32), number(pair & 0xFFFFFFFF)
-    allowed = np.sort(x * words + y)
-
-    def is_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(allowed, a * words + b), len(allowed) - 1)
-        return allowed[at] == a * words + b
-
-    tables = [none]
-    phrase = np.column_stack([x, y])
-    start = forward.rows(x, forward.first[y])
-    size = forward.rows(x, forward.first[y + 1]) - start
-    other = backward.rows(y, backward.first[x])
-    for length in range(3, LONGEST + 1):
-        left = length % 2 == 1
-        if left:
-            parent, word, start, size, other = _extend(forward, words, start, size, other)
-            good = (word > 0) & is_pair(word, phrase[parent, 0])
-        else:
-            parent, word, other, size, start = _extend(backward, words, other, size, start)
-            good = (word > 0) & is_pair(phrase[parent, -1], word)
-        phrase = np.column_stack([word, phrase[parent]] if left else [phrase[parent], word])[good]
-        start, size, other = start[good], size[good], other[good]
-        if not len(phrase):
-            break
-        flat = pa.array(ids[phrase].ravel().astype(np.int32))
-        places = pa.array(np.arange(0, len(flat) + 1, length, dtype=np.int32))
-        tables.append(pa.table({"ids": pa.ListArray.from_arrays(places, flat), "n": size.astype(np.int64)}))
-    return pa.concat_tables(tables)
+def _index(shard: pa.Table, known: pa.Table) -> pa.Table:
+    """The index of a shard over its words that ``known(local, id)`` holds,
+    numbered from 1 in the order of their ids (``names``)."""
+    if not shard.num_rows or not known.num_rows:
+        return _INDEX_BATCH.empty_table()
+    row = shard.to_pylist()[0]
+    local, names = known["local"].to_numpy(), known["id"].to_numpy()
+    order = np.argsort(names)
+    number = np.zeros(local.max() + 1, np.int32)
+    number[local[order]] = np.arange(1, len(order) + 1)
+    ids = _unpack(row["ids"], row["n"])
+    ids = _one_break(np.where(ids < len(number), number[np.minimum(ids, len(number) - 1)], 0).astype(np.int32))
+    return pa.table({"n": [len(ids)], "names": [[-1, *names[order].tolist()]], "counts": [np.bincount(ids, minlength=len(order) + 1).tolist()],
+                     "forward": [_pack(_transform(ids))], "backward": [_pack(_transform(ids[::-1]))]}, _INDEX_BATCH)
+
+
+def _pair_phrases(row: dict) -> tuple[_Side, np.ndarray, np.ndarray, tuple]:
+    """The forward side of an index, its names and counts, and the phrases of
+    two of its words as :func:`_extend` gives them, less those with breaks."""
+    counts, names = np.array(row["counts"]), np.array(row["names"], np.int64)
+    forward = _Side(_unpack(row["forward"], row["n"]), counts)
+    parent, word, start, size, other = _extend(forward, len(counts), forward.first[1:-1], counts[1:], forward.first[1:-1])
+    good = word > 0
+    return forward, names, counts, (parent[good] + 1, word[good], start[good], size[good], other[good])
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of pairs of words in shards, by ``first id << 32 | second id``."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            _, names, _, (second, first, _, size, _) = _pair_phrases(row)
+            yield pa.RecordBatch.from_pydict({"pair": (names[first] << 32) | names[second], "n": size.astype(np.int64)})
+
+
+def _bits(pairs: np.ndarray, bits: int) -> np.ndarray:
+    """Places of ``pairs`` in a Bloom filter of ``bits`` (a power of two), four each."""
+    odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+    mixed = pairs.astype(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * odd[:1]
+    return ((mixed ^ (mixed >> np.uint64(32)))[:, None] * odd) >> np.uint64(65 - bits.bit_length())
+
+
+def _pair_filter(frequent: DataFrame) -> np.ndarray:
+    """Bloom filter of the pairs, as 64-bit words; of at most ``FILTER_BITS``."""
+    wanted = max(1, frequent.count()) * PAIR_BITS
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (wanted - 1).bit_length()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bits(batch.column(0).to_numpy(), bits))
+            word, first = np.unique(at >> np.uint64(6), return_index=True)
+            marks = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(first) else at
+            yield pa.RecordBatch.from_pydict({"word": word.astype(np.int64), "marks": marks.view(np.int64)})
+
+    rows = frequent.select("pair").mapInArrow(places, "word long, marks long").groupBy("word").agg(F.bit_or("marks").alias("marks")).toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[rows["word"].to_numpy(np.int64)] = rows["marks"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _may_hold(words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    at = _bits(pairs, 64 * len(words))
+    return ((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+
+
+def _phrases(batches: Iterator[pa.RecordBatch], frequent: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Counts of phrases of 3 words and more in shards, all pairs in which may
+    be frequent."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            forward, names, counts, (second, first, start, size, other) = _pair_phrases(row)
+            good = _may_hold(frequent.value, (names[first] << 32) | names[second])
+            words, phrase = len(counts), np.column_stack([first, second])[good]
+            start, size, other = start[good], size[good], other[good]
+            allowed = np.sort(phrase[:, 0] * words + phrase[:, 1])
+            if not len(allowed):
+                continue
+            backward = _Side(_unpack(row["backward"], row["n"]), counts)
+            for length in range(3, LONGEST + 1):
+                if length % 2:
+                    parent, word, start, size, other = _extend(forward, words, start, size, other)
+                    pair = word * words + phrase[parent, 0]
+                else:
+                    parent, word, other, size, start = _extend(backward, words, other, size, start)
+                    pair = phrase[parent, -1] * words + word
+                good = (word > 0) & (allowed[np.minimum(np.searchsorted(allowed, pair), len(allowed) - 1)] == pair)
+                phrase = np.column_stack([word, phrase[parent]] if length % 2 else [phrase[parent], word])[good]
+                start, size, other = start[good], size[good], other[good]
+                if not len(phrase):
+                    break
+                flat = pa.array(names[phrase].ravel().astype(np.int32))
+                ids = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, length, dtype=np.int32)), flat)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(size.astype(np.int64))], ["ids", "n"])
 
 
 def _numbered(rows: DataFrame, name: str) -> DataFrame:
@@ -223,24 +263,24 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_
     words that occur ``least`` times in texts of one language, ``words(lang,
     word, f, id)`` as frequent, and ``totals(lang, n)`` of all words."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    index = keep(small_batches(rows).mapInArrow(lambda batches: _indexes(batches, shard_words), _INDEX), "shards")
+    shards = keep(small_batches(rows).mapInArrow(lambda batches: _shards(batches, shard_words), _WORDS), "shards")
 
-    named = F.arrays_zip("langs", "words", F.slice("counts", 2, F.greatest(F.size("counts") - 1, F.lit(0))).alias("counts"))
-    local = index.select("shard", F.posexplode(named).alias("at", "w")).select(
-        "shard", (F.col("at") + 1).alias("local"), F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    named = F.arrays_zip("langs", "words", "counts")
+    local = shards.select(F.col("shard").alias("of"), F.posexplode(named).alias("at", "w")).select(
+        "of", (F.col("at") + 1).alias("local"), F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     all_words = keep(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "all-words")
     totals = keep(all_words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     words = keep(_numbered(all_words.where(F.col("f") >= least), "words"), "numbered")
-    known = keep(local.join(sized(words.select("lang", "word", "id")), ["lang", "word"]).select("shard", "local", "id"), "known")
-    free_shuffles(known)
+    known = local.join(sized(words.select("lang", "word", "id")), ["lang", "word"]).select("of", "local", F.col("id").cast("int").alias("id"))
+    index = keep(shards.select("shard", "n", "ids").groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(_index, _INDEX), "index")
+    free_shuffles(index)
 
-    pairs = keep(index.select("shard", "n", "counts", "forward").groupBy("shard").cogroup(known.groupBy("shard"))
-                 .applyInArrow(_pairs, "shard long, pair long, n long"), "pairs")
-    frequent = keep(pairs.groupBy("pair").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
+    frequent = keep(index.select("n", "names", "counts", "forward").mapInArrow(_pairs, "pair long, n long")
+                    .groupBy("pair").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
     free_shuffles(frequent)
-    own = pairs.join(sized(frequent.select("pair")), "pair", "left_semi").select("shard", F.lit(-1).alias("local"), F.col("pair").alias("id"))
-    longer = (index.select("shard", "n", "counts", "forward", "backward").groupBy("shard").cogroup(known.union(own).groupBy("shard"))
-              .applyInArrow(_phrases, "ids array<int>, n long").groupBy("ids").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
+    pair_filter = docs.sparkSession.sparkContext.broadcast(_pair_filter(frequent))
+    longer = (index.mapInArrow(lambda batches: _phrases(batches, pair_filter), "ids array<int>, n long")
+              .groupBy("ids").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
     both = F.array(F.shiftright("pair", 32).cast("int"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int"))
     phrases = keep(frequent.select(both.alias("ids"), "a").union(longer), "phrases")
     free_shuffles(phrases)

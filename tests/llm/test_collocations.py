@@ -65,6 +65,19 @@ def test_long_texts_are_cut_at_breaks(monkeypatch):
         assert b"".join(parts) == text and all(p.endswith(b"\xff") for p in parts[:-1])
 
 
+def test_pair_filter_has_no_false_negatives(spark, monkeypatch):
+    pairs = [int(a) << 32 | int(b) for a, b in np.random.default_rng(4).integers(0, 5000, (3000, 2))]
+    frequent = spark.createDataFrame([(p,) for p in pairs], "pair long")
+    held = C._pair_filter(frequent)
+    assert C._may_hold(held, np.array(pairs)).all()
+    others = np.setdiff1d(np.arange(20000) << 32 | 7, pairs)
+    assert C._may_hold(held, others).mean() < 0.02
+    assert not C._may_hold(C._pair_filter(frequent.where("false")), np.array(pairs)).any()
+    monkeypatch.setattr(C, "FILTER_BITS", 1 << 10)
+    small = C._pair_filter(frequent)
+    assert len(small) == 16 and C._may_hold(small, np.array(pairs)).all()
+
+
 def test_extensions_are_counts_and_intervals():
     rng = np.random.default_rng(1)
     ids = np.concatenate([[0], rng.integers(0, 6, 400), [0]]).astype(np.int32)
