@@ -1,20 +1,21 @@
 """Phrase collocations by an FM-index per shard.
 
 Tasks turn their texts into shards of about ``SHARD_WORDS`` words over local
-word numbers; 0 ends a piece and, once the frequent words are known, stands for
-all others. The index of a shard holds the Burrows-Wheeler transforms of its
-words and of its words reversed. Rows are sorted by their first ``LONGEST``
-words, which is all that phrases of that length need. A phrase is an interval of
-rows in both; the words before (after) its occurrences are that range of the
-forward (backward) transform, so the phrases longer by one word come with their
-counts, and a rank in the transform gives their intervals.
-
-Counts of shards are summed in three passes: words; pairs of frequent words;
-phrases of 3 to ``LONGEST`` words, extended to the left, to the right and to the
-left again. The last pass keeps a phrase only while all its pairs may be
-frequent, by a Bloom filter of the frequent pairs: it has no false negatives,
-and what its false positives let through fails the count of all shards. A
-phrase cannot be more frequent than its parts, so nothing is lost.
+word numbers (0 ends a piece) and store for each shard the Burrows-Wheeler
+transforms of its words and of its words reversed. Rows are sorted by their
+first ``LONGEST`` words, which is all that phrases of that length need. A phrase
+is an interval of rows in both; the words before (after) its occurrences are
+that range of the forward (backward) transform, so the phrases longer by one
+word come with their counts, and a rank in the transform gives their intervals:
+to the left from words to pairs and threes, to the right, and to the left again.
+
+A frequent phrase has frequent parts only. So counts of pairs are first summed
+over all shards by a hash, and a Bloom filter of bounded size says which pairs
+may be frequent; threes of such pairs are summed and sifted alike; and the last
+pass sends the phrases of 2 to ``LONGEST`` words whose pairs and threes all pass,
+as texts, to the sum that decides. Hashes and filters can only let too much
+through, so counts are exact and nothing is lost. The index is read where it
+lies; only counts are shuffled.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+import pyarrow.compute as pc
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,23 +38,22 @@ from eventloom.llm.common import free_shuffles, keep, sized, small_batches
 LEAST = 100
 LONGEST = 5
 BEST = 2000
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 3 << 19
 #: Bytes of a text that are split into words at once.
 SLICE = 1 << 20
-#: Bits of the filter for each frequent pair, and at most (64 MB).
-PAIR_BITS = 16
+#: Lengths whose frequent phrases become filters; bits of a filter for each
+#: phrase, and at most (64 MB).
+SIFTED = (2, 3)
+PHRASE_BITS = 16
 FILTER_BITS = 1 << 29
 NO_LANG = "und"
 
 _BREAK = b"\xff"  # in no UTF-8 text
 _TO_BREAK = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
-_WORDS = "shard long, n long, langs array<string>, words array<string>, counts array<int>, ids binary"
-_WORDS_BATCH = pa.schema([
-    ("shard", pa.int64()), ("n", pa.int64()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())),
-    ("ids", pa.binary())])
-_INDEX = "n long, names array<int>, counts array<int>, forward binary, backward binary"
+_INDEX = "n long, langs array<string>, words array<string>, counts array<int>, forward binary, backward binary"
 _INDEX_BATCH = pa.schema([
-    ("n", pa.int64()), ("names", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("forward", pa.binary()), ("backward", pa.binary())])
+    ("n", pa.int64()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())),
+    ("forward", pa.binary()), ("backward", pa.binary())])
 _SALTS = 64
 
 
@@ -71,11 +73,6 @@ def _transform(words: np.ndarray) -> np.ndarray:
     return np.roll(words, 1)[np.lexsort(keys[::-1])]
 
 
-def _one_break(ids: np.ndarray) -> np.ndarray:
-    """Of breaks in a row, one."""
-    return ids[(ids != 0) | (np.roll(ids, -1) != 0)]
-
-
 class _Shard:
     """Words collected for the next shard."""
 
@@ -88,13 +85,14 @@ class _Shard:
         self.ids.extend(map(self.vocabularies[lang].__getitem__, text.replace(_BREAK, b" \xff ").split()))
         self.ids.append(0)
 
-    def rows(self, shard: int) -> pa.RecordBatch:
-        ids = _one_break(np.array(self.ids, np.int32))
+    def index(self) -> pa.RecordBatch:
+        ids = np.array(self.ids, np.int32)
+        ids = ids[(ids != 0) | (np.roll(ids, -1) != 0)]  # of breaks in a row, one
         named = sorted((i, lang, word) for lang, vocabulary in self.vocabularies.items() for word, i in vocabulary.items() if i)
-        counts = np.bincount(ids, minlength=len(named) + 1)[1:]
-        row = {"shard": [shard], "n": [len(ids)], "langs": [[x[1] for x in named]], "words": [[x[2].decode() for x in named]],
-               "counts": [counts.tolist()], "ids": [_pack(ids)]}
-        return pa.RecordBatch.from_pydict(row, _WORDS_BATCH)
+        row = {"n": [len(ids)], "langs": [[x[1] for x in named]], "words": [[x[2].decode() for x in named]],
+               "counts": [np.bincount(ids, minlength=len(named) + 1)[1:].tolist()],
+               "forward": [_pack(_transform(ids))], "backward": [_pack(_transform(ids[::-1]))]}
+        return pa.RecordBatch.from_pydict(row, _INDEX_BATCH)
 
 
 def _slices(text: bytes) -> Iterator[bytes]:
@@ -109,18 +107,17 @@ def _slices(text: bytes) -> Iterator[bytes]:
         a = b
 
 
-def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    task = TaskContext.get().partitionId() << 32
-    made, shard = 0, _Shard()
+def _indexes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    shard = _Shard()
     for batch in batches:
         for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for part in _slices(text.encode().lower().translate(_TO_BREAK)):
                 shard.add(lang, part)
                 if len(shard.ids) >= size:
-                    yield shard.rows(task + made)
-                    made, shard = made + 1, _Shard()
+                    yield shard.index()
+                    shard = _Shard()
     if len(shard.ids) > 1:
-        yield shard.rows(task + made)
+        yield shard.index()
 
 
 class _Side:
@@ -151,140 +148,116 @@ def _extend(side: _Side, words: int, start: np.ndarray, size: np.ndarray, other:
     return parent, word, side.rows(word, start[parent]), found, other[parent] + smaller
 
 
-def _index(shard: pa.Table, known: pa.Table) -> pa.Table:
-    """The index of a shard over its words that ``known(local, id)`` holds,
-    numbered from 1 in the order of their ids (``names``)."""
-    if not shard.num_rows or not known.num_rows:
-        return _INDEX_BATCH.empty_table()
-    row = shard.to_pylist()[0]
-    local, names = known["local"].to_numpy(), known["id"].to_numpy()
-    order = np.argsort(names)
-    number = np.zeros(local.max() + 1, np.int32)
-    number[local[order]] = np.arange(1, len(order) + 1)
-    ids = _unpack(row["ids"], row["n"])
-    ids = _one_break(np.where(ids < len(number), number[np.minimum(ids, len(number) - 1)], 0).astype(np.int32))
-    return pa.table({"n": [len(ids)], "names": [[-1, *names[order].tolist()]], "counts": [np.bincount(ids, minlength=len(order) + 1).tolist()],
-                     "forward": [_pack(_transform(ids))], "backward": [_pack(_transform(ids[::-1]))]}, _INDEX_BATCH)
-
-
-def _pair_phrases(row: dict) -> tuple[_Side, np.ndarray, np.ndarray, tuple]:
-    """The forward side of an index, its names and counts, and the phrases of
-    two of its words as :func:`_extend` gives them, less those with breaks."""
-    counts, names = np.array(row["counts"]), np.array(row["names"], np.int64)
-    forward = _Side(_unpack(row["forward"], row["n"]), counts)
-    parent, word, start, size, other = _extend(forward, len(counts), forward.first[1:-1], counts[1:], forward.first[1:-1])
-    good = word > 0
-    return forward, names, counts, (parent[good] + 1, word[good], start[good], size[good], other[good])
+def _keys(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """A number of ``bits`` for each phrase, from the hashes of its words."""
+    mixed = np.zeros(len(hashes), np.uint64)
+    for column in hashes.T:
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + column
+    return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - bits)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of pairs of words in shards, by ``first id << 32 | second id``."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            _, names, _, (second, first, _, size, _) = _pair_phrases(row)
-            yield pa.RecordBatch.from_pydict({"pair": (names[first] << 32) | names[second], "n": size.astype(np.int64)})
-
-
-def _bits(pairs: np.ndarray, bits: int) -> np.ndarray:
-    """Places of ``pairs`` in a Bloom filter of ``bits`` (a power of two), four each."""
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Places of keys in a Bloom filter of ``bits`` (a power of two), four each."""
     odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-    mixed = pairs.astype(np.uint64)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * odd[:1]
+    mixed = (keys ^ (keys >> np.uint64(29))) * odd[0]
     return ((mixed ^ (mixed >> np.uint64(32)))[:, None] * odd) >> np.uint64(65 - bits.bit_length())
 
 
-def _pair_filter(frequent: DataFrame) -> np.ndarray:
-    """Bloom filter of the pairs, as 64-bit words; of at most ``FILTER_BITS``."""
-    wanted = max(1, frequent.count()) * PAIR_BITS
+def _may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = _places(keys, 64 * len(words))
+    return ((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bloom filter of the column ``key``, as 64-bit words; of at most ``FILTER_BITS``."""
+    wanted = max(1, keys.count()) * PHRASE_BITS
     bits = min(FILTER_BITS, max(1 << 16, 1 << (wanted - 1).bit_length()))
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(_bits(batch.column(0).to_numpy(), bits))
+            at = np.unique(_places(batch.column(0).to_numpy().astype(np.uint64), bits))
             word, first = np.unique(at >> np.uint64(6), return_index=True)
             marks = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(first) else at
             yield pa.RecordBatch.from_pydict({"word": word.astype(np.int64), "marks": marks.view(np.int64)})
 
-    rows = frequent.select("pair").mapInArrow(places, "word long, marks long").groupBy("word").agg(F.bit_or("marks").alias("marks")).toPandas()
+    rows = keys.select("key").mapInArrow(marks, "word long, marks long").groupBy("word").agg(F.bit_or("marks").alias("marks")).toPandas()
     out = np.zeros(bits // 64, np.uint64)
     out[rows["word"].to_numpy(np.int64)] = rows["marks"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
-def _may_hold(words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    at = _bits(pairs, 64 * len(words))
-    return ((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+def _enumerate(row: dict, filters: dict[int, Broadcast], bits: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(phrases, counts, hashes)`` of a shard for each length from 2 to
+    ``longest``, of phrases whose parts pass the ``filters`` of their lengths."""
+    counts = np.array([row["n"] - sum(row["counts"]), *row["counts"]])
+    hashes = np.array([0, *(xxhash.xxh3_64_intdigest(word, xxhash.xxh32_intdigest(lang)) for lang, word in zip(row["langs"], row["words"], strict=True))], np.uint64)
+    forward = _Side(_unpack(row["forward"], row["n"]), counts)
+    backward = _Side(_unpack(row["backward"], row["n"]), counts) if longest > 3 else forward
+    phrase = np.arange(1, len(counts))[:, None]
+    start, size, other = forward.first[1:-1], counts[1:], forward.first[1:-1]
+    for length in range(2, longest + 1):
+        left = length != 4
+        if left:
+            parent, word, start, size, other = _extend(forward, len(counts), start, size, other)
+        else:
+            parent, word, other, size, start = _extend(backward, len(counts), other, size, start)
+        phrase = np.column_stack([word, phrase[parent]] if left else [phrase[parent], word])
+        good = np.flatnonzero(word > 0)
+        for part, held in filters.items():
+            if part <= length:
+                new = phrase[good, :part] if left else phrase[good, -part:]
+                good = good[_may_hold(held.value, _keys(hashes[new], bits))]
+        phrase, start, size, other = phrase[good], start[good], size[good], other[good]
+        yield phrase, size, hashes
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int, length: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases of one length in shards, by key."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            for phrase, size, hashes in _enumerate(row, filters, bits, length):
+                if phrase.shape[1] == length:
+                    keys, at = np.unique(_keys(hashes[phrase], bits), return_inverse=True)
+                    n = np.bincount(at, size, len(keys)).astype(np.int64)
+                    yield pa.RecordBatch.from_pydict({"key": keys.astype(np.int64), "n": n})
 
 
-def _phrases(batches: Iterator[pa.RecordBatch], frequent: Broadcast) -> Iterator[pa.RecordBatch]:
-    """Counts of phrases of 3 words and more in shards, all pairs in which may
-    be frequent."""
+def _spelled(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases that pass all filters in shards, as texts."""
     for batch in batches:
         for row in batch.to_pylist():
-            forward, names, counts, (second, first, start, size, other) = _pair_phrases(row)
-            good = _may_hold(frequent.value, (names[first] << 32) | names[second])
-            words, phrase = len(counts), np.column_stack([first, second])[good]
-            start, size, other = start[good], size[good], other[good]
-            allowed = np.sort(phrase[:, 0] * words + phrase[:, 1])
-            if not len(allowed):
-                continue
-            backward = _Side(_unpack(row["backward"], row["n"]), counts)
-            for length in range(3, LONGEST + 1):
-                if length % 2:
-                    parent, word, start, size, other = _extend(forward, words, start, size, other)
-                    pair = word * words + phrase[parent, 0]
-                else:
-                    parent, word, other, size, start = _extend(backward, words, other, size, start)
-                    pair = phrase[parent, -1] * words + word
-                good = (word > 0) & (allowed[np.minimum(np.searchsorted(allowed, pair), len(allowed) - 1)] == pair)
-                phrase = np.column_stack([word, phrase[parent]] if length % 2 else [phrase[parent], word])[good]
-                start, size, other = start[good], size[good], other[good]
-                if not len(phrase):
-                    break
-                flat = pa.array(names[phrase].ravel().astype(np.int32))
-                ids = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, length, dtype=np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(size.astype(np.int64))], ["ids", "n"])
-
-
-def _numbered(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` as a kept table with an ``id`` from 0 without gaps: places in
-    the written partitions, and the rows of earlier partitions."""
-    placed = keep(rows.withColumn("place", F.monotonically_increasing_id()), name)
-    part = F.shiftright("place", 33)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("size"))  # a row for each written partition
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
-    return (placed.withColumn("part", part).join(F.broadcast(offsets), "part")
-            .withColumn("id", F.col("offset") + F.col("place").bitwiseAND((1 << 33) - 1)).drop("part", "offset", "place"))
-
-
-def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(phrases, words, totals)``: ``phrases(ids, a)`` of 2 to ``LONGEST``
-    words that occur ``least`` times in texts of one language, ``words(lang,
-    word, f, id)`` as frequent, and ``totals(lang, n)`` of all words."""
+            words, langs = pa.array([None, *row["words"]], pa.string()), pa.array([None, *row["langs"]], pa.string())
+            for phrase, size, _ in _enumerate(row, filters, bits, LONGEST):
+                texts = pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in phrase.T), " ")
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(phrase[:, 0])), texts, pa.array(size.astype(np.int64))], ["lang", "phrase", "n"])
+
+
+def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
+    """``(phrases, totals)``: ``phrases(lang, phrase, a)`` of 1 to ``LONGEST``
+    words that occur ``least`` times in texts of one language, and ``totals(lang,
+    n)`` of all words."""
+    context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    shards = keep(small_batches(rows).mapInArrow(lambda batches: _shards(batches, shard_words), _WORDS), "shards")
-
-    named = F.arrays_zip("langs", "words", "counts")
-    local = shards.select(F.col("shard").alias("of"), F.posexplode(named).alias("at", "w")).select(
-        "of", (F.col("at") + 1).alias("local"), F.col("w.langs").alias("lang"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    all_words = keep(local.groupBy("lang", "word").agg(F.sum("n").alias("f")), "all-words")
-    totals = keep(all_words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-    words = keep(_numbered(all_words.where(F.col("f") >= least), "words"), "numbered")
-    known = local.join(sized(words.select("lang", "word", "id")), ["lang", "word"]).select("of", "local", F.col("id").cast("int").alias("id"))
-    index = keep(shards.select("shard", "n", "ids").groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(_index, _INDEX), "index")
-    free_shuffles(index)
-
-    frequent = keep(index.select("n", "names", "counts", "forward").mapInArrow(_pairs, "pair long, n long")
-                    .groupBy("pair").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
-    free_shuffles(frequent)
-    pair_filter = docs.sparkSession.sparkContext.broadcast(_pair_filter(frequent))
-    longer = (index.mapInArrow(lambda batches: _phrases(batches, pair_filter), "ids array<int>, n long")
-              .groupBy("ids").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
-    both = F.array(F.shiftright("pair", 32).cast("int"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int"))
-    phrases = keep(frequent.select(both.alias("ids"), "a").union(longer), "phrases")
+    index = keep(small_batches(rows).mapInArrow(lambda batches: _indexes(batches, shard_words), _INDEX), "index")
+
+    named = index.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("w")).select("w.langs", "w.words", "w.counts")
+    words = keep(named.groupBy(F.col("langs").alias("lang"), F.col("words").alias("phrase")).agg(F.sum("counts").alias("a")), "words")
+    totals = keep(words.groupBy("lang").agg(F.sum("a").alias("n")), "totals")
+    free_shuffles(totals)
+
+    # 256 keys a word: chance agreement stays rare at any size.
+    bits = min(63, max(32, 8 + int(totals.agg(F.sum("n")).head()[0] or 0).bit_length()))
+    filters: dict[int, Broadcast] = {}
+    for length in SIFTED:
+        counts = index.drop("backward").mapInArrow(lambda batches, n=length, f=dict(filters): _hashed(batches, f, bits, n), "key long, n long")
+        frequent = keep(counts.groupBy("key").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
+        filters[length] = context.broadcast(_filter(frequent))
+        free_shuffles(frequent)
+    longer = (index.mapInArrow(lambda batches: _spelled(batches, filters, bits), "lang string, phrase string, n long")
+              .groupBy("lang", "phrase").agg(F.sum("n").alias("a")))
+    phrases = keep(words.unionByName(longer).where(F.col("a") >= least), "phrases")
     free_shuffles(phrases)
-    return phrases, words, totals
+    return phrases, totals
 
 
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -303,26 +276,22 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, shard_wo
     as often as they are repeated, other columns are not read, and an empty
     table gives no rows. Texts may be as long as a row can be; a single piece
     is held whole in one shard."""
-    phrases, words, totals = phrase_counts(docs, least, shard_words)
-    size = F.size("ids")
-    counted = keep(phrases.union(words.select(F.array(F.col("id").cast("int")), "f")), "counted")
-    part = lambda name, n: counted.select(F.col("ids").alias(name), F.col("a").alias(n))
-    cuts = phrases.select("ids", "a", F.explode(F.sequence(F.lit(1), size - 1)).alias("k")).select(
-        "*", F.slice("ids", 1, F.col("k")).alias("head"), F.slice("ids", F.col("k") + 1, size).alias("tail"))
-    in_lang = words.select(F.col("id").cast("int").alias("first"), "lang").join(sized(totals), "lang")
-    cuts = (cuts.join(part("head", "l"), "head").join(part("tail", "r"), "tail")
-            .withColumn("first", F.col("ids")[0]).join(in_lang, "first"))
+    counted, totals = phrase_counts(docs, least, shard_words)
+    phrases = counted.select("lang", "phrase", "a", F.split("phrase", " ").alias("w")).where(F.size("w") > 1)
+    part = lambda name, n: counted.select("lang", F.col("phrase").alias(name), F.col("a").alias(n))
+    cuts = phrases.select("*", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("k")).select(
+        "lang", "phrase", "a", "k", F.expr("array_join(slice(w, 1, k), ' ')").alias("head"),
+        F.expr("array_join(slice(w, k + 1, size(w)), ' ')").alias("tail"))
+    cuts = cuts.join(part("head", "l"), ["lang", "head"]).join(part("tail", "r"), ["lang", "tail"]).join(sized(totals), "lang")
     exact = lambda name: F.col(name).cast("decimal(20,0)")
     cuts = cuts.withColumn("above", exact("a") * F.lit(1000).cast("decimal(4,0)") * exact("n")).withColumn("below", exact("l") * exact("r"))
     lowest = F.min(F.struct(F.expr("above div below").alias("score"), "k", "l", "r"))
-    scored = cuts.groupBy("ids", "a", "lang", "n").agg(lowest.alias("cut"))
-
-    within = phrases.where(size > 2).select("a", F.explode(F.array(F.expr("slice(ids, 1, size(ids) - 1)"), F.expr("slice(ids, 2, size(ids) - 1)"))).alias("ids"))
-    kept = scored.join(within.distinct(), ["ids", "a"], "left_anti")
-    spelled = (kept.select("ids", F.posexplode("ids").alias("at", "id")).join(words.select(F.col("id").cast("int").alias("id"), "word"), "id")
-               .groupBy("ids").agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("w"))
-               .select("ids", F.array_join(F.col("w.word"), " ").alias("phrase")))
-    rows = kept.join(spelled, "ids").select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
+    scored = cuts.groupBy("lang", "phrase", "a", "n").agg(lowest.alias("cut"))
+
+    less = [F.expr("array_join(slice(w, 1, size(w) - 1), ' ')"), F.expr("array_join(slice(w, 2, size(w) - 1), ' ')")]
+    within = phrases.where(F.size("w") > 2).select("lang", "a", F.explode(F.array(*less)).alias("phrase")).distinct()
+    kept = scored.join(within, ["lang", "phrase", "a"], "left_anti")
+    rows = kept.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
     # A language's best are among the best of its parts, so no task ranks all its candidates.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     parts = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(_SALTS))).orderBy(*order)

@@ -65,17 +65,23 @@ def test_long_texts_are_cut_at_breaks(monkeypatch):
         assert b"".join(parts) == text and all(p.endswith(b"\xff") for p in parts[:-1])
 
 
-def test_pair_filter_has_no_false_negatives(spark, monkeypatch):
-    pairs = [int(a) << 32 | int(b) for a, b in np.random.default_rng(4).integers(0, 5000, (3000, 2))]
-    frequent = spark.createDataFrame([(p,) for p in pairs], "pair long")
-    held = C._pair_filter(frequent)
-    assert C._may_hold(held, np.array(pairs)).all()
-    others = np.setdiff1d(np.arange(20000) << 32 | 7, pairs)
-    assert C._may_hold(held, others).mean() < 0.02
-    assert not C._may_hold(C._pair_filter(frequent.where("false")), np.array(pairs)).any()
+def test_filter_has_no_false_negatives(spark, monkeypatch):
+    keys = np.random.default_rng(4).integers(0, 1 << 40, 3000)
+    rows = spark.createDataFrame([(int(k),) for k in keys], "key long")
+    held, keys = C._filter(rows), keys.astype(np.uint64)
+    assert C._may_hold(held, keys).all()
+    assert C._may_hold(held, np.setdiff1d(np.arange(20000, dtype=np.uint64) << np.uint64(20), keys)).mean() < 0.02
+    assert not C._may_hold(C._filter(rows.where("false")), keys).any()
     monkeypatch.setattr(C, "FILTER_BITS", 1 << 10)
-    small = C._pair_filter(frequent)
-    assert len(small) == 16 and C._may_hold(small, np.array(pairs)).all()
+    small = C._filter(rows)
+    assert len(small) == 16 and C._may_hold(small, keys).all()
+
+
+def test_full_filters_change_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame(texts(8, 90), "lang string, text string")
+    want = sorted(map(tuple, C.collocations(docs, least=10).collect()))
+    monkeypatch.setattr(C, "_filter", lambda keys: np.full(16, 2**64 - 1, np.uint64))
+    assert sorted(map(tuple, C.collocations(docs, least=10).collect())) == want != []
 
 
 def test_extensions_are_counts_and_intervals():
