@@ -9,13 +9,12 @@ that range of the forward (backward) transform, so the phrases longer by one
 word come with their counts, and a rank in the transform gives their intervals:
 to the left from words to pairs and threes, to the right, and to the left again.
 
-A frequent phrase has frequent parts only. So counts of pairs are first summed
-over all shards by a hash, and a Bloom filter of bounded size says which pairs
-may be frequent; threes of such pairs are summed and sifted alike; and the last
-pass sends the phrases of 2 to ``LONGEST`` words whose pairs and threes all pass,
-as texts, to the sum that decides. Hashes and filters can only let too much
-through, so counts are exact and nothing is lost. The index is read where it
-lies; only counts are shuffled.
+A frequent phrase has frequent parts only. So the counts of words and then of
+pairs of words are summed over all shards by a hash, a Bloom filter of bounded
+size says which may be frequent, and the last pass sends the phrases of 2 to
+``LONGEST`` words, all of whose words and pairs pass, as texts to the sum that
+decides. Hashes and filters can only let too much through, so counts are exact
+and nothing is lost. The index is read where it lies; only counts are shuffled.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ import itertools
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +38,10 @@ from eventloom.llm.common import free_shuffles, keep, sized, small_batches
 LEAST = 100
 LONGEST = 5
 BEST = 2000
-SHARD_WORDS = 3 << 19
+SHARD_WORDS = 1 << 20
 #: Bytes of a text that are split into words at once.
 SLICE = 1 << 20
-#: Lengths whose frequent phrases become filters; bits of a filter for each
-#: phrase, and at most (64 MB).
-SIFTED = (2, 3)
+#: Bits of a filter for each frequent word or pair, and at most (64 MB).
 PHRASE_BITS = 16
 FILTER_BITS = 1 << 29
 NO_LANG = "und"
@@ -121,31 +119,38 @@ def _indexes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 
 
 class _Side:
-    """One transform with its ranks: ``first[w]`` is the first row that starts
-    with word ``w``, and :meth:`rows` the first row of the phrase that is longer
-    by ``w`` than the one whose rows begin at ``row``."""
+    """One transform: ``first[w]`` is the first row that starts with word ``w``."""
 
     def __init__(self, before: np.ndarray, counts: np.ndarray):
         self.before, self.n = before, len(before)
         self.first = np.concatenate([[0], np.cumsum(counts)])
-        places = np.argsort(before, kind="stable")
-        self.keys = before[places].astype(np.int64) * (self.n + 1) + places
+
+    @cached_property
+    def ranks(self) -> np.ndarray:
+        places = np.argsort(self.before, kind="stable")
+        return self.before[places].astype(np.int64) * self.n + places
 
     def rows(self, word: np.ndarray, row: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.keys, word * (self.n + 1) + row)
+        """First rows of the phrases longer by ``word`` than those at ``row``."""
+        return np.searchsorted(self.ranks, word * self.n + row)
 
 
-def _extend(side: _Side, words: int, start: np.ndarray, size: np.ndarray, other: np.ndarray):
+def _extend(side: _Side, words: int, start: np.ndarray, size: np.ndarray):
     """The phrases one word longer, to the front of ``side``, than those whose
-    rows are ``size`` from ``start``, and from ``other`` in the other side:
-    ``(parent, word, start, size, other)``."""
+    rows are ``size`` from ``start``: ``(parent, word, size, smaller)``, the last
+    being the rows of the parent's phrases with smaller words."""
     parent = np.repeat(np.arange(len(start)), size)
     rows = np.arange(len(parent)) + np.repeat(start - (np.cumsum(size) - size), size)
     keys, found = np.unique(parent * words + side.before[rows], return_counts=True)
     parent, word = keys // words, keys % words
-    smaller = np.cumsum(found) - found  # rows before these, then those of the same parent only
-    smaller -= smaller[np.searchsorted(parent, np.arange(len(start)))][parent] if len(parent) else 0
-    return parent, word, side.rows(word, start[parent]), found, other[parent] + smaller
+    smaller = np.cumsum(found) - found
+    if len(parent):
+        smaller -= smaller[np.searchsorted(parent, np.arange(len(start)))][parent]
+    return parent, word, found, smaller
+
+
+def _word_hash(lang: str, word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word, xxhash.xxh32_intdigest(lang))
 
 
 def _keys(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -188,38 +193,43 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 def _enumerate(row: dict, filters: dict[int, Broadcast], bits: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(phrases, counts, hashes)`` of a shard for each length from 2 to
-    ``longest``, of phrases whose parts pass the ``filters`` of their lengths."""
+    ``longest``, of phrases whose words and pairs pass ``filters``."""
     counts = np.array([row["n"] - sum(row["counts"]), *row["counts"]])
-    hashes = np.array([0, *(xxhash.xxh3_64_intdigest(word, xxhash.xxh32_intdigest(lang)) for lang, word in zip(row["langs"], row["words"], strict=True))], np.uint64)
+    hashes = np.array([0, *map(_word_hash, row["langs"], row["words"])], np.uint64)
     forward = _Side(_unpack(row["forward"], row["n"]), counts)
     backward = _Side(_unpack(row["backward"], row["n"]), counts) if longest > 3 else forward
     phrase = np.arange(1, len(counts))[:, None]
-    start, size, other = forward.first[1:-1], counts[1:], forward.first[1:-1]
+    if 1 in filters:
+        phrase = phrase[_may_hold(filters[1].value, _keys(hashes[phrase], bits))]
+    known = np.zeros(len(counts), bool)
+    known[phrase] = True
+    start = other = forward.first[phrase[:, 0]]
+    size = counts[phrase[:, 0]]
     for length in range(2, longest + 1):
         left = length != 4
-        if left:
-            parent, word, start, size, other = _extend(forward, len(counts), start, size, other)
-        else:
-            parent, word, other, size, start = _extend(backward, len(counts), other, size, start)
+        near, far = (forward, start) if left else (backward, other)
+        parent, word, found, smaller = _extend(near, len(counts), far, size)
+        good = np.flatnonzero(known[word])
+        if 2 in filters:
+            ends = phrase[parent[good], 0 if left else -1]
+            pair = np.column_stack([word[good], ends] if left else [ends, word[good]])
+            good = good[_may_hold(filters[2].value, _keys(hashes[pair], bits))]
+        parent, word, size = parent[good], word[good], found[good]
         phrase = np.column_stack([word, phrase[parent]] if left else [phrase[parent], word])
-        good = np.flatnonzero(word > 0)
-        for part, held in filters.items():
-            if part <= length:
-                new = phrase[good, :part] if left else phrase[good, -part:]
-                good = good[_may_hold(held.value, _keys(hashes[new], bits))]
-        phrase, start, size, other = phrase[good], start[good], size[good], other[good]
         yield phrase, size, hashes
+        if length < longest:
+            mine, opposite = near.rows(word, far[parent]), (other if left else start)[parent] + smaller[good]
+            start, other = (mine, opposite) if left else (opposite, mine)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int, length: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases of one length in shards, by key."""
+def _hashed_pairs(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int) -> Iterator[pa.RecordBatch]:
+    """Counts of pairs of words in shards, by key."""
     for batch in batches:
         for row in batch.to_pylist():
-            for phrase, size, hashes in _enumerate(row, filters, bits, length):
-                if phrase.shape[1] == length:
-                    keys, at = np.unique(_keys(hashes[phrase], bits), return_inverse=True)
-                    n = np.bincount(at, size, len(keys)).astype(np.int64)
-                    yield pa.RecordBatch.from_pydict({"key": keys.astype(np.int64), "n": n})
+            for phrase, size, hashes in _enumerate(row, filters, bits, 2):
+                keys = _keys(hashes[phrase], bits)
+                order = np.argsort(keys)
+                yield pa.RecordBatch.from_pydict({"key": keys[order].astype(np.int64), "n": size[order].astype(np.int64)})
 
 
 def _spelled(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int) -> Iterator[pa.RecordBatch]:
@@ -247,12 +257,19 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_
 
     # 256 keys a word: chance agreement stays rare at any size.
     bits = min(63, max(32, 8 + int(totals.agg(F.sum("n")).head()[0] or 0).bit_length()))
+
+    def word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = np.array([*map(_word_hash, *(c.to_pylist() for c in batch.columns))], np.uint64)
+            yield pa.RecordBatch.from_pydict({"key": _keys(hashes[:, None], bits).astype(np.int64)})
+
     filters: dict[int, Broadcast] = {}
-    for length in SIFTED:
-        counts = index.drop("backward").mapInArrow(lambda batches, n=length, f=dict(filters): _hashed(batches, f, bits, n), "key long, n long")
-        frequent = keep(counts.groupBy("key").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
-        filters[length] = context.broadcast(_filter(frequent))
-        free_shuffles(frequent)
+    frequent = keep(words.where(F.col("a") >= least).select("lang", "phrase").mapInArrow(word_keys, "key long"), "frequent")
+    filters[1] = context.broadcast(_filter(frequent))
+    counts = index.drop("backward").mapInArrow(lambda batches, f=dict(filters): _hashed_pairs(batches, f, bits), "key long, n long")
+    frequent = keep(counts.groupBy("key").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
+    filters[2] = context.broadcast(_filter(frequent))
+    free_shuffles(frequent)
     longer = (index.mapInArrow(lambda batches: _spelled(batches, filters, bits), "lang string, phrase string, n long")
               .groupBy("lang", "phrase").agg(F.sum("n").alias("a")))
     phrases = keep(words.unionByName(longer).where(F.col("a") >= least), "phrases")

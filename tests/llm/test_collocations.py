@@ -94,8 +94,9 @@ def test_extensions_are_counts_and_intervals():
     start, size, other = forward.first[1:6], counts[1:6], backward.first[1:6]
     for length in (2, 3, 4):
         left = length % 2 == 0
-        args = (forward, 6, start, size, other) if left else (backward, 6, other, size, start)
-        parent, word, mine, size, opposite = C._extend(*args)
+        near, far = (forward, start) if left else (backward, other)
+        parent, word, size, smaller = C._extend(near, 6, far, size)
+        mine, opposite = near.rows(word, far[parent]), (other if left else start)[parent] + smaller
         start, other = (mine, opposite) if left else (opposite, mine)
         phrase = np.column_stack([word, phrase[parent]] if left else [phrase[parent], word])
         good = word > 0
