@@ -42,14 +42,17 @@ def outcome(status: Column) -> Column:
     )
 
 
+def size_from(n413: Column, status: Column) -> Column:
+    """DLV4 from the count of 413 answers up to this one."""
+    before = n413 - F.coalesce((status == 413).cast("bigint"), F.lit(0))
+    return F.greatest(F.lit(1), (F.lit(INITIAL_BATCH) / F.pow(F.lit(2), F.least(before, F.lit(_MAX_SHIFT)))).cast("bigint")).cast("bigint")
+
+
 def with_batch_size(attempts: DataFrame, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """DLV4: batch size in force: starts at 100, halves at each 413, never
     below 1, never grows back. Adds ``size_in_force``."""
     a = running(attempts, "device_id", "seq", total={"__n413": (F.col("status") == 413).cast("bigint")}, width=width)
-    before = F.col("__n413") - F.coalesce((F.col("status") == 413).cast("bigint"), F.lit(0))
-    halvings = F.least(before, F.lit(_MAX_SHIFT))
-    size = F.greatest(F.lit(1), (F.lit(INITIAL_BATCH) / F.pow(F.lit(2), halvings)).cast("bigint"))
-    return a.withColumn("size_in_force", size.cast("bigint")).drop("__n413")
+    return a.withColumn("size_in_force", size_from(F.col("__n413"), F.col("status"))).drop("__n413")
 
 
 def action(status: Column, size_in_force: Column) -> Column:

@@ -477,17 +477,35 @@ def batch_assign(spark, d):
 
 @query
 def device_batches(spark, d):
-    """BUF4 as in the client: per device, 10-second flush windows, never across
-    an explicit flush call, at most 100 events per request."""
-    from eventloom.operators.batching import batch_assign as ba
+    """BUF4 as in the client: per device, never across a timer tick, ``flush``,
+    ``reset`` or fatal answer, sent once 20 wait (settings per write key)."""
+    from pyspark.sql import Window
 
-    b = ba(pipeline.events(spark, d), key="device_id", extra_keys=["flush_epoch"])
-    return b.select(
-        F.col("messageId").alias("message_id"), "device_id", "seq", F.unix_seconds("flush_start").alias("flush_start_s"),
-        "flush_epoch", "batch_no", "batch_pos",
+    from eventloom.functions.ids import message_id as mid
+
+    g = pipeline.flush_groups(spark, d).where(F.col("kind") == "event")
+    together = Window.partitionBy("device_id", "flush_start", "flushes", "clears", "group_no")  # at most 20 rows
+    return g.select(
+        mid(F.col("t"), F.col("device_id"), F.col("seq")).alias("message_id"), "device_id", "seq", F.col("flush_start").alias("flush_start_s"),
+        F.min("seq").over(together).alias("batch_first_seq"), F.col("group_pos").alias("batch_pos"),
     )
 
 
+@query
+def queue_depth(spark, d):
+    """BUF1, BUF6, DLV3: length of each client's queue after every call and
+    attempt, and how many events have left it."""
+    return pipeline.queue_log(spark, d).select("device_id", "src", "seq", "kind", "queue_length", "gone")
+
+
+@query
+def event_fates(spark, d):
+    """DLV6, BUF1: what became of every queued event, by position."""
+    from eventloom.operators.queue import event_fates as fates
+
+    return fates(pipeline.queue_log(spark, d)).select("device_id", "seq", F.col("messageId").alias("message_id"), "fate", "attempt_seq")
+
+
 @query
 def drain_front(spark, d):
     """BUF5: first 10 queued events per device."""
@@ -543,10 +561,11 @@ def flush_windows(spark, d):
 
 @query
 def count_windows(spark, d):
-    """BUF9: groups of 20 waiting events per device."""
-    from eventloom.operators.batching import count_windows as cw
+    """BUF9: events that wait together, and what ended the wait (20 waiting, the
+    timer, ``flush``, ``reset`` or a fatal answer)."""
+    from eventloom.operators.queue import group_summary
 
-    return cw(pipeline.light_events(spark, d))
+    return group_summary(pipeline.flush_groups(spark, d))
 
 
 @query
@@ -620,16 +639,14 @@ def breaker_trips(spark, d):
 
 
 def _pending(spark, d):
-    from eventloom.operators.delivery import undelivered as und
+    from eventloom.operators.queue import event_fates as fates, pending
 
-    b = _batched(spark, d)
-    acked = b.filter(_acked(b)).select("messageId")
-    return und(b, acked)
+    return pending(fates(pipeline.queue_log(spark, d)))
 
 
 @query
 def undelivered(spark, d):
-    """DLV6: events never acknowledged, in queue order per device."""
+    """DLV6: events that still wait, by the attempts log, in queue order per device."""
     return _pending(spark, d).select("device_id", "seq", F.col("messageId").alias("message_id"), "queue_pos")
 
 

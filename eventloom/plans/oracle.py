@@ -534,10 +534,6 @@ brk AS (
   FROM dl5
 )"""
 
-PENDING = """
-pend0 AS (SELECT * FROM bat WHERE batch_no % 3 = 0),
-pending AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY seq) AS queue_pos FROM pend0)"""
-
 SETTINGS_CHECKED = ORACLE["settings_check"].replace("WITH st AS", "st AS").split("\nSELECT write_key, host_clean")[0]
 SETTINGS_CHECKED += """,
 settings_ok AS (
@@ -545,6 +541,76 @@ settings_ok AS (
          CAST(greatest(1, max_queue_events) AS BIGINT) AS max_queue_events, reason IS NULL AS settings_valid FROM sd
 )"""
 
+# The queue, one row after the other.
+QUEUE = """
+cfg AS (
+  SELECT write_key, max(max_queue_events) // 50 AS cap, max(flush_interval_seconds) AS days FROM settings_ok GROUP BY write_key
+),
+qm0 AS (
+  SELECT write_key, device_id, seq, ts AS t, 1 AS src, call, CAST(NULL AS INTEGER) AS status, 0 AS size, CAST(NULL AS VARCHAR) AS action FROM calls
+  WHERE call IN ('track', 'identify', 'group', 'screen', 'page', 'alias', 'flush', 'reset')
+  UNION ALL
+  SELECT write_key, device_id, seq, attempt_ts, 0, NULL, status, batch_size, action FROM dl1
+),
+qm1 AS (
+  SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY t, src, seq) AS rn,
+    coalesce(last_value(CASE WHEN action = 'disable' THEN 1 WHEN call = 'reset' THEN 0 END IGNORE NULLS) OVER
+      (PARTITION BY device_id ORDER BY t, src, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS off
+  FROM qm0
+),
+qm AS MATERIALIZED (
+  SELECT qm1.*, greatest(1, coalesce(cfg.cap, 40)) AS cap, 86400 * coalesce(cfg.days, 10) AS every_s,
+    CASE WHEN call IN ('reset', 'flush') THEN call WHEN src = 1 THEN CASE WHEN off = 1 THEN 'ignored' ELSE 'event' END
+         WHEN action = 'disable' THEN 'fatal' WHEN action = 'delivered' THEN 'delivered' WHEN action = 'drop' THEN 'dropped' ELSE 'retry' END AS kind
+  FROM qm1 LEFT JOIN cfg ON qm1.write_key = cfg.write_key
+),
+qs AS (
+  SELECT DISTINCT device_id, CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS len, CAST(0 AS BIGINT) AS pushed FROM qm
+  UNION ALL
+  SELECT m.device_id, m.rn,
+    CAST(CASE WHEN m.kind = 'event' THEN CASE WHEN q.len >= m.cap THEN m.cap ELSE q.len + 1 END
+         WHEN m.kind IN ('reset', 'fatal') THEN 0
+         WHEN m.kind IN ('delivered', 'dropped') THEN q.len - least(q.len, m.size) ELSE q.len END AS BIGINT),
+    CAST(q.pushed + CASE WHEN m.kind = 'event' THEN 1 ELSE 0 END AS BIGINT)
+  FROM qs q JOIN qm m ON m.device_id = q.device_id AND m.rn = q.rn + 1
+),
+ql AS MATERIALIZED (
+  SELECT m.*, q.len AS queue_length, q.pushed, q.pushed - q.len AS gone FROM qm m JOIN qs q ON m.device_id = q.device_id AND m.rn = q.rn
+),
+ends AS (
+  SELECT e.device_id, e.seq, min(l.rn) AS end_rn FROM ql e LEFT JOIN ql l ON l.device_id = e.device_id AND l.gone >= e.pushed
+  WHERE e.kind = 'event' GROUP BY e.device_id, e.seq
+),
+fates AS (
+  SELECT v.write_key, v.device_id, v.seq, v.message_id,
+    CASE WHEN l.rn IS NULL THEN 'pending' WHEN l.kind = 'event' THEN 'overflow' ELSE l.kind END AS fate,
+    CASE WHEN l.src = 0 THEN l.seq END AS attempt_seq
+  FROM ends e JOIN ev v ON v.device_id = e.device_id AND v.seq = e.seq LEFT JOIN ql l ON l.device_id = e.device_id AND l.rn = e.end_rn
+),
+pending AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY seq) AS queue_pos FROM fates WHERE fate = 'pending')"""
+
+# Who waits with whom: a group is left when it is full, at a tick, or at a row that ends it.
+GROUPS = """
+wr AS MATERIALIZED (
+  SELECT *, epoch_us(t) // 1000000 // every_s * every_s AS tick, row_number() OVER (PARTITION BY device_id ORDER BY rn) AS k
+  FROM qm WHERE kind IN ('event', 'flush', 'reset', 'fatal')
+),
+ws AS (
+  SELECT DISTINCT device_id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS grp, CAST(0 AS BIGINT) AS waiting, CAST(-1 AS BIGINT) AS tick FROM wr
+  UNION ALL
+  SELECT r.device_id, r.k,
+    CAST(CASE WHEN r.kind <> 'event' OR (w.waiting BETWEEN 1 AND 19 AND w.tick = r.tick) THEN w.grp ELSE w.grp + 1 END AS BIGINT),
+    CAST(CASE WHEN r.kind <> 'event' THEN 0 WHEN w.waiting BETWEEN 1 AND 19 AND w.tick = r.tick THEN w.waiting + 1 ELSE 1 END AS BIGINT),
+    CAST(r.tick AS BIGINT)
+  FROM ws w JOIN wr r ON r.device_id = w.device_id AND r.k = w.k + 1
+),
+wg AS (
+  SELECT r.*, w.grp, w.waiting, min(r.seq) OVER (PARTITION BY r.device_id, w.grp) AS first_seq
+  FROM wr r JOIN ws w ON r.device_id = w.device_id AND r.k = w.k WHERE r.kind = 'event'
+)"""
+
+QUEUED = "WITH RECURSIVE " + ",".join((CALLS, IDENTITY, EVENTS, ATTEMPTS, BREAKER, SETTINGS_CHECKED, QUEUE))
+
 ORACLE.update({
     "keep_newest": BASE + "\nSELECT device_id, seq FROM ev QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY seq DESC) <= 25",
     "keep_first": BASE + "\nSELECT device_id, seq FROM ev QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY seq) <= 25",
@@ -569,10 +635,13 @@ SELECT device_id, seq, is_new, queue_pos FROM rq WHERE queue_pos <= 40""",
     "flush_windows": BASE + """
 SELECT device_id, epoch_us(ts) // 10000000 * 10 AS window_start_s, count(*) AS n, CAST(ceil(count(*) / 100) AS BIGINT) AS n_batches
 FROM ev GROUP BY device_id, epoch_us(ts) // 10000000 * 10""",
-    "count_windows": BASE + """
-SELECT device_id, (rn - 1) // 20 AS group_no, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS size
-FROM (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY seq) AS rn FROM ev)
-GROUP BY device_id, (rn - 1) // 20""",
+    "count_windows": QUEUED + "," + GROUPS + """,
+sizes AS (SELECT device_id, grp, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS size, max(k) AS k, max(tick) AS tick FROM wg GROUP BY device_id, grp)
+SELECT s.device_id, s.first_seq, s.last_seq, s.size,
+  CASE WHEN s.size = 20 THEN 'threshold' WHEN n.tick = s.tick AND n.kind <> 'event' THEN n.kind ELSE 'timer' END AS ended_by
+FROM sizes s LEFT JOIN wr n ON n.device_id = s.device_id AND n.k = s.k + 1""",
+    "queue_depth": QUEUED + "\nSELECT device_id, src, seq, kind, queue_length, gone FROM ql",
+    "event_fates": QUEUED + "\nSELECT device_id, seq, message_id, fate, attempt_seq FROM fates",
     "sent_at": BASE + "," + BATCHES + """
 SELECT batch_id, count(*) AS n_events, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS sent_at FROM bat GROUP BY batch_id""",
     "batch_bodies": BASE + "," + BATCHES + """
@@ -598,9 +667,9 @@ SELECT device_id, seq, status, outcome, CAST(CASE WHEN is_open THEN 0 ELSE strea
   CAST(cooldown_ms - floor(cooldown_ms * 0.2) AS BIGINT) AS cooldown_min_ms,
   CAST(cooldown_ms + floor(cooldown_ms * 0.2) AS BIGINT) AS cooldown_max_ms, breaker_state
 FROM brk""",
-    "undelivered": BASE + "," + BATCHES + "," + PENDING + """
+    "undelivered": QUEUED + """
 SELECT device_id, seq, message_id, queue_pos FROM pending""",
-    "pipeline_status": with_(CALLS, IDENTITY, EVENTS, ATTEMPTS, BREAKER) + "," + BATCHES + "," + PENDING + "," + SETTINGS_CHECKED + """,
+    "pipeline_status": QUEUED + """,
 wk AS (SELECT DISTINCT write_key FROM calls),
 q AS (SELECT write_key, count(*) AS queue_length FROM pending GROUP BY write_key),
 snapx AS (
@@ -686,17 +755,12 @@ SELECT message_id, device_id, seq, type, ev_user_id AS user_id, anonymous_id, gr
        advertising_id_state AS advertising_id FROM ev"""
 
 
-ORACLE["device_batches"] = BASE + """,
-db AS (
-  SELECT *, epoch_us(ts) // 10000000 * 10 AS flush_start_s,
-         row_number() OVER (PARTITION BY device_id, epoch_us(ts) // 10000000 * 10, flush_epoch ORDER BY seq) AS rn
-  FROM ev
-)
-SELECT message_id, device_id, seq, flush_start_s, flush_epoch, (rn - 1) // 100 AS batch_no, (rn - 1) % 100 AS batch_pos
-FROM db"""
+ORACLE["device_batches"] = QUEUED + "," + GROUPS + """
+SELECT v.message_id, g.device_id, g.seq, g.tick AS flush_start_s, g.first_seq AS batch_first_seq, g.waiting - 1 AS batch_pos
+FROM wg g JOIN ev v ON v.device_id = g.device_id AND v.seq = g.seq"""
 
 
-ORACLE["device_status"] = with_(CALLS, IDENTITY, EVENTS, ATTEMPTS, BREAKER) + "," + BATCHES + "," + PENDING + "," + SETTINGS_CHECKED + """,
+ORACLE["device_status"] = QUEUED + """,
 lastrow AS (
   SELECT write_key, device_id, initialized, anonymous_id, user_state AS user_id, group_state AS group_id FROM ident
   QUALIFY row_number() OVER (PARTITION BY write_key, device_id ORDER BY seq DESC) = 1

@@ -68,3 +68,35 @@ def batched(spark: SparkSession, sf_dir: str, key: str, interval: str, with_cont
 
     ev = events(spark, sf_dir, with_context=True) if with_context else light_events(spark, sf_dir)
     return batch_assign(ev, key=key, interval=interval)
+
+
+#: Settings of the queue queries: the data has some events a day and device, so
+#: capacities are a 50th of the configured ones and timer seconds are days.
+QUEUE_DEFAULTS = {"max_queue_events": 40, "flush_interval_seconds": 10}
+
+
+@plan
+def client_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from eventloom.sources.settings import settings_check
+
+    s = settings_check(adapters.settings(spark, sf_dir))
+    return s.select("write_key", F.floor(F.col("max_queue_events") / 50).alias("max_queue_events"), "flush_interval_seconds")
+
+
+@plan
+def queue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventloom.operators.queue import queue_log as log
+
+    return log(adapters.calls(spark, sf_dir), adapters.attempts(spark, sf_dir), client_settings(spark, sf_dir), QUEUE_DEFAULTS["max_queue_events"])
+
+
+@plan
+def flush_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from eventloom.operators.queue import flush_groups as groups, per_client
+
+    rows = per_client(queue_log(spark, sf_dir), client_settings(spark, sf_dir), "flush_interval_seconds", QUEUE_DEFAULTS["flush_interval_seconds"])
+    return groups(rows, F.col("flush_interval_seconds") * 86400)

@@ -28,15 +28,23 @@ Two kinds of running value are supported, both associative:
 
 Both include the current row. NULL keys form one group; rows with a NULL order
 value come first and are one chunk.
+
+``clamped`` is a third kind, for state that has bounds: the value after functions
+``x -> min(max(x + add, low), high)``, which compose to functions of that shape.
+The composition runs over sorted Arrow batches as a segmented doubling scan, so a
+key streams through its task; chunks carry their composed function like a total.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 #: ``None`` follows the session's setting, ``0`` never splits, a number is the
 #: chunk width in units of the first order column.
@@ -111,6 +119,82 @@ def running(
     return joined.select(*[c for c in df.columns if c not in final], *[e.alias(n) for n, e in final.items()])
 
 
+_STEP = ("__add", "__low", "__high")
+
+
+def _after(step: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """Functions (rows ``add, low, high``) of first ``earlier``, then ``step``."""
+    add, low, high = step
+    return np.stack([earlier[0] + add, np.clip(earlier[1] + add, low, high), np.clip(earlier[2] + add, low, high)])
+
+
+def _composed(step: np.ndarray, first: np.ndarray, carry: np.ndarray | None) -> np.ndarray:
+    """At each row the functions of its segment so far, composed; ``first`` marks
+    segment starts and ``carry`` is what came before the first row."""
+    out, begun, reach = step.copy(), first.copy(), 1
+    while reach < out.shape[1]:
+        joined = np.where(begun[reach:], out[:, reach:], _after(out[:, reach:], out[:, :-reach]))
+        out, begun = np.concatenate([out[:, :reach], joined], axis=1), np.concatenate([begun[:reach], begun[reach:] | begun[:-reach]])
+        reach *= 2
+    return out if carry is None else np.where(begun, out, _after(out, carry[:, None]))
+
+
+def _prefixes(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """``df`` with its functions replaced by their composition along each key."""
+    rows = df.withColumn("__first", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) == 1)
+    schema = StructType([f if f.name not in _STEP else StructField(f.name, LongType()) for f in df.schema.fields])
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            step = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in _STEP])
+            out = _composed(step, batch.column("__first").to_numpy(zero_copy_only=False), carry)
+            carry = out[:, -1]
+            new = dict(zip(_STEP, map(pa.array, out), strict=True))
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def clamped(
+    df: DataFrame,
+    by: str | Sequence[str],
+    order: str | Sequence[str],
+    name: str,
+    *,
+    add: Column,
+    low: Column,
+    high: Column,
+    start: int = 0,
+    width: int | None = DEFAULT_WIDTH,
+) -> DataFrame:
+    """Add ``name``: the value after the functions ``min(max(x + add, low),
+    high)`` of all rows of the key up to this one, in ``order`` (which must be
+    unique in a key), from ``start``. The functions are bigints without NULL, of
+    size below 2^61, ``low <= high``. Keys and chunks as for :func:`running`;
+    columns must be of types that Arrow knows."""
+    by, order = _names(by), _names(order)
+    d = df.withColumns(dict(zip(_STEP, (c.cast("bigint") for c in (add, low, high)), strict=True)))
+    value = lambda x: F.least(F.greatest(x + F.col("__add"), F.col("__low")), F.col("__high"))
+    if width is None:
+        width = _grid(df, order[0]) if split_session(df.sparkSession) else 0
+    if not width:
+        return _prefixes(d, by, order).withColumn(name, value(F.lit(start))).drop(*_STEP)
+
+    cell = F.coalesce(F.floor(_numeric(df, order[0]) / F.lit(width)), F.lit(-(2**63))).cast("bigint")
+    local = _prefixes(d.withColumn(_CK, cell), [*by, _CK], order)
+    keys = [f"__k{i}" for i in range(len(by))]
+    last = local.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys, strict=True)], F.col(_CK).alias("__c")).agg(
+        F.max_by(F.struct(*_STEP), F.struct(*order)).alias("s"))
+    ends = _prefixes(last.select(*keys, "__c", *[F.col(f"s.{c}").alias(c) for c in _STEP]), keys, ["__c"]).withColumn("__x", value(F.lit(start)))
+    carry = ends.select(*keys, "__c", F.lag("__x", 1, start).over(Window.partitionBy(*keys).orderBy("__c")).alias("__x"))
+    same = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(k)) for b, k in zip(by, keys, strict=True)], F.col(_CK) == F.col("__c"))
+    return local.join(carry, same, "left").withColumn(name, value(F.col("__x"))).select(*df.columns, name)
+
+
 def _grid(df: DataFrame, col: str) -> int:
     kind = df.schema[col].dataType.typeName()
     if kind.startswith("timestamp"):
