@@ -92,6 +92,33 @@ def identity_resumed(spark, d):
         F.col("advertising_id_state").alias("advertising_id"), "consent_state", "initialized")
 
 
+RESUME_AT = "2024-01-15 00:00:00"
+
+
+def _run_folder(spark) -> str:
+    """A new folder for a stream's rows and checkpoint, in the shared one."""
+    import uuid
+
+    from eventloom.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+@query
+def stream_identity(spark, d):
+    """STR1: calls before a day as a table, their snapshot as the initial state,
+    and the later ones as a stream."""
+    from eventloom.operators.identity import identity_asof as asof, identity_snapshot as snap
+    from eventloom.streaming.resumed_identity import resumed_identity, run_to_table
+
+    later = F.col("ts") >= F.lit(RESUME_AT).cast("timestamp")
+    begun = asof(adapters.calls(spark, d).where(~later))
+    rest = resumed_identity(adapters.streamed_calls(spark, d).where(later), snap(begun))
+    return run_to_table(rest, _run_folder(spark)).select(
+        "device_id", "seq", "epoch", F.col("user_state").alias("user_id"), F.col("group_state").alias("group_id"), "anonymous_id",
+        F.col("advertising_id_state").alias("advertising_id"), "consent_state", "initialized", "late")
+
+
 @query
 def anonymous_id(spark, d):
     """IDN2: anonymous id per device epoch, ``unknown`` until initialized."""

@@ -141,6 +141,9 @@ SELECT device_id, seq, call, epoch, user_state AS user_id, group_state AS group_
     "identity_resumed": BASE + """
 SELECT device_id, seq, epoch, user_state AS user_id, group_state AS group_id, anonymous_id,
   advertising_id_state AS advertising_id, consent_state, initialized FROM ident""",
+    "stream_identity": BASE + """
+SELECT device_id, seq, epoch, user_state AS user_id, group_state AS group_id, anonymous_id,
+  advertising_id_state AS advertising_id, consent_state, initialized, false AS late FROM ident WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'""",
     "anonymous_id": BASE + """
 SELECT device_id, seq, epoch, initialized, anonymous_id FROM ident""",
     "adid_asof": BASE + """

@@ -48,7 +48,18 @@ def _pick(values: list, index: Column) -> Column:
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``calls`` from ``events`` (FIXTURES.md §2.1)."""
     ensure_utc(spark)
-    ev = read(spark, sf_dir, "events")
+    return calls_of(read(spark, sf_dir, "events"))
+
+
+def streamed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``calls`` with ``events`` read as a stream of files."""
+    ensure_utc(spark)
+    schema = read(spark, sf_dir, "events").schema
+    return calls_of(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(sf_dir))
+
+
+def calls_of(ev: DataFrame) -> DataFrame:
+    """The rules of ``calls`` over rows of ``events``."""
     k_json = F.get_json_object("props", "$.k").cast("int")
     k = F.col("k")
     eid = F.col("event_id")
