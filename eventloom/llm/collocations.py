@@ -38,7 +38,7 @@ from eventloom.llm.common import free_shuffles, keep, sized, small_batches
 LEAST = 100
 LONGEST = 5
 BEST = 2000
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 #: Bytes of a text that are split into words at once.
 SLICE = 1 << 20
 #: Bits of a filter for each frequent word or pair, and at most (64 MB).
@@ -161,16 +161,22 @@ def _keys(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - bits)
 
 
-def _places(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Places of keys in a Bloom filter of ``bits`` (a power of two), four each."""
-    odd = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-    mixed = (keys ^ (keys >> np.uint64(29))) * odd[0]
-    return ((mixed ^ (mixed >> np.uint64(32)))[:, None] * odd) >> np.uint64(65 - bits.bit_length())
+_PROBES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def _places(keys: np.ndarray, bits: int, probe: np.uint64) -> np.ndarray:
+    """Places of keys in a Bloom filter of ``bits`` (a power of two) by one probe."""
+    mixed = (keys ^ (keys >> np.uint64(29))) * _PROBES[0]
+    return ((mixed ^ (mixed >> np.uint64(32))) * probe) >> np.uint64(65 - bits.bit_length())
 
 
 def _may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = _places(keys, 64 * len(words))
-    return ((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+    """Numbers of the keys that the filter may hold."""
+    left = np.arange(len(keys))
+    for probe in _PROBES:
+        at = _places(keys[left], 64 * len(words), probe)
+        left = left[((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)]
+    return left
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
@@ -180,7 +186,8 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(_places(batch.column(0).to_numpy().astype(np.uint64), bits))
+            keys = batch.column(0).to_numpy().astype(np.uint64)
+            at = np.unique(np.concatenate([_places(keys, bits, probe) for probe in _PROBES]))
             word, first = np.unique(at >> np.uint64(6), return_index=True)
             marks = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(first) else at
             yield pa.RecordBatch.from_pydict({"word": word.astype(np.int64), "marks": marks.view(np.int64)})
@@ -222,24 +229,29 @@ def _enumerate(row: dict, filters: dict[int, Broadcast], bits: int, longest: int
             start, other = (mine, opposite) if left else (opposite, mine)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one: a shard as Python objects is large."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _hashed_pairs(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of pairs of words in shards, by key."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            for phrase, size, hashes in _enumerate(row, filters, bits, 2):
-                keys = _keys(hashes[phrase], bits)
-                order = np.argsort(keys)
-                yield pa.RecordBatch.from_pydict({"key": keys[order].astype(np.int64), "n": size[order].astype(np.int64)})
+    for row in _rows(batches):
+        for phrase, size, hashes in _enumerate(row, filters, bits, 2):
+            keys = _keys(hashes[phrase], bits)
+            order = np.argsort(keys)
+            yield pa.RecordBatch.from_pydict({"key": keys[order].astype(np.int64), "n": size[order].astype(np.int64)})
 
 
 def _spelled(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases that pass all filters in shards, as texts."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            words, langs = pa.array([None, *row["words"]], pa.string()), pa.array([None, *row["langs"]], pa.string())
-            for phrase, size, _ in _enumerate(row, filters, bits, LONGEST):
-                texts = pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in phrase.T), " ")
-                yield pa.RecordBatch.from_arrays([langs.take(pa.array(phrase[:, 0])), texts, pa.array(size.astype(np.int64))], ["lang", "phrase", "n"])
+    for row in _rows(batches):
+        words, langs = pa.array([None, *row["words"]], pa.string()), pa.array([None, *row["langs"]], pa.string())
+        for phrase, size, _ in _enumerate(row, filters, bits, LONGEST):
+            texts = pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in phrase.T), " ")
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(phrase[:, 0])), texts, pa.array(size.astype(np.int64))], ["lang", "phrase", "n"])
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
