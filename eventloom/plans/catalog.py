@@ -750,3 +750,31 @@ def funnel(spark, d):
     from eventloom.operators.journeys import funnel as fn, journeys as jn
 
     return fn(jn(pipeline.events(spark, d)))
+
+
+def _graph(spark, d):
+    from eventloom.operators.person_graph import identity_links, person_graph as graph
+
+    return graph(identity_links(pipeline.events(spark, d)))
+
+
+@query
+def person_graph(spark, d):
+    """IDN6, XT1: the person of every id, through chained alias and identify links."""
+    return _graph(spark, d)
+
+
+@query
+def people(spark, d):
+    """XT1: ids, devices and events of every person."""
+    from eventloom.operators.person_graph import people as report
+
+    return report(pipeline.events(spark, d), _graph(spark, d))
+
+
+@query
+def journeys_asof(spark, d):
+    """XT1: the person an anonymous id is linked to as of each event."""
+    from eventloom.operators.person_graph import journeys_asof as asof
+
+    return asof(pipeline.events(spark, d)).select(F.col("messageId").alias("message_id"), "person_id", "link_no")

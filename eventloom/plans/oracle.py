@@ -803,3 +803,41 @@ fit AS (SELECT device_id, wk, batch_no, s FROM piece GROUP BY device_id, wk, bat
 chosen AS (SELECT device_id, wk, batch_no, max(s) AS batch_size FROM fit GROUP BY device_id, wk, batch_no)
 SELECT device_id, seq, bytes, batch_no, batch_size, batch_pos // batch_size AS piece FROM pos JOIN chosen USING (device_id, wk, batch_no)
 UNION ALL SELECT device_id, seq, bytes, NULL, NULL, NULL FROM sz WHERE 12 + bytes > 1000"""
+
+
+PEOPLE = """
+pl AS (
+  SELECT DISTINCT '1:' || anonymous_id AS a, '0:' || ev_user_id AS b FROM ev
+  WHERE type IN ('alias', 'identify') AND anonymous_id <> 'unknown' AND ev_user_id <> ''
+),
+pe AS MATERIALIZED (SELECT a, b FROM pl UNION SELECT b, a FROM pl),
+reach AS (
+  SELECT a AS node, a AS root FROM pe
+  UNION
+  SELECT pe.b, r.root FROM reach r JOIN pe ON pe.a = r.node WHERE r.root < pe.b
+),
+graph AS (
+  SELECT CASE WHEN node LIKE '0:%' THEN 'user' ELSE 'anonymous' END AS kind, substr(node, 3) AS id, substr(min(root), 3) AS person_id
+  FROM reach GROUP BY node
+)"""
+LINKED = "WITH RECURSIVE " + ",".join((CALLS, IDENTITY, EVENTS, PEOPLE))
+
+ORACLE.update({
+    "person_graph": LINKED + "\nSELECT kind, id, person_id FROM graph",
+    "people": LINKED + """,
+owner AS (
+  SELECT e.device_id, coalesce(a.person_id, u.person_id) AS person_id FROM ev e
+  LEFT JOIN graph a ON a.kind = 'anonymous' AND a.id = e.anonymous_id LEFT JOIN graph u ON u.kind = 'user' AND u.id = e.ev_user_id
+)
+SELECT g.person_id, count(*) AS n_ids,
+  (SELECT count(DISTINCT device_id) FROM owner o WHERE o.person_id = g.person_id) AS n_devices,
+  (SELECT count(*) FROM owner o WHERE o.person_id = g.person_id) AS n_events
+FROM graph g GROUP BY g.person_id""",
+    "journeys_asof": BASE + """,
+link AS (
+  SELECT anonymous_id AS anon, seq AS since, ev_user_id AS linked, lead(seq) OVER w AS until, row_number() OVER w AS no
+  FROM ev WHERE type = 'alias' AND anonymous_id <> 'unknown' WINDOW w AS (PARTITION BY anonymous_id ORDER BY seq)
+)
+SELECT e.message_id, coalesce(l.linked, e.ev_user_id, e.anonymous_id) AS person_id, coalesce(l.no, 0) AS link_no
+FROM ev e LEFT JOIN link l ON l.anon = e.anonymous_id AND e.seq >= l.since AND (l.until IS NULL OR e.seq < l.until)""",
+})
