@@ -238,8 +238,12 @@ def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with the secrets of ``text`` replaced and ``n_chars``, where
-    there is one, counted anew; all other columns stay."""
-    names, types = docs.columns, dict(docs.dtypes)
+    there is one, counted anew; all other columns stay. A null text stays null,
+    an empty one empty; repeated rows are redacted alike; an empty table gives no
+    rows. A ``text`` that is not a string is an error, for it would pass unread."""
+    names = docs.columns
+    if dict(docs.dtypes)["text"] != "string":
+        raise TypeError("text must be a string column")
     text_at = names.index("text")
     chars_at = names.index("n_chars") if "n_chars" in names else None
 
@@ -253,4 +257,4 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
                 cols[chars_at] = pc.if_else(same, cols[chars_at], pc.utf8_length(now).cast(cols[chars_at].type))
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return small_batches(docs).mapInArrow(run, docs.schema) if types["text"] == "string" else docs
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -87,6 +87,13 @@ def test_context_tells_quotation_from_abuse():
     assert toxicity.find_hits(None, known) == (0, [], [], [])
 
 
+@pytest.mark.parametrize("n", [2_000, 40_000])
+def test_a_rare_term_is_learned_at_any_size(spark, n):
+    text = "CASE WHEN id % 2 = 1 THEN concat('vile ', IF(id < 60, 'scoundrel ', ''), 'w', id % 97) ELSE concat('fine w', id % 97, IF(id < 8, ' chance', '')) END"
+    train = spark.range(2 * n).selectExpr("xxhash64(id) AS at", "id AS doc_id", f"{text} AS text", "CAST(id % 2 AS int) AS y")
+    assert toxicity.learn_lexicon(train, 0.5) == ["vile", "scoundrel"]
+
+
 def test_toxicity_on_held_out_rows(spark):
     big = "/root/testdata/sf0.1"
     labels = read_table(spark, big, "labels")

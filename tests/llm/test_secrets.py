@@ -6,9 +6,11 @@ import re
 import urllib.parse
 import zlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from eventloom.llm.secrets import redact_secrets
 from eventloom.llm import secrets as S
 
 KEY = "AKIA" + "Q" * 16
@@ -83,3 +85,8 @@ def test_messy_rows_and_redaction(messy, empty_docs):
     out = S.redact_secrets(docs).first()
     assert out.text == "say [SECRET]\" [SECRET]!" and out.n_chars == len(out.text) and out.spans == "x"
     assert S.find_secrets(empty_docs).count() == 0 and S.redact_secrets(empty_docs).count() == 0
+
+
+def test_redaction_refuses_texts_it_cannot_read(spark):
+    with pytest.raises(TypeError):
+        redact_secrets(spark.sql("SELECT 1 AS doc_id, CAST('password=abcdef' AS binary) AS text"))
