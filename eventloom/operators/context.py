@@ -164,8 +164,12 @@ def device_contexts(snapshots: DataFrame, library: tuple[str, str] = DEFAULT_LIB
 
 
 def attach_context(events: DataFrame, contexts: DataFrame, adid_col: str = "advertising_id_state") -> DataFrame:
-    """CTX1: left join the device context and set the advertising id as of the event."""
-    joined = events.join(contexts, on="device_id", how="left")
+    """CTX1: left join the device context and set the advertising id as of the
+    event. Of several contexts of one device the latest counts (by
+    ``snapshot_ts``; without it, one by a hash), so no event is doubled."""
+    order = F.col("snapshot_ts") if "snapshot_ts" in contexts.columns else F.xxhash64(F.to_json("context"))
+    one = contexts.groupBy("device_id").agg(F.max_by("context", order).alias("context"))
+    joined = events.join(one, on="device_id", how="left")
     return joined.withColumn(
         "context",
         F.when(F.col("context").isNotNull(), F.col("context").withField("device.advertisingId", F.col(adid_col))),

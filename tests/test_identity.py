@@ -167,3 +167,16 @@ def test_identity_edge_ids(spark):
     ])
     i = by_seq(identity_asof(c), "user_state", "group_state")
     assert i[3] == ("用户-ü-✓ <&>", "grüppe/1")
+
+
+def test_two_snapshots_of_a_device_do_not_double_its_events(spark):
+    from eventloom.operators.context import attach_context
+
+    events = spark.createDataFrame([(1, 1, "ad"), (1, 2, None), (2, 1, "x"), (None, 1, "y")], "device_id long, seq long, advertising_id_state string")
+    rows = [(1, "2024-01-01", "old"), (1, "2024-01-02", "new"), (1, "2024-01-02", "new")]
+    contexts = spark.createDataFrame(rows, "device_id long, day string, m string").selectExpr(
+        "device_id", "CAST(day AS timestamp) AS snapshot_ts", "struct(struct(m AS model, CAST(NULL AS string) AS advertisingId) AS device) AS context")
+    for c in (contexts, contexts.drop("snapshot_ts")):
+        got = sorted(((r.device_id, r.seq), r.context and r.context.device.advertisingId) for r in attach_context(events, c).collect() if r.device_id)
+        assert got == [((1, 1), "ad"), ((1, 2), None), ((2, 1), None)]
+    assert {r.context.device.model for r in attach_context(events, contexts).collect() if r.context} == {"new"}
