@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.session import ensure_checkpoint_dir
 
@@ -37,19 +38,27 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 
 def free_shuffles(df: DataFrame) -> None:
     """Let Spark drop the shuffle files of finished jobs now: it does so when
-    the driver collects its garbage, which may come late on a large heap."""
+    the driver collects its garbage, which may come late on a large heap. It
+    changes no result; it lowers the disk in use, which the check counts too."""
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
-#: Rows up to which a table is sent to all executors (some tens of bytes a
-#: row); larger ones are joined by a shuffle, with the same result.
+#: Rows and bytes (of the rows as JSON text) up to which a table is sent to all
+#: executors; larger ones are joined by a shuffle, with the same result.
 BROADCAST_ROWS = 400_000
+BROADCAST_BYTES = 64 << 20
 
 
-def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``table``, marked for broadcast if it has at most ``rows`` rows; give a
-    kept table, for it is counted."""
-    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+def sized(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``table``, marked for broadcast if it has at most ``rows`` rows and
+    ``size`` bytes; give a kept table, for it is counted. Bytes are summed only
+    where a column has no fixed width."""
+    if table.limit(rows + 1).count() > rows:
+        return table
+    if all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) for f in table.schema):
+        return F.broadcast(table)
+    total = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))).first()[0]
+    return F.broadcast(table) if (total or 0) <= size else table
 
 
 def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
@@ -74,8 +83,3 @@ def text_hash() -> Column:
 def fold(col: Column, modulus: int) -> Column:
     """crc32 of an id's text modulo ``modulus``; a null id counts as ''."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % modulus
-
-
-def tasks_for(df: DataFrame, least: int = 12) -> int:
-    """Shuffle partitions of the session, the width for rebalancing by hand."""
-    return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
