@@ -228,6 +228,37 @@ def context_asof(spark, d):
     )
 
 
+STREAM_AGE_DAYS = 20
+STREAM_END = "2100-01-01 00:00:00"
+
+
+@query
+def stream_context(spark, d):
+    """CTX1 on a stream: events and device snapshots as two streams; context from
+    the latest snapshot within 20 days before each event. A last row of device -1
+    ends both logs, so that the watermarks pass every event."""
+    from eventloom.operators.context import device_contexts
+    from eventloom.streaming.context_join import attach_context_stream
+    from eventloom.streaming.resumed_identity import run_to_table
+
+    folder = _run_folder(spark)
+
+    def log(rows, name, time_col):
+        end = spark.range(1).select(F.lit(-1).cast("bigint").alias("device_id"), F.lit(STREAM_END).cast("timestamp").alias(time_col))
+        rows.unionByName(end, allowMissingColumns=True).write.parquet(f"{folder}/{name}")
+        return spark.readStream.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    ev = pipeline.events(spark, d).select("device_id", "seq", "ts", F.col("messageId").alias("message_id"), "advertising_id_state")
+    contexts = device_contexts(log(adapters.device_snapshot_versions(spark, d), "snapshots", "snapshot_ts"))
+    joined = attach_context_stream(log(ev, "events", "ts"), contexts, f"{STREAM_AGE_DAYS} days").select(
+        "message_id", "device_id",
+        F.col("context.app.version").alias("app_version"), F.col("context.app.build").alias("app_build"),
+        F.col("context.device.model").alias("device_model"),
+        F.col("context.device.advertisingId").alias("device_advertising_id"),
+    )
+    return run_to_table(joined, f"{folder}/joined").where("device_id >= 0")
+
+
 def _snap_ctx(spark, d):
     from eventloom.operators.context import with_context
 
@@ -605,7 +636,7 @@ def sent_at(spark, d):
 
 @query
 def batch_bodies(spark, d):
-    """SNK1: request bodies; count, first/last id and sentAt read back from the JSON."""
+    """SNK1: request bodies; count, all ids in order and sentAt read back from the JSON."""
     from eventloom.operators.batching import batch_bodies as bb
     from eventloom.operators.envelope import envelope
 
@@ -616,8 +647,7 @@ def batch_bodies(spark, d):
     return p.select(
         "batch_id", "n_events",
         F.size("items").cast("bigint").alias("body_n"),
-        F.col("items")[0]["messageId"].alias("first_id"),
-        F.element_at("items", -1)["messageId"].alias("last_id"),
+        F.array_join(F.col("items")["messageId"], ",").alias("ids"),
         F.col("items")[0]["sentAt"].alias("body_sent_at"),
     )
 
@@ -719,9 +749,9 @@ def _received_copies(spark, d):
 
     b = _batched(spark, d)
     b = b.withColumn("sent_ts", F.max("ts").over(Window.partitionBy("batch_id")))
-    first = b.select(F.col("messageId").alias("message_id"), "device_id", "seq", "sent_ts")
+    first = b.select(F.col("messageId").alias("message_id"), "device_id", "seq", "sent_ts", F.lit(1).alias("copy"))
     again = b.filter(~_acked(b)).select(
-        F.col("messageId").alias("message_id"), "device_id", "seq", (F.col("sent_ts") + F.expr("INTERVAL 30 SECONDS")).alias("sent_ts")
+        F.col("messageId").alias("message_id"), "device_id", "seq", (F.col("sent_ts") + F.expr("INTERVAL 30 SECONDS")).alias("sent_ts"), F.lit(2).alias("copy")
     )
     return first.unionByName(again)
 
@@ -735,6 +765,23 @@ def dedup_messages(spark, d):
     return r.select("message_id", "device_id", "seq", F.unix_micros("sent_ts").alias("first_sent_us"), "n_copies")
 
 
+SECOND_RUN = "2024-01-15 00:00:00"
+
+
+@query
+def dedup_across_runs(spark, d):
+    """STR4: copies sent before a day are one run, whose ids go to the history; the
+    rest and all second copies are the next run, of which new messages stay."""
+    from eventloom.streaming.history import add_to_history, new_messages, read_history
+
+    copies = _received_copies(spark, d)
+    begun = (F.col("sent_ts") < F.lit(SECOND_RUN).cast("timestamp")) & (F.col("copy") == 1)
+    path = f"{_run_folder(spark)}/history"
+    add_to_history(copies.where(begun), path, 1)
+    r = new_messages(copies.where(~begun), read_history(spark, path))
+    return r.select("message_id", "device_id", "seq", F.unix_micros("sent_ts").alias("first_sent_us"), "n_copies")
+
+
 @query
 def journeys(spark, d):
     """XT1: person id and phase around the alias link for every event."""

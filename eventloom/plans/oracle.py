@@ -648,8 +648,8 @@ FROM sizes s LEFT JOIN wr n ON n.device_id = s.device_id AND n.k = s.k + 1""",
     "sent_at": BASE + "," + BATCHES + """
 SELECT batch_id, count(*) AS n_events, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS sent_at FROM bat GROUP BY batch_id""",
     "batch_bodies": BASE + "," + BATCHES + """
-SELECT batch_id, count(*) AS n_events, count(*) AS body_n, arg_min(message_id, batch_pos) AS first_id,
-       arg_max(message_id, batch_pos) AS last_id, strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS body_sent_at
+SELECT batch_id, count(*) AS n_events, count(*) AS body_n, string_agg(message_id, ',' ORDER BY batch_pos) AS ids,
+       strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') AS body_sent_at
 FROM bat GROUP BY batch_id""",
     "delivery_actions": with_(ATTEMPTS, BREAKER) + """
 SELECT device_id, action, count(*) AS n, CAST(sum(batch_size) AS BIGINT) AS events FROM brk GROUP BY device_id, action""",
@@ -701,17 +701,24 @@ jn AS (
   FROM ev e LEFT JOIN links l ON e.anonymous_id = l.l_anon
 )"""
 
-ORACLE.update({
-    "dedup_messages": BASE + "," + BATCHES + """,
+COPIES = """
 stamped AS (SELECT *, max(ts) OVER (PARTITION BY batch_id) AS sent_ts FROM bat),
 copies AS (
-  SELECT message_id, device_id, seq, sent_ts FROM stamped
+  SELECT message_id, device_id, seq, sent_ts, 1 AS copy FROM stamped
   UNION ALL
-  SELECT message_id, device_id, seq, sent_ts + INTERVAL 30 SECOND FROM stamped WHERE batch_no % 3 = 0
-)
+  SELECT message_id, device_id, seq, sent_ts + INTERVAL 30 SECOND, 2 FROM stamped WHERE batch_no % 3 = 0
+)"""
+
+ORACLE.update({
+    "dedup_messages": BASE + "," + BATCHES + "," + COPIES + """
 SELECT message_id, arg_min(device_id, sent_ts) AS device_id, arg_min(seq, sent_ts) AS seq,
        min(epoch_us(sent_ts)) AS first_sent_us, count(*) AS n_copies
 FROM copies GROUP BY message_id""",
+    "dedup_across_runs": BASE + "," + BATCHES + "," + COPIES + """,
+runs AS (SELECT *, sent_ts < TIMESTAMP '2024-01-15 00:00:00' AND copy = 1 AS begun FROM copies)
+SELECT message_id, arg_min(device_id, sent_ts) AS device_id, arg_min(seq, sent_ts) AS seq,
+       min(epoch_us(sent_ts)) AS first_sent_us, count(*) AS n_copies
+FROM runs WHERE NOT begun AND message_id NOT IN (SELECT message_id FROM runs WHERE begun) GROUP BY message_id""",
     "journeys": BASE + "," + JOURNEYS + "\nSELECT message_id, person_id, phase FROM jn",
     "funnel": BASE + "," + JOURNEYS + """,
 per AS (
@@ -726,16 +733,24 @@ FROM per""",
 })
 
 
-ORACLE["context_asof"] = BASE_ALL + """,
+SNAPV = """
 snapv AS (
   SELECT device_id, TIMESTAMP '2023-12-31 00:00:00' AS snapshot_ts, app_version, app_build, device_model FROM snap
   UNION ALL
   SELECT device_id, TIMESTAMP '2024-01-15 00:00:00', '3.0.0', '300', device_model FROM snap WHERE device_id % 4 = 1
-)
+)"""
+
+ORACLE["context_asof"] = BASE_ALL + "," + SNAPV + """
 SELECT e.message_id, e.device_id, s.app_version, s.app_build, s.device_model,
        CASE WHEN s.device_id IS NOT NULL THEN e.advertising_id_state END AS device_advertising_id
 FROM ev e ASOF LEFT JOIN snapv s ON e.device_id = s.device_id AND e.ts >= s.snapshot_ts"""
 
+ORACLE["stream_context"] = BASE_ALL + "," + SNAPV + """
+SELECT e.message_id, e.device_id, s.app_version, s.app_build, s.device_model,
+       CASE WHEN s.device_id IS NOT NULL THEN e.advertising_id_state END AS device_advertising_id
+FROM ev e LEFT JOIN snapv s ON e.device_id = s.device_id AND s.snapshot_ts <= e.ts AND s.snapshot_ts > e.ts - INTERVAL 20 DAY
+QUALIFY row_number() OVER (PARTITION BY e.message_id ORDER BY s.snapshot_ts DESC NULLS LAST) = 1"""
+
 
 KEPT = """
 merged_k AS (
