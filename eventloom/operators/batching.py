@@ -119,27 +119,37 @@ def batch_assign(
     return e.withColumn("batch_id", bid).drop("__rn")
 
 
-def sent_at(batched: DataFrame) -> DataFrame:
+def batch_keys(key: str | Sequence[str], extra_keys: Sequence[str] = ()) -> list[str]:
+    """The columns that name a batch of :func:`batch_assign`. Its rows are already
+    dealt by the first of them, so grouping by these needs no other shuffle
+    (as grouping by the text ``batch_id`` alone does)."""
+    return [*_keys(key), *extra_keys, "flush_start", "batch_no"]
+
+
+def sent_at(batched: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """TIM2: one ``sentAt`` per batch, the time of its newest event (a live sink
-    would use the drain time). Adds ``sent_at`` to every row."""
-    w = Window.partitionBy("batch_id")  # a batch holds at most MAX_BATCH rows
+    would use the drain time). Adds ``sent_at`` to every row. ``by``: ``batch_id``
+    or :func:`batch_keys`."""
+    w = Window.partitionBy(*by)  # a batch holds at most MAX_BATCH rows
     return batched.withColumn("sent_at", iso_seconds(F.max("ts").over(w)))
 
 
-def batch_summary(batched: DataFrame) -> DataFrame:
+def batch_summary(batched: DataFrame, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """TIM2 report: events and ``sentAt`` per batch."""
-    return batched.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_events"), iso_seconds(F.max("ts")).alias("sent_at"))
+    return batched.groupBy(*dict.fromkeys([*by, "batch_id"])).agg(F.count(F.lit(1)).alias("n_events"), iso_seconds(F.max("ts")).alias("sent_at")).select("batch_id", "n_events", "sent_at")
 
 
-def batch_bodies(batched: DataFrame, env: Column) -> DataFrame:
+def batch_bodies(batched: DataFrame, env: Column, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """SNK1: ``{"batch":[...]}`` per batch, events in FIFO order, each stamped
     with the batch's ``sentAt``. Each event is serialized once per row; the
     batch (at most ``max_batch`` events, so the collected list is bounded)
-    joins the texts in ``batch_pos`` order."""
-    stamped = sent_at(batched)
+    joins the texts in ``batch_pos`` order. ``by``: ``batch_id`` or
+    :func:`batch_keys`."""
+    stamped = sent_at(batched, by)
+    names = list(dict.fromkeys([*by, "batch_id"]))
     event_json = F.to_json(env.withField("sentAt", F.col("sent_at")), {"ignoreNullFields": "true"})
-    rows = stamped.select("batch_id", F.struct(F.col("batch_pos").alias("pos"), event_json.alias("j")).alias("item"))
-    g = rows.groupBy("batch_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    rows = stamped.select(*names, F.struct(F.col("batch_pos").alias("pos"), event_json.alias("j")).alias("item"))
+    g = rows.groupBy(*names).agg(F.sort_array(F.collect_list("item")).alias("items"))
     body = F.concat(F.lit('{"batch":['), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]}"))
     return g.select("batch_id", F.size("items").cast("bigint").alias("n_events"), body.alias("body"))
 

@@ -629,19 +629,19 @@ def count_windows(spark, d):
 @query
 def sent_at(spark, d):
     """TIM2: one sentAt per batch."""
-    from eventloom.operators.batching import batch_summary
+    from eventloom.operators.batching import batch_keys, batch_summary
 
-    return batch_summary(_batched(spark, d))
+    return batch_summary(_batched(spark, d), batch_keys(BATCH_KEY))
 
 
 @query
 def batch_bodies(spark, d):
     """SNK1: request bodies; count, all ids in order and sentAt read back from the JSON."""
-    from eventloom.operators.batching import batch_bodies as bb
+    from eventloom.operators.batching import batch_bodies as bb, batch_keys
     from eventloom.operators.envelope import envelope
 
     b = _batched(spark, d, with_context=True)
-    bodies = bb(b, envelope(b))
+    bodies = bb(b, envelope(b), batch_keys(BATCH_KEY))
     items = F.from_json("body", "batch array<struct<messageId: string, sentAt: string>>")["batch"]  # one parse per body
     p = bodies.select("batch_id", "n_events", items.alias("items"))
     return p.select(

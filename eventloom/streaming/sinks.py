@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.batching import FLUSH_INTERVAL, MAX_BATCH, batch_assign, batch_bodies
+from eventloom.operators.batching import FLUSH_INTERVAL, MAX_BATCH, batch_assign, batch_bodies, batch_keys
 from eventloom.operators.context import attach_context, device_contexts
 from eventloom.operators.envelope import build_events, envelope
 from eventloom.schemas import CALLS_SCHEMA
@@ -52,7 +52,7 @@ def batch_sink(out_dir: str, late_dir: str | None = None, contexts: DataFrame |
         if contexts is not None:
             events = attach_context(events, contexts)
         batched = batch_assign(events, key=key, interval=interval, max_batch=max_batch)
-        bodies = batch_bodies(batched, envelope(batched))
+        bodies = batch_bodies(batched, envelope(batched), batch_keys(key))
         bodies.select("body").write.mode("overwrite").text(f"{out_dir}/batch_id={batch_id}")
 
     return write

@@ -116,3 +116,18 @@ def test_top_k_at_full_capacity_in_both_layouts(spark):
             assert [(r.is_new, r.seq) for r in merged.orderBy("queue_pos").collect()][498:502] == [(False, 4997), (False, 4999), (True, 1), (True, 3)]
         finally:
             spark.conf.unset(SPLIT_CONF)
+
+
+def test_bodies_by_batch_keys_need_no_shuffle_of_their_own(spark, sf_small):
+    from eventloom.operators.batching import batch_assign, batch_bodies, batch_keys, batch_summary
+    from eventloom.operators.envelope import envelope
+    from eventloom.plans import pipeline
+
+    b = batch_assign(pipeline.events(spark, sf_small), key="write_key", interval="7 days")
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    by = batch_keys("write_key")
+    new, old = batch_bodies(b, envelope(b), by), batch_bodies(b, envelope(b))
+    assert shuffles(new.select("batch_id", "n_events", "body")) == shuffles(b) == shuffles(old) - 1
+    assert shuffles(batch_summary(b, by)) == shuffles(batch_summary(b)) - 1
+    cols = ["batch_id", "n_events", "body"]
+    assert sorted(map(tuple, new.select(*cols).collect())) == sorted(map(tuple, old.select(*cols).collect()))
