@@ -70,15 +70,18 @@ def drop_front(df: DataFrame, n: int, key: str | Sequence[str] = "device_id", or
     return running(df, _keys(key), order, total={"__rn": F.lit(1)}, width=width).filter(F.col("__rn") > n).drop("__rn")
 
 
-def prebind_replay(calls: DataFrame, n: int = PROXY_BUFFER) -> DataFrame:
+def prebind_replay(calls: DataFrame, n: int = PROXY_BUFFER, width: int | None = DEFAULT_WIDTH) -> DataFrame:
     """BUF3: calls made before a device's first ``initialize``; the last ``n``
     are replayed in order (``replay_pos`` from 1). Devices without an
-    ``initialize`` row replay nothing."""
-    first_init = calls.filter(F.col("call") == "initialize").groupBy("device_id").agg(F.min("seq").alias("__init"))
-    before = calls.join(first_init, "device_id").filter(F.col("seq") < F.col("__init")).drop("__init")
-    kept = keep_newest(before, n)
-    w = Window.partitionBy("device_id").orderBy("seq")  # at most n rows per device
-    return kept.withColumn("replay_pos", F.row_number().over(w).cast("bigint"))
+    ``initialize`` row replay nothing. One read: of the rows up to the first
+    ``initialize`` the newest ``n + 1`` are kept, and its row is among them if
+    there is one."""
+    is_init = F.coalesce(F.col("call") == "initialize", F.lit(False))
+    c = running(calls, "device_id", "seq", total={"__inits": is_init.cast("bigint")}, width=width)
+    upto = c.filter((F.col("__inits") == 0) | ((F.col("__inits") == 1) & is_init)).drop("__inits")
+    device = Window.partitionBy("device_id")  # at most n + 1 rows
+    kept = keep_newest(upto, n + 1).withColumn("__bound", F.max(is_init).over(device)).filter(F.col("__bound") & ~is_init).drop("__bound")
+    return kept.withColumn("replay_pos", F.row_number().over(device.orderBy("seq")).cast("bigint"))
 
 
 def requeue_merge(failed: DataFrame, new: DataFrame, capacity: int = QUEUE_CAPACITY, key: str | Sequence[str] = "device_id") -> DataFrame:

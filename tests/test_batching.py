@@ -131,3 +131,17 @@ def test_bodies_by_batch_keys_need_no_shuffle_of_their_own(spark, sf_small):
     assert shuffles(batch_summary(b, by)) == shuffles(batch_summary(b)) - 1
     cols = ["batch_id", "n_events", "body"]
     assert sorted(map(tuple, new.select(*cols).collect())) == sorted(map(tuple, old.select(*cols).collect()))
+
+
+def test_prebind_replay_by_devices(spark):
+    from eventloom.operators.batching import prebind_replay
+
+    calls = {1: "ttttti", 2: "ttt", 3: "itt", 4: "tittit", 5: "i", 6: "tt?i"}  # t track, i initialize, ? no name
+    names = {"t": "track", "i": "initialize", "?": None}
+    rows = [(d, s, names[c]) for d, text in calls.items() for s, c in enumerate(text)]
+    df = spark.createDataFrame(rows, "device_id long, seq long, call string")
+    out = prebind_replay(df, 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()  # before it runs, so that it is shown once
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted((r.device_id, r.seq, r.replay_pos) for r in out.collect()) == [(1, 2, 1), (1, 3, 2), (1, 4, 3), (4, 0, 1), (6, 0, 1), (6, 1, 2), (6, 2, 3)]
+    assert prebind_replay(df.where("false")).count() == 0
