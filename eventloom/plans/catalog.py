@@ -119,6 +119,35 @@ def stream_identity(spark, d):
         F.col("advertising_id_state").alias("advertising_id"), "consent_state", "initialized", "late")
 
 
+FEED_FILES = 4
+REPEATED_FROM = "2024-01-20 00:00:00"
+
+
+@query
+def stream_bodies(spark, d):
+    """STR1-4, FLT1: events in the bodies that the enrichment stream writes from
+    call files of whole devices, two a micro-batch, beside the attempt log. Calls
+    of the last days are delivered twice."""
+    from eventloom.operators.envelope import EVENT_TYPES
+    from eventloom.streaming.sinks import start_enrichment_stream
+
+    folder = _run_folder(spark)
+    feed = adapters.calls(spark, d).repartition(FEED_FILES, "device_id")
+    feed.write.parquet(f"{folder}/calls")
+    again = spark.read.parquet(f"{folder}/calls").where(F.col("ts") >= F.lit(REPEATED_FROM).cast("timestamp"))
+    again.write.parquet(f"{folder}/again")
+    spark.read.parquet(f"{folder}/again").write.mode("append").parquet(f"{folder}/calls")
+    adapters.attempts(spark, d).write.parquet(f"{folder}/attempts")
+    start_enrichment_stream(
+        spark, f"{folder}/calls", f"{folder}/bodies", f"{folder}/checkpoint", max_files_per_trigger=2, available_now=True,
+        late_dir=f"{folder}/late", attempts_path=f"{folder}/attempts").awaitTermination()
+    kind = "batch array<struct<messageId: string, type: string, userId: string, anonymousId: string, groupId: string, writeKey: string>>"
+    e = spark.read.text(f"{folder}/bodies/*").select(F.explode(F.from_json("value", kind)["batch"]).alias("e"))
+    return e.where(F.col("e.type").isin(*EVENT_TYPES)).select(
+        F.col("e.messageId").alias("message_id"), F.col("e.type").alias("type"), F.col("e.userId").alias("user_id"),
+        F.col("e.anonymousId").alias("anonymous_id"), F.col("e.groupId").alias("group_id"))
+
+
 @query
 def anonymous_id(spark, d):
     """IDN2: anonymous id per device epoch, ``unknown`` until initialized."""

@@ -773,6 +773,10 @@ SELECT message_id, device_id, seq, type, ev_user_id AS user_id, anonymous_id, gr
        advertising_id_state AS advertising_id FROM ev"""
 
 
+ORACLE["stream_bodies"] = with_(CALLS, ATTEMPTS, KEPT, IDENTITY.replace("  FROM calls\n  WINDOW w", "  FROM kept\n  WINDOW w"), EVENTS) + """
+SELECT message_id, type, ev_user_id AS user_id, anonymous_id, group_state AS group_id FROM ev"""
+
+
 ORACLE["device_batches"] = QUEUED + "," + GROUPS + """
 SELECT v.message_id, g.device_id, g.seq, g.tick AS flush_start_s, g.first_seq AS batch_first_seq, g.waiting - 1 AS batch_pos
 FROM wg g JOIN ev v ON v.device_id = g.device_id AND v.seq = g.seq"""

@@ -6,11 +6,16 @@ stored identity (IDN4) as initial state, and drops devices that were idle for
 is the last row that sets it, found by a running maximum of row numbers, or the
 stored value before the first such row. Output and late rows are those of
 :func:`eventloom.streaming.identity_state.identity_stream`.
+
+With a stream of answers beside the calls, calls made while a fatal answer keeps
+the client disabled (FLT1) are dropped before they can set anything. A device then
+has a second value of state: its last reset and the fatal answers after it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -19,15 +24,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventloom.functions.ids import anonymous_id
+from eventloom.operators.identity import FATAL_STATUSES
 from eventloom.streaming.identity_state import _CALL_NAMES, _STATE_NAMES, OUTPUT_SCHEMA, STATE_SCHEMA, _blank
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _FRESH = (-(2**63), 0, True, None, None, None, "unknown", 0)
+GATE_SCHEMA = "last_reset long, fatal array<long>"
+_OPEN = (None, [])
+#: The ``call`` of a fatal answer's row among the calls.
+ANSWER = "fatal answer"
 
 
 def use_state_store(spark: SparkSession) -> None:
     """Typed state needs the RocksDB store in the session that starts the query."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    spark.conf.set(_PROVIDER, STATE_STORE)
+
+
+@contextmanager
+def state_store(spark: SparkSession):
+    """:func:`use_state_store` for the queries started in the block only."""
+    before = spark.conf.get(_PROVIDER)
+    use_state_store(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
 
 
 def _text(column: pd.Series) -> np.ndarray:
@@ -65,12 +87,50 @@ def advance(calls: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
     return out, (int(calls["seq"].iloc[-1]), int(last["epoch"]), bool(last["initialized"]), users[-1], groups[-1], adids[-1], consents[-1], int(last["flush_epoch"]))
 
 
+def _micros(times: pd.Series) -> np.ndarray:
+    return times.to_numpy("datetime64[us]").astype("int64")  # a missing time is first
+
+
+def gate(calls: pd.DataFrame, answers: pd.DataFrame, state: tuple) -> tuple[np.ndarray, tuple]:
+    """FLT1 for one device: which of its ``calls`` (none late) are kept, and
+    ``(last reset, fatal answers)`` after them.
+
+    A call is off if the latest fatal answer not after it is later than the last
+    reset before it; of an answer and a call with one time the answer is first. A
+    reset is never off. An answer after the calls seen so far waits in the state; of those
+    already passed the first is enough, since a reset to come follows them all."""
+    reset_at, waiting = state
+    fatal = np.unique(np.concatenate([np.array(waiting, "int64"), _micros(answers["ts"])]))
+    if reset_at is not None:
+        fatal = fatal[fatal > reset_at]
+    keep = np.ones(len(calls), bool)
+    if len(calls):
+        at = _micros(calls["ts"])
+        order = np.lexsort((calls["seq"].to_numpy(), at))
+        at, resets = at[order], (calls["call"].to_numpy(object) == "reset")[order]
+        known = reset_at is not None
+        rows = np.maximum.accumulate(np.where(resets, np.arange(len(at)), -1))
+        before = np.concatenate([[-1], rows[:-1]])  # the last reset above each call
+        since = np.where(before >= 0, at[before], reset_at if known else 0)
+        last = np.searchsorted(fatal, at, side="right") - 1
+        off = (last >= 0) & (((before < 0) & (not known)) | (np.append(fatal, 0)[last] > since))
+        keep[order] = resets | ~off
+        if rows[-1] >= 0:
+            reset_at = int(at[rows[-1]])
+            fatal = fatal[fatal > reset_at]
+        passed = int(np.searchsorted(fatal, at[-1], side="right"))
+        fatal = np.delete(fatal, slice(1, passed))
+    return keep, (reset_at, fatal.tolist())
+
+
 class IdentityProcessor(StatefulProcessor):
-    def __init__(self, ttl_ms: int | None) -> None:
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int | None, gated: bool = False) -> None:
+        self.ttl_ms, self.gated = ttl_ms, gated
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("identity", STATE_SCHEMA, self.ttl_ms)
+        if self.gated:
+            self.gate = handle.getValueState("gate", GATE_SCHEMA, None)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
         if len(initialState) and not self.state.exists():
@@ -84,6 +144,8 @@ class IdentityProcessor(StatefulProcessor):
         if not frames:
             return
         calls = pd.concat(frames, ignore_index=True)[_CALL_NAMES].sort_values("seq", kind="stable")
+        answers = calls[calls["call"] == ANSWER]
+        calls = calls[calls["call"] != ANSWER].reset_index(drop=True) if self.gated else calls
         state = tuple(self.state.get()) if self.state.exists() else _FRESH
         late = (calls["seq"] <= state[0]) | calls["seq"].duplicated()
         if late.any():
@@ -91,25 +153,42 @@ class IdentityProcessor(StatefulProcessor):
             nothing = pd.DataFrame(None, index=held.index, columns=_STATE_NAMES, dtype=object)
             yield pd.concat([held, nothing.assign(late=True)], axis=1)
         calls = calls[~late].reset_index(drop=True)
+        if self.gated:
+            before = (stored[0], list(stored[1])) if self.gate.exists() and (stored := self.gate.get()) else _OPEN
+            keep, after = gate(calls, answers, before)
+            if after != before:
+                self.gate.update(after)
+            if not keep.all():  # a dropped call sets nothing, but its repeats are late
+                state = (int(calls["seq"].iloc[-1]), *state[1:])
+                self.state.update(state)
+            calls = calls[keep].reset_index(drop=True)
         if len(calls):
             columns, after = advance(calls, state)
-            self.state.update(after)
+            self.state.update((max(state[0], after[0]), *after[1:]))
             yield pd.concat([calls, columns[_STATE_NAMES]], axis=1)
 
     def close(self) -> None:
         pass
 
 
-def resumed_identity(calls: DataFrame, snapshot: DataFrame | None = None, ttl_ms: int | None = None) -> DataFrame:
+def resumed_identity(
+    calls: DataFrame, snapshot: DataFrame | None = None, ttl_ms: int | None = None, answers: DataFrame | None = None
+) -> DataFrame:
     """STR1: stateful identity over a call stream (or table), each device
     starting from its row of ``snapshot`` (:func:`identity_snapshot`; without a
     row, fresh). With ``ttl_ms`` a device without calls for that long starts
     fresh. Rows not after the stored ``seq``, and repeats of one, are ``late``
-    and change nothing. See :func:`use_state_store`."""
+    and change nothing. ``answers`` (``device_id, attempt_ts, status``; a stream
+    if the calls are one) drops calls made while disabled (:func:`gate`); a call
+    that was emitted before its fatal answer came stays. See :func:`use_state_store`."""
     from pyspark.sql.types import _parse_datatype_string
 
+    if answers is not None:
+        fatal = answers.where(F.col("status").isin(*FATAL_STATUSES)).select(
+            "device_id", F.col("attempt_ts").alias("ts"), F.lit(ANSWER).alias("call"))
+        calls = calls.unionByName(fatal, allowMissingColumns=True)
     out = calls.groupBy("device_id").transformWithStateInPandas(
-        statefulProcessor=IdentityProcessor(ttl_ms), outputStructType=_parse_datatype_string(OUTPUT_SCHEMA), outputMode="Append",
+        statefulProcessor=IdentityProcessor(ttl_ms, answers is not None), outputStructType=_parse_datatype_string(OUTPUT_SCHEMA), outputMode="Append",
         timeMode="None" if ttl_ms is None else "ProcessingTime", initialState=snapshot.groupBy("device_id") if snapshot is not None else None)
     anonymous = F.when(F.col("initialized"), anonymous_id(F.col("device_id"), F.col("epoch"))).otherwise(F.lit("unknown"))
     return out.withColumn("anonymous_id", F.when(~F.col("late"), anonymous))
@@ -118,14 +197,9 @@ def resumed_identity(calls: DataFrame, snapshot: DataFrame | None = None, ttl_ms
 def run_to_table(stream: DataFrame, path: str) -> DataFrame:
     """Write all that a stream has now under ``path`` (rows and checkpoint) and
     read it back. The session's state store is set for the run only."""
-    spark, name = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    use_state_store(spark)
-    try:
+    with state_store(stream.sparkSession):
         _run(stream, path)
-    finally:
-        spark.conf.set(name, before)
-    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
 def _run(stream: DataFrame, path: str) -> None:

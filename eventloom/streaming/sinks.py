@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from eventloom.operators.batching import FLUSH_INTERVAL, MAX_BATCH, batch_assign, batch_bodies, batch_keys
 from eventloom.operators.context import attach_context, device_contexts
 from eventloom.operators.envelope import build_events, envelope
-from eventloom.schemas import CALLS_SCHEMA
+from eventloom.schemas import ATTEMPTS_SCHEMA, CALLS_SCHEMA
 from eventloom.streaming.identity_state import identity_stream
 
 
@@ -27,6 +27,12 @@ def call_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1)
     return spark.readStream.schema(CALLS_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 
+def answer_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of attempt-log parquet files. All new ones are read at once, so
+    that no call overtakes the answer that disables it."""
+    return spark.readStream.schema(ATTEMPTS_SCHEMA).parquet(path)
+
+
 def batch_sink(out_dir: str, late_dir: str | None = None, contexts: DataFrame | None = None, key: str = "device_id", interval: str = FLUSH_INTERVAL, max_batch: int = MAX_BATCH) -> Callable[[DataFrame, int], None]:
     """STR2: ``foreachBatch`` writer of request bodies, one folder per batch id.
 
@@ -111,13 +117,28 @@ def start_enrichment_stream(
     available_now: bool = False,
     late_dir: str | None = None,
     snapshots: DataFrame | None = None,
+    attempts_path: str | None = None,
+    resume_from: DataFrame | None = None,
 ):
     """STR1-STR3 wired together: bounded intake of call files → keyed identity
     state → envelopes → request bodies written per micro-batch, every
-    ``flush_interval`` (or once over all available input). Late calls go to
-    ``late_dir`` (``<out_dir>-late``); device ``snapshots`` give the context of
-    every event."""
-    rows = identity_stream(call_stream(spark, calls_path, max_files_per_trigger))
-    writer = rows.writeStream.foreachBatch(batch_sink(out_dir, late_dir or f"{out_dir}-late", device_contexts(snapshots) if snapshots is not None else None)).option("checkpointLocation", checkpoint_dir)
+    ``flush_interval`` (or once over all available input). Late calls, and calls
+    delivered again, go to ``late_dir`` (``<out_dir>-late``), so that each message
+    is in one body (STR4); device ``snapshots`` give the context of every event.
+
+    With ``attempts_path`` (attempt-log files) calls made while a fatal answer
+    keeps their client disabled are dropped (FLT1); with ``resume_from``
+    (:func:`identity_snapshot`) devices start from their row of it. Both keep
+    typed state (:func:`resumed_identity`)."""
+    from eventloom.streaming.resumed_identity import resumed_identity, state_store
+
+    calls = call_stream(spark, calls_path, max_files_per_trigger)
+    typed = attempts_path is not None or resume_from is not None
+    rows = resumed_identity(calls, resume_from, answers=answer_stream(spark, attempts_path) if attempts_path else None) if typed else identity_stream(calls)
+    sink = batch_sink(out_dir, late_dir or f"{out_dir}-late", device_contexts(snapshots) if snapshots is not None else None)
+    writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=flush_interval)
-    return writer.start()
+    if not typed:
+        return writer.start()
+    with state_store(spark):
+        return writer.start()

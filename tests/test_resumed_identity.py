@@ -7,12 +7,13 @@ import time
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.operators.identity import identity_asof, identity_snapshot
 from eventloom.schemas import CALLS_SCHEMA
 from eventloom.streaming.identity_state import _fresh, _step
-from eventloom.streaming.resumed_identity import _FRESH, advance, resumed_identity, use_state_store
-from eventloom.streaming.sinks import call_stream
+from eventloom.streaming.resumed_identity import _FRESH, advance, gate, resumed_identity, use_state_store
+from eventloom.streaming.sinks import answer_stream, call_stream
 
 KINDS = ["track", "identify", "group", "reset", "initialize", "setAdvertisingId", "clearAdvertisingId", "flush", "alias"]
 
@@ -71,3 +72,54 @@ def test_resumed_stream_with_late_rows(spark, typed_state):
     assert got.where("late AND (epoch IS NOT NULL OR anonymous_id IS NOT NULL)").count() == 0
     want = identity_asof(calls).where("device_id = 3 OR seq >= 20")
     assert sorted(map(tuple, got.where("NOT late").select(*cols).collect()), key=str) == sorted(map(tuple, want.select(*cols).collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_gate_equals_the_rule_row_by_row(seed):
+    rnd = random.Random(seed)
+    t0 = pd.Timestamp("2024-01-01")
+    at = sorted(rnd.choices(range(40), k=60))
+    calls = pd.DataFrame({"seq": range(60), "ts": [t0 + pd.Timedelta(seconds=x) for x in at], "call": [rnd.choice(["track", "track", "track", "reset"]) for _ in at]})
+    fatal = [t0 + pd.Timedelta(seconds=rnd.choice(range(40))) for _ in range(rnd.choice([0, 1, 6]))]
+    rows = sorted([(t, 0, -1, None) for t in fatal] + [(r.ts, 1, r.seq, r.call) for r in calls.itertuples()], key=lambda r: r[:3])
+    off, want = False, []
+    for _, src, seq, call in rows:
+        off = True if src == 0 else False if call == "reset" else off
+        if src and not off:
+            want.append(seq)
+    got, state, start = [], (None, []), 0
+    for end in (0, 1, 20, 41, 60):  # all answers come with the first calls
+        part = calls[start:end].reset_index(drop=True)
+        keep, state = gate(part, pd.DataFrame({"ts": fatal if start == end == 0 else []}, dtype="datetime64[us]"), state)
+        got += part["seq"][keep].tolist()
+        start = end
+    assert got == want
+
+
+def test_an_answer_that_comes_late_counts_from_then_on_unless_reset():
+    t0 = pd.Timestamp("2024-01-01")
+    at = lambda *s: pd.DataFrame({"ts": [t0 + pd.Timedelta(seconds=x) for x in s]}, dtype="datetime64[us]")
+    keep, state = gate(at(1, 5).assign(seq=[0, 1], call="track"), at(), (None, []))
+    assert keep.all() and state == (None, [])
+    keep, state = gate(at(6, 7, 8).assign(seq=[2, 3, 4], call=["track", "reset", "track"]), at(3), state)
+    assert keep.tolist() == [False, True, True]
+    assert gate(at(9).assign(seq=[5], call="track"), at(6, 7), state)[0].all()  # both before the reset, or with it
+
+
+def test_disabled_calls_on_a_stream_set_nothing(spark, typed_state):
+    t0 = dt.datetime(2024, 1, 1)
+    call = lambda d, s, kind, user=None: ("wk", d, s, t0 + dt.timedelta(seconds=s), kind, None, user, None, None, None, None, None)
+    rows = [call(d, *c) for d in (1, 2, None) for c in [(0, "identify", "a"), (1, "track"), (2, "identify", "b"), (3, "track"), (4, "reset"), (5, "track")]]
+    calls = spark.createDataFrame(rows, CALLS_SCHEMA)
+    root, log = tempfile.mkdtemp(prefix="eventloom-gate-"), tempfile.mkdtemp(prefix="eventloom-answers-")
+    for part in ("seq < 3", "seq >= 2"):  # 2 comes twice
+        calls.where(part).coalesce(1).write.mode("append").parquet(root)
+        time.sleep(1.1)
+    answers = [(1, t0 + dt.timedelta(seconds=2), 404), (2, t0 + dt.timedelta(seconds=2), 500), (9, t0, 401)]
+    spark.createDataFrame(answers, "device_id long, attempt_ts timestamp, status int").write.mode("append").parquet(log)
+    out = resumed_identity(call_stream(spark, root, 1), answers=answer_stream(spark, log))
+    out.writeStream.format("memory").queryName("gated").outputMode("append").option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start().awaitTermination(300)
+    got = spark.table("gated")
+    users = {d: [r.user_state for r in got.where("NOT late").where(F.col("device_id").eqNullSafe(F.lit(d))).orderBy("seq").collect()] for d in (1, 2, None)}
+    assert users == {1: ["a", "a", None, None], 2: ["a", "a", "b", "b", None, None], None: ["a", "a", "b", "b", None, None]}
+    assert sorted(str(r.device_id) for r in got.where("late AND seq = 2").collect()) == ["1", "2", "None"] and got.where("late").count() == 3
