@@ -177,7 +177,8 @@ def resumed_identity(
     """STR1: stateful identity over a call stream (or table), each device
     starting from its row of ``snapshot`` (:func:`identity_snapshot`; without a
     row, fresh). With ``ttl_ms`` a device without calls for that long starts
-    fresh. Rows not after the stored ``seq``, and repeats of one, are ``late``
+    fresh, and the query goes on making empty batches until it is stopped, also
+    with ``availableNow``. Rows not after the stored ``seq``, and repeats of one, are ``late``
     and change nothing. ``answers`` (``device_id, attempt_ts, status``; a stream
     if the calls are one) drops calls made while disabled (:func:`gate`); a call
     that was emitted before its fatal answer came stays. See :func:`use_state_store`."""
