@@ -4,15 +4,21 @@ Every page is parsed into a tree of elements with text slots. Same-host pages
 are aligned level by level: equal neighbours fold into repeated groups, elements
 that only some pages have become optional, differing text leaves a slot. The
 result is one wrapper per host, an expression of sequences, options and
-repetitions without unions. A host with many pages is folded in up to 64 parts.
+repetitions without unions. A host with many pages is folded in up to 64 parts;
+a wrapper keeps its ``WRAPPER_NODES`` elements that most pages have, so that it
+stays small however many layouts a host uses. Text at a place it does not keep
+stays in the page.
 
 A slot's place in the wrapper says what it holds: a text that most of the pages
-with the slot have there is page furniture, inside the article too (but not its
-h1); a slot of differing texts is content, however many pages have it; without
-an article, slots of nearly only link text are furniture. Text in navigation,
-adverts and the like also goes by element and name, unless the element holds the
-article or most of the page's text; unsure names count only where the place
-behaves like furniture. Pages are then read against their host's wrapper. Pages
+with the slot have there is page furniture; a slot of differing texts is content,
+however many pages have it; without an article, slots of nearly only link text
+are furniture. Inside the article a repeated text must also stand outside the
+run of paragraphs, headings, items and cells, or be the one link of such an
+element, on at least ``ARTICLE_PAGES`` pages; headings and bylines stay. Text in
+navigation, adverts and the like also goes by element and name, unless the
+element holds the article or most of the page's text; a name of other words too
+(sharing-economy) and unsure names count only where the place behaves like
+furniture. Pages are then read against their host's wrapper. Pages
 that share the two longest texts are copies and count as one, so that a copied text
 is not taken for furniture. Where an element repeats within a page (paragraphs
 in a row), its texts differ and the slot is content.
@@ -56,6 +62,13 @@ FURNITURE = re.compile(
 WEAK = re.compile(
     r"(?:^|[\s_-])(?:notices?|related|recommend\w*|announce\w*|notifications?|disclaimer|copyright|respond|responses|replies|discussion|reactions|"
     r"search\w*|skip|alerts?|banner|menu\w*|promo\w*|social|overlay|widgets?)(?=$|[\s_-])", re.I)
+#: Words of layout: a name of furniture words and these says furniture.
+LAYOUT = frozenset("site page main top bottom left right center box bar list item items link links wrap wrapper container block section area button "
+                   "buttons icon icons group form post posts article articles inner outer global primary secondary content text title body col row "
+                   "column fixed sticky mobile desktop slot unit zone panel pane card cards tool tools count thread media network networks email "
+                   "mail inline small large hidden visible open active wide full web home story stories news more tag tags first last default "
+                   "module region frame layer bubble strip wall rail pop box tab tabs and the".split())
+_BYLINE = re.compile(r"(?:^|[.\s_-])(?:by|by-?line|author|writer|date|date-?line|published|time)(?=$|[.\s_-])", re.I)
 STRONG, UNSURE, HEADER = 1, 2, 3
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 #: A text is furniture if this share of the pages that have its slot, at least
@@ -64,9 +77,15 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 #: ``SLOT_TEXTS + 1`` of the others.
 SAME_SHARE = 0.8
 LEAST_PAGES = 2
+ARTICLE_PAGES = 3
 SLOT_TEXTS = 4
 LINK_SHARE = 0.9
 DEPTH = 48
+#: Elements of a wrapper; with keys of at most ``KEY_CHARS`` it has some 200 KB of JSON at most.
+WRAPPER_NODES = 1000
+KEY_CHARS = 64
+#: The run of an article's own text.
+RUN = frozenset("p li dt dd blockquote pre td th caption figcaption h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"""<!--(?:(?!-->).)*(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -83,6 +102,8 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool, int]:
     a = {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip(" /") else {}
     names = [a.get("class", ""), a.get("id", ""), a.get("role", "")]
     key = tag + "".join(f".{_DIGITS.sub('0', x)}" if x else "" for x in names)
+    if len(key) > KEY_CHARS:
+        key = f"{key[: KEY_CHARS - 9]}~{_text_hash(key)}"
     if tag in ("html", "body", "main"):
         return key, False, False, 0
     hidden = "hidden" in a or a.get("aria-hidden") == "true" or bool(_HIDDEN.search(a.get("style", "")))
@@ -94,13 +115,22 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool, int]:
         kind = STRONG if re.search(r"(?:^|[\s_-])(?:comments?|related|promo\w*|ads?)(?=$|[\s_-])", f"{names[0]} {names[1]}", re.I) else 0
     elif tag == "header" or re.search(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", f"{names[0]} {names[1]}", re.I):
         kind = HEADER
-    elif tag == "form" or names[2].lower() in ROLES or any(FURNITURE.search(WEAK.sub(" ", x)) for x in names[:2]):
+    elif tag == "form" or names[2].lower() in ROLES:
         kind = STRONG
     else:
-        kind = UNSURE if any(WEAK.search(x) for x in names[:2]) else 0
+        kinds = {_name_kind(x) for x in f"{names[0]} {names[1]}".split()}
+        kind = STRONG if STRONG in kinds else UNSURE if UNSURE in kinds and not _HEADING.fullmatch(tag) else 0
     return key, kind == STRONG, kind != 0, kind
 
 
+def _name_kind(name: str) -> int:
+    """What one name of a class list or id says."""
+    if not FURNITURE.search(WEAK.sub(" ", name)):
+        return UNSURE if WEAK.search(name) else 0
+    others = re.findall(r"[^\W\d_]{3,}", FURNITURE.sub(" ", name).lower())
+    return STRONG if LAYOUT.issuperset(others) else UNSURE
+
+
 class Node:
     __slots__ = ("tag", "key", "dropped", "outer", "kind", "children", "block")
 
@@ -191,7 +221,7 @@ def _take_back(root: Node) -> None:
             n.unname()
 
 
-# A wrapper node: [key, flags, children, slot]; flags 1 optional, 2 repeated;
+# A wrapper node: [key, flags, children, slot, pages]; flags 1 optional, 2 repeated;
 # slot: [pages, {hash of the text: pages with it}, characters, linked ones]; a
 # text is not counted where one page has several in a folded slot.
 Wrapper = list
@@ -214,11 +244,32 @@ def shape(root: Node) -> Wrapper:
             else:
                 kids.append(build(c, depth + 1, linked))
         text = " ".join(" ".join(own).split())
-        return [node.key, 0, squash(kids), [1, {_text_hash(text): 1}, len(text), len(text) * linked] if text else None]
+        return [node.key, 0, squash(kids), [1, {_text_hash(text): 1}, len(text), len(text) * linked] if text else None, 1]
 
     return build(root, 0, False)
 
 
+def bounded(w: Wrapper, nodes: int = WRAPPER_NODES) -> Wrapper:
+    """The wrapper if it has at most ``nodes`` elements, else three quarters as
+    many: those that most pages have, of equal ones the first of the page. An
+    element has no more pages than the one around it, so none loses its place."""
+    order: list[tuple[int, int, Wrapper]] = []
+    todo = [w]
+    while todo:
+        n = todo.pop()
+        order.append((-n[4], len(order), n))
+        todo.extend(reversed(n[2]))
+    if len(order) <= nodes:
+        return w
+    order.sort(key=lambda x: x[:2])
+    kept = {id(n) for _, _, n in order[: nodes * 3 // 4]}
+
+    def copy(n: Wrapper) -> Wrapper:
+        return [n[0], n[1], [copy(c) for c in n[2] if id(c) in kept], n[3], n[4]]
+
+    return copy(w)
+
+
 def own_text(node: Node) -> str:
     return " ".join(" ".join(c for c in node.children if isinstance(c, str) and not c.isspace()).split())
 
@@ -271,7 +322,7 @@ def _merged(a: Wrapper, b: Wrapper, flags: int = 0, same_page: bool = False) ->
     slot = x or y
     if x and y:
         slot = [max(x[0], y[0]) if same_page else x[0] + y[0], _texts(x[1], y[1], same_page), x[2] + y[2], x[3] + y[3]]
-    return [a[0], a[1] | b[1] | flags, merge(a[2], b[2], same_page), slot]
+    return [a[0], a[1] | b[1] | flags, merge(a[2], b[2], same_page), slot, max(a[4], b[4]) if same_page else a[4] + b[4]]
 
 
 def _texts(a: dict[str, int], b: dict[str, int], same_page: bool) -> dict[str, int]:
@@ -289,7 +340,7 @@ def _texts(a: dict[str, int], b: dict[str, int], same_page: bool) -> dict[str, i
 def merge(a: list[Wrapper], b: list[Wrapper], same_page: bool = False) -> list[Wrapper]:
     """Two sequences aligned; what only one has becomes optional."""
     if not a or not b:
-        return [[k, f | 1, c, s] for k, f, c, s in a or b]
+        return [[k, f | 1, *x] for k, f, *x in a or b]
     ka, kb = [x[0] for x in a], [x[0] for x in b]
     if ka == kb:
         return [_merged(x, y, 0, same_page) for x, y in zip(a, b, strict=True)]
@@ -298,7 +349,7 @@ def merge(a: list[Wrapper], b: list[Wrapper], same_page: bool = False) -> list[W
         if op == "equal":
             out += [_merged(x, y, 0, same_page) for x, y in zip(a[i1:i2], b[j1:j2], strict=True)]
         else:
-            out += [[k, f | 1, c, s] for k, f, c, s in [*a[i1:i2], *b[j1:j2]]]
+            out += [[k, f | 1, *x] for k, f, *x in [*a[i1:i2], *b[j1:j2]]]
     return squash(out)
 
 
@@ -309,8 +360,8 @@ def expression(w: Wrapper) -> str:
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """``host, n_pages, wrapper`` (JSON) of all ``pages(host, html)``. Copies of
-    a page count as one page; pages without text are left out."""
+    """``host, n_pages, wrapper`` (JSON, compressed by zlib) of all ``pages(host,
+    html)``. Copies of a page count as one page; pages without text are left out."""
     salts = 64
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +372,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                 w = shape(root)
                 if _has_text(w):
                     key = page_key(root)
-                    rows.append((host, key % salts, key, json.dumps(w)))
+                    rows.append((host, key % salts, key, json.dumps(bounded(w))))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)],
                                              ["host", "salt", "key", "wrapper"])
@@ -334,10 +385,10 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 w = json.loads(row[3])
                 if at == row[:3]:
-                    page = _merged(page, w, same_page=True)
+                    page = bounded(_merged(page, w, same_page=True))
                     continue
                 if at is not None:
-                    total, n = page if total is None else _merged(total, page), n + 1
+                    total, n = page if total is None else bounded(_merged(total, page)), n + 1
                     if at[:2] != row[:2]:
                         done.append((at[0], n, total))
                         total, n = None, 0
@@ -346,20 +397,20 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                 yield _wrapper_rows(done)
                 done = []
         if at is not None:
-            done.append((at[0], n + 1, page if total is None else _merged(total, page)))
+            done.append((at[0], n + 1, page if total is None else bounded(_merged(total, page))))
         yield _wrapper_rows(done)
 
     def combine(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         total, w = 0, None
         for n, text in sorted(zip(f["n_pages"], f["wrapper"], strict=True)):
-            total, w = total + n, json.loads(text) if w is None else _merged(w, json.loads(text))
-        return pd.DataFrame({"host": [key[0]], "n_pages": [total], "wrapper": [json.dumps(w)]})
+            total, w = total + n, json.loads(text) if w is None else bounded(_merged(w, json.loads(text)))
+        return pd.DataFrame({"host": [key[0]], "n_pages": [total], "wrapper": [zlib.compress(json.dumps(w).encode())]})
 
     order = ["host", "salt", "key", "wrapper"]
     parts = (pages.select("host", "html").mapInArrow(shapes, "host string, salt long, key long, wrapper string")
              .repartition("host", "salt").sortWithinPartitions(*order).select(*order))
     return parts.mapInArrow(fold, "host string, n_pages long, wrapper string").groupBy("host").applyInPandas(
-        combine, "host string, n_pages long, wrapper string")
+        combine, "host string, n_pages long, wrapper binary")
 
 
 def _has_text(w: Wrapper) -> bool:
@@ -373,9 +424,14 @@ def _wrapper_rows(rows: list[tuple[str, int, Wrapper]]) -> pa.RecordBatch:
 
 
 @lru_cache(256)
+def _unpacked_places(packed: bytes, n_pages: int) -> Wrapper:
+    return _furniture_places(zlib.decompress(packed).decode(), n_pages)
+
+
 def _furniture_places(text: str, n_pages: int) -> Wrapper:
-    """The wrapper with slots replaced by the texts that are furniture there
-    and whether links are, where no article holds them; last, whether an element
+    """The wrapper with slots replaced by the texts that are furniture there,
+    whether links are, where no article holds them, and whether the pages are
+    enough for a place inside one; last, whether an element
     behaves like furniture: most of its text is linked, or is furniture."""
 
     def mark(w: Wrapper) -> tuple[Wrapper, int, int]:
@@ -385,7 +441,7 @@ def _furniture_places(text: str, n_pages: int) -> Wrapper:
         kids = [mark(c) for c in w[2]]
         chars = (s[2] if s else 0) + sum(k[1] for k in kids)
         telling = (0 if not s else s[2] if same else s[3]) + sum(k[2] for k in kids)
-        return [w[0], w[1], [k[0] for k in kids], (same, links), 2 * telling > chars], chars, telling
+        return [w[0], w[1], [k[0] for k in kids], (same, links, bool(s) and s[0] >= ARTICLE_PAGES), 2 * telling > chars], chars, telling
 
     return mark(json.loads(text))[0]
 
@@ -407,10 +463,14 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
     within = "article" if holds("article") else "main" if holds("main") else ""
     texts: dict[int, str] = {}
 
-    def is_furniture(node: Node, place: tuple[frozenset[str], bool]) -> bool:
-        same, links = place
+    def is_furniture(node: Node, place: tuple[frozenset[str], bool, bool], run: Node | None) -> bool:
+        same, links, enough = place
         if links and not within:
             return True
+        if within and (not enough or _BYLINE.search(node.key)):
+            return False
+        if within and run is not None and (node.tag != "a" or _HEADING.fullmatch(run.tag) or own_text(run)):
+            return False
         if same and id(node) not in texts:
             texts[id(node)] = _text_hash(own_text(node))
         return bool(same) and texts[id(node)] in same
@@ -425,11 +485,11 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
                 blocks.append(line)
             current.clear()
 
-    # (node, next child, its wrapper, place in it, inside the article)
-    todo = [[root, 0, wrapper, 0, not within]]
+    # (node, next child, its wrapper, place in it, inside the article, its element of the text's run)
+    todo = [[root, 0, wrapper, 0, not within, None]]
     while todo:
         frame = todo[-1]
-        node, i, w, place, inside = frame
+        node, i, w, place, inside, run = frame
         if i >= len(node.children):
             todo.pop()
             if node.block:
@@ -438,7 +498,7 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
         frame[1] += 1
         c = node.children[i]
         if isinstance(c, str):
-            if inside and not (w is not None and not _HEADLINE.fullmatch(node.tag) and is_furniture(node, w[3])):
+            if inside and not (w is not None and not _HEADLINE.fullmatch(node.tag) and is_furniture(node, w[3], run)):
                 current.append(c)
             continue
         if c.block:
@@ -458,7 +518,7 @@ def main_text(page: str | None, wrapper: Wrapper | None = None) -> str:
                 below, frame[3] = kids[at], at
         if unsure and below is not None and below[4]:
             continue
-        todo.append([c, 0, below, 0, inside or c.tag == within])
+        todo.append([c, 0, below, 0, inside or c.tag == within, c if c.tag in RUN else run])
     flush()
     return "\n".join(blocks)
 
@@ -475,7 +535,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns[2:]]
-            texts = [main_text(page, _furniture_places(w, n) if w else None) for page, n, w in zip(*cols, strict=True)]
+            texts = [main_text(page, _unpacked_places(w, n) if w else None) for page, n, w in zip(*cols, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                 ["page_id", "url", "text", "n_chars"])

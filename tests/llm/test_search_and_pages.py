@@ -1,6 +1,8 @@
 """Top-k search and page extraction."""
 
+import json
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -89,6 +91,37 @@ def test_names_drop_no_text(spark):
     assert got == sorted([f"Text {i} of the host" for i in range(4)] + [f"Text {i} of the host\nNotice {i}" for i in range(4)])
 
 
+def test_repeated_text_of_the_article_stays(spark):
+    def article(i):
+        return f"""<article><h2>Summary</h2><p class=by>By Ann Lee</p><div class=byline>Ann Lee</div><p>Once more <b>Update</b> <a>the law</a>
+<ul><li><a>Share it</a><li>One item</ul><div class=sharing-economy>Cars {i}</div><section class='comments-on-the-bill'>Views {i}</section>
+<div class=acme-newsletter>Join us</div><div class=site-footer-links>f</div><p>text {i} of many words here</article>"""
+    pages = [(i, "http://a/", article(i)) for i in range(5)] + [(10 + i, "http://b/", article(i)) for i in range(2)]
+    got = {r.page_id: r.text for r in H.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    def clean(i, more=()):
+        return "\n".join(["Summary", "By Ann Lee", "Ann Lee", "Once more Update the law", *more, "One item", f"Cars {i}", f"Views {i}", f"text {i} of many words here"])
+    assert got == {i: clean(i) for i in range(5)} | {10 + i: clean(i, ["Share it"]) for i in range(2)}
+
+
+def test_wrappers_stay_small_over_many_layouts(spark):
+    def page(i):
+        own = "".join(f"<div class=k{'abcdefghij'[(i // 10**j) % 10]}{j}{'xyz'[i % 3]}><p>own {i} {j}</p></div>" for j in range(4))
+        names = "".join("abcdefghijklmnopqrstuvwxyz"[(i * 7919 + j * 104729) // 26**j % 26] for j in range(6))
+        return f"<article><div class=x7>Our letter</div><div class={names}{'q' * 500}><i class=n{names}>t{i}</i></div>{own}</article>"
+    pages = spark.range(3000).select("id").toPandas()["id"]
+    df = spark.createDataFrame([(int(i), "http://a/", page(int(i))) for i in pages], "page_id long, url string, html string")
+    (row,) = H.infer_wrappers(df.selectExpr("'a' AS host", "html")).collect()
+    w = json.loads(zlib.decompress(row.wrapper))
+    assert row.n_pages == 3000 and len(json.dumps(w)) < 200_000
+    assert H.main_text(page(7), H._unpacked_places(bytes(row.wrapper), row.n_pages)) == "t7\nown 7 0\nown 7 1\nown 7 2\nown 7 3"
+
+
+def test_the_most_frequent_elements_stay_with_those_around_them():
+    w = ["", 0, [["a", 0, [["b", 1, [], None, 2]], None, 9], ["c", 1, [], None, 1], ["d", 1, [], None, 2]], None, 9]
+    assert H.bounded(w, 5) is w
+    assert H.bounded(w, 4) == ["", 0, [["a", 0, [["b", 1, [], None, 2]], None, 9]], None, 9]
+
+
 def test_wrappers_find_furniture_outside_articles(spark):
     pages = [(i, "http://h.example/p" if i % 2 else "http://h.example/q", f"<body><div>Our site, since 1990</div><p>text {i}</p><p>more {i}</p></body>", i) for i in range(12)]
     pages += [(100, None, None, 1), (101, "http://x/", "", 1), (102, "http://x/", "<p>only</p>" * 3, 1), (102, "http://x/", "<p>only</p>" * 3, 1)]
