@@ -4,8 +4,9 @@ One frequency table, counted over the whole corpus and scaled to ``2**SCALE``,
 is shared by all blocks. A block holds whole documents; its ids are dealt over
 ``LANES`` interleaved coders, which advance together (one step codes ``LANES``
 ids), and it decodes without any other block. Every ``CHECK_STEPS`` steps a
-checkpoint keeps the coders' states and the place in the words, so a long block
-can also be decoded from there, in parallel. A checksum covers ids and words.
+checkpoint keeps the coders' states and the place in the words, so a block can
+also be decoded from there. Readers decode all stretches between a block's checkpoints
+at once, one step of every stretch at a time. A checksum covers ids and words.
 
 Files are Parquet with one row per block, in ascending doc_id order over the
 files and within each; the table of frequencies lies beside them.
@@ -95,11 +96,47 @@ class Coder:
         return (x.astype("<u8").tobytes(), b"".join(w.tobytes() for w in reversed(words)),
                 b"".join(s.astype("<u8").tobytes() for s, _ in checks), [written - w for _, w in checks])
 
+    def _slot_ids(self) -> np.ndarray:
+        if self._slots is None:
+            self._slots = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+        return self._slots
+
+    def decode_stretches(self, n: int, states: bytes, words: bytes, check_states: bytes, check_words: list[int]) -> np.ndarray:
+        """All ``n`` ids of a block, its stretches side by side: stretch k starts
+        from checkpoint k (the first from the block's states) and reads the words
+        from that checkpoint's place on."""
+        slots, steps = self._slot_ids(), -(-n // LANES)
+        stretches = len(check_words) + 1
+        x = np.concatenate([np.frombuffer(states, "<u8"), np.frombuffer(check_states, "<u8")]).astype(np.uint64)
+        w = np.frombuffer(words, "<u4").astype(np.uint64)
+        at = np.array([0, *check_words], np.int64)
+        whole, edges = LANES * (stretches - 1), LANES * np.arange(stretches + 1)
+        rest = n - whole * CHECK_STEPS  # ids of the last stretch
+        out = np.empty(n, np.uint32)
+        full = out[: whole * CHECK_STEPS].reshape(stretches - 1, CHECK_STEPS, LANES)
+        tail = out[whole * CHECK_STEPS :]
+        mask, scale, shift, low = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32), np.uint64(LOW)
+        for t in range(min(steps, CHECK_STEPS)):
+            more = max(0, min(LANES, rest - t * LANES))  # lanes of the last stretch that go on
+            lane = x[: whole + more]
+            slot = lane & mask
+            ids = slots[slot]
+            lane = self.freq[ids] * (lane >> scale) + slot - self.cum[ids]
+            need = (lane < low).nonzero()[0]
+            if len(need):
+                starts = np.searchsorted(need, edges)
+                taken = np.diff(starts)
+                lane[need] = (lane[need] << shift) | w[np.arange(len(need)) + np.repeat(at - starts[:-1], taken)]
+                at += taken
+            x[: whole + more] = lane
+            full[:, t] = ids[:whole].reshape(-1, LANES)
+            tail[t * LANES : t * LANES + more] = ids[whole:]
+        return out
+
     def decode(self, n: int, states: bytes, words: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
         """Ids of the steps ``first`` to ``last`` of a block of ``n`` ids; for
         ``first`` over 0, ``states`` and ``words`` are those of its checkpoint."""
-        if self._slots is None:
-            self._slots = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+        slots = self._slot_ids()
         x = np.frombuffer(states, "<u8").astype(np.uint64)
         w, at = np.frombuffer(words, "<u4").astype(np.uint64), 0
         steps = -(-n // LANES)
@@ -110,7 +147,7 @@ class Coder:
             lanes = min(LANES, n - t * LANES)
             lane = x[:lanes]
             slot = lane & mask
-            ids = self._slots[slot]
+            ids = slots[slot]
             lane = self.freq[ids] * (lane >> scale) + slot - self.cum[ids]
             need = (lane < low).nonzero()[0]
             if len(need):
@@ -241,7 +278,7 @@ def _decoded(spark, path: str, of, kind: str, name: str) -> DataFrame:
         coder = Coder(freq)
         for batch in batches:
             for b in batch.to_pylist():
-                ids = coder.decode(b["n_tokens"], b["states"], b["words"])
+                ids = coder.decode_stretches(b["n_tokens"], b["states"], b["words"], b["check_states"], b["check_words"])
                 if zlib.crc32(b["words"], zlib.crc32(ids.astype("<u4").tobytes())) != b["checksum"]:
                     raise ValueError(f"block at {b['block_start']}: checksum differs")
                 ends = np.cumsum(b["doc_tokens"])
@@ -252,7 +289,7 @@ def _decoded(spark, path: str, of, kind: str, name: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", name])
 
     return spark.read.schema(BLOCK).parquet(f"{path}/blocks").select(
-        "block_start", "n_tokens", "doc_ids", "doc_tokens", "states", "words", "checksum").mapInArrow(
+        "block_start", "n_tokens", "doc_ids", "doc_tokens", "states", "words", "check_states", "check_words", "checksum").mapInArrow(
         run, f"doc_id long, start long, n_tokens long, {name} {kind}")
 
 

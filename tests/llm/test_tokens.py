@@ -37,3 +37,13 @@ def test_rans_round_trip_and_checkpoints(n, vocabulary):
         first = (i + 1) * rans.CHECK_STEPS
         state = check_states[i * rans.LANES * 8 : (i + 1) * rans.LANES * 8]
         assert (coder.decode(n, state, words[4 * at :], first) == ids[first * rans.LANES :]).all()
+
+
+@pytest.mark.parametrize("n", [1, 2047, 2048, 2049, 128 * 2048 - 1, 128 * 2048, 128 * 2048 + 1, 3 * 128 * 2048 + 5000, 4 * 128 * 2048])
+def test_stretches_decode_side_by_side(n):
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.zipf(1.3, n), 40_000).astype(np.uint32)
+    coder = rans.Coder(rans.scaled_frequencies(np.bincount(ids, minlength=40_001)))
+    states, words, check_states, check_words = coder.encode(ids)
+    assert len(check_words) == (n - 1) // (rans.CHECK_STEPS * rans.LANES)
+    assert (coder.decode_stretches(n, states, words, check_states, check_words) == ids).all()
