@@ -14,11 +14,13 @@ import string
 import struct
 from array import array
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 END = struct.pack("<I", 0)
 _CACHE_ENTRIES = 500_000
+_KEPT_ENTRIES = 400_000
 #: The byte-level alphabet: printable bytes stand for themselves, the others, in
 #: order, for the characters from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -60,6 +62,11 @@ class _Cuts(dict):
         self[cut] = ids
         return ids
 
+    def forget(self) -> None:
+        """Drop the newest cuts; the frequent ones were seen early and stay."""
+        for cut in list(islice(self, _KEPT_ENTRIES, None)):
+            del self[cut]
+
 
 class Encoder:
     """``encode(texts)``: ids of each text as little-endian unsigned 32-bit
@@ -93,7 +100,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         for known in (self.after, self.first):
             if len(known) > _CACHE_ENTRIES:
-                known.clear()
+                known.forget()
         after, out = self.after.__getitem__, []
         for text in texts:
             cuts = text.split(" ")

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from eventloom.llm import rans
+from eventloom.llm import rans, tokens
 from eventloom.llm.tokens import encoder, tokenizer_file
 
 NAME = "byte_bpe_50k.json"
@@ -47,3 +47,13 @@ def test_stretches_decode_side_by_side(n):
     states, words, check_states, check_words = coder.encode(ids)
     assert len(check_words) == (n - 1) // (rans.CHECK_STEPS * rans.LANES)
     assert (coder.decode_stretches(n, states, words, check_states, check_words) == ids).all()
+
+
+def test_a_full_cache_forgets_the_newest_cuts_and_keeps_the_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "_CACHE_ENTRIES", 40)
+    monkeypatch.setattr(tokens, "_KEPT_ENTRIES", 30)
+    enc = tokens.Encoder("byte_bpe_50k.json")
+    texts = [" ".join(f"word{chr(97 + i % 26)}{chr(97 + (i * j) % 26)}," for i in range(30)) for j in range(20)]
+    whole = enc._whole(texts)
+    assert [enc.encode([t])[0] for t in texts] == whole
+    assert len(enc.after) <= 40 + 30 and len(enc.first) <= 40 + 30
