@@ -5,11 +5,13 @@ import random
 import tempfile
 import time
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators.identity import identity_asof, identity_snapshot
+import eventloom.streaming.resumed_identity as resumed
+from eventloom.operators.identity import disabled_drop, identity_asof, identity_snapshot
 from eventloom.schemas import CALLS_SCHEMA
 from eventloom.streaming.identity_state import _fresh, _step
 from eventloom.streaming.resumed_identity import _FRESH, advance, gate, resumed_identity, use_state_store
@@ -126,3 +128,57 @@ def test_disabled_calls_on_a_stream_set_nothing(spark, typed_state):
     users = {d: [r.user_state for r in got.where("NOT late").where(F.col("device_id").eqNullSafe(F.lit(d))).orderBy("seq").collect()] for d in (1, 2, None)}
     assert users == {1: ["a", "a", None, None], 2: ["a", "a", "b", "b", None, None], None: ["a", "a", "b", "b", None, None]}
     assert sorted(str(r.device_id) for r in got.where("late AND seq = 2").collect()) == ["1", "2", "None"] and got.where("late").count() == 3
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_many_devices_at_once_equal_one_after_the_other(seed):
+    rnd = random.Random(seed)
+    parts, states, want, after = [], [], [], []
+    for n in (1, 30, 2, 17):
+        _, state = advance(some_calls(rnd, 20), _FRESH)
+        states.append(rnd.choice([state, _FRESH]))
+        parts.append(some_calls(rnd, n).assign(seq=lambda p: p["seq"] + 20))
+        columns, last = advance(parts[-1], states[-1])
+        want.append(columns)
+        after.append(last)
+    firsts = [0, 1, 31, 33]
+    got, last = resumed.advance_all(pd.concat(parts, ignore_index=True), np.array(firsts), states)
+    pd.testing.assert_frame_equal(got, pd.concat(want, ignore_index=True))
+    assert last == after
+
+
+def test_devices_of_one_bucket_keep_their_own_state(spark, typed_state, monkeypatch):
+    monkeypatch.setattr(resumed, "BUCKETS", 2)
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    devices = [*range(9), 2**60 + 1, 2**60 + 2]
+    rows = [("wk", d, s, t0 + dt.timedelta(seconds=s), rnd.choice(KINDS), None, rnd.choice(["u", None]), "g", rnd.choice(["a", None]), None, None, None)
+            for d in devices for s in range(30)]
+    calls = spark.createDataFrame(rows, CALLS_SCHEMA)
+    answers = spark.createDataFrame([(d, t0 + dt.timedelta(seconds=12), 404) for d in (3, 4, 50)], "device_id long, attempt_ts timestamp, status int")
+    root, log = tempfile.mkdtemp(prefix="eventloom-bucket-"), tempfile.mkdtemp(prefix="eventloom-bucket-answers-")
+    answers.write.mode("append").parquet(log)
+    for part in ("seq BETWEEN 10 AND 19 OR device_id = 8 AND seq < 20", "seq >= 20"):
+        calls.where(part).coalesce(1).write.mode("append").parquet(root)
+        time.sleep(1.1)
+    begun = identity_snapshot(identity_asof(calls.where("seq < 10 AND device_id != 8")))
+    older = begun.where("device_id < 4").withColumns({"write_key": F.lit("old"), "last_seq": F.lit(2).cast("long"), "user_id": F.lit("old")})
+    out = resumed_identity(call_stream(spark, root, 1), begun.unionByName(older), answers=answer_stream(spark, log))
+    out.writeStream.format("memory").queryName("buckets").outputMode("append").option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start().awaitTermination(300)
+    got = spark.table("buckets")
+    rest = calls.where("seq >= 10 OR device_id = 8")
+    want = identity_asof(disabled_drop(rest, answers), start=begun)
+    cols = ["device_id", "seq", "ts", "epoch", "flush_epoch", "initialized", "user_state", "group_state", "anonymous_id", "advertising_id_state", "consent_state"]
+    assert got.where("late").count() == 0
+    assert sorted(map(tuple, got.select(*cols).collect()), key=str) == sorted(map(tuple, want.select(*cols).collect()), key=str)
+
+
+def test_times_after_the_year_2262_pass_the_stream(spark, typed_state):
+    at = lambda year, s: dt.datetime(year, 1, 1, 0, 0, s, 123456)
+    rows = [("wk", 1, s, at(y, s), "track", *[None] * 7) for s, y in ((1, 2024), (2, 2300), (3, 4500))] + [("wk", 2, 1, None, "track", *[None] * 7)]
+    root, log = tempfile.mkdtemp(prefix="eventloom-year-"), tempfile.mkdtemp(prefix="eventloom-year-answers-")
+    spark.createDataFrame(rows, CALLS_SCHEMA).coalesce(1).write.mode("append").parquet(root)
+    spark.createDataFrame([(1, at(4000, 0), 404)], "device_id long, attempt_ts timestamp, status int").write.mode("append").parquet(log)
+    out = resumed_identity(call_stream(spark, root, 1), answers=answer_stream(spark, log))
+    out.writeStream.format("memory").queryName("years").outputMode("append").option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start().awaitTermination(300)
+    assert {(r.device_id, r.seq, r.ts) for r in spark.table("years").collect()} == {(1, 1, at(2024, 1)), (1, 2, at(2300, 2)), (2, 1, None)}
