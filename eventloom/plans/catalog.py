@@ -279,7 +279,9 @@ def stream_context(spark, d):
 
     ev = pipeline.events(spark, d).select("device_id", "seq", "ts", F.col("messageId").alias("message_id"), "advertising_id_state")
     contexts = device_contexts(log(adapters.device_snapshot_versions(spark, d), "snapshots", "snapshot_ts"))
-    joined = attach_context_stream(log(ev, "events", "ts"), contexts, f"{STREAM_AGE_DAYS} days").select(
+    part = lambda name, *fields: F.struct(*[F.col(f"context.{name}.{f}").alias(f) for f in fields]).alias(name)
+    kept = F.struct(part("app", "version", "build"), part("device", "model", "advertisingId"))
+    joined = attach_context_stream(log(ev, "events", "ts"), contexts, f"{STREAM_AGE_DAYS} days", kept=kept).select(
         "message_id", "device_id",
         F.col("context.app.version").alias("app_version"), F.col("context.app.build").alias("app_build"),
         F.col("context.device.model").alias("device_model"),

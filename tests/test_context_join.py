@@ -65,3 +65,15 @@ def test_stream_of_several_batches(spark):
     q.awaitTermination(300)
     # Filtered here: Spark would move the filter before the watermark, which the last rows raise.
     assert result(spark.table("with_context").where("device_id >= 0")) == WANT
+
+
+def test_kept_fields_of_the_context_that_the_whole_one_decides(spark):
+    device = F.struct(F.lit("phone").alias("model"), F.lit(None).cast("string").alias("advertisingId"))
+    rows = [(1, at(0), str(v % 3), str(v)) for v in range(9)]  # one time: the hash of all fields counts
+    cx = spark.createDataFrame(rows, "device_id long, snapshot_ts timestamp, version string, other string").select(
+        "device_id", "snapshot_ts", F.struct("version", "other", device.alias("device")).alias("context"))
+    ev = spark.createDataFrame(EVENTS, EVENT)
+    kept = F.struct(F.col("context.version").alias("version"), F.struct(F.col("context.device.advertisingId").alias("advertisingId")).alias("device"))
+    got = attach_context_stream(ev, cx, "4 days", kept=kept)
+    assert got.select("context.*").columns == ["version", "device"]
+    assert result(got) == result(attach_context_stream(ev, cx, "4 days"))
