@@ -144,16 +144,19 @@ def batch_summary(batched: DataFrame, by: Sequence[str] = ("batch_id",)) -> Data
 
 def batch_bodies(batched: DataFrame, env: Column, by: Sequence[str] = ("batch_id",)) -> DataFrame:
     """SNK1: ``{"batch":[...]}`` per batch, events in FIFO order, each stamped
-    with the batch's ``sentAt``. Each event is serialized once per row; the
-    batch (at most ``max_batch`` events, so the collected list is bounded)
-    joins the texts in ``batch_pos`` order. ``by``: ``batch_id`` or
-    :func:`batch_keys`."""
-    stamped = sent_at(batched, by)
+    with the batch's ``sentAt`` (TIM2) as its last field. Each event is serialized once per
+    row; the batch (at most ``max_batch`` events, so the collected list is bounded)
+    joins the texts in ``batch_pos`` order and stamps them, so that its time needs no
+    other sort of the rows. ``by``: ``batch_id`` or :func:`batch_keys`."""
     names = list(dict.fromkeys([*by, "batch_id"]))
-    event_json = F.to_json(env.withField("sentAt", F.col("sent_at")), {"ignoreNullFields": "true"})
-    rows = stamped.select(*names, F.struct(F.col("batch_pos").alias("pos"), event_json.alias("j")).alias("item"))
-    g = rows.groupBy(*names).agg(F.sort_array(F.collect_list("item")).alias("items"))
-    body = F.concat(F.lit('{"batch":['), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]}"))
+    event_json = F.to_json(env.withField("sentAt", F.lit(None).cast("string")), {"ignoreNullFields": "true"})
+    unended = F.left(event_json, F.length(event_json) - 1)
+    rows = batched.select(*names, "ts", F.struct(F.col("batch_pos").alias("pos"), unended.alias("j")).alias("item"))
+    g = rows.groupBy(*names).agg(F.sort_array(F.collect_list("item")).alias("items"), iso_seconds(F.max("ts")).alias("sent_at"))
+    stamp = F.coalesce(F.concat(F.lit('"sentAt":"'), F.col("sent_at"), F.lit('"}')), F.lit("}"))
+    between = lambda j: F.when((j == "{") | F.col("sent_at").isNull(), "").otherwise(",")
+    stamped = F.transform("items", lambda x: F.concat(x["j"], between(x["j"]), stamp))
+    body = F.concat(F.lit('{"batch":['), F.array_join(stamped, ","), F.lit("]}"))
     return g.select("batch_id", F.size("items").cast("bigint").alias("n_events"), body.alias("body"))
 
 

@@ -145,3 +145,18 @@ def test_prebind_replay_by_devices(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     assert sorted((r.device_id, r.seq, r.replay_pos) for r in out.collect()) == [(1, 2, 1), (1, 3, 2), (1, 4, 3), (4, 0, 1), (6, 0, 1), (6, 1, 2), (6, 2, 3)]
     assert prebind_replay(df.where("false")).count() == 0
+
+
+def test_bodies_are_stamped_without_another_sort_of_the_rows(spark):
+    from pyspark.sql import functions as F
+
+    from eventloom.operators.batching import batch_bodies
+
+    rows = spark.createDataFrame(
+        [("a", 1, "2024-01-01 00:00:05", "x"), ("a", 0, "2024-01-01 00:00:09", None), ("b", 0, None, "}"), ("c", 0, "2300-01-01 00:00:00", "{")],
+        "batch_id string, batch_pos long, ts string, name string").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = batch_bodies(rows, F.struct("name", F.lit(None).cast("string").alias("sentAt")))
+    assert {r.batch_id: (r.n_events, r.body) for r in out.collect()} == {
+        "a": (2, '{"batch":[{"sentAt":"2024-01-01T00:00:09Z"},{"name":"x","sentAt":"2024-01-01T00:00:09Z"}]}'),
+        "b": (1, '{"batch":[{"name":"}"}]}'), "c": (1, '{"batch":[{"name":"{","sentAt":"2300-01-01T00:00:00Z"}]}')}
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
