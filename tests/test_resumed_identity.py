@@ -182,3 +182,12 @@ def test_times_after_the_year_2262_pass_the_stream(spark, typed_state):
     out = resumed_identity(call_stream(spark, root, 1), answers=answer_stream(spark, log))
     out.writeStream.format("memory").queryName("years").outputMode("append").option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start().awaitTermination(300)
     assert {(r.device_id, r.seq, r.ts) for r in spark.table("years").collect()} == {(1, 1, at(2024, 1)), (1, 2, at(2300, 2)), (2, 1, None)}
+
+
+def test_settings_of_the_state_store_hold_in_the_block_only(spark):
+    names = ["spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows",
+             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"]
+    before = [spark.conf.get(n, None) for n in names]
+    with resumed.state_store(spark):
+        assert [spark.conf.get(n) for n in names] == [resumed.STATE_STORE, "false", "true"]
+    assert [spark.conf.get(n, None) for n in names] == before
