@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventloom.llm import class_lm, quality, toxicity
@@ -165,3 +166,35 @@ def test_best_moves_equal_recomputed_likelihood():
             values.append(value(moved)[1])
         assert math.isclose(max(values) - now, gain[u - 1], abs_tol=1e-8)
         assert math.isclose(values[best[u - 1] - 1], max(values), abs_tol=1e-8)
+
+
+def test_lm_words_and_units_equal_those_of_plain_python():
+    texts = ["  Ab  cD\x1c\x1fe  f\x85g\t\n\x0b\x0c\rÄB ", "", " \n", "x", "\x00 İ漢字 ab", "a  b A"]
+    plain = [t.encode().lower().split() for t in texts]
+    n, words = class_lm.words_of(pa.array(texts))
+    assert n.tolist() == [len(w) for w in plain] and words.to_pylist() == [w for ws in plain for w in ws]
+    own = {b"a": 1, b"x": 2}
+    units = class_lm.units_of(words, pa.array(list(own), pa.binary()), 7)
+    assert units.tolist() == [own.get(w, 3 + zlib.crc32(w[-3:]) % 7) for w in words.to_pylist()]
+    n, words = class_lm.words_of(pa.array([], pa.string()))
+    assert len(n) == len(words) == len(class_lm.units_of(words, pa.array([b"a"], pa.binary()), 7)) == 0
+
+
+def test_lm_bigrams_are_rows_by_units_not_by_texts(spark):
+    texts = [f"a b c{i % 300} b a c{i % 7}" for i in range(900)] + ["", " "]
+    frequent, n_units = pa.array([b"a", b"b"], pa.binary()), 3 + 200
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    rows = class_lm._unit_bigrams(docs, frequent, 200, n_units).toArrow()
+    assert len(rows) <= 2 * -(-n_units // class_lm.BLOCK)  # one row a pair of units before
+    want = Counter()
+    for t in texts:
+        n, words = class_lm.words_of(pa.array([t]))
+        units = [0, *class_lm.units_of(words, frequent, 200).tolist(), 0]
+        want.update(zip(units, units[1:], strict=False))
+    for side in (0, 1):
+        got = {}
+        for s, block, cells, c in class_lm._blocks(rows.to_batches(), n_units):
+            if s == side:
+                unit, other = (cells // n_units + block * class_lm.BLOCK).tolist(), (cells % n_units).tolist()
+                got |= dict(zip(zip(*((other, unit) if side else (unit, other)), strict=True), c.tolist(), strict=True))
+        assert got == want
