@@ -15,6 +15,10 @@ size says which may be frequent, and the last pass sends the phrases of 2 to
 ``LONGEST`` words, all of whose words and pairs pass, as texts to the sum that
 decides. Hashes and filters can only let too much through, so counts are exact
 and nothing is lost. The index is read where it lies; only counts are shuffled.
+
+Both sums are dealt to parts by the hash, whose number goes by the words, so that a
+part is of bounded size. A task adds up its shards' counts and sends those of a part
+sorted and packed, which takes a fraction of the bytes of a row each.
 """
 
 from __future__ import annotations
@@ -45,6 +49,12 @@ SLICE = 1 << 20
 PHRASE_BITS = 16
 FILTER_BITS = 1 << 29
 NO_LANG = "und"
+#: Words of the input for each part of the sums, and counts of pairs and of phrases
+#: that a task adds up before it sends them.
+PART_WORDS = 1 << 20
+PAIRS_HELD = 1 << 21
+PHRASES_HELD = 1 << 20
+HELD_BYTES = 128 << 20
 
 _BREAK = b"\xff"  # in no UTF-8 text
 _TO_BREAK = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
@@ -236,22 +246,103 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _hashed_pairs(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int) -> Iterator[pa.RecordBatch]:
+def _pack_longs(numbers: np.ndarray) -> bytes:
+    """Small numbers packed well: their lowest bytes, then the next, and so on."""
+    return pa.compress(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_longs(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<i8").ravel()
+
+
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, int)
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+_PAIRS = "part long, size long, keys binary, counts binary"
+_PAIRS_BATCH = pa.schema([("part", pa.int64()), ("size", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+_PHRASES = "part long, lang string, size long, phrases binary, counts binary"
+_PHRASES_BATCH = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("size", pa.int64()), ("phrases", pa.binary()), ("counts", pa.binary())])
+
+
+def _hashed_pairs(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int, part_bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of pairs of words in shards, by key."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def added() -> pa.RecordBatch:
+        keys, n = _added(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        part = keys >> (bits - part_bits)
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
+        spans = [*zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=False)]
+        return pa.RecordBatch.from_pydict({
+            "part": part[starts], "size": [b - a for a, b in spans], "keys": [_pack_longs(np.diff(keys[a:b], prepend=part[a] << (bits - part_bits))) for a, b in spans],
+            "counts": [_pack_longs(n[a:b]) for a, b in spans]}, _PAIRS_BATCH)
+
     for row in _rows(batches):
         for phrase, size, hashes in _enumerate(row, filters, bits, 2):
-            keys = _keys(hashes[phrase], bits)
-            order = np.argsort(keys)
-            yield pa.RecordBatch.from_pydict({"key": keys[order].astype(np.int64), "n": size[order].astype(np.int64)})
+            held.append(_added(_keys(hashes[phrase], bits).astype(np.int64), size.astype(np.int64)))
+            if sum(len(keys) for keys, _ in held) >= PAIRS_HELD:
+                yield added()
+                held.clear()
+    if held:
+        yield added()
 
 
-def _spelled(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int) -> Iterator[pa.RecordBatch]:
+def _frequent_pairs(found: pa.Table, least: int, bits: int, part_bits: int) -> pa.Table:
+    """Keys of a part that occur ``least`` times."""
+    rows = found.to_pylist()
+    keys = [(r["part"] << (bits - part_bits)) + np.cumsum(_unpack_longs(r["keys"], r["size"])) for r in rows]
+    keys, n = _added(np.concatenate(keys), np.concatenate([_unpack_longs(r["counts"], r["size"]) for r in rows]))
+    return pa.table({"key": pa.array(keys[n >= least], pa.int64())})
+
+
+def _spelled(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int, part_bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases that pass all filters in shards, as texts."""
+    held: list[pa.Table] = []
+
+    def added() -> pa.RecordBatch:
+        one = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("part", "min"), ("n", "sum")])
+        one = one.sort_by([("part_min", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        part, n = one["part_min"].to_numpy(), one["n_sum"].to_numpy()
+        lang = one["lang"].combine_chunks().dictionary_encode()
+        code = lang.indices.to_numpy()
+        starts = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (code[1:] != code[:-1]))) if len(part) else np.zeros(0, int)
+        ends = np.append(starts, len(part))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), one["phrase"].combine_chunks().cast(pa.binary())), b"\n")
+        return pa.RecordBatch.from_pydict({
+            "part": part[starts], "lang": lang.dictionary.take(pa.array(code[starts])), "size": np.diff(ends),
+            "phrases": [pa.compress(x.as_buffer(), codec="zstd", asbytes=True) for x in joined],
+            "counts": [_pack_longs(n[a:b]) for a, b in zip(starts.tolist(), ends[1:].tolist(), strict=True)]}, _PHRASES_BATCH)
+
     for row in _rows(batches):
         words, langs = pa.array([None, *row["words"]], pa.string()), pa.array([None, *row["langs"]], pa.string())
-        for phrase, size, _ in _enumerate(row, filters, bits, LONGEST):
+        for phrase, size, hashes in _enumerate(row, filters, bits, LONGEST):
             texts = pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in phrase.T), " ")
-            yield pa.RecordBatch.from_arrays([langs.take(pa.array(phrase[:, 0])), texts, pa.array(size.astype(np.int64))], ["lang", "phrase", "n"])
+            part = (_keys(hashes[phrase], bits) >> np.uint64(bits - part_bits)).astype(np.int64)
+            held.append(pa.table({"part": part, "lang": langs.take(pa.array(phrase[:, 0])), "phrase": texts, "n": size.astype(np.int64)}))
+            if sum(map(len, held)) >= PHRASES_HELD or sum(t.nbytes for t in held) >= HELD_BYTES:
+                yield added()
+                held.clear()
+    if held:
+        yield added()
+
+
+def _frequent_phrases(found: pa.Table, least: int) -> pa.Table:
+    """Phrases of a part that occur ``least`` times."""
+    held = []
+    for lang, size, phrases, counts in zip(*(found[c] for c in ("lang", "size", "phrases", "counts")), strict=True):
+        with pa.input_stream(phrases.as_buffer(), compression="zstd") as stream:
+            texts = pc.split_pattern(pa.array([stream.read()], pa.large_binary()), b"\n").flatten()
+        n = _unpack_longs(counts.as_buffer(), size.as_py())
+        held.append(pa.table({"lang": pa.repeat(lang, len(n)), "phrase": texts, "n": n}))
+    out = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    out = out.filter(pc.greater_equal(out["n_sum"], least))
+    return pa.table({"lang": out["lang"], "phrase": out["phrase"].cast(pa.large_string()).cast(pa.string()), "a": out["n_sum"]})
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -268,7 +359,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_
     free_shuffles(totals)
 
     # 256 keys a word: chance agreement stays rare at any size.
-    bits = min(63, max(32, 8 + int(totals.agg(F.sum("n")).head()[0] or 0).bit_length()))
+    size = int(totals.agg(F.sum("n")).head()[0] or 0)
+    bits, part_bits = min(63, max(32, 8 + size.bit_length())), max(4, (size // PART_WORDS).bit_length())
 
     def word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,13 +370,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_
     filters: dict[int, Broadcast] = {}
     frequent = keep(words.where(F.col("a") >= least).select("lang", "phrase").mapInArrow(word_keys, "key long"), "frequent")
     filters[1] = context.broadcast(_filter(frequent))
-    counts = index.drop("backward").mapInArrow(lambda batches, f=dict(filters): _hashed_pairs(batches, f, bits), "key long, n long")
-    frequent = keep(counts.groupBy("key").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "frequent")
+    counts = index.drop("backward").mapInArrow(lambda batches, f=dict(filters): _hashed_pairs(batches, f, bits, part_bits), _PAIRS)
+    frequent = keep(counts.groupBy("part").applyInArrow(lambda found: _frequent_pairs(found, least, bits, part_bits), "key long"), "frequent")
     filters[2] = context.broadcast(_filter(frequent))
     free_shuffles(frequent)
-    longer = (index.mapInArrow(lambda batches: _spelled(batches, filters, bits), "lang string, phrase string, n long")
-              .groupBy("lang", "phrase").agg(F.sum("n").alias("a")))
-    phrases = keep(words.unionByName(longer).where(F.col("a") >= least), "phrases")
+    longer = (index.mapInArrow(lambda batches: _spelled(batches, filters, bits, part_bits), _PHRASES)
+              .groupBy("part").applyInArrow(lambda found: _frequent_phrases(found, least), "lang string, phrase string, a long"))
+    phrases = keep(words.where(F.col("a") >= least).unionByName(longer), "phrases")
     free_shuffles(phrases)
     return phrases, totals
 

@@ -102,3 +102,29 @@ def test_extensions_are_counts_and_intervals():
         good = word > 0
         phrase, start, size, other = phrase[good], start[good], size[good], other[good]
         assert {tuple(p): s for p, s in zip(phrase, size)} == {p: n for p, n in found.items() if len(p) == length and 0 not in p}
+
+
+def test_sums_are_packed_by_part(spark, monkeypatch):
+    """A shard's counts of pairs and phrases are a row a part; before, one a pair or phrase."""
+    docs = spark.createDataFrame(texts(5, 120), "lang string, text string").repartition(2)
+    want = sorted(map(tuple, C.collocations(docs, least=10).collect()))
+    sent, apply = [], type(docs.groupBy("lang")).applyInArrow
+
+    def counting(grouped, *args):
+        sent.append(grouped.count().select("count", "part").toPandas())
+        return apply(grouped, *args)
+
+    monkeypatch.setattr(type(docs.groupBy("lang")), "applyInArrow", counting)
+    assert sorted(map(tuple, C.collocations(docs, least=10).collect())) == want != []
+    pairs, phrases = sent
+    assert pairs["part"].max() < 16 and pairs["count"].max() <= 2 and phrases["part"].max() < 16 and phrases["count"].max() <= 2 * 4
+    for name in ("PAIRS_HELD", "PHRASES_HELD", "PART_WORDS"):
+        monkeypatch.setattr(C, name, 30)
+    assert sorted(map(tuple, C.collocations(docs, least=10).collect())) == want
+    assert sent[-1]["count"].sum() > phrases["count"].sum()
+
+
+def test_packed_longs():
+    for numbers in ([], [0], [5, 0, -3, 1 << 62, -(1 << 62)], range(70000)):
+        numbers = np.array(numbers, np.int64)
+        assert C._unpack_longs(C._pack_longs(numbers), len(numbers)).tolist() == numbers.tolist()
