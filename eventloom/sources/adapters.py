@@ -52,10 +52,14 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``calls`` with ``events`` read as a stream of files."""
+    """``calls`` with ``events`` (a file or a folder of them) read as a stream.
+
+    All files are one micro-batch: a device's rows may lie in any of them, and
+    those of a later file with a lower ``seq`` would be late."""
     ensure_utc(spark)
     schema = read(spark, sf_dir, "events").schema
-    return calls_of(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    # As a pattern, since a stream's plain path must be a folder.
+    return calls_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def calls_of(ev: DataFrame) -> DataFrame:

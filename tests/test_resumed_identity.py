@@ -191,3 +191,57 @@ def test_settings_of_the_state_store_hold_in_the_block_only(spark):
     with resumed.state_store(spark):
         assert [spark.conf.get(n) for n in names] == [resumed.STATE_STORE, "false", "true"]
     assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_a_stream_has_no_more_stores_than_task_slots_need(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    most = max(resumed.LEAST_STORES, resumed.STORES_A_SLOT * spark.sparkContext.defaultParallelism)
+    try:
+        for session, stores in ((6, 6), (most, most), (100 * most, most)):
+            spark.conf.set(name, session)
+            with resumed.state_store(spark):
+                assert int(spark.conf.get(name)) == stores
+            assert int(spark.conf.get(name)) == session
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_state_that_was_just_begun_is_not_read_again():
+    class Entries(dict):
+        def getValue(self, key):  # noqa: N802
+            reads.append(key[0])
+            return self.get(key)
+
+        def updateValue(self, key, value):  # noqa: N802
+            self[key] = value
+
+    reads, entries = [], Entries()
+    processor = resumed.IdentityProcessor(None)
+    processor.init(type("Handle", (), {"getMapState": lambda self, *_: entries})())
+    begun = pd.DataFrame({
+        "device_id": [1, 1, 2], "last_seq": [3, 1, 0], "epoch": 1, "initialized": True, "user_id": ["new", "old", None], "group_id": None,
+        "advertising_id": None, "consent_state": "unknown", "flush_epoch": 0})
+    processor.handleInitialState((5,), begun, None)
+    calls = pd.DataFrame([{n: None for n in resumed._CALL_NAMES} | {"device_bucket": 5, "device_id": d, "seq": 4, "ts": 0, "call": "track"} for d in (1, 3)])
+    out = pd.concat(processor.handleInputRows((5,), iter([calls]), None))
+    assert reads == [3] and out["user_state"].tolist() == ["new", None] and out["epoch"].tolist() == [1, 0]
+    assert entries[(1,)][:4] == (4, 1, True, "new") and entries[(2,)][:2] == (0, 1)
+    list(processor.handleInputRows((6,), iter([calls.assign(device_bucket=6)]), None))
+    assert reads == [3, 1, 3]  # another bucket
+
+
+def test_events_in_a_folder_are_streamed_whole(spark, tmp_path):
+    from eventloom.sources import adapters
+
+    rows = [(i, dt.datetime(2024, 1, 20, 0, 0, i), i % 2, "view", 1.0, '{"k": 2}') for i in range(8)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    for part in ("event_id >= 4", "event_id < 4"):  # the earlier rows are in the later file
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/folder/events.parquet")
+        time.sleep(1.1)
+    events.coalesce(1).write.parquet(f"{tmp_path}/one")
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "one").glob("*.parquet")).rename(tmp_path / "file" / "events.parquet")
+    for kind in ("folder", "file"):
+        out = resumed.run_to_table(resumed_identity(adapters.streamed_calls(spark, f"{tmp_path}/{kind}")), tempfile.mkdtemp(prefix="eventloom-folder-"))
+        assert sorted(map(tuple, out.select("seq", "late").collect())) == [(i, False) for i in range(8)]
