@@ -19,6 +19,11 @@ and nothing is lost. The index is read where it lies; only counts are shuffled.
 Both sums are dealt to parts by the hash, whose number goes by the words, so that a
 part is of bounded size. A task adds up its shards' counts and sends those of a part
 sorted and packed, which takes a fraction of the bytes of a row each.
+
+What a Python worker holds does not grow with the input: a shard's phrases are
+enumerated from some of its words at a time, held as word numbers and spelled for
+some parts at a time; a part's phrases are sifted by sums in bounded slots before
+any is kept as a text; and shards reach a worker a few bytes at a time.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ import itertools
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property
 
 import numpy as np
@@ -34,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import free_shuffles, keep, sized, small_batches
@@ -54,7 +60,13 @@ NO_LANG = "und"
 PART_WORDS = 1 << 20
 PAIRS_HELD = 1 << 21
 PHRASES_HELD = 1 << 20
-HELD_BYTES = 128 << 20
+HELD_BYTES = 64 << 20
+#: Rows of a shard that are extended at once, counts that are packed at once, slots
+#: of a part's sums at most, and bytes of shards sent to Python at once.
+ROWS_AT_ONCE = 1 << 16
+PACKED_AT_ONCE = 1 << 15
+SLOTS = 1 << 22
+BATCH_BYTES = 4 << 20
 
 _BREAK = b"\xff"  # in no UTF-8 text
 _TO_BREAK = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
@@ -210,40 +222,49 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 def _enumerate(row: dict, filters: dict[int, Broadcast], bits: int, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(phrases, counts, hashes)`` of a shard for each length from 2 to
-    ``longest``, of phrases whose words and pairs pass ``filters``."""
-    counts = np.array([row["n"] - sum(row["counts"]), *row["counts"]])
-    hashes = np.array([0, *map(_word_hash, row["langs"], row["words"])], np.uint64)
+    ``longest``, of phrases whose words and pairs pass ``filters``; those found
+    from some of the words, then those from the next."""
+    counts = np.append(row["n"] - row["counts"].sum(), row["counts"])
+    hashes = np.fromiter(itertools.chain([0], map(_word_hash, _strings(row["langs"]), _strings(row["words"]))), np.uint64, len(counts))
     forward = _Side(_unpack(row["forward"], row["n"]), counts)
     backward = _Side(_unpack(row["backward"], row["n"]), counts) if longest > 3 else forward
-    phrase = np.arange(1, len(counts))[:, None]
+    words = np.arange(1, len(counts))
     if 1 in filters:
-        phrase = phrase[_may_hold(filters[1].value, _keys(hashes[phrase], bits))]
+        words = words[_may_hold(filters[1].value, _keys(hashes[words[:, None]], bits))]
     known = np.zeros(len(counts), bool)
-    known[phrase] = True
-    start = other = forward.first[phrase[:, 0]]
-    size = counts[phrase[:, 0]]
-    for length in range(2, longest + 1):
-        left = length != 4
-        near, far = (forward, start) if left else (backward, other)
-        parent, word, found, smaller = _extend(near, len(counts), far, size)
-        good = np.flatnonzero(known[word])
-        if 2 in filters:
-            ends = phrase[parent[good], 0 if left else -1]
-            pair = np.column_stack([word[good], ends] if left else [ends, word[good]])
-            good = good[_may_hold(filters[2].value, _keys(hashes[pair], bits))]
-        parent, word, size = parent[good], word[good], found[good]
-        phrase = np.column_stack([word, phrase[parent]] if left else [phrase[parent], word])
-        yield phrase, size, hashes
-        if length < longest:
-            mine, opposite = near.rows(word, far[parent]), (other if left else start)[parent] + smaller[good]
-            start, other = (mine, opposite) if left else (opposite, mine)
+    known[words] = True
+    before = np.cumsum(counts[words]) - counts[words]
+    for some in np.split(words, np.flatnonzero(np.diff(before // ROWS_AT_ONCE)) + 1):
+        phrase, size = some[:, None], counts[some]
+        start = other = forward.first[some]
+        for length in range(2, longest + 1):
+            left = length != 4
+            near, far = (forward, start) if left else (backward, other)
+            parent, word, found, smaller = _extend(near, len(counts), far, size)
+            good = np.flatnonzero(known[word])
+            if 2 in filters:
+                ends = phrase[parent[good], 0 if left else -1]
+                pair = np.column_stack([word[good], ends] if left else [ends, word[good]])
+                good = good[_may_hold(filters[2].value, _keys(hashes[pair], bits))]
+            parent, word, size = parent[good], word[good], found[good]
+            phrase = np.column_stack([word, phrase[parent]] if left else [phrase[parent], word])
+            yield phrase, size, hashes
+            if length < longest:
+                mine, opposite = near.rows(word, far[parent]), (other if left else start)[parent] + smaller[good]
+                start, other = (mine, opposite) if left else (opposite, mine)
+
+
+def _strings(column: pa.Array) -> Iterator[str]:
+    for a in range(0, len(column), 1000):
+        yield from column.slice(a, 1000).to_pylist()
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows one by one: a shard as Python objects is large."""
+    """Rows one by one, lists as Arrow arrays: a shard as Python objects is large."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+            row = {name: batch[name][i] for name in batch.schema.names}
+            yield {name: x.values if isinstance(x, pa.ListScalar) else x.as_py() for name, x in row.items()} | {"counts": row["counts"].values.to_numpy().astype(np.int64)}
 
 
 def _pack_longs(numbers: np.ndarray) -> bytes:
@@ -274,23 +295,32 @@ def _hashed_pairs(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcas
     """Counts of pairs of words in shards, by key."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def added() -> pa.RecordBatch:
-        keys, n = _added(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        part = keys >> (bits - part_bits)
-        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
-        spans = [*zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=False)]
-        return pa.RecordBatch.from_pydict({
-            "part": part[starts], "size": [b - a for a, b in spans], "keys": [_pack_longs(np.diff(keys[a:b], prepend=part[a] << (bits - part_bits))) for a, b in spans],
-            "counts": [_pack_longs(n[a:b]) for a, b in spans]}, _PAIRS_BATCH)
+    def added() -> Iterator[pa.RecordBatch]:
+        for a, b in _spans(sum(len(keys) for keys, _ in held), part_bits):
+            within = [slice(*np.searchsorted(keys, [a << (bits - part_bits), b << (bits - part_bits)])) for keys, _ in held]
+            keys, n = _added(*(np.concatenate([x[w] for x, w in zip(xs, within, strict=True)]) for xs in zip(*held, strict=True)))
+            part = keys >> (bits - part_bits)
+            starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, int)
+            spans = [*zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=False)]
+            yield pa.RecordBatch.from_pydict({
+                "part": part[starts], "size": [b - a for a, b in spans], "keys": [_pack_longs(np.diff(keys[a:b], prepend=part[a] << (bits - part_bits))) for a, b in spans],
+                "counts": [_pack_longs(n[a:b]) for a, b in spans]}, _PAIRS_BATCH)
 
     for row in _rows(batches):
         for phrase, size, hashes in _enumerate(row, filters, bits, 2):
             held.append(_added(_keys(hashes[phrase], bits).astype(np.int64), size.astype(np.int64)))
             if sum(len(keys) for keys, _ in held) >= PAIRS_HELD:
-                yield added()
+                yield from added()
                 held.clear()
     if held:
-        yield added()
+        yield from added()
+
+
+def _spans(n: int, part_bits: int) -> Iterator[tuple[int, int]]:
+    """Spans of the parts that have about ``PACKED_AT_ONCE`` of ``n`` counts each."""
+    step = max(1, (PACKED_AT_ONCE << part_bits) // max(1, n))
+    for a in range(0, 1 << part_bits, step):
+        yield a, min(a + step, 1 << part_bits)
 
 
 def _frequent_pairs(found: pa.Table, least: int, bits: int, part_bits: int) -> pa.Table:
@@ -303,52 +333,99 @@ def _frequent_pairs(found: pa.Table, least: int, bits: int, part_bits: int) -> p
 
 def _spelled(batches: Iterator[pa.RecordBatch], filters: dict[int, Broadcast], bits: int, part_bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases that pass all filters in shards, as texts."""
-    held: list[pa.Table] = []
-
-    def added() -> pa.RecordBatch:
-        one = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("part", "min"), ("n", "sum")])
-        one = one.sort_by([("part_min", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
-        part, n = one["part_min"].to_numpy(), one["n_sum"].to_numpy()
-        lang = one["lang"].combine_chunks().dictionary_encode()
-        code = lang.indices.to_numpy()
-        starts = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (code[1:] != code[:-1]))) if len(part) else np.zeros(0, int)
-        ends = np.append(starts, len(part))
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), one["phrase"].combine_chunks().cast(pa.binary())), b"\n")
-        return pa.RecordBatch.from_pydict({
-            "part": part[starts], "lang": lang.dictionary.take(pa.array(code[starts])), "size": np.diff(ends),
-            "phrases": [pa.compress(x.as_buffer(), codec="zstd", asbytes=True) for x in joined],
-            "counts": [_pack_longs(n[a:b]) for a, b in zip(starts.tolist(), ends[1:].tolist(), strict=True)]}, _PHRASES_BATCH)
+    held: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def texts(a: int, b: int) -> Iterator[pa.Table]:
+        """The phrases held of parts ``a`` to ``b``."""
+        for words, langs, part, phrase, n in held:
+            within = slice(*np.searchsorted(part, [a, b]))
+            phrase = phrase[:, within]
+            yield pa.table({"part": part[within], "lang": langs.take(pa.array(phrase[0])), "phrase": pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in phrase), " "), "n": n[within]})
+
+    def added() -> Iterator[pa.RecordBatch]:
+        for a, b in _spans(sum(len(x[2]) for x in held), part_bits):
+            one = pa.concat_tables(texts(a, b)).group_by(["part", "lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+            one = one.sort_by([("part", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
+            part, n = one["part"].to_numpy().astype(np.int64), one["n_sum"].to_numpy()
+            lang = one["lang"].combine_chunks().dictionary_encode()
+            code = lang.indices.to_numpy()
+            starts = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (code[1:] != code[:-1]))) if len(part) else np.zeros(0, int)
+            ends = np.append(starts, len(part))
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), one["phrase"].combine_chunks().cast(pa.binary())), b"\n")
+            yield pa.RecordBatch.from_pydict({
+                "part": part[starts], "lang": lang.dictionary.take(pa.array(code[starts])), "size": np.diff(ends),
+                "phrases": [pa.compress(x.as_buffer(), codec="zstd", asbytes=True) for x in joined],
+                "counts": [_pack_longs(n[a:b]) for a, b in zip(starts.tolist(), ends[1:].tolist(), strict=True)]}, _PHRASES_BATCH)
 
     for row in _rows(batches):
-        words, langs = pa.array([None, *row["words"]], pa.string()), pa.array([None, *row["langs"]], pa.string())
+        words, langs = (pa.concat_arrays([pa.nulls(1, pa.string()), row[name].cast(pa.string())]) for name in ("words", "langs"))
         for phrase, size, hashes in _enumerate(row, filters, bits, LONGEST):
-            texts = pc.binary_join_element_wise(*(words.take(pa.array(c)) for c in phrase.T), " ")
-            part = (_keys(hashes[phrase], bits) >> np.uint64(bits - part_bits)).astype(np.int64)
-            held.append(pa.table({"part": part, "lang": langs.take(pa.array(phrase[:, 0])), "phrase": texts, "n": size.astype(np.int64)}))
-            if sum(map(len, held)) >= PHRASES_HELD or sum(t.nbytes for t in held) >= HELD_BYTES:
-                yield added()
+            part = (_keys(hashes[phrase], bits) >> np.uint64(bits - part_bits)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            held.append((words, langs, part[order], phrase[order].T.astype(np.int32, order="C"), size[order].astype(np.int32)))
+            shards = {id(x[0]): x[0].nbytes + x[1].nbytes for x in held}
+            if sum(len(x[2]) for x in held) >= PHRASES_HELD or sum(shards.values()) + sum(y.nbytes for x in held for y in x[2:]) >= HELD_BYTES:
+                yield from added()
                 held.clear()
     if held:
-        yield added()
+        yield from added()
+
+
+def _texts(row: dict) -> list[bytes]:
+    with pa.input_stream(pa.py_buffer(row["phrases"]), compression="zstd") as stream:
+        return stream.read().split(b"\n")
 
 
 def _frequent_phrases(found: pa.Table, least: int) -> pa.Table:
-    """Phrases of a part that occur ``least`` times."""
-    held = []
-    for lang, size, phrases, counts in zip(*(found[c] for c in ("lang", "size", "phrases", "counts")), strict=True):
-        with pa.input_stream(phrases.as_buffer(), compression="zstd") as stream:
-            texts = pc.split_pattern(pa.array([stream.read()], pa.large_binary()), b"\n").flatten()
-        n = _unpack_longs(counts.as_buffer(), size.as_py())
-        held.append(pa.table({"lang": pa.repeat(lang, len(n)), "phrase": texts, "n": n}))
+    """Phrases of a part that occur ``least`` times. Sums by a hash, in as many
+    slots as phrases or ``SLOTS``, say which may; only those are kept as texts."""
+    wanted = int(pc.sum(found["size"]).as_py())
+    slots = min(SLOTS, 1 << max(10, wanted.bit_length()))
+    sums, places = np.zeros(slots, np.int64), []
+    for row in _rows_of(found):
+        seed = xxhash.xxh32_intdigest(row["lang"])
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(text, seed) for text in _texts(row)), np.uint64, row["size"])
+        places.append((hashes & np.uint64(slots - 1)).astype(np.int32))
+        np.add.at(sums, places[-1], _unpack_longs(row["counts"], row["size"]))
+    held = [pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})]
+    for row, at in zip(_rows_of(found), places, strict=True):
+        good = np.flatnonzero(sums[at] >= least)
+        if len(good):
+            texts = _texts(row)
+            held.append(pa.table({"lang": pa.repeat(pa.scalar(row["lang"], pa.string()), len(good)), "phrase": pa.array([texts[i] for i in good.tolist()], pa.large_binary()),
+                                  "n": _unpack_longs(row["counts"], row["size"])[good]}))
     out = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
     out = out.filter(pc.greater_equal(out["n_sum"], least))
     return pa.table({"lang": out["lang"], "phrase": out["phrase"].cast(pa.large_string()).cast(pa.string()), "a": out["n_sum"]})
 
 
+def _rows_of(found: pa.Table) -> Iterator[dict]:
+    for batch in found.to_batches(max_chunksize=64):
+        yield from batch.to_pylist()
+
+
+@contextmanager
+def _bytes_at_once(spark: SparkSession) -> Iterator[None]:
+    """Python tasks started within get ``BATCH_BYTES`` at once, or little more."""
+    conf, name = spark.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name)
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        conf.set(name, before)
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """``(phrases, totals)``: ``phrases(lang, phrase, a)`` of 1 to ``LONGEST``
     words that occur ``least`` times in texts of one language, and ``totals(lang,
     n)`` of all words."""
+    with _bytes_at_once(docs.sparkSession):
+        return _phrase_counts(docs, least, shard_words)
+
+
+def _phrase_counts(docs: DataFrame, least: int, shard_words: int) -> tuple[DataFrame, DataFrame]:
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     index = keep(small_batches(rows).mapInArrow(lambda batches: _indexes(batches, shard_words), _INDEX), "index")

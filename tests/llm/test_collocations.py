@@ -1,9 +1,11 @@
 """Collocations against plain counting, and the transforms against the words."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventloom.llm import collocations as C
@@ -128,3 +130,69 @@ def test_packed_longs():
     for numbers in ([], [0], [5, 0, -3, 1 << 62, -(1 << 62)], range(70000)):
         numbers = np.array(numbers, np.int64)
         assert C._unpack_longs(C._pack_longs(numbers), len(numbers)).tolist() == numbers.tolist()
+
+
+POOLS = []  # Arrow's memory must not outlive its pool
+
+
+def held_most(f):
+    """Result of ``f()`` and the most MB it held at once: Python's and numpy's, and Arrow's."""
+    before, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    POOLS.append(pool)
+    pa.set_memory_pool(pool)
+    tracemalloc.start()
+    try:
+        out = f()
+        return out, (tracemalloc.get_traced_memory()[1] + pool.max_memory()) / 1e6
+    finally:
+        tracemalloc.stop()
+        pa.set_memory_pool(before)
+
+
+def one_shard(n, seed):
+    words = [f"long-word-{w}" for w in np.random.default_rng(seed).zipf(1.3, n) % 5000]
+    docs = pa.RecordBatch.from_pydict({"lang": ["en"], "text": [" ".join(words)]}, pa.schema([("lang", pa.string()), ("text", pa.string())]))
+    return words, list(C._indexes(iter([docs]), 1 << 30))
+
+
+def test_a_shard_is_spelled_in_little_memory():
+    """All phrases of a shard pass the filters, as those of large inputs do: they were held as texts, all at once."""
+    words, index = one_shard(150_000, 6)
+    sent, most = held_most(lambda: [b for b in C._spelled(iter(index), {}, 40, 4)])
+    got = Counter()
+    for b in sent:
+        for row in b.to_pylist():
+            texts = pa.input_stream(pa.py_buffer(row["phrases"]), compression="zstd").read().decode().split("\n")
+            got.update(dict(zip(texts, C._unpack_longs(row["counts"], row["size"]).tolist(), strict=True)))
+    want = Counter(" ".join(words[i : i + k]) for k in (2, 3, 4, 5) for i in range(len(words) - k + 1))
+    assert got == want
+    assert most < 40, most
+
+
+def test_a_part_of_many_phrases_is_summed_in_little_memory(monkeypatch):
+    """A part's phrases, nearly all rare, were held as texts, all at once."""
+    words, index = one_shard(150_000, 7)
+    sent = pa.Table.from_batches(C._spelled(iter(index), {}, 40, 4))
+    found, most = held_most(lambda: C._frequent_phrases(sent, 100))
+    want = Counter(" ".join(words[i : i + k]) for k in (2, 3, 4, 5) for i in range(len(words) - k + 1))
+    want = {p: n for p, n in want.items() if n >= 100}
+    as_counts = lambda t: dict(zip(t["phrase"].to_pylist(), t["a"].to_pylist(), strict=True))
+    assert as_counts(found) == want and len(want) > 100 and set(found["lang"].to_pylist()) == {"en"}
+    assert most < 20, most
+    monkeypatch.setattr(C, "SLOTS", 1)
+    assert as_counts(C._frequent_phrases(sent, 100)) == want
+    assert not C._frequent_phrases(sent, 1 << 40).num_rows
+
+
+def test_shards_reach_a_worker_few_at_once(spark, monkeypatch):
+    """All shards of a file were sent to Python in one batch."""
+    docs = spark.createDataFrame([("en", " ".join(f"w{i}" for i in range(j, j + 60_000))) for j in range(8)], "lang string, text string").coalesce(1)
+    spelled, before = C._spelled, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+
+    def watched(batches, *args):
+        yield from spelled((b if b.num_rows < 4 else pytest.fail("many shards at once") for b in batches), *args)
+
+    monkeypatch.setattr(C, "_spelled", watched)
+    monkeypatch.setattr(C, "BATCH_BYTES", 1 << 20, raising=False)
+    assert C.phrase_counts(docs, 8, 60_000)[0].count() == 5 * (60_000 - 7) - 10
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
