@@ -74,6 +74,9 @@ _INDEX = "n long, langs array<string>, words array<string>, counts array<int>, f
 _INDEX_BATCH = pa.schema([
     ("n", pa.int64()), ("langs", pa.list_(pa.string())), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())),
     ("forward", pa.binary()), ("backward", pa.binary())])
+#: Pages and row groups of a shard or two: read and written whole, in buffers beside
+#: the heap, they would else have all shards of a file (100 rows are not looked at).
+_INDEX_FILE = {"parquet.page.size.row.check.min": 1, "parquet.block.size": 4 << 20}
 _SALTS = 64
 
 
@@ -428,7 +431,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_
 def _phrase_counts(docs: DataFrame, least: int, shard_words: int) -> tuple[DataFrame, DataFrame]:
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    index = keep(small_batches(rows).mapInArrow(lambda batches: _indexes(batches, shard_words), _INDEX), "index")
+    index = keep(small_batches(rows).mapInArrow(lambda batches: _indexes(batches, shard_words), _INDEX), "index", **_INDEX_FILE)
 
     named = index.select(F.explode(F.arrays_zip("langs", "words", "counts")).alias("w")).select("w.langs", "w.words", "w.counts")
     words = keep(named.groupBy(F.col("langs").alias("lang"), F.col("words").alias("phrase")).agg(F.sum("counts").alias("a")), "words")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from eventloom.llm import collocations as C
@@ -196,3 +197,20 @@ def test_shards_reach_a_worker_few_at_once(spark, monkeypatch):
     monkeypatch.setattr(C, "BATCH_BYTES", 1 << 20, raising=False)
     assert C.phrase_counts(docs, 8, 60_000)[0].count() == 5 * (60_000 - 7) - 10
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_index_is_read_few_shards_at_once(spark, monkeypatch):
+    """A file of the index was one row group, read whole in buffers beside the heap."""
+    docs = spark.createDataFrame([("en", " ".join(f"w{i}" for i in range(j, j + 60_000))) for j in range(8)], "lang string, text string").coalesce(1)
+    keep, groups = C.keep, []
+
+    def watched(df, name, **options):
+        out = keep(df, name, **options)
+        files = [pq.ParquetFile(x.removeprefix("file://")).metadata for x in out.inputFiles()]
+        groups.extend(f.row_group(i).num_rows for f in files for i in range(f.num_row_groups))
+        raise InterruptedError
+
+    monkeypatch.setattr(C, "keep", watched)
+    with pytest.raises(InterruptedError):
+        C.phrase_counts(docs, 8, 60_000)
+    assert sum(groups) == 8 and max(groups) <= 4
